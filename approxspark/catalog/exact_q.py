@@ -171,29 +171,35 @@ def category_stats(spark, d):
     )
 
 
-def stratified_sample_sql(src: str, by: str, key: str, k: int, seed: int, value: str | None = None, rule: str = "proportional") -> str:
+def stratified_sample_sql(src: str, by: str, key, k, seed: int, value: str | None = None, rule: str = "proportional") -> str:
     """DuckDB text of a stratified bottom-k sample with allocation ``rule`` (mirrors plans.allocation)."""
     prio = sql_priority(key, seed)
-    if rule == "proportional":
-        take_n = f"floor({k} * pop_n / N)::BIGINT + CASE WHEN size_rank = 1 THEN {k} - sum(floor({k} * pop_n / N)::BIGINT) OVER () ELSE 0 END"
-    elif rule == "proportional_spread":
-        take_n = f"floor({k} * pop_n / N)::BIGINT + CASE WHEN size_rank <= {k} - sum(floor({k} * pop_n / N)::BIGINT) OVER () THEN 1 ELSE 0 END"
-    elif rule == "equal":
-        take_n = f"({k} // H) + CASE WHEN key_rank <= {k} - ({k} // H) * H THEN 1 ELSE 0 END"
-    elif rule == "min_one":
-        take_n = f"greatest(1, floor({k} * pop_n / N)::BIGINT)"
+    if rule in ("proportional", "proportional_spread", "min_one"):
+        base = f"floor({k} * pop_n / N)::BIGINT"
+        if rule == "min_one":
+            base = f"greatest(1, {base})"
     elif rule == "neyman":
         w = "(pop_n * coalesce(pop_sd, 0))"
         base = f"(CASE WHEN sum({w}) OVER () > 0 THEN floor({k} * {w} / sum({w}) OVER ()) ELSE floor({k} * pop_n / N) END)::BIGINT"
-        take_n = f"{base} + CASE WHEN size_rank = 1 THEN {k} - sum({base}) OVER () ELSE 0 END"
+    elif rule == "equal":
+        base = f"({k} // H)::BIGINT"
     else:
         raise ValueError(rule)
+    rem = f"({k} - sum(base) OVER ())"
+    extra = {
+        "proportional": f"CASE WHEN size_rank = 1 THEN {rem} ELSE 0 END",
+        "neyman": f"CASE WHEN size_rank = 1 THEN {rem} ELSE 0 END",
+        "proportional_spread": f"CASE WHEN size_rank <= {rem} THEN 1 ELSE 0 END",
+        "equal": f"CASE WHEN key_rank <= {rem} THEN 1 ELSE 0 END",
+        "min_one": "0",
+    }[rule]
     pop_sd = f", stddev_samp({value}) AS pop_sd" if value else ""
     return (
         f"WITH src AS ({src}), sizes AS (SELECT {by}, count(*) AS pop_n{pop_sd} FROM src GROUP BY {by}), "
         f"ranked_sizes AS (SELECT *, sum(pop_n) OVER () AS N, count(*) OVER () AS H, "
         f"row_number() OVER (ORDER BY pop_n DESC, {by} DESC) AS size_rank, row_number() OVER (ORDER BY {by}) AS key_rank FROM sizes), "
-        f"plan0 AS (SELECT {by}, pop_n, ({take_n}) AS take_n FROM ranked_sizes), "
+        f"based AS (SELECT *, {base} AS base FROM ranked_sizes), "
+        f"plan0 AS (SELECT {by}, pop_n, base + ({extra}) AS take_n FROM based), "
         f"plan AS (SELECT {by}, pop_n, least(take_n, pop_n) AS take_n FROM plan0 WHERE least(take_n, pop_n) > 0), "
         f"cand AS (SELECT src.*, plan.pop_n, plan.take_n, row_number() OVER (PARTITION BY src.{by} ORDER BY {prio}, {sql_key(key)}) AS rn "
         f"FROM src JOIN plan USING ({by})) "

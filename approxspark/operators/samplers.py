@@ -15,6 +15,7 @@ far below 1e-12), it is raised and the step repeats, so the result is always the
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Sequence
 
@@ -173,7 +174,7 @@ def systematic(df: DataFrame, k: int, order_by: str, seed: int = 42, buckets: in
     offsets = counts.withColumn(
         "_off", F.sum("_cnt").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     ).select("_bucket", F.coalesce("_off", F.lit(0)).alias("_off"))
-    start = int(spark.range(1).select(prefix_value(F.md5(F.lit(f"{seed}:start")))).first()[0]) % total
+    start = systematic_start(seed, total)
     targets = spark.range(k).select(F.floor((F.lit(start) + F.col("id") * F.lit(total)) / F.lit(k)).cast("long").alias("_rank"))
     ranked = join_small(tagged, offsets, "_bucket", small_rows=len(bounds) + 1).withColumn(
         "_rank", F.col("_off") + F.row_number().over(Window.partitionBy("_bucket").orderBy(order_by)) - 1
@@ -181,6 +182,11 @@ def systematic(df: DataFrame, k: int, order_by: str, seed: int = 42, buckets: in
     return join_small(ranked, targets, "_rank", "inner", small_rows=k).drop("_bucket", "_off")
 
 
+def systematic_start(seed: int, total: int) -> int:
+    """Seeded integer start in [0, N): first 32 bits of md5('seed:start') mod N."""
+    return int(hashlib.md5(f"{seed}:start".encode()).hexdigest()[:8], 16) % total
+
+
 def reservoir(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, strata: str | Sequence[str] | None = None) -> DataFrame:
     """Bottom-k reservoir (per stratum when ``strata`` is given).
 
