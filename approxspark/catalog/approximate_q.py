@@ -46,3 +46,190 @@ def flagship(spark, d):
 
 
 register("flagship_approx_agg", approx_group_sql(f"SELECT * FROM {SALES_SQL}", "category", "id", FLAGSHIP_AGGS_SQL))(flagship)
+
+
+from .sampling_q import bottom_k_sql  # noqa: E402
+from ..plans.allocation import allocate, strata_sizes  # noqa: E402
+from ..plans.sizing import size_for_accuracy, size_for_shape  # noqa: E402
+
+SALES_SRC = f"SELECT * FROM {SALES_SQL}"
+
+
+register(
+    "approx_group_by",
+    approx_group_sql(SALES_SRC, "category", "id", "round(sum(sampling_weight), 6)::BIGINT AS count"),
+)(lambda spark, d: approximate.approx_agg(sales(spark, d), [("count", None, "count")], by="category", key="id"))
+
+LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LI_AGGS = [
+    ("count", None, "count"),
+    ("sum", "l_quantity", "sum_qty"),
+    ("avg", "l_extendedprice", "avg_price"),
+    ("min", "l_discount", "min_discount"),
+    ("max", "l_tax", "max_tax"),
+]
+LI_AGGS_SQL = (
+    "round(sum(sampling_weight), 6)::BIGINT AS count, round(sum(sampling_weight * l_quantity), 2) AS sum_qty, "
+    "round(sum(sampling_weight * l_extendedprice) / sum(sampling_weight), 4) AS avg_price, min(l_discount) AS min_discount, "
+    "max(l_tax) AS max_tax"
+)
+
+
+@register(
+    "approx_group_by_complex",
+    approx_group_sql("SELECT * FROM lineitem", "l_returnflag", LI_KEY, LI_AGGS_SQL, accuracy=97, confidence=99, seed=3),
+)
+def approx_group_by_complex(spark, d):
+    res = approximate.approx_agg(table(spark, d, "lineitem"), LI_AGGS, by="l_returnflag", accuracy=97, confidence=99, key=LI_KEY, seed=3)
+    return res.withColumn("sum_qty", F.round("sum_qty", 2))
+
+
+SRS_1000 = bottom_k_sql(SALES_SRC, "id", 1000, 42)
+N_SALES = f"(SELECT count(*) FROM {SALES_SQL})"
+
+
+@register("sampled_sum", f"SELECT round(sum(price) * {N_SALES} / 1000, 2) AS sum_price FROM ({SRS_1000})")
+def sampled_sum(spark, d):
+    r = approximate.sampled_scalar(sales(spark, d), [("sum", "price", "sum_price")], 1000, "id", 42)
+    return r.select(F.round("sum_price", 2).alias("sum_price"))
+
+
+@register(
+    "sampled_count",
+    f"SELECT category, floor(count(*) * {N_SALES} / 1000)::BIGINT AS count FROM ({SRS_1000}) GROUP BY category",
+)
+def sampled_count(spark, d):
+    # D10 grouped: n_g x N / n from a simple random sample, truncated to an integer
+    s = sales(spark, d)
+    N = s.count()
+    smp = samplers.simple_random(s, 1000, "id", 42, total=N)
+    return smp.groupBy("category").agg(F.floor(F.count(F.lit(1)) * F.lit(N) / F.lit(1000)).cast("long").alias("count"))
+
+
+@register(
+    "sampled_avg",
+    f"SELECT category, round(avg(price), 4) AS avg_price FROM ({SRS_1000}) GROUP BY category",
+)
+def sampled_avg(spark, d):
+    smp = samplers.simple_random(sales(spark, d), 1000, "id", 42)
+    return smp.groupBy("category").agg(F.round(F.avg("price"), 4).alias("avg_price"))
+
+
+@register("sampled_min_max", f"SELECT min(price) AS min_price, max(price) AS max_price FROM ({SRS_1000})")
+def sampled_min_max(spark, d):
+    return approximate.sampled_scalar(sales(spark, d), [("min", "price", "min_price"), ("max", "price", "max_price")], 1000, "id", 42)
+
+
+@register(
+    "distinct_by_sample_ratio",
+    f"SELECT floor(count(DISTINCT user_id) / 1000 * {N_SALES})::BIGINT AS distinct_users FROM ({SRS_1000})",
+)
+def distinct_by_sample_ratio(spark, d):
+    return approximate.sampled_scalar(sales(spark, d), [("count_distinct", "user_id", "distinct_users")], 1000, "id", 42)
+
+
+PLAN_SRC = f"SELECT * FROM {SALES_SQL} WHERE price > 100000"
+
+
+@register(
+    "sample_plan_by_accuracy",
+    f"WITH src AS ({PLAN_SRC}), n AS (SELECT {accuracy_size_sql(95, 'count(*)')} AS k, count(*) AS N FROM src) "
+    "SELECT category, count(*)::BIGINT AS pop_n, least(count(*), greatest(1, floor(any_value(k) * count(*) / any_value(N))))::BIGINT AS take_n, "
+    "any_value(k)::BIGINT AS sample_total FROM src, n GROUP BY category",
+)
+def sample_plan_by_accuracy(spark, d):
+    # D14 as a plan: sizes per group over the filtered table, total from the accuracy target
+    src = sales(spark, d).where(F.col("price") > 100000)
+    sizes = strata_sizes(src, "category").persist()
+    N = sizes.agg(F.sum("pop_n")).first()[0]
+    k = size_for_accuracy(95, N)
+    plan = allocate(sizes, k, "category", "min_one")
+    return plan.select("category", F.col("pop_n").cast("long"), "take_n", F.lit(k).cast("long").alias("sample_total"))
+
+
+SHAPE_K_SQL = "CAST(10000 * 2 * 1.5 * (1 + (0.95 - 0.95) * 4) AS BIGINT)"
+
+
+@register(
+    "sample_plan_by_shape",
+    f"WITH n AS (SELECT count(*) AS N FROM lineitem) SELECT l_returnflag, count(*)::BIGINT AS pop_n, "
+    f"least(count(*), greatest(1, floor({SHAPE_K_SQL} * count(*) / any_value(N))))::BIGINT AS take_n, "
+    f"{SHAPE_K_SQL} AS sample_total FROM lineitem, n GROUP BY l_returnflag",
+)
+def sample_plan_by_shape(spark, d):
+    # Grouped query with three aggregates at target 0.95 -> 10000 x 2 x 1.5
+    k = size_for_shape(grouped=True, n_aggregates=3, accuracy_target=0.95)
+    sizes = strata_sizes(table(spark, d, "lineitem"), "l_returnflag")
+    plan = allocate(sizes, k, "l_returnflag", "min_one")
+    return plan.select("l_returnflag", F.col("pop_n").cast("long"), "take_n", F.lit(k).cast("long").alias("sample_total"))
+
+
+CI_LEVELS = [(90, 1.645), (95, 1.96), (99, 2.576)]
+
+
+@register(
+    "result_ci_by_confidence",
+    "WITH smp AS ("
+    + stratified_sample_sql(SALES_SRC, "category", "id", f"(SELECT {accuracy_size_sql(95, 'count(*)')} FROM src)", 42, rule="min_one")
+    + "), c AS (SELECT category, count(*) AS n FROM smp GROUP BY category) "
+    "SELECT category, lvl AS confidence, round(z / sqrt(n), 6) AS ci FROM c, (VALUES "
+    + ", ".join(f"({c}, {z})" for c, z in CI_LEVELS)
+    + ") AS l(lvl, z)",
+)
+def result_ci_by_confidence(spark, d):
+    # Relative half-width z / sqrt(n_g) per group of the approximate GROUP BY sample
+    s = sales(spark, d)
+    sizes = strata_sizes(s, "category").persist()
+    N = sizes.agg(F.sum("pop_n")).first()[0]
+    smp = samplers.from_plan(s, allocate(sizes, size_for_accuracy(95, N), "category", "min_one"), "category", "id", 42)
+    levels = F.array(*[F.struct(F.lit(c).alias("confidence"), F.lit(z).alias("z")) for c, z in CI_LEVELS])
+    counts = smp.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select("category", "n", F.explode(levels).alias("l")).select(
+        "category", F.col("l.confidence").alias("confidence"), F.round(F.col("l.z") / F.sqrt("n"), 6).alias("ci")
+    )
+
+
+SALES_K_SQL = f"(SELECT {accuracy_size_sql(95, 'count(*)')} FROM {SALES_SQL})"
+
+
+@register(
+    "approx_result_envelope",
+    f"WITH smp AS ({bottom_k_sql(SALES_SRC, 'id', SALES_K_SQL, 42)}) "
+    f"SELECT round(sum(price) * {N_SALES} / count(*), 2) AS sum_price, round(avg(price), 4) AS avg_price, true AS approx, "
+    f"round(1.96 / sqrt(count(*)), 6) AS ci, count(*)::BIGINT AS sample_size, {N_SALES}::BIGINT AS total_size FROM smp",
+)
+def approx_result_envelope(spark, d):
+    res = approximate.approx_agg(sales(spark, d), [("sum", "price", "sum_price"), ("avg", "price", "avg_price")], key="id")
+    return res.withColumn("sum_price", F.round("sum_price", 2))
+
+
+FALLBACK_SRC = f"SELECT * FROM {SALES_SQL} WHERE category = 'BUILDING'"
+
+
+@register(
+    "exact_fallback_small",
+    f"SELECT count(*)::BIGINT AS count, round(sum(price), 2) AS sum_price, false AS approx, 0.0 AS ci, "
+    f"count(*)::BIGINT AS sample_size, count(*)::BIGINT AS total_size FROM ({FALLBACK_SRC})",
+)
+def exact_fallback_small(spark, d):
+    # Accuracy 99.9 asks for min(100000, N) rows -> the population is small enough to answer exactly
+    res = approximate.approx_agg(
+        sales(spark, d), [("count", None, "count"), ("sum", "price", "sum_price")], where=F.col("category") == "BUILDING", accuracy=99.9, key="id"
+    )
+    return res.withColumn("sum_price", F.round("sum_price", 2))
+
+
+@register(
+    "approx_select_rows",
+    bottom_k_sql(
+        f"SELECT * FROM {SALES_SQL} WHERE category = 'BUILDING'",
+        "id",
+        f"(SELECT {accuracy_size_sql(95, 'count(*)')} FROM {SALES_SQL} WHERE category = 'BUILDING')",
+        42,
+        "id, price",
+    ),
+)
+def approx_select_rows(spark, d):
+    s = sales(spark, d).where(F.col("category") == "BUILDING")
+    N = s.count()
+    return approximate.approx_select(s, ["id", "price"], size_for_accuracy(95, N), "id", 42)
