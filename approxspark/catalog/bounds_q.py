@@ -1 +1,264 @@
-"""Registered queries."""
+"""Error-bound queries (F1-F15). Oracles rebuild the same sample in DuckDB and apply the formulas."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.stats import t_quantile_sql, z_value
+from ..operators import bounds, samplers
+from ..plans.allocation import strata_sizes
+from ..sources.tables import table
+from .exact_q import stratified_sample_sql
+from .sampling_q import bottom_k_sql
+from . import register
+
+FINITE_RAW = "NOT isnan(xr) AND abs(xr) < 'Infinity'::DOUBLE"
+FINITE = "x IS NOT NULL AND NOT isnan(x) AND abs(x) < 'Infinity'::DOUBLE"
+
+
+def finish_sql(m: str, by: list[str], est: str, lo: str, hi: str, conf: float, method: str, dist: str | None,
+               N: str = "NULL", iters: str = "NULL", extra: str = "") -> str:
+    """SELECT text of bounds.finish over a CTE/relation ``m`` with column n."""
+    est_f = f"(CASE WHEN n = 0 THEN 0.0 ELSE {est} END)"
+    lo_f = f"(CASE WHEN n = 0 THEN 0.0 WHEN n = 1 THEN {est} ELSE {lo} END)"
+    hi_f = f"(CASE WHEN n = 0 THEN 0.0 WHEN n = 1 THEN {est} ELSE {hi} END)"
+    keys = "".join(f"{b}, " for b in by)
+    d = "NULL" if dist is None else f"'{dist}'"
+    return (
+        f"SELECT {keys}round({est_f}, 4) AS estimate, round({lo_f}, 4) AS lower_bound, round({hi_f}, 4) AS upper_bound, "
+        f"{float(conf)!r} AS confidence_level, n::BIGINT AS sample_size, ({N})::BIGINT AS population_size, '{method}' AS method, "
+        f"{d}::VARCHAR AS distribution_type, ({iters})::BIGINT AS n_iterations, round(({hi_f} - {lo_f}) / 2, 4) AS margin_of_error, "
+        f"CASE WHEN {est_f} = 0 THEN 'Infinity'::DOUBLE ELSE round(({hi_f} - {lo_f}) / 2 / abs({est_f}), 6) END AS relative_error{extra} "
+        f"FROM {m}"
+    )
+
+
+def moments_sql(src: str, value: str, by: list[str] | None = None) -> str:
+    by = by or []
+    keys = "".join(f"{b}, " for b in by)
+    grp = f" GROUP BY {', '.join(by)}" if by else ""
+    return (
+        f"(SELECT {keys}count(x) AS n, avg(x) AS mean, stddev_samp(x) AS sd FROM "
+        f"(SELECT {keys}CASE WHEN {FINITE_RAW} THEN xr END AS x FROM (SELECT *, try_cast({value} AS DOUBLE) AS xr FROM ({src}))){grp})"
+    )
+
+
+def fpc_sql(N: str) -> str:
+    return f"(CASE WHEN ({N}) IS NULL THEN 1.0 ELSE sqrt(greatest(({N}) - n, 0) / (CASE WHEN ({N}) - 1 > 0 THEN ({N}) - 1 END)) END)"
+
+
+def mean_bounds_sql(src: str, value: str, method: str, conf: float, N: str = "NULL", by: list[str] | None = None) -> str:
+    crit = repr(z_value(conf)) if method == "normal" else t_quantile_sql(conf, "(n - 1)")
+    margin = f"({crit} * sd / sqrt(n) * {fpc_sql(N)})"
+    return finish_sql(moments_sql(src, value, by), by or [], "mean", f"mean - {margin}", f"mean + {margin}", conf, method,
+                      bounds.DISTRIBUTION[method], N)
+
+
+SRS = bottom_k_sql("SELECT * FROM events", "event_id", 1000, 42)
+N_EVENTS = "(SELECT count(*) FROM events)"
+
+
+def _events_srs(spark, d, k=1000, seed=42):
+    ev = table(spark, d, "events")
+    return samplers.simple_random(ev, k, "event_id", seed)
+
+
+@register("bounds_normal", mean_bounds_sql(SRS, "value", "normal", 0.95))
+def bounds_normal(spark, d):
+    return bounds.mean_bounds(_events_srs(spark, d), "value", "normal", 0.95)
+
+
+@register("bounds_student_t", mean_bounds_sql(bottom_k_sql("SELECT * FROM events", "event_id", 25, 42), "value", "student_t", 0.95))
+def bounds_student_t(spark, d):
+    return bounds.mean_bounds(_events_srs(spark, d, 25), "value", "student_t", 0.95)
+
+
+@register(
+    "bounds_fpc",
+    f"SELECT 'sample' AS part, * FROM ({mean_bounds_sql(SRS, 'value', 'normal', 0.90, N_EVENTS)}) UNION ALL "
+    f"SELECT 'census' AS part, * FROM ({mean_bounds_sql('SELECT * FROM events', 'value', 'normal', 0.90, N_EVENTS)})",
+)
+def bounds_fpc(spark, d):
+    # finite population correction; with n = N the margin is 0
+    ev = table(spark, d, "events")
+    N = ev.count()
+    smp = samplers.simple_random(ev, 1000, "event_id", 42, total=N)
+    a = bounds.mean_bounds(smp, "value", "normal", 0.90, population=N).select(F.lit("sample").alias("part"), "*")
+    b = bounds.mean_bounds(ev, "value", "normal", 0.90, population=N).select(F.lit("census").alias("part"), "*")
+    return a.unionByName(b)
+
+
+def bootstrap_sql(src: str, value: str, order_key: str, B: int, conf: float, seed: int, stat: str = "avg(x)") -> str:
+    alpha = (1 - conf) / 2
+    return (
+        f"WITH r AS (SELECT x, row_number() OVER (ORDER BY {order_key}) - 1 AS idx FROM "
+        f"(SELECT {order_key}, try_cast({value} AS DOUBLE) AS x FROM ({src})) WHERE {FINITE}), "
+        f"nn AS (SELECT count(*) AS n, avg(x) AS m FROM r), "
+        f"draws AS (SELECT id // n AS b, ('0x' || substr(md5('{seed}:' || CAST(id // n AS VARCHAR) || ':' || CAST(id % n AS VARCHAR)), 1, 8))::BIGINT % n AS idx "
+        f"FROM nn, range(0, {B} * (SELECT n FROM nn)) AS g(id)), "
+        f"reps AS (SELECT b, {stat} AS s FROM draws JOIN r USING (idx) GROUP BY b), "
+        f"q AS (SELECT n, m, (SELECT quantile_cont(s, {alpha!r}) FROM reps) AS lo, (SELECT quantile_cont(s, {1 - alpha!r}) FROM reps) AS hi FROM nn) "
+        + finish_sql("q", [], "m", "lo", "hi", conf, "bootstrap", "BOOTSTRAP", "NULL", str(B))
+    )
+
+
+BOOT_SRC = bottom_k_sql("SELECT * FROM events", "event_id", 200, 42)
+
+
+@register("bounds_bootstrap", bootstrap_sql(BOOT_SRC, "value", "event_id", 200, 0.95, 42))
+def bounds_bootstrap(spark, d):
+    return bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=200, confidence=0.95, seed=42)
+
+
+@register("bounds_bootstrap_median", bootstrap_sql(BOOT_SRC, "value", "event_id", 200, 0.95, 43, stat="median(x)"))
+def bounds_bootstrap_median(spark, d):
+    # A user estimator (any aggregate Column function)
+    return bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=200, confidence=0.95, seed=43,
+                                   estimator=F.median)
+
+
+LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LI_STRAT = stratified_sample_sql("SELECT * FROM lineitem", "l_returnflag", LI_KEY, 600, 42)
+
+
+def stratified_bounds_sql(method: str, conf: float) -> str:
+    crit = repr(z_value(conf)) if method == "normal" else t_quantile_sql(conf, "(min_nh - 1)")
+    per = moments_sql(LI_STRAT, "l_extendedprice", ["l_returnflag"])
+    return (
+        f"WITH per AS {per}, sizes AS (SELECT l_returnflag, count(*)::DOUBLE AS Nh, sum(count(*)) OVER ()::DOUBLE AS Ntot FROM lineitem GROUP BY l_returnflag), "
+        "j AS (SELECT * FROM per JOIN sizes USING (l_returnflag)), "
+        "a AS (SELECT sum(Nh / Ntot * mean) AS est, sum((Nh / Ntot) * (Nh / Ntot) * coalesce(sd * sd, 0.0) / n) AS v, sum(n) AS n, "
+        "any_value(Ntot)::BIGINT AS NN, min(n) AS min_nh, sum(CASE WHEN n < 2 THEN 1 ELSE 0 END)::BIGINT AS strata_without_variance FROM j), "
+        f"b AS (SELECT *, {crit} * sqrt(v * greatest(NN - n, 0) / (CASE WHEN NN - 1 > 0 THEN NN - 1 END)) AS margin FROM a) "
+        + finish_sql("b", [], "est", "est - margin", "est + margin", conf, f"stratified_{method}", bounds.DISTRIBUTION[method], "NN",
+                     extra=", strata_without_variance")
+    )
+
+
+def _li_stratified(spark, d, method):
+    li = table(spark, d, "lineitem")
+    smp = samplers.stratified(li, 600, "l_returnflag", LI_KEY, 42)
+    return bounds.stratified_bounds(smp, "l_extendedprice", "l_returnflag", strata_sizes(li, "l_returnflag"), method, 0.95)
+
+
+@register("bounds_stratified", stratified_bounds_sql("normal", 0.95))
+def bounds_stratified(spark, d):
+    return _li_stratified(spark, d, "normal")
+
+
+@register("bounds_stratified_t", stratified_bounds_sql("student_t", 0.95))
+def bounds_stratified_t(spark, d):
+    return _li_stratified(spark, d, "student_t")
+
+
+def order_stat_sql(src: str, value: str, conf: float) -> str:
+    alpha = (1 - conf) / 2
+    return (
+        f"WITH c AS (SELECT x FROM (SELECT try_cast({value} AS DOUBLE) AS x FROM ({src})) WHERE {FINITE}), "
+        "r AS (SELECT x, row_number() OVER (ORDER BY x) - 1 AS i, count(*) OVER () AS cnt, avg(x) OVER () AS m FROM c), "
+        f"a AS (SELECT count(*) AS n, any_value(m) AS m, max(CASE WHEN i = floor(cnt * {alpha!r}) THEN x END) AS lo, "
+        f"max(CASE WHEN i = least(ceil(cnt * {1 - alpha!r}), cnt - 1) THEN x END) AS hi FROM r) "
+        + finish_sql("a", [], "m", "lo", "hi", conf, "non_parametric", "NON_PARAMETRIC")
+    )
+
+
+@register("bounds_non_parametric", order_stat_sql(SRS, "value", 0.95))
+def bounds_non_parametric(spark, d):
+    return bounds.order_statistic_bounds(_events_srs(spark, d), "value", 0.95)
+
+
+def design_sql(src: str, value: str, design: str, conf: float, N: str) -> str:
+    z = repr(z_value(conf))
+    if design == "cluster":
+        margin, dist = f"{z} * sqrt(sd * sd * {bounds.CLUSTER_DESIGN_EFFECT} / n)", "NORMAL"
+    elif design == "systematic":
+        margin, dist = f"{z} * sqrt(sd * sd * {bounds.SYSTEMATIC_VARIANCE_FACTOR} * {fpc_sql(N)} / n)", "NORMAL"
+    else:
+        margin, dist = f"{t_quantile_sql(conf, '(n - 1)')} * sd / sqrt(n) * {fpc_sql(N)}", "STUDENT_T"
+    return finish_sql(moments_sql(src, value), [], "mean", f"mean - {margin}", f"mean + {margin}", conf, design, dist, N)
+
+
+CLUSTER_SRC = (
+    f"SELECT * FROM events WHERE user_id IN (SELECT user_id FROM ({bottom_k_sql('SELECT DISTINCT user_id FROM events', 'user_id', 10, 42, 'user_id')}))"
+)
+
+
+@register("bounds_cluster", design_sql(CLUSTER_SRC, "value", "cluster", 0.95, N_EVENTS))
+def bounds_cluster(spark, d):
+    ev = table(spark, d, "events")
+    return bounds.design_bounds(samplers.cluster(ev, 10, "user_id", 42), "value", "cluster", 0.95, population=ev.count())
+
+
+SYS_SRC = (
+    "WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS rnk FROM orders), "
+    "n AS (SELECT count(*) AS N, ('0x' || substr(md5('42:start'), 1, 8))::BIGINT % count(*) AS r0 FROM orders), "
+    "t AS (SELECT floor((r0 + j * N) / 600)::BIGINT AS rnk FROM n, range(600) AS g(j)) "
+    "SELECT o_orderkey, o_totalprice FROM r JOIN t USING (rnk)"
+)
+
+
+@register("bounds_systematic", design_sql(SYS_SRC, "o_totalprice", "systematic", 0.95, "(SELECT count(*) FROM orders)"))
+def bounds_systematic(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    smp = samplers.systematic(orders, 600, "o_orderkey", 42, buckets=16)
+    return bounds.design_bounds(smp, "o_totalprice", "systematic", 0.95, population=orders.count())
+
+
+@register("bounds_reservoir", design_sql(bottom_k_sql("SELECT * FROM events", "event_id", 1000, 11), "value", "reservoir", 0.99, N_EVENTS))
+def bounds_reservoir(spark, d):
+    ev = table(spark, d, "events")
+    smp = samplers.reservoir(ev, 1000, "event_id", 11)
+    return bounds.design_bounds(smp, "value", "reservoir", 0.99, population=ev.count())
+
+
+SPECIAL_X = (
+    "CASE event_type WHEN 'error' THEN 'NaN' WHEN 'signup' THEN 'Infinity' ELSE CAST(value AS {s}) END"
+)
+DEGEN_SRC = (
+    f"SELECT event_type, {SPECIAL_X.format(s='VARCHAR')} AS raw FROM (SELECT event_id, event_type, value, row_number() OVER "
+    f"(PARTITION BY event_type ORDER BY md5('9:' || CAST(event_id AS VARCHAR)), CAST(event_id AS VARCHAR)) AS rn FROM events) WHERE rn <= 1"
+)
+
+
+@register("bounds_degenerate", mean_bounds_sql(DEGEN_SRC, "raw", "student_t", 0.95, by=["event_type"]))
+def bounds_degenerate(spark, d):
+    # one row per stratum (bottom-1 reservoir); NaN / Inf strata have no finite value
+    ev = table(spark, d, "events").select("event_id", "event_type", "value")
+    one = samplers.reservoir(ev, 1, "event_id", 9, strata="event_type")
+    raw = one.select("event_type", F.expr(SPECIAL_X.format(s="STRING")).alias("raw"))
+    return bounds.mean_bounds(raw, "raw", "student_t", 0.95, by="event_type")
+
+
+ZERO_SRC = f"SELECT event_type, CASE WHEN event_type = 'purchase' THEN 0.0 ELSE value END AS x0 FROM ({SRS})"
+
+
+@register("bounds_derived", mean_bounds_sql(ZERO_SRC, "x0", "normal", 0.95, by=["event_type"]))
+def bounds_derived(spark, d):
+    # margin_of_error and relative_error (infinite when the estimate is 0)
+    smp = _events_srs(spark, d).select("event_type", F.when(F.col("event_type") == "purchase", F.lit(0.0)).otherwise(F.col("value")).alias("x0"))
+    return bounds.mean_bounds(smp, "x0", "normal", 0.95, by="event_type")
+
+
+EV_STRAT = stratified_sample_sql("SELECT * FROM events", "event_type", "event_id", 1000, 42)
+
+
+@register("bounds_by_group", mean_bounds_sql(EV_STRAT, "value", "student_t", 0.95, N="pop_n", by=["event_type", "pop_n"]))
+def bounds_by_group(spark, d):
+    # one bounds row per group, each with its own population size
+    smp = samplers.stratified(table(spark, d, "events"), 1000, "event_type", "event_id", 42)
+    return bounds.mean_bounds(smp, "value", "student_t", 0.95, population="pop_n", by=["event_type", "pop_n"])
+
+
+@register(
+    "bounds_validate",
+    "SELECT *, (confidence_level > 0 AND confidence_level < 1 AND sample_size >= 0 AND (population_size IS NULL OR population_size >= sample_size) "
+    "AND lower_bound <= estimate AND estimate <= upper_bound) AS valid FROM ("
+    + f"SELECT * FROM ({order_stat_sql(SRS, 'value', 0.95)}) UNION ALL SELECT * FROM ({mean_bounds_sql(SRS, 'value', 'normal', 0.95, N_EVENTS)})"
+    + ")",
+)
+def bounds_validate(spark, d):
+    ev = table(spark, d, "events")
+    N = ev.count()
+    smp = samplers.simple_random(ev, 1000, "event_id", 42, total=N)
+    rows = bounds.order_statistic_bounds(smp, "value", 0.95).unionByName(bounds.mean_bounds(smp, "value", "normal", 0.95, population=N))
+    return bounds.validate_rows(rows)

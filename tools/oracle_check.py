@@ -27,6 +27,8 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NaN"
+        if math.isinf(v):
+            return "inf" if v > 0 else "-inf"
         if v == int(v) and abs(v) < 1e15:
             return repr(float(v))
         return repr(v)
