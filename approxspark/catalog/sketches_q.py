@@ -1 +1,157 @@
-"""Registered queries."""
+"""Sketch and synopsis queries (D1-D4, D6-D8, D19, D20, C13 via profile).
+
+HLL estimates are not portable between engines, so their queries return the exact value and a
+boolean "estimate within 5%" (the oracle: exact value and TRUE). Count-Min tables are
+deterministic (md5 buckets) and checked by value.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import sketches, synopsis
+from ..sources.tables import SALES_SQL, sales, table
+from . import register
+
+TOL = 0.05
+
+
+def _within(est, exact):
+    return (F.abs(est - exact) <= F.lit(TOL) * exact).alias("within_tolerance")
+
+
+@register(
+    "approx_distinct",
+    f"SELECT count(DISTINCT user_id)::BIGINT AS exact_distinct, true AS within_tolerance FROM {SALES_SQL}",
+)
+def approx_distinct(spark, d):
+    s = sales(spark, d)
+    r = s.agg(
+        F.count_distinct("user_id").cast("long").alias("exact_distinct"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("user_id", sketches.HLL_LG_K)).alias("est"),
+    )
+    return r.select("exact_distinct", _within(F.col("est"), F.col("exact_distinct")))
+
+
+@register(
+    "approx_distinct_by_group",
+    "SELECT event_type, count(DISTINCT user_id)::BIGINT AS exact_distinct, true AS within_tolerance FROM events GROUP BY event_type",
+)
+def approx_distinct_by_group(spark, d):
+    ev = table(spark, d, "events")
+    r = ev.groupBy("event_type").agg(
+        F.count_distinct("user_id").cast("long").alias("exact_distinct"),
+        F.hll_sketch_estimate(F.hll_sketch_agg("user_id", sketches.HLL_LG_K)).alias("est"),
+    )
+    return r.select("event_type", "exact_distinct", _within(F.col("est"), F.col("exact_distinct")))
+
+
+@register(
+    "hll_union_parts",
+    "SELECT count(DISTINCT l_partkey)::BIGINT AS exact_distinct, count(DISTINCT l_returnflag || l_linestatus)::BIGINT AS parts, "
+    "true AS within_tolerance FROM lineitem",
+)
+def hll_union_parts(spark, d):
+    # One sketch per part (here: per return flag / line status batch), merged by union
+    li = table(spark, d, "lineitem").withColumn("part", F.concat("l_returnflag", "l_linestatus"))
+    parts = sketches.hll_sketches(li, "l_partkey", "part")
+    merged = parts.agg(
+        F.count(F.lit(1)).alias("parts"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("approx_distinct")
+    ).first()
+    exact = li.agg(F.count_distinct("l_partkey").cast("long").alias("exact_distinct"))
+    return exact.select(
+        "exact_distinct", F.lit(merged["parts"]).cast("long").alias("parts"), _within(F.lit(merged["approx_distinct"]), F.col("exact_distinct"))
+    )
+
+
+def cms_sql(src: str, key: str, width: int = sketches.CMS_WIDTH, depth: int = sketches.CMS_DEPTH) -> str:
+    return (
+        f"SELECT r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % {width})::INTEGER AS bucket, "
+        f"count(*)::BIGINT AS cnt FROM ({src}), range({depth}) AS g(r) GROUP BY 1, 2"
+    )
+
+
+@register("cms_build", cms_sql("SELECT user_id FROM events", "user_id"))
+def cms_build(spark, d):
+    return sketches.cms_build(table(spark, d, "events"), "user_id").select(F.col("depth_row").cast("long").alias("depth_row"), "bucket", "cnt")
+
+
+@register(
+    "cms_point_estimate",
+    f"WITH cms AS ({cms_sql('SELECT user_id FROM events', 'user_id')}), "
+    "keys AS (SELECT user_id, count(*)::BIGINT AS exact FROM events GROUP BY user_id), "
+    "probe AS (SELECT user_id, exact, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 2000)::INTEGER AS bucket "
+    "FROM keys, range(5) AS g(r)) "
+    "SELECT user_id, min(cnt)::BIGINT AS estimate, any_value(exact) AS exact, min(cnt) >= any_value(exact) AS never_below "
+    "FROM probe JOIN cms USING (depth_row, bucket) GROUP BY user_id",
+)
+def cms_point_estimate(spark, d):
+    ev = table(spark, d, "events")
+    cms = sketches.cms_build(ev, "user_id")
+    est = sketches.cms_estimate(ev, "user_id", cms)
+    exact = ev.groupBy("user_id").agg(F.count(F.lit(1)).cast("long").alias("exact"))
+    return est.join(exact, "user_id").select("user_id", "estimate", "exact", (F.col("estimate") >= F.col("exact")).alias("never_below"))
+
+
+@register(
+    "cms_group_counts",
+    f"WITH cms AS ({cms_sql(f'SELECT category FROM {SALES_SQL}', 'category')}), "
+    f"keys AS (SELECT DISTINCT category FROM {SALES_SQL}), "
+    "probe AS (SELECT category, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || category), 1, 8))::BIGINT % 2000)::INTEGER AS bucket "
+    "FROM keys, range(5) AS g(r)) "
+    "SELECT category, min(cnt)::BIGINT AS count FROM probe JOIN cms USING (depth_row, bucket) GROUP BY category",
+)
+def cms_group_counts(spark, d):
+    # Grouped COUNT(*) answered by Count-Min lookups of the group keys
+    s = sales(spark, d)
+    cms = sketches.cms_build(s, "category")
+    return sketches.cms_estimate(s, "category", cms, alias="count")
+
+
+PROFILE_NUMERIC = ["value", "user_id"]
+
+
+def _profile_oracle() -> str:
+    rows = "SELECT '*' AS \"column\", 'rows' AS kind, NULL::VARCHAR AS value, count(*)::BIGINT AS count, NULL::DOUBLE AS mean, NULL::DOUBLE AS std, NULL::DOUBLE AS min, NULL::DOUBLE AS max, NULL::DOUBLE AS sum FROM events"
+    nums = [
+        f"SELECT '{c}', 'numeric', NULL, count({c})::BIGINT, round(avg({c}::DOUBLE), 4), round(stddev_samp({c}::DOUBLE), 4), "
+        f"min({c})::DOUBLE, max({c})::DOUBLE, round(sum({c}::DOUBLE), 4) FROM events"
+        for c in PROFILE_NUMERIC
+    ]
+    freq = "SELECT 'event_type', 'frequency', event_type, count(*)::BIGINT, NULL, NULL, NULL, NULL, NULL FROM events GROUP BY event_type"
+    return " UNION ALL ".join([rows, *nums, freq])
+
+
+@register("build_profile", _profile_oracle())
+def build_profile(spark, d):
+    ev = table(spark, d, "events").select("value", "user_id", "event_type")
+    path = synopsis.build_profile(ev, "profile_events")
+    return spark.read.parquet(path)
+
+
+@register("approx_count_from_profile", "SELECT count(*)::BIGINT AS count, true AS approx, 0.0 AS ci FROM events")
+def approx_count_from_profile(spark, d):
+    path = synopsis.build_profile(table(spark, d, "events").select("event_type"), "profile_rows")
+    return synopsis.count_from_profile(spark, path)
+
+
+SKETCH_COLS = ["user_id", "event_type", "value"]
+
+
+@register(
+    "build_sketches",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(DISTINCT CAST({c} AS VARCHAR))::BIGINT AS exact_distinct, true AS within_tolerance FROM events"
+        for c in SKETCH_COLS
+    ),
+)
+def build_sketches(spark, d):
+    # Synopses written once; the check reads the HLL table back and compares with exact counts
+    ev = table(spark, d, "events").select("event_id", *SKETCH_COLS)
+    paths = synopsis.build_sketches(ev, "event_id", SKETCH_COLS, sample_size=1000)
+    hll = spark.read.parquet(paths["hll"]).select("column", F.hll_sketch_estimate("sketch").alias("est"))
+    exact_row = ev.agg(*[F.count_distinct(F.col(c).cast("string")).cast("long").alias(c) for c in SKETCH_COLS])
+    exact = exact_row.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact_distinct")) for c in SKETCH_COLS])).alias("e")
+    ).select("e.column", "e.exact_distinct")
+    return exact.join(hll, "column").select("column", "exact_distinct", _within(F.col("est"), F.col("exact_distinct")))

@@ -125,8 +125,12 @@ def approx_agg(
         }
     )
     sketches = distinct_sketch(df, aggs, by)
-    if sketches is not None:
-        res = res.join(sketches, by, "left") if by else res.join(sketches)
+    if sketches is not None and by:
+        res = res.join(sketches, by, "left")
+    elif sketches is not None:
+        # ungrouped: the sketch estimates are scalars
+        est = sketches.first().asDict()
+        res = res.withColumns({name: F.lit(v).cast("long") for name, v in est.items()})
     cols = by + [a for _k, _c, a in aggs] + ["approx", "ci", "sample_size", "total_size"]
     return res.select(*cols)
 
