@@ -121,12 +121,13 @@ LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 LI_STRAT = stratified_sample_sql("SELECT * FROM lineitem", "l_returnflag", LI_KEY, 600, 42)
 
 
-def stratified_bounds_sql(method: str, conf: float) -> str:
+def stratified_bounds_sql(method: str, conf: float, sample_sql: str = LI_STRAT, value: str = "l_extendedprice",
+                          strata: str = "l_returnflag", population: str = "lineitem") -> str:
     crit = repr(z_value(conf)) if method == "normal" else t_quantile_sql(conf, "(min_nh - 1)")
-    per = moments_sql(LI_STRAT, "l_extendedprice", ["l_returnflag"])
+    per = moments_sql(sample_sql, value, [strata])
     return (
-        f"WITH per AS {per}, sizes AS (SELECT l_returnflag, count(*)::DOUBLE AS Nh, sum(count(*)) OVER ()::DOUBLE AS Ntot FROM lineitem GROUP BY l_returnflag), "
-        "j AS (SELECT * FROM per JOIN sizes USING (l_returnflag)), "
+        f"WITH per AS {per}, sizes AS (SELECT {strata}, count(*)::DOUBLE AS Nh, sum(count(*)) OVER ()::DOUBLE AS Ntot FROM {population} GROUP BY {strata}), "
+        f"j AS (SELECT * FROM per JOIN sizes USING ({strata})), "
         "a AS (SELECT sum(Nh / Ntot * mean) AS est, sum((Nh / Ntot) * (Nh / Ntot) * coalesce(sd * sd, 0.0) / n) AS v, sum(n) AS n, "
         "any_value(Ntot)::BIGINT AS NN, min(n) AS min_nh, sum(CASE WHEN n < 2 THEN 1 ELSE 0 END)::BIGINT AS strata_without_variance FROM j), "
         f"b AS (SELECT *, {crit} * sqrt(v * greatest(NN - n, 0) / (CASE WHEN NN - 1 > 0 THEN NN - 1 END)) AS margin FROM a) "
