@@ -1 +1,112 @@
-"""Registered queries."""
+"""Streaming queries (A2, G1-G6): each runs a Structured Streaming job over a copy of the table
+split into several files (one micro-batch per file, availableNow trigger) and returns the final
+state, which must equal the batch answer."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import sketches
+from ..sources.tables import table
+from ..streaming import synopses
+from .sampling_q import bottom_k_sql
+from .sketches_q import cms_sql
+from . import register
+
+PARTS = 4
+
+
+def _events_stream(spark, d, name, columns=None):
+    ev = table(spark, d, "events")
+    if columns:
+        ev = ev.select(*columns)
+    path = synopses.stage_batches(ev, name, PARTS, order_by="event_id")
+    return synopses.stream_source(spark, path, ev.schema), ev
+
+
+@register(
+    "stream_append_count",
+    "SELECT count(*)::BIGINT AS count, round(sum(value), 2) AS total, round(avg(value), 4) AS mean, true AS multi_batch FROM events",
+)
+def stream_append_count(spark, d):
+    stream, _ = _events_stream(spark, d, "stream-count", ["event_id", "value"])
+    aggs = [F.count(F.lit(1)).cast("long").alias("count"), F.sum("value").alias("total"), F.avg("value").alias("mean")]
+    final, versions = synopses.run_versioned(synopses.running_aggregates(stream, aggs), "complete", "stream-count-out")
+    return final.select("count", F.round("total", 2).alias("total"), F.round("mean", 4).alias("mean"),
+                        F.lit(len(versions) >= 3).alias("multi_batch"))
+
+
+@register(
+    "stream_group_agg",
+    "SELECT event_type, count(*)::BIGINT AS count, round(sum(value), 2) AS total, round(avg(value), 4) AS mean FROM events GROUP BY event_type",
+)
+def stream_group_agg(spark, d):
+    stream, _ = _events_stream(spark, d, "stream-group", ["event_id", "event_type", "value"])
+    aggs = [F.count(F.lit(1)).cast("long").alias("count"), F.sum("value").alias("total"), F.avg("value").alias("mean")]
+    final, _ = synopses.run_versioned(synopses.running_aggregates(stream, aggs, "event_type"), "complete", "stream-group-out")
+    return final.select("event_type", "count", F.round("total", 2).alias("total"), F.round("mean", 4).alias("mean"))
+
+
+@register(
+    "stream_hll",
+    "SELECT count(DISTINCT user_id)::BIGINT AS exact_distinct, true AS within_tolerance, true AS never_decreases FROM events",
+)
+def stream_hll(spark, d):
+    # The running estimate must track the exact count and grow with new users
+    stream, ev = _events_stream(spark, d, "stream-hll", ["event_id", "user_id"])
+    final, versions = synopses.run_versioned(synopses.running_hll(stream, "user_id"), "complete", "stream-hll-out")
+    history = [spark.read.parquet(p).select("approx_distinct").first()[0] for p in versions]
+    grows = all(b >= a for a, b in zip(history, history[1:]))
+    exact = ev.agg(F.count_distinct("user_id").cast("long").alias("exact_distinct"))
+    est = final.select("approx_distinct").first()[0]
+    return exact.select(
+        "exact_distinct",
+        (F.abs(F.lit(est) - F.col("exact_distinct")) <= F.lit(0.05) * F.col("exact_distinct")).alias("within_tolerance"),
+        F.lit(grows).alias("never_decreases"),
+    )
+
+
+@register("stream_cms", cms_sql("SELECT user_id FROM events", "user_id"))
+def stream_cms(spark, d):
+    stream, _ = _events_stream(spark, d, "stream-cms", ["event_id", "user_id"])
+    final, _ = synopses.run_versioned(synopses.running_cms(stream, "user_id"), "complete", "stream-cms-out")
+    return final.select(F.col("depth_row").cast("long").alias("depth_row"), "bucket", "cnt")
+
+
+@register("stream_reservoir", bottom_k_sql("SELECT * FROM events", "event_id", 500, 11, "event_id, value"))
+def stream_reservoir(spark, d):
+    stream, _ = _events_stream(spark, d, "stream-res", ["event_id", "value"])
+    paths = synopses.reservoir_stream(stream, 500, "event_id", 11, "stream-res-out")
+    return spark.read.parquet(paths["reservoir"]).select("event_id", "value")
+
+
+STRAT_RES_SQL = (
+    "SELECT event_id, event_type FROM (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type "
+    "ORDER BY md5('11:' || CAST(event_id AS VARCHAR)), CAST(event_id AS VARCHAR)) AS rn FROM events) WHERE rn <= 40"
+)
+
+
+@register("stream_reservoir_stratified", STRAT_RES_SQL)
+def stream_reservoir_stratified(spark, d):
+    stream, _ = _events_stream(spark, d, "stream-sres", ["event_id", "event_type"])
+    paths = synopses.reservoir_stream(stream, 40, "event_id", 11, "stream-sres-out", strata="event_type")
+    return spark.read.parquet(paths["reservoir"]).select("event_id", "event_type")
+
+
+@register(
+    "stream_then_query",
+    "WITH r AS (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY md5('11:' || CAST(event_id AS VARCHAR)), "
+    "CAST(event_id AS VARCHAR)) AS rn FROM events), smp AS (SELECT event_type, round(avg(value), 4) AS approx_avg, count(*)::BIGINT AS sample_size "
+    "FROM r WHERE rn <= 40 GROUP BY event_type), c AS (SELECT event_type, count(*)::BIGINT AS count FROM events GROUP BY event_type) "
+    "SELECT * FROM c JOIN smp USING (event_type)",
+)
+def stream_then_query(spark, d):
+    # After the stream, answer from the maintained state: exact running counts per type and
+    # the average from the per-type reservoir
+    stream, _ = _events_stream(spark, d, "stream-tq", ["event_id", "event_type", "value"])
+    paths = synopses.reservoir_stream(stream, 40, "event_id", 11, "stream-tq-out", strata="event_type", counts=True)
+    res = spark.read.parquet(paths["reservoir"]).groupBy("event_type").agg(
+        F.round(F.avg("value"), 4).alias("approx_avg"), F.count(F.lit(1)).cast("long").alias("sample_size")
+    )
+    counts = spark.read.parquet(paths["counts"]).select("event_type", F.col("rows").alias("count"))
+    return counts.join(res, "event_type")
