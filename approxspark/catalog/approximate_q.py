@@ -33,16 +33,15 @@ def approx_group_sql(src: str, by: str, key: str, aggs_sql: str, accuracy: float
 
 
 FLAGSHIP_AGGS_SQL = (
-    "round(sum(sampling_weight), 6)::BIGINT AS count, round(sum(sampling_weight * price) / sum(sampling_weight), 4) AS avg_price, "
-    "round(sum(sampling_weight * price), 2) AS sum_price"
+    "any_value(pop_n)::BIGINT AS count, round(avg(price), 4) AS avg_price, "
+    "round(sum(price), 4) * any_value(pop_n) / any_value(take_n) AS sum_price"
 )
 
 
 def flagship(spark, d):
     """The reference's "Complex" query, approximately: category, COUNT(*), AVG(price), SUM(price)
     FROM sales GROUP BY category WITH ACCURACY 95% WITHIN 95% CONFIDENCE."""
-    res = approximate.approx_agg(sales(spark, d), FLAGSHIP_AGGS, by="category", accuracy=95, confidence=95, key="id", seed=42)
-    return res.withColumn("sum_price", F.round("sum_price", 2))
+    return approximate.approx_agg(sales(spark, d), FLAGSHIP_AGGS, by="category", accuracy=95, confidence=95, key="id", seed=42)
 
 
 register("flagship_approx_agg", approx_group_sql(f"SELECT * FROM {SALES_SQL}", "category", "id", FLAGSHIP_AGGS_SQL))(flagship)
@@ -57,7 +56,7 @@ SALES_SRC = f"SELECT * FROM {SALES_SQL}"
 
 register(
     "approx_group_by",
-    approx_group_sql(SALES_SRC, "category", "id", "round(sum(sampling_weight), 6)::BIGINT AS count"),
+    approx_group_sql(SALES_SRC, "category", "id", "any_value(pop_n)::BIGINT AS count"),
 )(lambda spark, d: approximate.approx_agg(sales(spark, d), [("count", None, "count")], by="category", key="id"))
 
 LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
@@ -69,9 +68,8 @@ LI_AGGS = [
     ("max", "l_tax", "max_tax"),
 ]
 LI_AGGS_SQL = (
-    "round(sum(sampling_weight), 6)::BIGINT AS count, round(sum(sampling_weight * l_quantity), 2) AS sum_qty, "
-    "round(sum(sampling_weight * l_extendedprice) / sum(sampling_weight), 4) AS avg_price, min(l_discount) AS min_discount, "
-    "max(l_tax) AS max_tax"
+    "any_value(pop_n)::BIGINT AS count, round(sum(l_quantity), 4) * any_value(pop_n) / any_value(take_n) AS sum_qty, "
+    "round(avg(l_extendedprice), 4) AS avg_price, min(l_discount) AS min_discount, max(l_tax) AS max_tax"
 )
 
 
@@ -80,18 +78,16 @@ LI_AGGS_SQL = (
     approx_group_sql("SELECT * FROM lineitem", "l_returnflag", LI_KEY, LI_AGGS_SQL, accuracy=97, confidence=99, seed=3),
 )
 def approx_group_by_complex(spark, d):
-    res = approximate.approx_agg(table(spark, d, "lineitem"), LI_AGGS, by="l_returnflag", accuracy=97, confidence=99, key=LI_KEY, seed=3)
-    return res.withColumn("sum_qty", F.round("sum_qty", 2))
+    return approximate.approx_agg(table(spark, d, "lineitem"), LI_AGGS, by="l_returnflag", accuracy=97, confidence=99, key=LI_KEY, seed=3)
 
 
 SRS_1000 = bottom_k_sql(SALES_SRC, "id", 1000, 42)
 N_SALES = f"(SELECT count(*) FROM {SALES_SQL})"
 
 
-@register("sampled_sum", f"SELECT round(sum(price) * {N_SALES} / 1000, 2) AS sum_price FROM ({SRS_1000})")
+@register("sampled_sum", f"SELECT round(sum(price), 4) * {N_SALES} / 1000 AS sum_price FROM ({SRS_1000})")
 def sampled_sum(spark, d):
-    r = approximate.sampled_scalar(sales(spark, d), [("sum", "price", "sum_price")], 1000, "id", 42)
-    return r.select(F.round("sum_price", 2).alias("sum_price"))
+    return approximate.sampled_scalar(sales(spark, d), [("sum", "price", "sum_price")], 1000, "id", 42)
 
 
 @register(
@@ -195,12 +191,11 @@ SALES_K_SQL = f"(SELECT {accuracy_size_sql(95, 'count(*)')} FROM {SALES_SQL})"
 @register(
     "approx_result_envelope",
     f"WITH smp AS ({bottom_k_sql(SALES_SRC, 'id', SALES_K_SQL, 42)}) "
-    f"SELECT round(sum(price) * {N_SALES} / count(*), 2) AS sum_price, round(avg(price), 4) AS avg_price, true AS approx, "
+    f"SELECT round(sum(price), 4) * {N_SALES} / count(*) AS sum_price, round(avg(price), 4) AS avg_price, true AS approx, "
     f"round(1.96 / sqrt(count(*)), 6) AS ci, count(*)::BIGINT AS sample_size, {N_SALES}::BIGINT AS total_size FROM smp",
 )
 def approx_result_envelope(spark, d):
-    res = approximate.approx_agg(sales(spark, d), [("sum", "price", "sum_price"), ("avg", "price", "avg_price")], key="id")
-    return res.withColumn("sum_price", F.round("sum_price", 2))
+    return approximate.approx_agg(sales(spark, d), [("sum", "price", "sum_price"), ("avg", "price", "avg_price")], key="id")
 
 
 FALLBACK_SRC = f"SELECT * FROM {SALES_SQL} WHERE category = 'BUILDING'"

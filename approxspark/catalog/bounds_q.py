@@ -263,3 +263,15 @@ def bounds_validate(spark, d):
     smp = samplers.simple_random(ev, 1000, "event_id", 42, total=N)
     rows = bounds.order_statistic_bounds(smp, "value", 0.95).unionByName(bounds.mean_bounds(smp, "value", "normal", 0.95, population=N))
     return bounds.validate_rows(rows)
+
+
+@register(
+    "sample_data_facade",
+    f"SELECT 'simple' AS sampler, * FROM ({mean_bounds_sql(bottom_k_sql('SELECT * FROM events', 'event_id', 800, 5), 'value', 'student_t', 0.99, N_EVENTS)})",
+)
+def sample_data_facade(spark, d):
+    # One call -> (sample, bounds)
+    from ..api import sample_data
+
+    _smp, b = sample_data(table(spark, d, "events"), 800, "simple", "value", "event_id", 0.99, "student_t", seed=5)
+    return b.select(F.lit("simple").alias("sampler"), "*")

@@ -22,7 +22,7 @@ SRS_SALES = bottom_k_sql(SALES_SRC, "id", 1000, 42)
 @register(
     "error_scalar",
     f"WITH e AS (SELECT sum(price) AS ex, count(*) AS n FROM {SALES_SQL}), a AS (SELECT sum(price) AS s FROM ({SRS_SALES})) "
-    "SELECT round(ex, 2) AS exact_sum, round(s * n / 1000, 2) AS approx_sum, round(abs(ex - s * n / 1000) / ex * 100, 4) AS error_pct FROM e, a",
+    "SELECT round(ex, 2) AS exact_sum, round(s, 4) * n / 1000 AS approx_sum, round(abs(ex - round(s, 4) * n / 1000) / ex * 100, 4) AS error_pct FROM e, a",
 )
 def error_scalar(spark, d):
     s = sales(spark, d)
@@ -30,7 +30,7 @@ def error_scalar(spark, d):
     ex = s.agg(F.sum("price").alias("ex"))
     # the sampled total is a scalar; the exact one is computed over the whole table
     return ex.select(
-        F.round("ex", 2).alias("exact_sum"), F.round(F.lit(approx), 2).alias("approx_sum"),
+        F.round("ex", 2).alias("exact_sum"), F.lit(approx).alias("approx_sum"),
         F.round(evaluate.error_pct(F.col("ex"), F.lit(approx)), 4).alias("error_pct"),
     )
 

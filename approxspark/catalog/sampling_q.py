@@ -236,3 +236,4 @@ def union_samples(spark, d):
     first = samplers.reservoir(ev.where(F.col("ts") < mid), 400, "event_id", 3)
     second = samplers.reservoir(ev.where(F.col("ts") >= mid), 400, "event_id", 3)
     return samplers.reservoir(first.unionByName(second), 400, "event_id", 3).select("event_id")
+

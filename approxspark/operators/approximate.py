@@ -3,8 +3,9 @@
 Each aggregate is a tuple ``(kind, column, alias)``, kind one of
 ``count`` (COUNT(*)), ``count_col``, ``count_distinct``, ``sum``, ``avg``, ``min``, ``max``.
 
-Estimators use the row weight w = pop_n / take_n of the sample (``sampling_weight``):
-COUNT = sum w (rounded, integer), SUM = sum w x, AVG = sum w x / sum w, MIN / MAX of the sample.
+Estimators use the weight pop_n / take_n of each stratum (``sampling_weight``); the output groups
+are the strata, so COUNT = pop_n, SUM = sum x * pop_n / take_n, AVG = the stratum's sample mean,
+MIN / MAX of the sample (see ``weighted_exprs``).
 DISTINCT counts never come from the sample (biased); they are HLL sketches over the whole
 filtered table, joined on the group keys.
 """
@@ -32,19 +33,24 @@ def _check(aggs):
             raise ValueError(f"unknown aggregate: {kind}")
 
 
-def weighted_exprs(aggs, weight: str = "sampling_weight", digits: int = 4) -> list[Column]:
-    """Scaled aggregate expressions over a weighted sample."""
-    w = F.col(weight)
+def weighted_exprs(aggs, pop: Column, take: Column, digits: int = 4) -> list[Column]:
+    """Scaled aggregates over a sample whose weight pop / take is constant within each output group
+    (the groups are the strata, or the whole table for a simple random sample).
+
+    COUNT = pop exactly; SUM = round(sum x, digits) x pop / take (the rounded sum removes
+    summation-order noise, the product is a single IEEE operation, so results are reproducible
+    across engines and runs); AVG = the sample mean; MIN / MAX of the sample.
+    """
     out = []
     for kind, col, alias in aggs:
         if kind == "count":
-            e = F.round(F.sum(w), 6).cast("long")
+            e = pop.cast("long")
         elif kind == "count_col":
-            e = F.round(F.sum(F.when(F.col(col).isNotNull(), w)), 6).cast("long")
+            e = F.floor(F.round(F.count(col) * pop / take, 6)).cast("long")
         elif kind == "sum":
-            e = F.round(F.sum(w * F.col(col)), digits)
+            e = F.round(F.sum(col), digits) * pop / take
         elif kind == "avg":
-            e = F.round(F.sum(w * F.col(col)) / F.sum(F.when(F.col(col).isNotNull(), w)), digits)
+            e = F.round(F.avg(col), digits)
         elif kind == "min":
             e = F.min(col)
         elif kind == "max":
@@ -115,7 +121,11 @@ def approx_agg(
         sizes.unpersist()
     else:
         sample = samplers.simple_random(df, n, key, seed, total=N)
-    exprs = weighted_exprs(aggs) + [F.count(F.lit(1)).cast("long").alias("sample_size")]
+    if by:
+        pop, take = F.max("pop_n"), F.max("take_n")
+    else:
+        pop, take = F.lit(N).cast("long"), F.lit(min(n, N)).cast("long")
+    exprs = weighted_exprs(aggs, pop, take) + [F.count(F.lit(1)).cast("long").alias("sample_size")]
     res = sample.groupBy(*by).agg(*exprs) if by else sample.agg(*exprs)
     res = res.withColumns(
         {
@@ -148,7 +158,7 @@ def sampled_scalar(df: DataFrame, aggs, k: int, key, seed: int = 42) -> DataFram
         if kind == "count":
             out.append(F.floor(F.count(F.lit(1)) * F.lit(N) / F.lit(n)).cast("long").alias(alias))
         elif kind == "sum":
-            out.append(F.round(F.sum(col) * F.lit(N) / F.lit(n), 4).alias(alias))
+            out.append((F.round(F.sum(col), 4) * F.lit(N) / F.lit(n)).alias(alias))
         elif kind == "avg":
             out.append(F.round(F.avg(col), 4).alias(alias))
         elif kind in ("min", "max"):

@@ -225,3 +225,19 @@ def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[
         out.unpersist()
         factor *= 4.0
     return out.drop(PRIO, "_rn")
+
+
+def sized(df: DataFrame, key: str | Sequence[str], size: int | None = None, error_margin: float | None = None,
+          confidence: float = 0.95, seed: int = 42) -> DataFrame:
+    """Simple random sample of ``size`` rows, or sized from an error margin (capped at N).
+
+    Raises when neither is given.
+    """
+    from ..plans.sizing import required_sample_size
+
+    N = df.count()
+    if size is None:
+        if error_margin is None:
+            raise ValueError("Either size or error_margin must be specified")
+        size = required_sample_size(error_margin, N, confidence)
+    return simple_random(df, min(size, N), key, seed, total=N)
