@@ -42,6 +42,23 @@ def prefix_value(prio: Column) -> Column:
     return F.conv(F.substring(prio, 1, 8), 16, 10).cast("bigint")
 
 
+def hex_threshold(v: int) -> str:
+    """Threshold on the 32-bit prefix as text: ``prio < hex_threshold(v)`` iff prefix(prio) < v.
+
+    md5 hex is lower-case, so string order equals numeric order; comparing the 32-char priority
+    with an 8-char bound needs no decoding (much cheaper than ``conv`` per row). v >= 2^32 -> 'g'
+    (above every hex digit, keeps all rows).
+    """
+    if v >= TWO_POW_32:
+        return "g"
+    return format(max(0, v), "08x")
+
+
+def hex_threshold_col(v: Column) -> Column:
+    """Column form of :func:`hex_threshold` for a per-stratum bigint threshold."""
+    return F.when(v >= F.lit(TWO_POW_32), F.lit("g")).otherwise(F.lpad(F.lower(F.hex(F.greatest(v, F.lit(0)).cast("bigint"))), 8, "0"))
+
+
 def uniform(prio: Column) -> Column:
     """Uniform double in (0, 1) from the first 32 bits: (v + 0.5) / 2^32."""
     return (prefix_value(prio) + F.lit(0.5)) / F.lit(float(TWO_POW_32))

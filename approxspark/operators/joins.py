@@ -15,3 +15,14 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", small_r
     rows = small.count() if small_rows is None else small_rows
     side = F.broadcast(small) if rows <= BROADCAST_MAX_ROWS else small
     return big.join(side, on, how)
+
+
+def spread_for_cpu(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores before a CPU-heavy per-row stage (hashing), but only
+    when the scan produced fewer splits than the cluster has cores (small inputs stored as a
+    single row group). Large inputs already have many splits and are left untouched, so no
+    shuffle is added at scale."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

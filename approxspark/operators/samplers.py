@@ -22,9 +22,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import TWO_POW_32, as_list, key_string, prefix_value, priority, uniform
+from ..functions.keys import TWO_POW_32, as_list, hex_threshold, hex_threshold_col, key_string, prefix_value, priority, uniform
 from ..plans.allocation import allocate, strata_sizes
-from .joins import join_small
+from .joins import join_small, spread_for_cpu
 
 PRIO = "_prio"
 
@@ -49,12 +49,13 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
     if k >= N:
         return df.withColumn("sampling_weight", F.lit(1.0))
     pr = priority(key, seed)
+    src = spread_for_cpu(df)
     factor = 1.0
     while True:
         thr = _threshold(k, N, factor)
-        cand = df.withColumn(PRIO, pr)
+        cand = src.withColumn(PRIO, pr)
         if thr < TWO_POW_32:
-            cand = cand.where(prefix_value(F.col(PRIO)) < F.lit(thr))
+            cand = cand.where(F.col(PRIO) < F.lit(hex_threshold(thr)))
         out = cand.orderBy(F.col(PRIO), key_string(key)).limit(k).persist()
         if thr >= TWO_POW_32 or out.count() >= k:
             break
@@ -74,11 +75,12 @@ def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str
     strata, expected, max_n = stats["h"], stats["n"] or 0, stats["m"] or 0
     pr = priority(key, seed)
     w = Window.partitionBy(*by).orderBy(F.col(PRIO), key_string(key))
+    src = spread_for_cpu(df)
     factor = 1.0
     while True:
-        thr_plan = plan.withColumn("_thr", _threshold_col(F.col("take_n"), F.col("pop_n"), factor))
-        cand = join_small(df, thr_plan, by, "inner", small_rows=strata).withColumn(PRIO, pr)
-        cand = cand.where(prefix_value(F.col(PRIO)).cast("double") < F.col("_thr"))
+        thr_plan = plan.withColumn("_thr", hex_threshold_col(_threshold_col(F.col("take_n"), F.col("pop_n"), factor).cast("bigint")))
+        cand = join_small(src, thr_plan, by, "inner", small_rows=strata).withColumn(PRIO, pr)
+        cand = cand.where(F.col(PRIO) < F.col("_thr"))
         # the literal bound lets Spark plan a WindowGroupLimit that trims before the shuffle
         out = (
             cand.withColumn("_rn", F.row_number().over(w))
@@ -113,14 +115,14 @@ def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed:
 
     Row key r = ln(u) / w, the k largest win; equivalently the k smallest exponential races
     E = -ln(u) / w. Rows with w <= 0 or NULL/NaN weight are never drawn. The candidate cut-off t
-    is picked from one pass that evaluates the expected number of races below 64 geometric
-    candidates of t (sum of 1 - exp(-w t)); the result is verified and t is raised if short.
+    is picked from one pass that evaluates the expected number of races below 64 candidates of t
+    (powers of two; sum of 1 - exp(-w t)); the result is verified and t is raised if short.
     """
     u = uniform(priority(key, seed))
     wcol = F.col(weight)
-    valid = df.where(wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0))
+    valid = spread_for_cpu(df).where(wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0))
     race = -F.log(u) / wcol
-    grid = [2.0 ** (e / 2.0) for e in range(-90, 38)]
+    grid = [2.0 ** e for e in range(-45, 19)]
     sums = valid.agg(
         F.count(F.lit(1)).alias("n"),
         *[F.sum(1 - F.exp(-wcol * F.lit(t))).alias(f"g{i}") for i, t in enumerate(grid)],
@@ -138,7 +140,7 @@ def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed:
         if t is None or out.count() >= k:
             return out
         out.unpersist()
-        idx += 4
+        idx += 2
 
 
 def cluster(df: DataFrame, k: int, cluster_col: str, seed: int = 42) -> DataFrame:
@@ -210,7 +212,7 @@ def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[
     N = df.count() if total is None else total
     k_eff = min(k, N)
     seeds_col = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
-    tagged = df.select("*", seeds_col)
+    tagged = spread_for_cpu(df).select("*", seeds_col)
     prio = F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), key_string(key)))
     w = Window.partitionBy("seed").orderBy(F.col(PRIO), key_string(key))
     factor = 1.0
@@ -218,7 +220,7 @@ def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[
         thr = _threshold(k_eff, N, factor)
         cand = tagged.withColumn(PRIO, prio)
         if thr < TWO_POW_32:
-            cand = cand.where(prefix_value(F.col(PRIO)) < F.lit(thr))
+            cand = cand.where(F.col(PRIO) < F.lit(hex_threshold(thr)))
         out = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k_eff)).persist()
         if thr >= TWO_POW_32 or out.count() >= k_eff * len(seeds):
             break
