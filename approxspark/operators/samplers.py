@@ -123,14 +123,16 @@ def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed:
     valid = spread_for_cpu(df).where(wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0))
     race = -F.log(u) / wcol
     grid = [2.0 ** e for e in range(-45, 19)]
-    sums = valid.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.sum(1 - F.exp(-wcol * F.lit(t))).alias(f"g{i}") for i, t in enumerate(grid)],
-    ).first()
-    if sums["n"] <= k:
+    n_valid = valid.count()
+    if n_valid <= k:
         return valid.withColumn("es_key", F.log(u) / wcol)
+    # the expected candidate counts only pick a starting cut-off (the result is verified), so
+    # they are estimated on a ~1M-row subsample chosen by an independent hash, then scaled up
+    frac = min(1.0, 1_000_000 / n_valid)
+    sub = valid if frac >= 1.0 else valid.where(uniform(priority(key, seed, salt="grid")) < F.lit(frac))
+    sums = sub.agg(*[F.sum(1 - F.exp(-wcol * F.lit(t))).alias(f"g{i}") for i, t in enumerate(grid)]).first()
     need = k + 8 * math.sqrt(k) + 16
-    idx = next((i for i, _ in enumerate(grid) if sums[f"g{i}"] >= need), len(grid) - 1)
+    idx = next((i for i, _ in enumerate(grid) if (sums[f"g{i}"] or 0.0) / frac >= need), len(grid) - 1)
     while True:
         t = grid[idx] if idx < len(grid) else None
         cand = valid.withColumn("es_key", F.log(u) / wcol)
@@ -155,33 +157,36 @@ def systematic(df: DataFrame, k: int, order_by: str, seed: int = 42, buckets: in
 
     Target ranks are floor((r + j N) / k), j = 0..k-1, with integer start r = hash(seed) mod N.
     Global ranks come without a single-task sort: range boundaries (approximate percentiles,
-    fixed as literals) split the order column into buckets; per-bucket counts give offsets, and
-    only the rank inside a bucket needs a window. ``order_by`` must be unique.
+    fixed as literals) split the order column into buckets of about a million rows; per-bucket
+    counts give offsets, and only the order column is ranked inside each bucket. The k chosen
+    order values (checked size) are then semi-joined back, so the wide rows are never shuffled.
+    ``order_by`` must be unique. Output: the input columns plus ``_rank`` (0-based).
     """
     total = df.count()
     if total == 0:
         return df.withColumn("_rank", F.lit(None).cast("long")).limit(0)
     k = min(k, total)
-    nb = buckets or max(1, min(10_000, total // 1_000_000 + 1))
+    nb = buckets or max(1, min(100_000, total // 1_000_000 + 1))
     spark = df.sparkSession
     if nb > 1:
         probs = [i / nb for i in range(1, nb)]
-        bounds = sorted(set(df.agg(F.percentile_approx(order_by, probs, 10_000)).first()[0]))
+        bounds = sorted(set(df.agg(F.percentile_approx(order_by, probs, max(10_000, 10 * nb))).first()[0]))
     else:
         bounds = []
     arr = F.array(*[F.lit(b) for b in bounds]) if bounds else None
     bucket = F.size(F.filter(arr, lambda b: b < F.col(order_by))) if arr is not None else F.lit(0)
-    tagged = df.withColumn("_bucket", bucket.cast("int"))
-    counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    keys = df.select(F.col(order_by), bucket.cast("int").alias("_bucket"))
+    counts = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.withColumn(
         "_off", F.sum("_cnt").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
     ).select("_bucket", F.coalesce("_off", F.lit(0)).alias("_off"))
     start = systematic_start(seed, total)
     targets = spark.range(k).select(F.floor((F.lit(start) + F.col("id") * F.lit(total)) / F.lit(k)).cast("long").alias("_rank"))
-    ranked = join_small(tagged, offsets, "_bucket", small_rows=len(bounds) + 1).withColumn(
+    ranked = join_small(keys, offsets, "_bucket", small_rows=len(bounds) + 1).withColumn(
         "_rank", F.col("_off") + F.row_number().over(Window.partitionBy("_bucket").orderBy(order_by)) - 1
     )
-    return join_small(ranked, targets, "_rank", "inner", small_rows=k).drop("_bucket", "_off")
+    chosen = join_small(ranked, targets, "_rank", "inner", small_rows=k).select(order_by, "_rank")
+    return join_small(df, chosen, order_by, "inner", small_rows=k)
 
 
 def systematic_start(seed: int, total: int) -> int:

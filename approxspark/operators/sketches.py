@@ -51,13 +51,24 @@ def cms_bucket(row: Column, key: Column, width: int = CMS_WIDTH) -> Column:
     return (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % F.lit(width)).cast("int")
 
 
-def cms_build(df: DataFrame, key: str, count: str | None = None, width: int = CMS_WIDTH, depth: int = CMS_DEPTH) -> DataFrame:
-    """Count-Min table (depth_row, bucket, cnt); ``count`` adds a weight column instead of 1."""
+def cms_build(df: DataFrame, key: str, count: str | None = None, width: int = CMS_WIDTH, depth: int = CMS_DEPTH,
+              by: str | Sequence[str] | None = None, pre_aggregate: bool = True) -> DataFrame:
+    """Count-Min table (depth_row, bucket, cnt); ``count`` adds a weight column instead of 1;
+    ``by`` builds one table per value of those columns (e.g. one per profiled column) in one pass.
+
+    With ``pre_aggregate`` the rows are first counted per key (map-side partial aggregation, so a
+    hot key collapses to one row per task), and only distinct keys are hashed depth times. Streams
+    use the single-level form (Spark allows one streaming aggregation per query).
+    """
+    by = as_list(by)
     c = F.col(count).cast("long") if count else F.lit(1).cast("long")
-    rows = df.select(F.col(key).alias("_key"), c.alias("_c")).select(
-        "_key", "_c", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row")
+    base = df.select(*by, F.col(key).alias("_key"), c.alias("_c"))
+    if pre_aggregate:
+        base = base.groupBy(*by, "_key").agg(F.sum("_c").alias("_c"))
+    rows = base.select(
+        *by, "_key", "_c", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row")
     )
-    return rows.groupBy("depth_row", cms_bucket(F.col("depth_row"), F.col("_key"), width).alias("bucket")).agg(
+    return rows.groupBy(*by, "depth_row", cms_bucket(F.col("depth_row"), F.col("_key"), width).alias("bucket")).agg(
         F.sum("_c").cast("long").alias("cnt")
     )
 

@@ -68,10 +68,14 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
                 "p.column", F.lit("numeric").alias("kind"), F.lit(None).cast("string").alias("value"),
                 "p.count", "p.mean", "p.std", "p.min", "p.max", "p.sum")
         )
-    for c in categorical:
+    if categorical:
+        # every categorical column in ONE scan: explode (column, value) pairs; map-side partial
+        # counts keep the shuffle at (distinct values per task) rows
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
+                                              for c in categorical])).alias("p")).select("p.column", "p.value")
         parts.append(
-            df.groupBy(c).agg(F.count(F.lit(1)).cast("long").alias("count")).select(
-                F.lit(c).alias("column"), F.lit("frequency").alias("kind"), F.col(c).cast("string").alias("value"), "count",
+            pairs.groupBy("column", "value").agg(F.count(F.lit(1)).cast("long").alias("count")).select(
+                "column", F.lit("frequency").alias("kind"), "value", "count",
                 null_d.alias("mean"), null_d.alias("std"), null_d.alias("min"), null_d.alias("max"), null_d.alias("sum"))
         )
     out = parts[0]
@@ -113,12 +117,11 @@ def build_sketches(df: DataFrame, key: str | Sequence[str], columns: Sequence[st
     base = scratch_path(spark, name)
     paths = {"hll": f"{base}/hll", "cms": f"{base}/cms", "sample": f"{base}/sample"}
     hll_columns(df, cols).write.mode("overwrite").parquet(paths["hll"])
-    cms = None
-    for c in categorical:
-        t = cms_build(df, c).select(F.lit(c).alias("column"), "*")
-        cms = t if cms is None else cms.unionByName(t)
-    if cms is not None:
-        cms.write.mode("overwrite").parquet(paths["cms"])
+    if categorical:
+        # all categorical columns' Count-Min tables in one scan
+        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_k"))
+                                              for c in categorical])).alias("p")).select("p.column", "p._k")
+        cms_build(pairs, "_k", by="column").write.mode("overwrite").parquet(paths["cms"])
     samplers.reservoir(df, sample_size, key, seed).write.mode("overwrite").parquet(paths["sample"])
     for c in categorical:
         p = f"{base}/stratified_{c}"

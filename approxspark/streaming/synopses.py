@@ -97,7 +97,7 @@ def running_hll(events: DataFrame, column: str) -> DataFrame:
 
 def running_cms(events: DataFrame, key: str) -> DataFrame:
     """Incremental Count-Min table (streaming groupBy on depth_row, bucket)."""
-    return cms_build(events, key)
+    return cms_build(events, key, pre_aggregate=False)
 
 
 def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed: int, name: str,
