@@ -203,7 +203,7 @@ FALLBACK_SRC = f"SELECT * FROM {SALES_SQL} WHERE category = 'BUILDING'"
 
 @register(
     "exact_fallback_small",
-    f"SELECT count(*)::BIGINT AS count, round(sum(price), 2) AS sum_price, false AS approx, 0.0 AS ci, "
+    f"SELECT count(*)::BIGINT AS count, round(sum(price), 2) AS sum_price, false AS approx, 0.0::DOUBLE AS ci, "
     f"count(*)::BIGINT AS sample_size, count(*)::BIGINT AS total_size FROM ({FALLBACK_SRC})",
 )
 def exact_fallback_small(spark, d):

@@ -26,7 +26,7 @@ def finish_sql(m: str, by: list[str], est: str, lo: str, hi: str, conf: float, m
     d = "NULL" if dist is None else f"'{dist}'"
     return (
         f"SELECT {keys}round({est_f}, 4) AS estimate, round({lo_f}, 4) AS lower_bound, round({hi_f}, 4) AS upper_bound, "
-        f"{float(conf)!r} AS confidence_level, n::BIGINT AS sample_size, ({N})::BIGINT AS population_size, '{method}' AS method, "
+        f"{float(conf)!r}::DOUBLE AS confidence_level, n::BIGINT AS sample_size, ({N})::BIGINT AS population_size, '{method}' AS method, "
         f"{d}::VARCHAR AS distribution_type, ({iters})::BIGINT AS n_iterations, round(({hi_f} - {lo_f}) / 2, 4) AS margin_of_error, "
         f"CASE WHEN {est_f} = 0 THEN 'Infinity'::DOUBLE ELSE round(({hi_f} - {lo_f}) / 2 / abs({est_f}), 6) END AS relative_error{extra} "
         f"FROM {m}"

@@ -129,7 +129,7 @@ def build_profile(spark, d):
     return spark.read.parquet(path)
 
 
-@register("approx_count_from_profile", "SELECT count(*)::BIGINT AS count, true AS approx, 0.0 AS ci FROM events")
+@register("approx_count_from_profile", "SELECT count(*)::BIGINT AS count, true AS approx, 0.0::DOUBLE AS ci FROM events")
 def approx_count_from_profile(spark, d):
     path = synopsis.build_profile(table(spark, d, "events").select("event_type"), "profile_rows")
     return synopsis.count_from_profile(spark, path)

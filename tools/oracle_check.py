@@ -78,6 +78,17 @@ def main():
             print(f"ERROR duckdb {name}: {str(e)[:400]}")
             bad += 1
             continue
+        def kinds(cols, rows):
+            out = {}
+            for i, c in enumerate(cols):
+                ts = {type(r[i].item() if hasattr(r[i], "item") else r[i]).__name__ for r in rows if r[i] is not None}
+                out[c] = ",".join(sorted(ts))
+            return out
+
+        sk, dk = kinds(scols, srows), kinds(dcols, drows)
+        type_diff = {c: (sk[c], dk.get(c)) for c in sk if dk.get(c) is not None and sk[c] != dk[c] and sk[c] and dk[c]}
+        if type_diff:
+            print(f"TYPES {name}: {type_diff}")
         sh, sl = digest(scols, srows)
         dh, dl = digest(dcols, drows)
         if sorted(scols) != sorted(dcols) or sh != dh:
