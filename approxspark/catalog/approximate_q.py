@@ -228,3 +228,15 @@ def approx_select_rows(spark, d):
     s = sales(spark, d).where(F.col("category") == "BUILDING")
     N = s.count()
     return approximate.approx_select(s, ["id", "price"], size_for_accuracy(95, N), "id", 42)
+
+
+@register(
+    "approx_agg_from_synopsis",
+    approx_group_sql(f"SELECT * FROM {SALES_SQL}", "category", "id", FLAGSHIP_AGGS_SQL),
+)
+def approx_agg_from_synopsis(spark, d):
+    # the reference's GROUP BY path: a stratified sample synopsis built once, queries read it
+    from ..operators import synopsis
+
+    path = synopsis.build_stratified_sample(sales(spark, d), "category", "id", accuracy=95, seed=42, name="sales-by-category")
+    return approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category", confidence=95)

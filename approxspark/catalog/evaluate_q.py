@@ -82,15 +82,12 @@ def ci_coverage(spark, d):
     s = sales(spark, d).select("id", "price")
     N = s.count()
     truth = s.agg(F.avg("price")).first()[0]
-    reps = None
-    for c in CONFS:
-        k = size_for_accuracy(c * 100, N)
-        smp = samplers.multi_seed(s, k, "id", COVERAGE_SEEDS, total=N)
-        m = F.lit(z_value(c)) * F.stddev_samp("price") / F.sqrt(F.count(F.lit(1)))
-        r = smp.groupBy("seed").agg(F.avg("price").alias("estimate"), m.alias("_m")).select(
-            F.lit(c).alias("confidence"), "estimate", (F.col("estimate") - F.col("_m")).alias("lower_bound"),
-            (F.col("estimate") + F.col("_m")).alias("upper_bound"))
-        reps = r if reps is None else reps.unionByName(r)
+    smp = samplers.replicates(s, "id", COVERAGE_SEEDS, [(c, size_for_accuracy(c * 100, N)) for c in CONFS], total=N)
+    z = F.element_at(F.create_map(*[x for c in CONFS for x in (F.lit(c), F.lit(z_value(c)))]), F.col("size_label"))
+    m = F.first(z) * F.stddev_samp("price") / F.sqrt(F.count(F.lit(1)))
+    reps = smp.groupBy("size_label", "seed").agg(F.avg("price").alias("estimate"), m.alias("_m")).select(
+        F.col("size_label").alias("confidence"), "estimate", (F.col("estimate") - F.col("_m")).alias("lower_bound"),
+        (F.col("estimate") + F.col("_m")).alias("upper_bound"))
     return evaluate.coverage(reps, truth)
 
 

@@ -210,28 +210,48 @@ def reservoir(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, s
 def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[int], total: int | None = None) -> DataFrame:
     """Bottom-k samples for many seeds in ONE job (replicates for coverage / error studies).
 
-    Each row is paired with every seed inside the scan stage and immediately cut by the per-seed
-    threshold, so only about k + 8 sqrt(k) + 16 rows per seed reach the window; nothing is
-    materialized per seed. Output: the input columns plus ``seed``. Exact (verified, widened if short).
+    Output: the input columns plus ``seed``. See :func:`replicates`.
+    """
+    return replicates(df, key, seeds, [(None, k)], total).drop("size_label")
+
+
+def replicates(df: DataFrame, key: str | Sequence[str], seeds: Sequence[int], sizes, total: int | None = None) -> DataFrame:
+    """Bottom-k samples for every (size label, seed) pair in ONE job.
+
+    ``sizes`` = [(label, k), ...]. Each row is paired with every seed inside the scan stage (one
+    md5 per row and seed, shared by all sizes) and immediately cut by the per-size threshold, so
+    only about k + 8 sqrt(k) + 16 rows per replicate reach the window; nothing is materialized per
+    replicate. Output: the input columns plus ``seed`` and ``size_label``. Exact (verified,
+    widened if short).
     """
     N = df.count() if total is None else total
-    k_eff = min(k, N)
+    sizes = [(label, min(int(k), N)) for label, k in sizes]
     seeds_col = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
     tagged = spread_for_cpu(df).select("*", seeds_col)
-    prio = F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), key_string(key)))
-    w = Window.partitionBy("seed").orderBy(F.col(PRIO), key_string(key))
+    tagged = tagged.withColumn(PRIO, F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), key_string(key))))
+    w = Window.partitionBy("size_label", "seed").orderBy(F.col(PRIO), key_string(key))
+    expected = sum(k for _l, k in sizes) * len(seeds)
+    max_k = max(k for _l, k in sizes)
+    label_type = "double" if all(isinstance(lbl, (int, float)) for lbl, _k in sizes) else "string"
     factor = 1.0
     while True:
-        thr = _threshold(k_eff, N, factor)
-        cand = tagged.withColumn(PRIO, prio)
-        if thr < TWO_POW_32:
-            cand = cand.where(F.col(PRIO) < F.lit(hex_threshold(thr)))
-        out = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.lit(k_eff)).persist()
-        if thr >= TWO_POW_32 or out.count() >= k_eff * len(seeds):
+        opts = F.array(*[
+            F.struct(F.lit(lbl).cast(label_type).alias("size_label"), F.lit(k).alias("_k"),
+                     F.lit(hex_threshold(_threshold(k, N, factor))).alias("_thr"))
+            for lbl, k in sizes
+        ])
+        cand = tagged.select("*", F.explode(opts).alias("_o")).select("*", "_o.size_label", "_o._k", "_o._thr").drop("_o")
+        cand = cand.where(F.col(PRIO) < F.col("_thr"))
+        out = (
+            cand.withColumn("_rn", F.row_number().over(w))
+            .where((F.col("_rn") <= F.lit(max_k)) & (F.col("_rn") <= F.col("_k")))
+            .persist()
+        )
+        if out.count() >= expected or factor > 2.0**40:
             break
         out.unpersist()
         factor *= 4.0
-    return out.drop(PRIO, "_rn")
+    return out.drop(PRIO, "_rn", "_k", "_thr")
 
 
 def sized(df: DataFrame, key: str | Sequence[str], size: int | None = None, error_margin: float | None = None,

@@ -128,3 +128,20 @@ def build_sketches(df: DataFrame, key: str | Sequence[str], columns: Sequence[st
         samplers.reservoir(df, sample_size, key, seed, strata=c).write.mode("overwrite").parquet(p)
         paths[f"stratified_{c}"] = p
     return paths
+
+
+def build_stratified_sample(df: DataFrame, by: str | Sequence[str], key: str | Sequence[str], accuracy: float = 95,
+                            seed: int = 42, name: str = "stratified_sample", path: str | None = None) -> str:
+    """Stratified sample synopsis for approximate GROUP BY on ``by``: the accuracy-sized sample
+    (max(1, k N_h / N) rows per stratum) with its ``pop_n`` / ``take_n`` columns, written once;
+    ``approximate.approx_agg_from_sample`` answers later queries from it without touching ``df``."""
+    from ..plans.allocation import allocate, strata_sizes
+    from ..plans.sizing import size_for_accuracy
+
+    sizes = strata_sizes(df, by).persist()
+    N = sizes.agg(F.sum("pop_n")).first()[0] or 0
+    plan = allocate(sizes, size_for_accuracy(accuracy, max(N, 1)), by, "min_one")
+    path = path or scratch_path(df.sparkSession, name)
+    samplers.from_plan(df, plan, by, key, seed).write.mode("overwrite").parquet(path)
+    sizes.unpersist()
+    return path
