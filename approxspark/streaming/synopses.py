@@ -103,12 +103,20 @@ def running_cms(events: DataFrame, key: str) -> DataFrame:
 def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed: int, name: str,
                      strata: str | Sequence[str] | None = None, counts: bool = False) -> dict[str, str]:
     """Bottom-k reservoir (per stratum) maintained by foreachBatch; with ``counts`` also the
-    exact running row count per stratum (merged the same way). Returns the final state paths."""
+    exact running row count per stratum (merged the same way). Returns the final state paths.
+
+    Per micro-batch: rows that cannot enter a full reservoir (priority above its current maximum)
+    are dropped first; the batch's own bottom-k is drawn with the thresholded samplers (so a hot
+    stratum in a large batch never lands whole in one task); then that bounded part is merged with
+    the previous version (both at most k rows per stratum).
+    """
+    from pyspark.sql import Window
+
+    from ..operators import samplers
+
     spark = stream.sparkSession
     out = scratch_path(spark, name)
     strata = as_list(strata)
-    from pyspark.sql import Window
-
     order = [F.col("_prio"), key_string(key)]
     versions: list[int] = []
 
@@ -119,10 +127,11 @@ def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed:
         return df.orderBy(*order).limit(k)
 
     def handler(batch: DataFrame, batch_id: int) -> None:
-        cur = batch.withColumn("_prio", priority(key, seed))
         # every batch writes a version, so the previous state is always batch_id - 1 (also after
         # a driver restart that resumes from the checkpoint)
         prev_id = batch_id - 1 if batch_id > 0 else None
+        cur = batch
+        prev = None
         if prev_id is not None:
             prev = spark.read.parquet(f"{out}/reservoir/batch={prev_id}")
             # exact cut: once a (stratum's) reservoir is full, only rows below its largest
@@ -130,14 +139,15 @@ def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed:
             if strata:
                 top = prev.groupBy(*strata).agg(F.max("_prio").alias("_maxp"), F.count(F.lit(1)).alias("_cnt"))
                 cur = join_small(cur, top, strata, "left").where(
-                    F.col("_maxp").isNull() | (F.col("_cnt") < k) | (F.col("_prio") <= F.col("_maxp"))
+                    F.col("_maxp").isNull() | (F.col("_cnt") < k) | (priority(key, seed) <= F.col("_maxp"))
                 ).drop("_maxp", "_cnt")
             else:
                 top = prev.agg(F.max("_prio").alias("m"), F.count(F.lit(1)).alias("c")).first()
                 if top["c"] >= k:
-                    cur = cur.where(F.col("_prio") <= F.lit(top["m"]))
-            cur = cur.unionByName(prev)
-        keep(cur).write.mode("overwrite").parquet(f"{out}/reservoir/batch={batch_id}")
+                    cur = cur.where(priority(key, seed) <= F.lit(top["m"]))
+        part = samplers.reservoir(cur, k, key, seed, strata=strata or None).withColumn("_prio", priority(key, seed))
+        merged = part if prev is None else keep(part.unionByName(prev))
+        merged.write.mode("overwrite").parquet(f"{out}/reservoir/batch={batch_id}")
         if counts:
             c = batch.groupBy(*strata).agg(F.count(F.lit(1)).cast("long").alias("rows"))
             if prev_id is not None:
