@@ -181,8 +181,6 @@ def approx_agg_from_sample(sample: DataFrame, aggs, by: str | Sequence[str], con
     stratum's ``pop_n`` and ``take_n``; ``by`` are the strata). Same estimators and envelope as
     :func:`approx_agg`; total_size = sum of the strata populations. DISTINCT aggregates are not
     available from a sample (use the HLL synopsis)."""
-    from pyspark.sql import Window
-
     _check(aggs)
     if any(kind == "count_distinct" for kind, _c, _a in aggs):
         raise ValueError("distinct counts come from the HLL synopsis, not from a sample")
@@ -191,13 +189,13 @@ def approx_agg_from_sample(sample: DataFrame, aggs, by: str | Sequence[str], con
     exprs = weighted_exprs(aggs, F.max("pop_n"), F.max("take_n")) + [
         F.count(F.lit(1)).cast("long").alias("sample_size"), F.max("pop_n").alias("_pop")
     ]
-    res = sample.groupBy(*by).agg(*exprs)
+    res = sample.groupBy(*by).agg(*exprs).persist()
+    total = res.agg(F.sum("_pop")).first()[0] or 0
     res = res.withColumns(
         {
             "approx": F.lit(True),
             "ci": F.round(F.lit(z) / F.sqrt(F.col("sample_size")), 6),
-            # one row per stratum: the window runs over the (small) result only
-            "total_size": F.sum("_pop").over(Window.partitionBy()).cast("long"),
+            "total_size": F.lit(total).cast("long"),
         }
     )
     return res.select(*by, *[a for _k, _c, a in aggs], "approx", "ci", "sample_size", "total_size")

@@ -172,9 +172,9 @@ def stratified_bounds(
     validate_config(confidence, method)
     strata = as_list(strata)
     per = _moments(sample, value, strata)
-    everything = Window.partitionBy()
+    n_total = strata_sizes.agg(F.sum("pop_n")).first()[0] or 0
     sizes = strata_sizes.select(*strata, F.col("pop_n").cast("double").alias("_Nh")).withColumn(
-        "_Ntot", F.sum("_Nh").over(everything)
+        "_Ntot", F.lit(float(n_total))
     )
     j = join_small(per, sizes, strata, "inner")
     W = F.col("_Nh") / F.col("_Ntot")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import as_list
@@ -37,40 +37,50 @@ def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "pro
     equal                k // H each; the remainder one each to the first strata by key
     min_one              max(1, floor(k pop_n / N))
     Every take_n is capped at pop_n. Ties for "largest" are broken by the greater key.
+
+    Global quantities (N, H, sum of weights, sum of the floors) are scalar aggregates and the
+    strata that receive a remainder come from a top-r selection (r < H), so no step puts the
+    whole strata table into one task.
     """
     if rule not in RULES:
         raise ValueError(f"unknown allocation rule: {rule}")
     if k < 0:
         raise ValueError("sample size must be non-negative")
     by = as_list(by)
-    everything = Window.partitionBy()
-    by_size = Window.orderBy(F.col("pop_n").desc(), *[F.col(c).desc() for c in by])
-    by_key = Window.orderBy(*[F.col(c).asc() for c in by])
+    sizes = sizes.persist()
+    w = F.col("pop_n") * F.coalesce(F.col("pop_sd"), F.lit(0.0)) if rule == "neyman" else F.lit(0.0)
+    g = sizes.agg(F.sum("pop_n").alias("N"), F.count(F.lit(1)).alias("H"), F.sum(w).alias("W")).first()
+    N, H, W = g["N"] or 0, g["H"], g["W"] or 0.0
     kk = F.lit(k).cast("long")
-    N = F.sum("pop_n").over(everything)
-    plan = sizes.withColumn("_size_rank", F.row_number().over(by_size))
-    if rule in ("proportional", "proportional_spread", "min_one"):
-        base = F.floor(kk * F.col("pop_n") / N)
-        if rule == "min_one":
-            base = F.greatest(F.lit(1).cast("long"), base)
-    elif rule == "neyman":
-        w = F.col("pop_n") * F.coalesce(F.col("pop_sd"), F.lit(0.0))
-        total_w = F.sum(w).over(everything)
-        base = F.when(total_w > 0, F.floor(kk * w / total_w)).otherwise(F.floor(kk * F.col("pop_n") / N))
-    else:  # equal
-        base = F.floor(kk / F.count(F.lit(1)).over(everything))
-        plan = plan.withColumn("_key_rank", F.row_number().over(by_key))
-    plan = plan.withColumn("_base", base.cast("long"))
+    if N == 0:
+        return sizes.withColumn("take_n", F.lit(0).cast("long"))
+    if rule == "neyman" and W > 0:
+        base = F.floor(kk * w / F.lit(W))
+    elif rule == "equal":
+        base = F.lit(k // H)
+    else:
+        base = F.floor(kk * F.col("pop_n") / F.lit(N))
+    if rule == "min_one":
+        base = F.greatest(F.lit(1).cast("long"), base)
+    plan = sizes.withColumn("_base", base.cast("long"))
     if rule == "min_one":
         plan = plan.withColumn("take_n", F.col("_base"))
     else:
-        rem = kk - F.sum("_base").over(everything)
-        if rule in ("proportional", "neyman"):
-            extra = F.when(F.col("_size_rank") == 1, rem).otherwise(0)
-        elif rule == "proportional_spread":
-            extra = F.when(F.col("_size_rank") <= rem, 1).otherwise(0)
+        rem = k - (plan.agg(F.sum("_base")).first()[0] or 0)
+        by_size = [F.col("pop_n").desc(), *[F.col(c).desc() for c in by]]
+        by_key = [F.col(c).asc() for c in by]
+        if rem <= 0:
+            plan = plan.withColumn("take_n", F.col("_base"))
+        elif rule in ("proportional", "neyman"):
+            top = sizes.orderBy(*by_size).limit(1).select(*by, F.lit(rem).cast("long").alias("_extra"))
+            plan = plan.join(F.broadcast(top), by, "left")
+            plan = plan.withColumn("take_n", F.col("_base") + F.coalesce(F.col("_extra"), F.lit(0)))
         else:
-            extra = F.when(F.col("_key_rank") <= rem, 1).otherwise(0)
-        plan = plan.withColumn("take_n", F.col("_base") + extra)
+            order = by_size if rule == "proportional_spread" else by_key
+            top = sizes.orderBy(*order).limit(int(rem)).select(*by, F.lit(1).cast("long").alias("_extra"))
+            from ..operators.joins import join_small
+
+            plan = join_small(plan, top, by, "left", small_rows=int(min(rem, H)))
+            plan = plan.withColumn("take_n", F.col("_base") + F.coalesce(F.col("_extra"), F.lit(0)))
     plan = plan.withColumn("take_n", F.least(F.col("take_n"), F.col("pop_n")).cast("long"))
-    return plan.drop("_size_rank", "_key_rank", "_base")
+    return plan.drop("_base", "_extra")
