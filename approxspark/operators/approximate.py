@@ -116,7 +116,7 @@ def approx_agg(
         )
         return res
     if by:
-        plan = allocate(sizes, n, by, "min_one")
+        plan = allocate(sizes, n, by, "min_one", total=N)
         sample = samplers.from_plan(df, plan, by, key, seed)
         sizes.unpersist()
     else:

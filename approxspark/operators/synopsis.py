@@ -140,7 +140,7 @@ def build_stratified_sample(df: DataFrame, by: str | Sequence[str], key: str | S
 
     sizes = strata_sizes(df, by).persist()
     N = sizes.agg(F.sum("pop_n")).first()[0] or 0
-    plan = allocate(sizes, size_for_accuracy(accuracy, max(N, 1)), by, "min_one")
+    plan = allocate(sizes, size_for_accuracy(accuracy, max(N, 1)), by, "min_one", total=N)
     path = path or scratch_path(df.sparkSession, name)
     samplers.from_plan(df, plan, by, key, seed).write.mode("overwrite").parquet(path)
     sizes.unpersist()

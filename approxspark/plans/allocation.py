@@ -27,7 +27,7 @@ def strata_sizes(df: DataFrame, by: str | Sequence[str], value_col: str | None =
     return df.groupBy(*by).agg(*aggs)
 
 
-def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "proportional") -> DataFrame:
+def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "proportional", total: int | None = None) -> DataFrame:
     """Add ``take_n`` to a strata-sizes table.
 
     proportional         floor(k pop_n / N); the whole remainder goes to the largest stratum
@@ -40,7 +40,8 @@ def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "pro
 
     Global quantities (N, H, sum of weights, sum of the floors) are scalar aggregates and the
     strata that receive a remainder come from a top-r selection (r < H), so no step puts the
-    whole strata table into one task.
+    whole strata table into one task. ``total`` (N, when the caller already knows it) saves the
+    scalar pass for the proportional and min-one rules.
     """
     if rule not in RULES:
         raise ValueError(f"unknown allocation rule: {rule}")
@@ -49,8 +50,11 @@ def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "pro
     by = as_list(by)
     sizes = sizes.persist()
     w = F.col("pop_n") * F.coalesce(F.col("pop_sd"), F.lit(0.0)) if rule == "neyman" else F.lit(0.0)
-    g = sizes.agg(F.sum("pop_n").alias("N"), F.count(F.lit(1)).alias("H"), F.sum(w).alias("W")).first()
-    N, H, W = g["N"] or 0, g["H"], g["W"] or 0.0
+    if total is not None and rule in ("proportional", "proportional_spread", "min_one"):
+        N, H, W = total, None, 0.0
+    else:
+        g = sizes.agg(F.sum("pop_n").alias("N"), F.count(F.lit(1)).alias("H"), F.sum(w).alias("W")).first()
+        N, H, W = g["N"] or 0, g["H"], g["W"] or 0.0
     kk = F.lit(k).cast("long")
     if N == 0:
         return sizes.withColumn("take_n", F.lit(0).cast("long"))
@@ -80,7 +84,7 @@ def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "pro
             top = sizes.orderBy(*order).limit(int(rem)).select(*by, F.lit(1).cast("long").alias("_extra"))
             from ..operators.joins import join_small
 
-            plan = join_small(plan, top, by, "left", small_rows=int(min(rem, H)))
+            plan = join_small(plan, top, by, "left", small_rows=int(rem if H is None else min(rem, H)))
             plan = plan.withColumn("take_n", F.col("_base") + F.coalesce(F.col("_extra"), F.lit(0)))
     plan = plan.withColumn("take_n", F.least(F.col("take_n"), F.col("pop_n")).cast("long"))
     return plan.drop("_base", "_extra")
