@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..operators import approximate, samplers
 from ..plans.sizing import ACCURACY_MAX_SAMPLE, ACCURACY_MIN_SAMPLE, ACCURACY_Z, ci_z
 from ..sources.tables import SALES_SQL, sales, table
-from ..functions.keys import sql_key, sql_priority
 from .exact_q import stratified_sample_sql
 from . import register
 

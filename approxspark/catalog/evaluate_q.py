@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.stats import z_value
-from ..operators import approximate, bounds, evaluate, exact, samplers
+from ..operators import approximate, bounds, evaluate, samplers
 from ..plans.allocation import strata_sizes
 from ..plans.sizing import size_for_accuracy
 from ..sources.tables import SALES_SQL, sales, table

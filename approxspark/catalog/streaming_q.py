@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import sketches
 from ..sources.tables import table
 from ..streaming import synopses
 from .sampling_q import bottom_k_sql

@@ -64,11 +64,6 @@ def uniform(prio: Column) -> Column:
     return (prefix_value(prio) + F.lit(0.5)) / F.lit(float(TWO_POW_32))
 
 
-def with_priority(df, key, seed: int, name: str = "_prio"):
-    """Attach the priority hex and its 32-bit prefix."""
-    return df.withColumn(name, priority(key, seed)).withColumn(name + "_v", prefix_value(F.col(name)))
-
-
 # SQL text of the same expressions, used by the DuckDB oracles.
 def sql_key(key: str | Sequence[str]) -> str:
     cols = as_list(key)

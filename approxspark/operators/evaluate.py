@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import as_list
-from .joins import join_small
 
 
 def error_pct(exact: Column, approx: Column) -> Column:
@@ -79,8 +78,3 @@ def coverage(replicates: DataFrame, truth: float, by: str = "confidence") -> Dat
         F.round(F.avg((rel <= F.lit(1.0) - F.col(by)).cast("double")), 6).alias("within_error_share"),
         F.round(F.avg(rel), 6).alias("mean_relative_error"),
     )
-
-
-def attach(df: DataFrame, small: DataFrame, on) -> DataFrame:
-    """Join a per-group reference table (checked size) for comparisons."""
-    return join_small(df, small, on, "inner")

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import TWO_POW_32, as_list, hex_threshold, hex_threshold_col, key_string, prefix_value, priority, uniform
+from ..functions.keys import TWO_POW_32, as_list, hex_threshold, hex_threshold_col, key_string, priority, uniform
 from ..plans.allocation import allocate, strata_sizes
 from .joins import join_small, spread_for_cpu
 

@@ -21,8 +21,9 @@ def test_filter_and_projection_reach_the_scan(spark):
 
 def test_simple_random_is_topk_over_candidates(spark):
     ev = table(spark, SF_CHECK, "events")
-    pr = samplers.priority("event_id", 1)
-    cand = ev.withColumn("_prio", pr).where(samplers.prefix_value(F.col("_prio")) < F.lit(10**8))
+    from approxspark.functions.keys import hex_threshold, priority
+
+    cand = ev.withColumn("_prio", priority("event_id", 1)).where(F.col("_prio") < F.lit(hex_threshold(10**8)))
     p = _plan(cand.orderBy("_prio").limit(10))
     assert "TakeOrderedAndProject" in p
 
