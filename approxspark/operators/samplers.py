@@ -27,6 +27,8 @@ from ..plans.allocation import allocate, strata_sizes
 from .joins import join_small, spread_for_cpu
 
 PRIO = "_prio"
+# Above this many rows a bottom-k is selected without a single-task top-k merge (see _large_k).
+LARGE_K = 500_000
 
 
 def _threshold(n: float, N: float, factor: float = 1.0) -> int:
@@ -56,6 +58,12 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
         cand = src.withColumn(PRIO, pr)
         if thr < TWO_POW_32:
             cand = cand.where(F.col(PRIO) < F.lit(hex_threshold(thr)))
+        if k > LARGE_K:
+            out = _large_k(cand, k, key)
+            if out is None:
+                factor *= 4.0
+                continue
+            break
         out = cand.orderBy(F.col(PRIO), key_string(key)).limit(k).persist()
         if thr >= TWO_POW_32 or out.count() >= k:
             break
@@ -64,6 +72,27 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
     return out.drop(PRIO).withColumn("sampling_weight", F.lit(N / k if k else 0.0))
 
 
+def _large_k(cand: DataFrame, k: int, key) -> DataFrame | None:
+    """Exact bottom-k of a candidate set without merging k rows in one task.
+
+    Candidates are bucketed by the first 16 bits of their priority (uniform), bucket counts
+    (at most 65536 rows) locate the bucket holding the k-th row; every row below it is kept and
+    only that boundary bucket (about candidates / 65536 rows) is ranked. None if fewer than k.
+    """
+    bucket = F.conv(F.substring(F.col(PRIO), 1, 4), 16, 10).cast("int")
+    tagged = cand.withColumn("_b", bucket).persist()
+    counts = sorted((r["_b"], r["c"]) for r in tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
+    seen = 0
+    for b, c in counts:
+        if seen + c >= k:
+            below = tagged.where(F.col("_b") < F.lit(b))
+            edge = tagged.where(F.col("_b") == F.lit(b)).orderBy(F.col(PRIO), key_string(key)).limit(k - seen)
+            return below.unionByName(edge).drop("_b").persist()
+        seen += c
+    tagged.unpersist()
+    return None
+
+
 def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str | Sequence[str], seed: int = 42) -> DataFrame:
     """Draw ``take_n`` bottom-priority rows per stratum for a plan (by, pop_n, take_n).
 

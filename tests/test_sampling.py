@@ -104,3 +104,13 @@ def test_error_margin_required(events):
     with pytest.raises(ValueError):
         samplers.sized(events, "event_id")
     assert samplers.sized(events, "event_id", error_margin=0.05).count() == 370
+
+
+def test_large_k_path_is_exact(events, monkeypatch):
+    # the distributed selection used above LARGE_K must give the same rows as a plain top-k
+    from approxspark.functions.keys import key_string, priority
+
+    monkeypatch.setattr(samplers, "LARGE_K", 100)
+    got = samplers.simple_random(events, 1500, "event_id", 21).select("event_id")
+    want = events.orderBy(priority("event_id", 21), key_string("event_id")).limit(1500).select("event_id")
+    assert got.count() == 1500 and got.subtract(want).count() == 0
