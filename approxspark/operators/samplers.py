@@ -50,8 +50,11 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
     N = df.count() if total is None else total
     if k >= N:
         return df.withColumn("sampling_weight", F.lit(1.0))
+    keys = as_list(key)
     pr = priority(key, seed)
-    src = spread_for_cpu(df)
+    # rank on the key columns only; the chosen keys are joined back to the lazy input at the end,
+    # so later projections still prune the scan
+    src = spread_for_cpu(df.select(*keys))
     factor = 1.0
     while True:
         thr = _threshold(k, N, factor)
@@ -69,7 +72,8 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
             break
         out.unpersist()
         factor *= 4.0
-    return out.drop(PRIO).withColumn("sampling_weight", F.lit(N / k if k else 0.0))
+    chosen = out.select(*keys)
+    return join_small(df, chosen, keys, "inner", small_rows=k).withColumn("sampling_weight", F.lit(N / k if k else 0.0))
 
 
 def _large_k(cand: DataFrame, k: int, key) -> DataFrame | None:
@@ -97,14 +101,17 @@ def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str
     """Draw ``take_n`` bottom-priority rows per stratum for a plan (by, pop_n, take_n).
 
     Output: the input columns plus ``pop_n``, ``take_n`` and ``sampling_weight`` = pop_n / take_n.
+    Only the key and stratum columns are ranked and persisted; the chosen keys (at most the
+    sample size, checked) are joined back to the lazy input, so later projections prune the scan.
     """
     by = as_list(by)
+    keys = as_list(key)
     plan = plan.select(*by, "pop_n", "take_n").where(F.col("take_n") > 0).persist()
     stats = plan.agg(F.count(F.lit(1)).alias("h"), F.sum("take_n").alias("n"), F.max("take_n").alias("m")).first()
     strata, expected, max_n = stats["h"], stats["n"] or 0, stats["m"] or 0
     pr = priority(key, seed)
     w = Window.partitionBy(*by).orderBy(F.col(PRIO), key_string(key))
-    src = spread_for_cpu(df)
+    src = spread_for_cpu(df.select(*dict.fromkeys(by + keys)))
     factor = 1.0
     while True:
         thr_plan = plan.withColumn("_thr", hex_threshold_col(_threshold_col(F.col("take_n"), F.col("pop_n"), factor).cast("bigint")))
@@ -121,7 +128,10 @@ def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str
         out.unpersist()
         factor *= 4.0
     plan.unpersist()
-    return out.drop(PRIO, "_rn", "_thr").withColumn("sampling_weight", F.col("pop_n") / F.col("take_n"))
+    chosen = out.select(*keys, "pop_n", "take_n")
+    return join_small(df, chosen, keys, "inner", small_rows=expected).withColumn(
+        "sampling_weight", F.col("pop_n") / F.col("take_n")
+    )
 
 
 def stratified(
@@ -147,14 +157,17 @@ def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed:
     is picked from one pass that evaluates the expected number of races below 64 candidates of t
     (powers of two; sum of 1 - exp(-w t)); the result is verified and t is raised if short.
     """
+    keys = as_list(key)
     u = uniform(priority(key, seed))
     wcol = F.col(weight)
-    valid = spread_for_cpu(df).where(wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0))
+    ok = wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0)
+    # computed on (key, weight) only; chosen keys are joined back to the lazy input
+    valid = spread_for_cpu(df.select(*dict.fromkeys(keys + [weight]))).where(ok)
     race = -F.log(u) / wcol
     grid = [2.0 ** e for e in range(-45, 19)]
     n_valid = valid.count()
     if n_valid <= k:
-        return valid.withColumn("es_key", F.log(u) / wcol)
+        return df.where(ok).withColumn("es_key", F.log(u) / wcol)
     # the expected candidate counts only pick a starting cut-off (the result is verified), so
     # they are estimated on a ~1M-row subsample chosen by an independent hash, then scaled up
     frac = min(1.0, 1_000_000 / n_valid)
@@ -169,7 +182,7 @@ def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed:
             cand = cand.where(race <= F.lit(t))
         out = cand.orderBy(F.col("es_key").desc(), key_string(key)).limit(k).persist()
         if t is None or out.count() >= k:
-            return out
+            return join_small(df, out.select(*keys, "es_key"), keys, "inner", small_rows=k)
         out.unpersist()
         idx += 2
 
