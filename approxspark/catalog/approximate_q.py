@@ -58,7 +58,7 @@ register(
     approx_group_sql(SALES_SRC, "category", "id", "any_value(pop_n)::BIGINT AS count"),
 )(lambda spark, d: approximate.approx_agg(sales(spark, d), [("count", None, "count")], by="category", key="id"))
 
-LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 LI_AGGS = [
     ("count", None, "count"),
     ("sum", "l_quantity", "sum_qty"),

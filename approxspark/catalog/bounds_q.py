@@ -117,7 +117,7 @@ def bounds_bootstrap_median(spark, d):
                                    estimator=F.median)
 
 
-LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 LI_STRAT = stratified_sample_sql("SELECT * FROM lineitem", "l_returnflag", LI_KEY, 600, 42)
 
 

@@ -88,8 +88,8 @@ def sample_stratified_spread(spark, d):
     return _strat_spark(s, ["event_id", "event_type"])
 
 
-LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
-LI_OUT = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, pop_n::BIGINT AS pop_n, take_n::BIGINT AS take_n"
+LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
+LI_OUT = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_shipdate, l_returnflag, pop_n::BIGINT AS pop_n, take_n::BIGINT AS take_n"
 
 
 @register(

@@ -14,7 +14,7 @@ TABLES = (
 ROW_KEYS = {
     "orders": ["o_orderkey"],
     "events": ["event_id"],
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"],
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"],
     "customer": ["c_custkey"],
     "sales": ["id"],
 }

@@ -39,8 +39,8 @@ def test_sample_then_projection_prunes_the_scan(spark):
     # samplers rank key columns only and join the chosen keys back lazily: a projection of the
     # sample must not read unrelated columns
     li = table(spark, SF_CHECK, "lineitem")
-    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
     smp = samplers.stratified(li, 300, "l_returnflag", key, 3).select("l_orderkey", "l_quantity")
     p = _plan(smp)
     schemas = [part.split("]")[0] for part in p.split("ReadSchema: ")[1:]]
-    assert schemas and all("l_shipdate" not in sch and "l_comment" not in sch and "l_tax" not in sch for sch in schemas)
+    assert schemas and all("l_linestatus" not in sch and "l_discount" not in sch and "l_tax" not in sch for sch in schemas)
