@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import t_quantile_sql, z_value
 from ..operators import bounds, samplers
-from ..plans.allocation import strata_sizes
+from ..plans.allocation import allocate, strata_sizes
 from ..sources.tables import table
 from .exact_q import stratified_sample_sql
 from .sampling_q import bottom_k_sql
@@ -137,9 +137,11 @@ def stratified_bounds_sql(method: str, conf: float, sample_sql: str = LI_STRAT,
 
 
 def _li_stratified(spark, d, method):
+    # one sizes pass serves both the allocation and the stratum weights of the bounds
     li = table(spark, d, "lineitem")
-    smp = samplers.stratified(li, 600, "l_returnflag", LI_KEY, 42)
-    return bounds.stratified_bounds(smp, "l_extendedprice", "l_returnflag", strata_sizes(li, "l_returnflag"), method, 0.95)
+    sizes = strata_sizes(li, "l_returnflag").persist()
+    smp = samplers.from_plan(li, allocate(sizes, 600, "l_returnflag", "proportional"), "l_returnflag", LI_KEY, 42)
+    return bounds.stratified_bounds(smp, "l_extendedprice", "l_returnflag", sizes, method, 0.95)
 
 
 @register("bounds_stratified", stratified_bounds_sql("normal", 0.95))

@@ -310,3 +310,11 @@ def sized(df: DataFrame, key: str | Sequence[str], size: int | None = None, erro
             raise ValueError("Either size or error_margin must be specified")
         size = required_sample_size(error_margin, N, confidence)
     return simple_random(df, min(size, N), key, seed, total=N)
+
+
+def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> int:
+    """Number of key values that occur more than once. Every sampler assumes a unique key (the
+    chosen keys are joined back to the input); this optional check costs one aggregation over the
+    key columns (partial counts map-side)."""
+    keys = as_list(key)
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).count()

@@ -114,3 +114,13 @@ def test_large_k_path_is_exact(events, monkeypatch):
     got = samplers.simple_random(events, 1500, "event_id", 21).select("event_id")
     want = events.orderBy(priority("event_id", 21), key_string("event_id")).limit(1500).select("event_id")
     assert got.count() == 1500 and got.subtract(want).count() == 0
+
+
+def test_duplicate_key_check(spark, events):
+    from conftest import SF_SMALL
+    from approxspark.sources.tables import table
+
+    assert samplers.duplicate_keys(events, "event_id") == 0
+    li = table(spark, SF_SMALL, "lineitem")
+    assert samplers.duplicate_keys(li, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]) == 1
+    assert samplers.duplicate_keys(li, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]) == 0
