@@ -19,10 +19,22 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", small_r
 
 def spread_for_cpu(df: DataFrame) -> DataFrame:
     """Round-robin the rows over all cores before a CPU-heavy per-row stage (hashing), but only
-    when the scan produced fewer splits than the cluster has cores (small inputs stored as a
-    single row group). Large inputs already have many splits and are left untouched, so no
-    shuffle is added at scale."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    when the input is too small to give every core a split (fewer files than cores and fewer
+    bytes than cores x maxPartitionBytes, e.g. a single-row-group file). Large inputs already have
+    many splits and are left untouched, so no shuffle is added at scale. Decided from file
+    metadata only (no Spark job)."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= cores:
+        return df
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in files:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        total += path.getFileSystem(conf).getFileStatus(path).getLen()
+    split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b").rstrip("B") or 134217728)
+    if total < cores * split:
         return df.repartition(cores)
     return df
