@@ -34,7 +34,19 @@ def spread_for_cpu(df: DataFrame) -> DataFrame:
     for f in files:
         path = jvm.org.apache.hadoop.fs.Path(f)
         total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    split = int(str(spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728")).rstrip("b").rstrip("B") or 134217728)
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
     if total < cores * split:
         return df.repartition(cores)
     return df
+
+
+def _bytes(text: str, default: int = 128 * 1024 * 1024) -> int:
+    """Parse a Spark byte-size setting ('134217728b', '128m', '1g', '4096')."""
+    t = str(text).strip().lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    try:
+        if t and t[-1] in units:
+            return int(float(t[:-1]) * units[t[-1]])
+        return int(t)
+    except ValueError:
+        return default
