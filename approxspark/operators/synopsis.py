@@ -51,23 +51,20 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         ]
     wide = df.agg(*exprs)
     null_d = F.lit(None).cast("double")
+    # the row count and every numeric column's stats come from the ONE wide aggregate row
+    structs = [
+        F.struct(F.lit("*").alias("column"), F.lit("rows").alias("kind"), F.col("__rows").alias("count"),
+                 null_d.alias("mean"), null_d.alias("std"), null_d.alias("min"), null_d.alias("max"), null_d.alias("sum"))
+    ] + [
+        F.struct(F.lit(c).alias("column"), F.lit("numeric").alias("kind"), F.col(f"{c}__count").alias("count"),
+                 F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"),
+                 F.col(f"{c}__max").alias("max"), F.col(f"{c}__sum").alias("sum"))
+        for c in numeric
+    ]
     parts = [
-        wide.select(F.lit("*").alias("column"), F.lit("rows").alias("kind"), F.lit(None).cast("string").alias("value"),
-                    F.col("__rows").alias("count"), null_d.alias("mean"), null_d.alias("std"), null_d.alias("min"),
-                    null_d.alias("max"), null_d.alias("sum"))
+        wide.select(F.explode(F.array(*structs)).alias("p")).select(
+            "p.column", "p.kind", F.lit(None).cast("string").alias("value"), "p.count", "p.mean", "p.std", "p.min", "p.max", "p.sum")
     ]
-    if numeric:
-        structs = [
-            F.struct(F.lit(c).alias("column"), F.col(f"{c}__count").alias("count"), F.col(f"{c}__mean").alias("mean"),
-                     F.col(f"{c}__std").alias("std"), F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max"),
-                     F.col(f"{c}__sum").alias("sum"))
-            for c in numeric
-        ]
-        parts.append(
-            wide.select(F.explode(F.array(*structs)).alias("p")).select(
-                "p.column", F.lit("numeric").alias("kind"), F.lit(None).cast("string").alias("value"),
-                "p.count", "p.mean", "p.std", "p.min", "p.max", "p.sum")
-        )
     if categorical:
         # every categorical column in ONE scan: explode (column, value) pairs; map-side partial
         # counts keep the shuffle at (distinct values per task) rows
