@@ -115,12 +115,14 @@ def approx_agg(
             }
         )
         return res
+    # only the aggregated columns ride along with the sample (pruned scans, no second pass)
+    needed = [c for kind, c, _a in aggs if c and kind != "count_distinct"]
     if by:
         plan = allocate(sizes, n, by, "min_one", total=N)
-        sample = samplers.from_plan(df, plan, by, key, seed)
+        sample = samplers.from_plan(df, plan, by, key, seed, carry=needed)
         sizes.unpersist()
     else:
-        sample = samplers.simple_random(df, n, key, seed, total=N)
+        sample = samplers.simple_random(df, n, key, seed, total=N, carry=needed)
     if by:
         pop, take = F.max("pop_n"), F.max("take_n")
     else:

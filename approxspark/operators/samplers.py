@@ -43,8 +43,14 @@ def _threshold_col(n_col, N_col, factor: float):
     return F.least(F.lit(TWO_POW_32).cast("double"), F.ceil(frac * F.lit(float(TWO_POW_32))).cast("double"))
 
 
-def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, total: int | None = None) -> DataFrame:
-    """K rows without replacement (all rows when k >= N). Adds ``sampling_weight`` = N / n."""
+def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, total: int | None = None,
+                  carry: Sequence[str] | None = None) -> DataFrame:
+    """K rows without replacement (all rows when k >= N). Adds ``sampling_weight`` = N / n.
+
+    By default the chosen keys are joined back to the lazy input (later projections prune the
+    scan). With ``carry`` (the columns the caller will use) those columns ride along with the
+    candidates and the persisted sample is returned directly: same pruning, no second scan.
+    """
     if k < 0:
         raise ValueError("sample size must be non-negative")
     N = df.count() if total is None else total
@@ -54,7 +60,8 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
     pr = priority(key, seed)
     # rank on the key columns only; the chosen keys are joined back to the lazy input at the end,
     # so later projections still prune the scan
-    src = spread_for_cpu(df.select(*keys))
+    carried = list(dict.fromkeys(keys + [c for c in (carry or []) if c not in keys]))
+    src = spread_for_cpu(df.select(*carried))
     factor = 1.0
     while True:
         thr = _threshold(k, N, factor)
@@ -72,8 +79,11 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
             break
         out.unpersist()
         factor *= 4.0
+    weight = F.lit(N / k if k else 0.0)
+    if carry is not None:
+        return out.select(*carried).withColumn("sampling_weight", weight)
     chosen = out.select(*keys)
-    return join_small(df, chosen, keys, "inner", small_rows=k).withColumn("sampling_weight", F.lit(N / k if k else 0.0))
+    return join_small(df, chosen, keys, "inner", small_rows=k).withColumn("sampling_weight", weight)
 
 
 def _large_k(cand: DataFrame, k: int, key) -> DataFrame | None:
@@ -97,12 +107,14 @@ def _large_k(cand: DataFrame, k: int, key) -> DataFrame | None:
     return None
 
 
-def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str | Sequence[str], seed: int = 42) -> DataFrame:
+def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str | Sequence[str], seed: int = 42,
+              carry: Sequence[str] | None = None) -> DataFrame:
     """Draw ``take_n`` bottom-priority rows per stratum for a plan (by, pop_n, take_n).
 
     Output: the input columns plus ``pop_n``, ``take_n`` and ``sampling_weight`` = pop_n / take_n.
     Only the key and stratum columns are ranked and persisted; the chosen keys (at most the
     sample size, checked) are joined back to the lazy input, so later projections prune the scan.
+    With ``carry`` those columns ride along and the persisted sample is returned (no second scan).
     """
     by = as_list(by)
     keys = as_list(key)
@@ -111,7 +123,8 @@ def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str
     strata, expected, max_n = stats["h"], stats["n"] or 0, stats["m"] or 0
     pr = priority(key, seed)
     w = Window.partitionBy(*by).orderBy(F.col(PRIO), key_string(key))
-    src = spread_for_cpu(df.select(*dict.fromkeys(by + keys)))
+    carried = list(dict.fromkeys(by + keys + list(carry or [])))
+    src = spread_for_cpu(df.select(*carried))
     factor = 1.0
     while True:
         thr_plan = plan.withColumn("_thr", hex_threshold_col(_threshold_col(F.col("take_n"), F.col("pop_n"), factor).cast("bigint")))
@@ -128,10 +141,12 @@ def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str
         out.unpersist()
         factor *= 4.0
     plan.unpersist()
+    weight = F.col("pop_n") / F.col("take_n")
+    if carry is not None:
+        # the caller named every column it needs: return the persisted sample (no second scan)
+        return out.select(*carried, "pop_n", "take_n").withColumn("sampling_weight", weight)
     chosen = out.select(*keys, "pop_n", "take_n")
-    return join_small(df, chosen, keys, "inner", small_rows=expected).withColumn(
-        "sampling_weight", F.col("pop_n") / F.col("take_n")
-    )
+    return join_small(df, chosen, keys, "inner", small_rows=expected).withColumn("sampling_weight", weight)
 
 
 def stratified(
