@@ -153,7 +153,7 @@ def sampled_scalar(df: DataFrame, aggs, k: int, key, seed: int = 42) -> DataFram
     COUNT is truncated to an integer as in the reference (int(n * N / n)).
     """
     N = df.count()
-    sample = samplers.simple_random(df, k, key, seed, total=N)
+    sample = samplers.simple_random(df, k, key, seed, total=N, carry=[c for _k, c, _a in aggs if c])
     n = min(k, N)
     out = []
     for kind, col, alias in aggs:
