@@ -159,6 +159,8 @@ def stratified(
     value_col: str | None = None,
 ) -> DataFrame:
     """Stratified sample of total size about k under an allocation rule."""
+    if rule == "neyman" and value_col is None:
+        raise ValueError("Neyman allocation needs value_col (the stratum standard deviations)")
     sizes = strata_sizes(df, by, value_col if rule == "neyman" else None)
     plan = allocate(sizes, k, by, rule)
     return from_plan(df, plan, by, key, seed)
