@@ -35,11 +35,15 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (spark.checkpoint.dir).
 
-    Only when the session has none (local tests) do we set a fresh scratch folder.
+    Only when the session has none and runs in local mode (tests) do we set a fresh scratch folder;
+    on a cluster without the setting this raises instead of writing to machine-local disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        # executors cannot share a machine-local folder: a cluster must name a shared one
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
     folder = tempfile.mkdtemp(prefix="approxspark-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
