@@ -71,6 +71,8 @@ def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 4
         if k > LARGE_K:
             out = _large_k(cand, k, key)
             if out is None:
+                if thr >= TWO_POW_32:  # every row is a candidate and still fewer than k: impossible for k < N
+                    raise RuntimeError("bottom-k selection found fewer rows than the table holds")
                 factor *= 4.0
                 continue
             break
