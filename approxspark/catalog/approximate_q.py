@@ -239,3 +239,17 @@ def approx_agg_from_synopsis(spark, d):
 
     path = synopsis.build_stratified_sample(sales(spark, d), "category", "id", accuracy=95, seed=42, name="sales-by-category")
     return approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category", confidence=95)
+
+
+@register(
+    "approx_agg_with_profile_sizes",
+    approx_group_sql(f"SELECT * FROM {SALES_SQL}", "category", "id", FLAGSHIP_AGGS_SQL),
+)
+def approx_agg_with_profile_sizes(spark, d):
+    # stratum sizes come from the profile synopsis: the query itself is one pruned candidate pass
+    from ..operators import synopsis
+
+    s = sales(spark, d)
+    prof = synopsis.build_profile(s.select("category"), "sales-profile")
+    sizes = synopsis.strata_sizes_from_profile(spark, prof, "category")
+    return approximate.approx_agg(s, FLAGSHIP_AGGS, by="category", key="id", seed=42, sizes=sizes)

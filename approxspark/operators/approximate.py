@@ -83,6 +83,7 @@ def approx_agg(
     key: str | Sequence[str] = "id",
     seed: int = 42,
     sample_size: int | None = None,
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """Approximate aggregate query with the result envelope.
 
@@ -92,13 +93,18 @@ def approx_agg(
     group (E8). If N <= sample size the answer is exact (D18).
 
     Output columns: keys, aggregates, ``approx`` (bool), ``ci``, ``sample_size``, ``total_size``.
+
+    ``sizes`` (by..., pop_n), e.g. from the profile synopsis, replaces the stratum-size scan; it must
+    describe the same population, so it is refused together with ``where``.
     """
     _check(aggs)
     by = as_list(by)
     if where is not None:
         df = df.where(where)
+    if sizes is not None and (where is not None or not by):
+        raise ValueError("precomputed sizes need group keys and no predicate (they describe the whole table)")
     if by:
-        sizes = strata_sizes(df, by).persist()
+        sizes = (strata_sizes(df, by) if sizes is None else sizes.select(*by, F.col("pop_n").cast("long"))).persist()
         N = sizes.agg(F.sum("pop_n")).first()[0] or 0
     else:
         sizes = None

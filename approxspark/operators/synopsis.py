@@ -142,3 +142,12 @@ def build_stratified_sample(df: DataFrame, by: str | Sequence[str], key: str | S
     samplers.from_plan(df, plan, by, key, seed).write.mode("overwrite").parquet(path)
     sizes.unpersist()
     return path
+
+
+def strata_sizes_from_profile(spark, path: str, column: str, dtype: str = "string") -> DataFrame:
+    """Stratum sizes (column, pop_n) read from a profile synopsis' frequency rows, so an approximate
+    GROUP BY on ``column`` skips its sizing scan (see ``approximate.approx_agg(sizes=...)``)."""
+    p = spark.read.parquet(path)
+    return p.where((F.col("kind") == "frequency") & (F.col("column") == column)).select(
+        F.col("value").cast(dtype).alias(column), F.col("count").alias("pop_n")
+    )

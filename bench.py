@@ -73,6 +73,9 @@ def main() -> None:
         "avg_approx": lambda: approximate.approx_agg(s(), [("avg", "price", "avg_price")], key="id"),
         "group_by_approx": lambda: QUERIES["approx_group_by"](spark, d),
         "complex_approx": lambda: QUERIES["flagship_approx_agg"](spark, d),
+        # same query with stratum sizes read from the profile synopsis (one candidate pass)
+        "complex_approx_profile_sizes": lambda: approximate.approx_agg(
+            s(), FLAGSHIP_AGGS, by="category", key="id", sizes=synopsis.strata_sizes_from_profile(spark, profile_path["p"], "category")),
         # GROUP BY answered from the stratified-sample synopsis (built once, as the reference's cache)
         "sample_synopsis_build": build_sample,
         "group_by_from_synopsis": lambda: from_sample([("count", None, "count")]),
