@@ -44,9 +44,10 @@ def stream_source(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def _run(stream: DataFrame, mode: str, handler: Callable[[DataFrame, int], None], name: str) -> int:
+def _run(stream: DataFrame, mode: str, handler: Callable[[DataFrame, int], None], name: str,
+         ckpt: str | None = None) -> int:
     spark = stream.sparkSession
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    ckpt = ckpt or scratch_path(spark, f"{name}-ckpt")
     q = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(handler)
@@ -101,7 +102,8 @@ def running_cms(events: DataFrame, key: str) -> DataFrame:
 
 
 def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed: int, name: str,
-                     strata: str | Sequence[str] | None = None, counts: bool = False) -> dict[str, str]:
+                     strata: str | Sequence[str] | None = None, counts: bool = False,
+                     path: str | None = None) -> dict[str, str]:
     """Bottom-k reservoir (per stratum) maintained by foreachBatch; with ``counts`` also the
     exact running row count per stratum (merged the same way). Returns the final state paths.
 
@@ -109,13 +111,16 @@ def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed:
     are dropped first; the batch's own bottom-k is drawn with the thresholded samplers (so a hot
     stratum in a large batch never lands whole in one task); then that bounded part is merged with
     the previous version (both at most k rows per stratum).
+
+    ``path`` keeps state and checkpoint in a named folder, so a later run (e.g. after a driver
+    restart, or when new files arrive) resumes from the last committed batch.
     """
     from pyspark.sql import Window
 
     from ..operators import samplers
 
     spark = stream.sparkSession
-    out = scratch_path(spark, name)
+    out = path or scratch_path(spark, name)
     strata = as_list(strata)
     order = [F.col("_prio"), key_string(key)]
     versions: list[int] = []
@@ -158,7 +163,9 @@ def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed:
         if batch_id not in versions:
             versions.append(batch_id)
 
-    _run(stream, "append", handler, name)
+    _run(stream, "append", handler, name, ckpt=f"{out}/_checkpoint")
+    if not versions:
+        raise RuntimeError(f"stream {name} had no new data")
     last = max(versions)
     paths = {"reservoir": f"{out}/reservoir/batch={last}", "batches": str(len(versions))}
     if counts:

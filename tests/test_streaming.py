@@ -27,3 +27,28 @@ def test_stream_reservoir_equals_batch(spark, events):
     want = samplers.reservoir(cols, 25, "event_id", 4, strata="event_type").select("event_id")
     assert int(paths["batches"]) >= 3
     assert got.count() == want.count() == 125 and got.subtract(want).count() == 0
+
+
+def test_reservoir_resumes_after_restart(spark, events):
+    # first run sees half of the files; new files arrive; a second run (fresh query object, same
+    # state folder and checkpoint) resumes from the last committed version
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from approxspark.operators import samplers
+    from approxspark.session import scratch_path
+
+    cols = events.select("event_id", "event_type")
+    src = scratch_path(spark, "t-restart-src")
+    state = tempfile.mkdtemp(prefix="t-restart-state-", dir=scratch_path(spark, "t-restart"))
+    cols.where(F.col("event_id") < 5000).repartitionByRange(2, "event_id").write.mode("append").parquet(src)
+    first = synopses.reservoir_stream(synopses.stream_source(spark, src, cols.schema), 30, "event_id", 6, "t-restart",
+                                      strata="event_type", path=state)
+    cols.where(F.col("event_id") >= 5000).repartitionByRange(2, "event_id").write.mode("append").parquet(src)
+    second = synopses.reservoir_stream(synopses.stream_source(spark, src, cols.schema), 30, "event_id", 6, "t-restart",
+                                       strata="event_type", path=state)
+    assert first["reservoir"] != second["reservoir"]
+    got = spark.read.parquet(second["reservoir"]).select("event_id")
+    want = samplers.reservoir(cols, 30, "event_id", 6, strata="event_type").select("event_id")
+    assert got.count() == want.count() == 150 and got.subtract(want).count() == 0
