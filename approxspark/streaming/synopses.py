@@ -64,11 +64,12 @@ def _run(stream: DataFrame, mode: str, handler: Callable[[DataFrame, int], None]
     return len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0])
 
 
-def run_versioned(stream: DataFrame, mode: str, name: str) -> tuple[DataFrame, list[str]]:
+def run_versioned(stream: DataFrame, mode: str, name: str, path: str | None = None) -> tuple[DataFrame, list[str]]:
     """Run a streaming aggregate to completion; each micro-batch's output is written as version
-    ``batch=<id>``. Returns (final version, paths of all versions in order)."""
+    ``batch=<id>``. Returns (final version, paths of this run's versions in order). With ``path``
+    the versions and the checkpoint (state store) live in a named folder, so a later run resumes."""
     spark = stream.sparkSession
-    out = scratch_path(spark, name)
+    out = path or scratch_path(spark, name)
     written: list[int] = []
 
     def handler(batch: DataFrame, batch_id: int) -> None:
@@ -76,7 +77,7 @@ def run_versioned(stream: DataFrame, mode: str, name: str) -> tuple[DataFrame, l
         if batch_id not in written:
             written.append(batch_id)
 
-    _run(stream, mode, handler, name)
+    _run(stream, mode, handler, name, ckpt=f"{out}/_checkpoint")
     if not written:
         raise RuntimeError(f"stream {name} produced no batch")
     paths = [f"{out}/batch={b}" for b in sorted(written)]

@@ -52,3 +52,26 @@ def test_reservoir_resumes_after_restart(spark, events):
     got = spark.read.parquet(second["reservoir"]).select("event_id")
     want = samplers.reservoir(cols, 30, "event_id", 6, strata="event_type").select("event_id")
     assert got.count() == want.count() == 150 and got.subtract(want).count() == 0
+
+
+def test_running_aggregate_resumes(spark, events):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from approxspark.session import scratch_path
+
+    cols = events.select("event_id", "event_type", "value")
+    src = scratch_path(spark, "t-agg-src")
+    state = tempfile.mkdtemp(prefix="t-agg-state-", dir=scratch_path(spark, "t-agg"))
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum("value").alias("s")]
+    cols.where(F.col("event_id") < 4000).write.mode("append").parquet(src)
+    synopses.run_versioned(synopses.running_aggregates(synopses.stream_source(spark, src, cols.schema), aggs, "event_type"),
+                           "complete", "t-agg", path=state)
+    cols.where(F.col("event_id") >= 4000).write.mode("append").parquet(src)
+    final, _ = synopses.run_versioned(synopses.running_aggregates(synopses.stream_source(spark, src, cols.schema), aggs, "event_type"),
+                                      "complete", "t-agg", path=state)
+    want = cols.groupBy("event_type").agg(*aggs)
+    got = {r["event_type"]: (r["n"], round(r["s"], 4)) for r in final.collect()}
+    exp = {r["event_type"]: (r["n"], round(r["s"], 4)) for r in want.collect()}
+    assert got == exp
