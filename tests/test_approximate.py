@@ -37,3 +37,27 @@ def test_multi_key_where_matches_brute_force(spark):
     assert got.select(*cols).subtract(want.select(*cols)).count() == 0
     assert want.select(*cols).subtract(got.select(*cols)).count() == 0
     assert got.agg(F.max("total_size")).first()[0] == N
+
+
+def test_distinct_comes_from_hll_over_the_filtered_table(spark):
+    from approxspark.sources.tables import sales
+
+    s = sales(spark, SF_CHECK)
+    where = F.col("price") > 150000
+    got = approximate.approx_agg(s, [("count", None, "n"), ("count_distinct", "user_id", "users")], by="category",
+                                 where=where, key="id")
+    exact = s.where(where).groupBy("category").agg(F.count_distinct("user_id").alias("exact"))
+    rows = got.join(exact, "category").collect()
+    assert len(rows) == 5
+    assert all(abs(r["users"] - r["exact"]) <= 0.05 * r["exact"] for r in rows)
+
+
+def test_ungrouped_distinct_and_select_rows(spark):
+    from approxspark.sources.tables import sales
+
+    s = sales(spark, SF_CHECK)
+    r = approximate.approx_agg(s, [("sum", "price", "total"), ("count_distinct", "user_id", "users")], key="id").first()
+    exact_users = s.select("user_id").distinct().count()
+    assert abs(r["users"] - exact_users) <= 0.05 * exact_users and r["approx"] and r["sample_size"] == 1000
+    rows = approximate.approx_select(s, ["id", "price"], 300, "id", 3, where=F.col("category") == "BUILDING")
+    assert rows.count() == 300 and rows.columns == ["id", "price"]
