@@ -170,6 +170,8 @@ def stratified_bounds(
     df = min(n_h) - 1.
     """
     validate_config(confidence, method)
+    if method not in ("normal", "student_t"):
+        raise ValueError("stratified bounds are normal or student_t; for a bootstrap use bootstrap_bounds on the pooled sample")
     strata = as_list(strata)
     per = _moments(sample, value, strata)
     n_total = strata_sizes.agg(F.sum("pop_n")).first()[0] or 0

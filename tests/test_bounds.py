@@ -84,3 +84,13 @@ def test_coverage_is_near_nominal(spark, events):
         (F.col("estimate") + F.col("m")).alias("upper_bound"))
     cov = evaluate.coverage(reps, truth).first()
     assert cov["runs"] == 100 and 0.88 <= cov["interval_coverage"] <= 1.0
+
+
+def test_stratified_bounds_refuses_other_methods(events):
+    import pytest
+
+    from approxspark.plans.allocation import strata_sizes
+
+    s = samplers.stratified(events, 200, "event_type", "event_id", 1)
+    with pytest.raises(ValueError):
+        bounds.stratified_bounds(s, "value", "event_type", strata_sizes(events, "event_type"), "bootstrap")
