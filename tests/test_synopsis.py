@@ -30,3 +30,13 @@ def test_profile_counts(spark, events):
     rows = p.where(F.col("kind") == "frequency").agg(F.sum("count")).first()[0]
     assert rows == events.count()
     assert synopsis.count_from_profile(spark, synopsis.build_profile(events.select("event_type"), "t-prof")).first()["count"] == events.count()
+
+
+def test_profile_sizes_for_numeric_strata(spark, events):
+    # the profile stores values as text; sizes are cast back to the stratum column's type
+    ev = events.select("event_id", "user_id", F.col("user_id").cast("string").alias("uid"), "value")
+    path = synopsis.build_profile(ev.select("uid"), "t-prof-num")
+    sizes = synopsis.strata_sizes_from_profile(spark, path, "uid").select(F.col("uid").cast("long").alias("user_id"), "pop_n")
+    direct = approximate.approx_agg(events, [("avg", "value", "v")], by="user_id", key="event_id", seed=3)
+    via = approximate.approx_agg(events, [("avg", "value", "v")], by="user_id", key="event_id", seed=3, sizes=sizes)
+    assert direct.subtract(via).count() == 0 and via.subtract(direct).count() == 0
