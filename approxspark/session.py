@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "approxspark") -> SparkSession:
@@ -51,13 +53,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written intermediate tables / stream state."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" in base:
-        import uuid
-
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    os.makedirs(base, exist_ok=True)
-    return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
+    """A fresh folder name below the shared checkpoint folder, for written intermediate tables / stream state.
+
+    The folder is addressed as the cluster names it (any scheme Spark can write) and is made by the
+    first writer, never by the driver's own file calls.
+    """
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders through the Hadoop filesystem API (missing ones are fine)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+
+
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once to the shared folder and read it back: a lineage cut that survives lost executors."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once a Spark context, so that their Python workers can import it
+    wherever the driver found it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_approxspark_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="approxspark-"), "approxspark_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in names:
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.relpath(os.path.join(folder, n), os.path.dirname(root)))
+    sc.addPyFile(archive)
+    sc._approxspark_shipped = True
