@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import exact_dedup, mixing, packing
+from . import exact_dedup, minhash_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +72,23 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+@register(
+    "op1_minhash_dedup",
+    """
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+    n AS (SELECT doc_id, CAST(coalesce(len(s), 0) AS BIGINT) AS n_shingles FROM s),
+    x AS (SELECT doc_id, len(s) AS n, unnest(s) AS h FROM s),
+    l AS (SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 75 * greatest(a.n, b.n)
+          GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+    c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a)
+    SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM n JOIN c ON doc_id = a
+    """,
+)
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
