@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import exact_dedup, minhash_dedup, mixing, packing
+from . import exact_dedup, language_id, minhash_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -92,3 +92,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    return language_id.identify(docs, model).withColumn("held_out", language_id.held_out())
