@@ -75,7 +75,7 @@ class Model:
     owner: np.ndarray
     centroids: np.ndarray
     idf: np.ndarray
-    floor: np.ndarray
+    floor: float
 
     def predict(self, text: str | None) -> tuple[str | None, float, bool]:
         """(language, cosine, rejected); the language is None without letters or without a learned language."""
@@ -86,7 +86,7 @@ class Model:
         scores = v @ self.centroids[at]
         best = int(np.argmax(scores))
         score = float(min(1.0, max(0.0, scores[best])))
-        return self.langs[self.owner[best]], score, score < self.floor[best]
+        return self.langs[self.owner[best]], score, score < self.floor
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,7 +131,8 @@ def _cluster(x: np.ndarray, k: int, turns: int = 8) -> np.ndarray:
 def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = 300, clusters: int = 4, margin: float = 0.5) -> Model:
     """Learn from labelled rows: idf over all of them, centroids from at most ``sample`` rows a language.
 
-    A centroid's rejection limit is ``margin`` times the least cosine among the sample's rows of its language.
+    The rejection limit is ``margin`` times the least cosine that any sampled row has to its language's
+    nearest centroid: what lies farther from all centroids than the learning rows do is rejected.
     """
     rows = rows.where(F.col(lang_col).isNotNull())
     df = rows.select(text_col).mapInArrow(_frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()  # DIMS + 1 rows at most
@@ -151,16 +152,15 @@ def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
         x = np.zeros(DIMS, np.float32)
         x[at] = v
         by_lang.setdefault(lang, []).append(x)
-    langs, owner, cents, floor = sorted(by_lang), [], [], []
+    langs, owner, cents, floor = sorted(by_lang), [], [], 1.0
     for i, lang in enumerate(langs):
         x = np.stack(by_lang.pop(lang))
         c = _cluster(x, clusters)
-        least = float(np.max(x @ c.T, axis=1).min())
+        floor = min(floor, margin * max(0.0, float(np.max(x @ c.T, axis=1).min())))
         cents.append(c)
         owner += [i] * len(c)
-        floor += [margin * max(0.0, least)] * len(c)
     centroids = np.ascontiguousarray(np.concatenate(cents).T) if cents else np.zeros((DIMS, 0), np.float32)
-    return Model(langs, np.array(owner, np.int64), centroids, idf, np.array(floor))
+    return Model(langs, np.array(owner, np.int64), centroids, idf, floor)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import exact_dedup, language_id, minhash_dedup, mixing, packing
+from . import exact_dedup, language_id, lm_scoring, minhash_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.where(~language_id.held_out()))
     return language_id.identify(docs, model).withColumn("held_out", language_id.held_out())
+
+
+@register("op8_lm_scoring")
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = language_id.held_out(mod=10, rest=0)
+    scores = lm_scoring.score(table(spark, sf_dir, "documents"), train=~held_out)
+    return scores.withColumn("held_out", held_out)
