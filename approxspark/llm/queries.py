@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import exact_dedup, language_id, lm_scoring, minhash_dedup, mixing, packing
+from . import exact_dedup, grammar, language_id, lm_scoring, minhash_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +106,9 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language_id.held_out(mod=10, rest=0)
     scores = lm_scoring.score(table(spark, sf_dir, "documents"), train=~held_out)
     return scores.withColumn("held_out", held_out)
+
+
+@register("op10_token_ids")
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks, _ = grammar.write(table(spark, sf_dir, "documents"))
+    return grammar.read(blocks).select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
