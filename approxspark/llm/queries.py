@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import exact_dedup, grammar, language_id, lm_scoring, minhash_dedup, mixing, packing
+from . import embedding_dedup, exact_dedup, grammar, language_id, lm_scoring, minhash_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +112,20 @@ def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks, _ = grammar.write(table(spark, sf_dir, "documents"))
     return grammar.read(blocks).select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@register(
+    "op9_embedding_dedup",
+    """
+    WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a),
+    c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a),
+    n AS (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY a)
+    SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM c LEFT JOIN n USING (vec_id)
+    """,
+)
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
