@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import embedding_dedup, exact_dedup, grammar, language_id, lm_scoring, minhash_dedup, mixing, packing
+from . import chat, embedding_dedup, exact_dedup, grammar, language_id, license_scan, lm_scoring, minhash_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +129,25 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@register(
+    "op7_chat_formatting",
+    """
+    WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos, {'r': role, 't': text} AS u,
+                      '<|im_start|>' || replace(coalesce(role, 'unknown'), '<|', '< |') || chr(10) || replace(coalesce(text, ''), '<|', '< |') || '<|im_end|>' || chr(10) AS said FROM conversations),
+    c AS (SELECT conv_id, list(u ORDER BY pos) AS l, string_agg(said, '' ORDER BY pos) AS chat FROM t GROUP BY conv_id),
+    k AS (SELECT min(conv_id) AS conv_id, count(*) AS n_copies, l, any_value(chat) AS chat FROM c GROUP BY l)
+    SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns, n_copies, chat FROM k
+    WHERE NOT EXISTS (SELECT 1 FROM k b WHERE b.l[1] = k.l[1] AND len(b.l) > len(k.l) AND b.l[1:len(k.l)] = k.l)
+    """,
+)
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+@register("op6_license_scan")
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table has no paths: a document is the file source/lang/doc_id
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.coalesce(F.col("doc_id").cast("string"), F.lit("unknown")))
+    return license_scan.scan(table(spark, sf_dir, "documents"), path=path)
