@@ -182,6 +182,18 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(predict, "doc_id long, lang_pred string, score double, rejected boolean")
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that aren't rejected, with their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index(text_col)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([not shared.value.predict(t.as_py())[2] for t in b.column(place)], pa.bool_()))
+
+    return docs.mapInArrow(judge, docs.schema)
+
+
 def held_out(id_col: str = "doc_id", mod: int = 4, rest: int = 2) -> Column:
     """Is crc32 of the id as text, modulo ``mod``, equal to ``rest``? (A null id is not held out.)"""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % mod == rest, F.lit(False))
