@@ -33,35 +33,45 @@ def sample_data(
     allocation: str = "proportional",
     n_bootstrap: int = 1000,
 ) -> tuple[DataFrame, DataFrame]:
-    """Draw a sample with ``method`` and estimate the mean of ``value`` with error bounds."""
+    """Draw a sample with ``method`` and estimate the mean of ``value`` with error bounds.
+
+    ``error_method`` is honoured for every sampler: ``normal`` takes the sampler's own design-based
+    interval (simple, stratified, cluster, systematic, reservoir, weighted), ``student_t`` and
+    ``bootstrap`` those of the sample (of the strata, for a stratified sample), ``non_parametric`` the
+    order statistics. A weighted sample's rows aren't alike, so that it only takes ``normal``.
+    """
     bounds.validate_config(confidence, error_method, n_bootstrap)
-    N = df.count()
+    if method not in SAMPLING_METHODS:
+        raise ValueError(f"{method!r} is not one of {SAMPLING_METHODS}")
+    if method == "weighted" and error_method != "normal":
+        raise ValueError("a weighted sample is estimated by inclusion probabilities: use error_method='normal'")
     if method == "simple":
-        smp = samplers.simple_random(df, size, key, seed, total=N)
+        smp, _, N = samplers.sized_random(df, lambda n: min(n, size), key, seed)
     elif method == "stratified":
         smp = samplers.stratified(df, size, strata, key, seed, allocation, value if allocation == "neyman" else None)
-        return smp, bounds.stratified_bounds(smp, value, strata, strata_sizes(df, strata), error_method
-                                             if error_method in ("normal", "student_t") else "normal", confidence)
+        sizes = strata_sizes(df, strata)
+        if error_method == "bootstrap":
+            return smp, bounds.stratified_bootstrap_bounds(smp, value, strata, sizes, key, n_bootstrap, confidence, seed)
+        if error_method != "non_parametric":
+            return smp, bounds.stratified_bounds(smp, value, strata, sizes, error_method, confidence)
     elif method == "cluster":
         smp = samplers.cluster(df, size, cluster, seed)
-        return smp, bounds.design_bounds(smp, value, "cluster", confidence, population=N)
     elif method == "systematic":
         smp = samplers.systematic(df, size, order_by, seed)
-        return smp, bounds.design_bounds(smp, value, "systematic", confidence, population=N)
     elif method == "reservoir":
         smp = samplers.reservoir(df, size, key, seed)
-        return smp, bounds.design_bounds(smp, value, "reservoir", confidence, population=N)
-    elif method == "weighted":
-        smp = samplers.weighted(df, size, key, weight, seed)
     else:
-        raise ValueError(f"unknown sampling method: {method}")
+        smp = samplers.weighted(df, size, key, weight, seed)
+        valid = df.where(F.col(weight).cast("double") > 0).where(~F.isnan(F.col(weight).cast("double"))).count()
+        return smp, bounds.weighted_bounds(smp, value, weight, confidence, population=valid)
+    N = N if method == "simple" else df.count()
     if error_method == "bootstrap":
-        b = bounds.bootstrap_bounds(smp, value, key, n_bootstrap, confidence, seed)
-    elif error_method == "non_parametric":
-        b = bounds.order_statistic_bounds(smp, value, confidence)
-    else:
-        b = bounds.mean_bounds(smp, value, error_method, confidence, population=N if method == "simple" else None)
-    return smp, b
+        return smp, bounds.bootstrap_bounds(smp, value, key, n_bootstrap, confidence, seed, population=N)
+    if error_method == "non_parametric":
+        return smp, bounds.order_statistic_bounds(smp, value, confidence, population=N)
+    if error_method == "normal" and method in ("cluster", "systematic", "reservoir"):
+        return smp, bounds.design_bounds(smp, value, method, confidence, population=N)
+    return smp, bounds.mean_bounds(smp, value, error_method, confidence, population=N)
 
 
 def describe(bounds_row: DataFrame) -> DataFrame:

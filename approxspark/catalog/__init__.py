@@ -21,5 +21,13 @@ def register(name: str, oracle: str | None = None):
     return deco
 
 
+def rounded(df, **digits: int):
+    """``df`` with the named columns rounded: sums of doubles differ in their last bits between engines,
+    so queries round where they are compared; operators never do."""
+    from pyspark.sql import functions as F
+
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
 def load_all() -> None:
     from . import approximate_q, bounds_q, evaluate_q, exact_q, sampling_q, sketches_q, sources_q, streaming_q  # noqa: F401

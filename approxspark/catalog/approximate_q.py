@@ -8,8 +8,10 @@ from ..operators import approximate, samplers
 from ..plans.sizing import ACCURACY_MAX_SAMPLE, ACCURACY_MIN_SAMPLE, ACCURACY_Z, ci_z
 from ..sources.tables import SALES_SQL, sales, table
 from .exact_q import stratified_sample_sql
-from . import register
+from . import register, rounded
 
+# the reference's limits of an accuracy-sized sample, which the operators don't impose
+REFERENCE_LIMITS = {"min_sample": ACCURACY_MIN_SAMPLE, "max_sample": ACCURACY_MAX_SAMPLE}
 FLAGSHIP_AGGS = [("count", None, "count"), ("avg", "price", "avg_price"), ("sum", "price", "sum_price")]
 
 
@@ -26,29 +28,33 @@ def approx_group_sql(src: str, by: str, key: str, aggs_sql: str, accuracy: float
     z = ci_z(confidence)
     return (
         f"WITH smp AS ({sample}), tot AS (SELECT count(*)::BIGINT AS total_size FROM ({src})) "
-        f"SELECT {by}, {aggs_sql}, true AS approx, round({z} / sqrt(count(*)), 6) AS ci, count(*)::BIGINT AS sample_size, "
+        f"SELECT {by}, {aggs_sql}, count(*) < any_value(pop_n) AS approx, CASE WHEN count(*) >= any_value(pop_n) THEN 0.0::DOUBLE ELSE round({z} / sqrt(count(*)), 6) END AS ci, count(*)::BIGINT AS sample_size, "
         f"any_value(total_size) AS total_size FROM smp, tot GROUP BY {by}"
     )
 
 
 FLAGSHIP_AGGS_SQL = (
     "any_value(pop_n)::BIGINT AS count, round(avg(price), 4) AS avg_price, "
-    "round(sum(price), 4) * any_value(pop_n) / any_value(take_n) AS sum_price"
+    "round(sum(price) * any_value(pop_n) / any_value(take_n), 2) AS sum_price"
 )
 
 
 def flagship(spark, d):
     """The reference's "Complex" query, approximately: category, COUNT(*), AVG(price), SUM(price)
     FROM sales GROUP BY category WITH ACCURACY 95% WITHIN 95% CONFIDENCE."""
-    return approximate.approx_agg(sales(spark, d), FLAGSHIP_AGGS, by="category", accuracy=95, confidence=95, key="id", seed=42)
+    res = approximate.approx_agg(sales(spark, d), FLAGSHIP_AGGS, by="category", accuracy=95, confidence=95, key="id", seed=42, **REFERENCE_LIMITS)
+    return rounded(res, avg_price=4, sum_price=2, ci=6)
 
 
 register("flagship_approx_agg", approx_group_sql(f"SELECT * FROM {SALES_SQL}", "category", "id", FLAGSHIP_AGGS_SQL))(flagship)
 
 
-from .sampling_q import bottom_k_sql  # noqa: E402
+from ..functions.keys import sql_key, sql_priority  # noqa: E402
+from .sampling_q import NULL_EVENTS, bottom_k_sql, null_events  # noqa: E402
+from .sketches_q import cms_sql  # noqa: E402
 from ..plans.allocation import allocate, strata_sizes  # noqa: E402
-from ..plans.sizing import size_for_accuracy, size_for_shape  # noqa: E402
+from ..plans.sizing import delivered_accuracy, size_for_accuracy, size_for_shape  # noqa: E402
+from ..session import store  # noqa: E402
 
 SALES_SRC = f"SELECT * FROM {SALES_SQL}"
 
@@ -56,7 +62,7 @@ SALES_SRC = f"SELECT * FROM {SALES_SQL}"
 register(
     "approx_group_by",
     approx_group_sql(SALES_SRC, "category", "id", "any_value(pop_n)::BIGINT AS count"),
-)(lambda spark, d: approximate.approx_agg(sales(spark, d), [("count", None, "count")], by="category", key="id"))
+)(lambda spark, d: rounded(approximate.approx_agg(sales(spark, d), [("count", None, "count")], by="category", key="id", **REFERENCE_LIMITS), ci=6))
 
 LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 LI_AGGS = [
@@ -67,7 +73,7 @@ LI_AGGS = [
     ("max", "l_tax", "max_tax"),
 ]
 LI_AGGS_SQL = (
-    "any_value(pop_n)::BIGINT AS count, round(sum(l_quantity), 4) * any_value(pop_n) / any_value(take_n) AS sum_qty, "
+    "any_value(pop_n)::BIGINT AS count, round(sum(l_quantity) * any_value(pop_n) / any_value(take_n), 2) AS sum_qty, "
     "round(avg(l_extendedprice), 4) AS avg_price, min(l_discount) AS min_discount, max(l_tax) AS max_tax"
 )
 
@@ -77,16 +83,17 @@ LI_AGGS_SQL = (
     approx_group_sql("SELECT * FROM lineitem", "l_returnflag", LI_KEY, LI_AGGS_SQL, accuracy=97, confidence=99, seed=3),
 )
 def approx_group_by_complex(spark, d):
-    return approximate.approx_agg(table(spark, d, "lineitem"), LI_AGGS, by="l_returnflag", accuracy=97, confidence=99, key=LI_KEY, seed=3)
+    res = approximate.approx_agg(table(spark, d, "lineitem"), LI_AGGS, by="l_returnflag", accuracy=97, confidence=99, key=LI_KEY, seed=3, **REFERENCE_LIMITS)
+    return rounded(res, sum_qty=2, avg_price=4, ci=6)
 
 
 SRS_1000 = bottom_k_sql(SALES_SRC, "id", 1000, 42)
 N_SALES = f"(SELECT count(*) FROM {SALES_SQL})"
 
 
-@register("sampled_sum", f"SELECT round(sum(price), 4) * {N_SALES} / 1000 AS sum_price FROM ({SRS_1000})")
+@register("sampled_sum", f"SELECT round(sum(price) * {N_SALES} / 1000, 2) AS sum_price FROM ({SRS_1000})")
 def sampled_sum(spark, d):
-    return approximate.sampled_scalar(sales(spark, d), [("sum", "price", "sum_price")], 1000, "id", 42)
+    return rounded(approximate.sampled_scalar(sales(spark, d), [("sum", "price", "sum_price")], 1000, "id", 42), sum_price=2)
 
 
 @register(
@@ -95,9 +102,7 @@ def sampled_sum(spark, d):
 )
 def sampled_count(spark, d):
     # D10 grouped: n_g x N / n from a simple random sample, truncated to an integer
-    s = sales(spark, d)
-    N = s.count()
-    smp = samplers.simple_random(s, 1000, "id", 42, total=N)
+    smp, _, N = samplers.sized_random(sales(spark, d), lambda n: min(n, 1000), "id", 42)
     return smp.groupBy("category").agg(F.floor(F.count(F.lit(1)) * F.lit(N) / F.lit(1000)).cast("long").alias("count"))
 
 
@@ -123,23 +128,28 @@ def distinct_by_sample_ratio(spark, d):
     return approximate.sampled_scalar(sales(spark, d), [("count_distinct", "user_id", "distinct_users")], 1000, "id", 42)
 
 
-PLAN_SRC = f"SELECT * FROM {SALES_SQL} WHERE price > 100000"
-
-
 @register(
     "sample_plan_by_accuracy",
-    f"WITH src AS ({PLAN_SRC}), n AS (SELECT {accuracy_size_sql(95, 'count(*)')} AS k, count(*) AS N FROM src) "
+    f"WITH src AS ({SALES_SRC}), n AS (SELECT {accuracy_size_sql(95, 'count(*)')} AS k, count(*) AS N FROM src) "
     "SELECT category, count(*)::BIGINT AS pop_n, least(count(*), greatest(1, floor(any_value(k) * count(*) / any_value(N))))::BIGINT AS take_n, "
     "any_value(k)::BIGINT AS sample_total FROM src, n GROUP BY category",
 )
 def sample_plan_by_accuracy(spark, d):
-    # D14 as a plan: sizes per group over the filtered table, total from the accuracy target
-    src = sales(spark, d).where(F.col("price") > 100000)
-    sizes = strata_sizes(src, "category").persist()
-    N = sizes.agg(F.sum("pop_n")).first()[0]
-    k = size_for_accuracy(95, N)
-    plan = allocate(sizes, k, "category", "min_one")
-    return plan.select("category", F.col("pop_n").cast("long"), "take_n", F.lit(k).cast("long").alias("sample_total"))
+    # D14 as a plan: sizes per group, total from the accuracy target within the reference's limits
+    sizes, _ = store(strata_sizes(sales(spark, d), "category"), "sizes")
+    k = size_for_accuracy(95, sizes.agg(F.sum("pop_n")).first()[0], ACCURACY_MIN_SAMPLE, ACCURACY_MAX_SAMPLE)
+    return allocate(sizes, k, "category", "min_one").select("category", "pop_n", "take_n", F.lit(k).cast("long").alias("sample_total"))
+
+
+ACCURATE_K = int(ACCURACY_Z**2 * 0.25 / ((100 - 99.9) / 100.0) ** 2)
+
+
+@register("sample_size_by_accuracy", f"SELECT count(*)::BIGINT AS population, least(count(*), {ACCURATE_K})::BIGINT AS take_n, count(*) <= {ACCURATE_K} AS complete FROM lineitem")
+def sample_size_by_accuracy(spark, d):
+    # D14 without limits: 99.9 asks for 960,400 rows, and gets them or all there are
+    n = table(spark, d, "lineitem").agg(F.count(F.lit(1)).alias("population"))
+    N = n.first()[0]
+    return n.select("population", F.lit(size_for_accuracy(99.9, N)).cast("long").alias("take_n"), F.lit(delivered_accuracy(size_for_accuracy(99.9, N), N) == 100.0).alias("complete"))
 
 
 SHAPE_K_SQL = "CAST(10000 * 2 * 1.5 * (1 + (0.95 - 0.95) * 4) AS BIGINT)"
@@ -154,8 +164,7 @@ SHAPE_K_SQL = "CAST(10000 * 2 * 1.5 * (1 + (0.95 - 0.95) * 4) AS BIGINT)"
 def sample_plan_by_shape(spark, d):
     # Grouped query with three aggregates at target 0.95 -> 10000 x 2 x 1.5
     k = size_for_shape(grouped=True, n_aggregates=3, accuracy_target=0.95)
-    sizes = strata_sizes(table(spark, d, "lineitem"), "l_returnflag")
-    plan = allocate(sizes, k, "l_returnflag", "min_one")
+    plan = allocate(strata_sizes(table(spark, d, "lineitem"), "l_returnflag"), k, "l_returnflag", "min_one")
     return plan.select("l_returnflag", F.col("pop_n").cast("long"), "take_n", F.lit(k).cast("long").alias("sample_total"))
 
 
@@ -174,9 +183,10 @@ CI_LEVELS = [(90, 1.645), (95, 1.96), (99, 2.576)]
 def result_ci_by_confidence(spark, d):
     # Relative half-width z / sqrt(n_g) per group of the approximate GROUP BY sample
     s = sales(spark, d)
-    sizes = strata_sizes(s, "category").persist()
-    N = sizes.agg(F.sum("pop_n")).first()[0]
-    smp = samplers.from_plan(s, allocate(sizes, size_for_accuracy(95, N), "category", "min_one"), "category", "id", 42)
+    hist = samplers.histogram(s, "category", "id", 42)
+    sizes = samplers.sizes_of(hist, "category")
+    k = size_for_accuracy(95, sizes.agg(F.sum("pop_n")).first()[0], ACCURACY_MIN_SAMPLE, ACCURACY_MAX_SAMPLE)
+    smp = samplers.from_plan(s, allocate(sizes, k, "category", "min_one"), "category", "id", 42, hist)
     levels = F.array(*[F.struct(F.lit(c).alias("confidence"), F.lit(z).alias("z")) for c, z in CI_LEVELS])
     counts = smp.groupBy("category").agg(F.count(F.lit(1)).alias("n"))
     return counts.select("category", "n", F.explode(levels).alias("l")).select(
@@ -190,43 +200,31 @@ SALES_K_SQL = f"(SELECT {accuracy_size_sql(95, 'count(*)')} FROM {SALES_SQL})"
 @register(
     "approx_result_envelope",
     f"WITH smp AS ({bottom_k_sql(SALES_SRC, 'id', SALES_K_SQL, 42)}) "
-    f"SELECT round(sum(price), 4) * {N_SALES} / count(*) AS sum_price, round(avg(price), 4) AS avg_price, true AS approx, "
-    f"round(1.96 / sqrt(count(*)), 6) AS ci, count(*)::BIGINT AS sample_size, {N_SALES}::BIGINT AS total_size FROM smp",
+    f"SELECT round(sum(price) * {N_SALES} / count(*), 2) AS sum_price, round(avg(price), 4) AS avg_price, count(*) < {N_SALES} AS approx, "
+    f"CASE WHEN count(*) >= {N_SALES} THEN 0.0::DOUBLE ELSE round(1.96 / sqrt(count(*)), 6) END AS ci, count(*)::BIGINT AS sample_size, {N_SALES}::BIGINT AS total_size FROM smp",
 )
 def approx_result_envelope(spark, d):
-    return approximate.approx_agg(sales(spark, d), [("sum", "price", "sum_price"), ("avg", "price", "avg_price")], key="id")
-
-
-FALLBACK_SRC = f"SELECT * FROM {SALES_SQL} WHERE category = 'BUILDING'"
+    res = approximate.approx_agg(sales(spark, d), [("sum", "price", "sum_price"), ("avg", "price", "avg_price")], key="id", **REFERENCE_LIMITS)
+    return rounded(res, sum_price=2, avg_price=4, ci=6)
 
 
 @register(
     "exact_fallback_small",
-    f"SELECT count(*)::BIGINT AS count, round(sum(price), 2) AS sum_price, false AS approx, 0.0::DOUBLE AS ci, "
-    f"count(*)::BIGINT AS sample_size, count(*)::BIGINT AS total_size FROM ({FALLBACK_SRC})",
+    f"SELECT category, count(*)::BIGINT AS count, round(sum(price), 2) AS sum_price, false AS approx, 0.0::DOUBLE AS ci, "
+    f"count(*)::BIGINT AS sample_size, {N_SALES}::BIGINT AS total_size FROM {SALES_SQL} GROUP BY category",
 )
 def exact_fallback_small(spark, d):
-    # Accuracy 99.9 asks for min(100000, N) rows -> the population is small enough to answer exactly
-    res = approximate.approx_agg(
-        sales(spark, d), [("count", None, "count"), ("sum", "price", "sum_price")], where=F.col("category") == "BUILDING", accuracy=99.9, key="id"
-    )
-    return res.withColumn("sum_price", F.round("sum_price", 2))
+    # A sample of as many rows as there are answers exactly, whatever the size of the table
+    s = sales(spark, d)
+    res = approximate.approx_agg(s, [("count", None, "count"), ("sum", "price", "sum_price")], by="category", sample_size=s.count(), key="id")
+    return rounded(res, sum_price=2)
 
 
-@register(
-    "approx_select_rows",
-    bottom_k_sql(
-        f"SELECT * FROM {SALES_SQL} WHERE category = 'BUILDING'",
-        "id",
-        f"(SELECT {accuracy_size_sql(95, 'count(*)')} FROM {SALES_SQL} WHERE category = 'BUILDING')",
-        42,
-        "id, price",
-    ),
-)
+@register("approx_select_rows", bottom_k_sql(SALES_SRC, "id", SALES_K_SQL, 42, "id, price"))
 def approx_select_rows(spark, d):
-    s = sales(spark, d).where(F.col("category") == "BUILDING")
-    N = s.count()
-    return approximate.approx_select(s, ["id", "price"], size_for_accuracy(95, N), "id", 42)
+    s = sales(spark, d)
+    smp = samplers.sized_random(s, lambda n: size_for_accuracy(95, n, ACCURACY_MIN_SAMPLE, ACCURACY_MAX_SAMPLE), "id", 42)[0]
+    return smp.select("id", "price")
 
 
 @register(
@@ -237,19 +235,91 @@ def approx_agg_from_synopsis(spark, d):
     # the reference's GROUP BY path: a stratified sample synopsis built once, queries read it
     from ..operators import synopsis
 
-    path = synopsis.build_stratified_sample(sales(spark, d), "category", "id", accuracy=95, seed=42, name="sales-by-category")
-    return approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category", confidence=95)
+    path = synopsis.build_stratified_sample(sales(spark, d), "category", "id", accuracy=95, seed=42, name="sales-by-category", **REFERENCE_LIMITS)
+    res = approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category", confidence=95)
+    return rounded(res, avg_price=4, sum_price=2, ci=6)
+
+
+# stored synopses of sales, answered without the base table
+SAMPLE_K = 2000
+
+
+def sales_synopses(spark, d):
+    from ..operators import synopsis
+
+    return synopsis.build_sketches(sales(spark, d), "id", distinct=["user_id"], counts=["category"], strata=["category"], sample_size=SAMPLE_K, seed=42, name="sales-synopses")
+
+
+SALES_SRS = bottom_k_sql(SALES_SRC, "id", SAMPLE_K, 42)
 
 
 @register(
-    "approx_agg_with_profile_sizes",
-    approx_group_sql(f"SELECT * FROM {SALES_SQL}", "category", "id", FLAGSHIP_AGGS_SQL),
+    "synopsis_scalars",
+    f"SELECT {N_SALES}::BIGINT AS count, round(sum(price) * {N_SALES} / count(*), 0) AS sum_price, round(avg(price), 4) AS avg_price, count(*) < {N_SALES} AS approx, "
+    f"CASE WHEN count(*) >= {N_SALES} THEN 0.0::DOUBLE ELSE round(1.96 / sqrt(count(*)), 6) END AS ci, count(*)::BIGINT AS sample_size, {N_SALES}::BIGINT AS total_size FROM ({SALES_SRS})",
 )
-def approx_agg_with_profile_sizes(spark, d):
-    # stratum sizes come from the profile synopsis: the query itself is one pruned candidate pass
+def synopsis_scalars(spark, d):
+    # D9-D11 from the stored sample
+    sample = spark.read.parquet(sales_synopses(spark, d)["sample"])
+    res = approximate.approx_agg_from_sample(sample, [("count", None, "count"), ("sum", "price", "sum_price"), ("avg", "price", "avg_price")])
+    return rounded(res, sum_price=0, avg_price=4, ci=6)
+
+
+@register("synopsis_distinct", f"SELECT count(DISTINCT user_id)::BIGINT AS exact_distinct, true AS within_tolerance FROM {SALES_SQL}")
+def synopsis_distinct(spark, d):
+    # D2 from the stored HLL sketch, beside the exact count
     from ..operators import synopsis
 
-    s = sales(spark, d)
-    prof = synopsis.build_profile(s.select("category"), "sales-profile")
-    sizes = synopsis.strata_sizes_from_profile(spark, prof, "category")
-    return approximate.approx_agg(s, FLAGSHIP_AGGS, by="category", key="id", seed=42, sizes=sizes)
+    est = synopsis.distinct_from_sketch(spark, sales_synopses(spark, d)["hll"], "user_id").first()[0]
+    exact = sales(spark, d).agg(F.count_distinct("user_id").cast("long").alias("exact_distinct"))
+    return exact.select("exact_distinct", (F.abs(F.lit(est) - F.col("exact_distinct")) <= 0.05 * F.col("exact_distinct")).alias("within_tolerance"))
+
+
+@register(
+    "synopsis_group_counts",
+    f"WITH cms AS ({cms_sql(f'SELECT category FROM {SALES_SQL}', 'category')}), keys AS (SELECT DISTINCT category FROM {SALES_SQL}), "
+    "probe AS (SELECT category, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || category), 1, 8))::BIGINT % 2000)::INTEGER AS bucket FROM keys, range(5) AS g(r)) "
+    "SELECT category, min(cnt)::BIGINT AS count FROM probe JOIN cms USING (depth_row, bucket) GROUP BY category",
+)
+def synopsis_group_counts(spark, d):
+    # D8 from the stored Count-Min table; the keys are the strata of the stored sample
+    from ..operators import synopsis
+
+    paths = sales_synopses(spark, d)
+    keys = spark.read.parquet(paths["stratified"]).where(F.col("strata_column") == "category").select(F.col("strata_value").alias("category")).distinct()
+    return synopsis.counts_from_sketch(spark, paths["cms"], "category", keys)
+
+
+@register(
+    "synopsis_groups",
+    f"SELECT category, any_value(pop_n)::BIGINT AS count, round(avg(price), 4) AS avg_price, count(*)::BIGINT AS sample_size FROM "
+    f"(SELECT category, price, count(*) OVER (PARTITION BY category) AS pop_n, row_number() OVER (PARTITION BY category ORDER BY {sql_priority('id', 42)}, {sql_key('id')}) AS rn "
+    f"FROM {SALES_SQL}) WHERE rn <= {SAMPLE_K} GROUP BY category",
+)
+def synopsis_groups(spark, d):
+    # D13 from the stored per-value samples
+    stored = spark.read.parquet(sales_synopses(spark, d)["stratified"]).where(F.col("strata_column") == "category")
+    res = approximate.approx_agg_from_sample(stored, [("count", None, "count"), ("avg", "price", "avg_price")], "strata_value")
+    return rounded(res, avg_price=4).select(F.col("strata_value").alias("category"), "count", "avg_price", "sample_size")
+
+
+@register(
+    "approx_null_group",
+    approx_group_sql(NULL_EVENTS, "kind", "event_id", "any_value(pop_n)::BIGINT AS count, round(avg(value), 4) AS avg_value, round(sum(value) * any_value(pop_n) / any_value(take_n), 2) AS sum_value"),
+)
+def approx_null_group(spark, d):
+    # D13 / D21 with a NULL group, which is a group like any other
+    aggs = [("count", None, "count"), ("avg", "value", "avg_value"), ("sum", "value", "sum_value")]
+    return rounded(approximate.approx_agg(null_events(spark, d), aggs, by="kind", key="event_id", **REFERENCE_LIMITS), avg_value=4, sum_value=2, ci=6)
+
+
+@register(
+    "allocation_from_profile",
+    f"WITH src AS ({SALES_SRC}), n AS (SELECT count(*) AS N FROM src) SELECT category, count(*)::BIGINT AS pop_n, greatest(1, floor(1000 * count(*) / any_value(N)))::BIGINT AS take_n FROM src, n GROUP BY category",
+)
+def allocation_from_profile(spark, d):
+    # a plan whose stratum sizes come from the profile synopsis instead of a pass over the table
+    from ..operators import synopsis
+
+    prof = synopsis.build_profile(sales(spark, d), ["category"], "sales-profile")
+    return allocate(synopsis.strata_sizes_from_profile(spark, prof, "category"), 1000, "category", "min_one").select("category", "pop_n", "take_n")

@@ -4,13 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.keys import sql_key, sql_priority, sql_uniform
 from ..functions.stats import t_quantile_sql, z_value
 from ..operators import bounds, samplers
-from ..plans.allocation import allocate, strata_sizes
+from ..operators.joins import join_keys
+from ..plans.allocation import allocate
 from ..sources.tables import table
 from .exact_q import stratified_sample_sql
 from .sampling_q import bottom_k_sql
-from . import register
+from . import register, rounded
+
+def shown(df):
+    """Bounds rounded as the oracles round theirs."""
+    return rounded(df, estimate=4, lower_bound=4, upper_bound=4, margin_of_error=4, relative_error=6)
+
 
 FINITE_RAW = "NOT isnan(xr) AND abs(xr) < 'Infinity'::DOUBLE"
 FINITE = "x IS NOT NULL AND NOT isnan(x) AND abs(x) < 'Infinity'::DOUBLE"
@@ -65,12 +72,12 @@ def _events_srs(spark, d, k=1000, seed=42):
 
 @register("bounds_normal", mean_bounds_sql(SRS, "value", "normal", 0.95))
 def bounds_normal(spark, d):
-    return bounds.mean_bounds(_events_srs(spark, d), "value", "normal", 0.95)
+    return shown(bounds.mean_bounds(_events_srs(spark, d), "value", "normal", 0.95))
 
 
 @register("bounds_student_t", mean_bounds_sql(bottom_k_sql("SELECT * FROM events", "event_id", 25, 42), "value", "student_t", 0.95))
 def bounds_student_t(spark, d):
-    return bounds.mean_bounds(_events_srs(spark, d, 25), "value", "student_t", 0.95)
+    return shown(bounds.mean_bounds(_events_srs(spark, d, 25), "value", "student_t", 0.95))
 
 
 @register(
@@ -81,11 +88,10 @@ def bounds_student_t(spark, d):
 def bounds_fpc(spark, d):
     # finite population correction; with n = N the margin is 0
     ev = table(spark, d, "events")
-    N = ev.count()
-    smp = samplers.simple_random(ev, 1000, "event_id", 42, total=N)
+    smp, _, N = samplers.sized_random(ev, lambda n: min(n, 1000), "event_id", 42)
     a = bounds.mean_bounds(smp, "value", "normal", 0.90, population=N).select(F.lit("sample").alias("part"), "*")
     b = bounds.mean_bounds(ev, "value", "normal", 0.90, population=N).select(F.lit("census").alias("part"), "*")
-    return a.unionByName(b)
+    return shown(a.unionByName(b))
 
 
 def bootstrap_sql(src: str, value: str, order_key: str, B: int, conf: float, seed: int, stat: str = "avg(x)") -> str:
@@ -93,7 +99,7 @@ def bootstrap_sql(src: str, value: str, order_key: str, B: int, conf: float, see
     return (
         f"WITH r AS (SELECT x, row_number() OVER (ORDER BY {order_key}) - 1 AS idx FROM "
         f"(SELECT {order_key}, try_cast({value} AS DOUBLE) AS x FROM ({src})) WHERE {FINITE}), "
-        f"nn AS (SELECT count(*) AS n, avg(x) AS m FROM r), "
+        f"nn AS (SELECT count(*) AS n, {stat} AS m FROM r), "
         f"draws AS (SELECT id // n AS b, ('0x' || substr(md5('{seed}:' || CAST(id // n AS VARCHAR) || ':' || CAST(id % n AS VARCHAR)), 1, 8))::BIGINT % n AS idx "
         f"FROM nn, range(0, {B} * (SELECT n FROM nn)) AS g(id)), "
         f"reps AS (SELECT b, {stat} AS s FROM draws JOIN r USING (idx) GROUP BY b), "
@@ -107,14 +113,14 @@ BOOT_SRC = bottom_k_sql("SELECT * FROM events", "event_id", 200, 42)
 
 @register("bounds_bootstrap", bootstrap_sql(BOOT_SRC, "value", "event_id", 200, 0.95, 42))
 def bounds_bootstrap(spark, d):
-    return bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=200, confidence=0.95, seed=42)
+    return shown(bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=200, confidence=0.95, seed=42))
 
 
 @register("bounds_bootstrap_median", bootstrap_sql(BOOT_SRC, "value", "event_id", 200, 0.95, 43, stat="median(x)"))
 def bounds_bootstrap_median(spark, d):
     # A user estimator (any aggregate Column function)
-    return bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=200, confidence=0.95, seed=43,
-                                   estimator=F.median)
+    return shown(bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=200, confidence=0.95, seed=43,
+                                   estimator=F.median))
 
 
 LI_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
@@ -139,9 +145,10 @@ def stratified_bounds_sql(method: str, conf: float, sample_sql: str = LI_STRAT,
 def _li_stratified(spark, d, method):
     # one sizes pass serves both the allocation and the stratum weights of the bounds
     li = table(spark, d, "lineitem")
-    sizes = strata_sizes(li, "l_returnflag").persist()
-    smp = samplers.from_plan(li, allocate(sizes, 600, "l_returnflag", "proportional"), "l_returnflag", LI_KEY, 42)
-    return bounds.stratified_bounds(smp, "l_extendedprice", "l_returnflag", sizes, method, 0.95)
+    hist = samplers.histogram(li, "l_returnflag", LI_KEY, 42)
+    sizes = samplers.sizes_of(hist, "l_returnflag")
+    smp = samplers.from_plan(li, allocate(sizes, 600, "l_returnflag", "proportional"), "l_returnflag", LI_KEY, 42, hist)
+    return shown(bounds.stratified_bounds(smp, "l_extendedprice", "l_returnflag", sizes, method, 0.95))
 
 
 @register("bounds_stratified", stratified_bounds_sql("normal", 0.95))
@@ -167,7 +174,7 @@ def order_stat_sql(src: str, value: str, conf: float) -> str:
 
 @register("bounds_non_parametric", order_stat_sql(SRS, "value", 0.95))
 def bounds_non_parametric(spark, d):
-    return bounds.order_statistic_bounds(_events_srs(spark, d), "value", 0.95)
+    return shown(bounds.order_statistic_bounds(_events_srs(spark, d), "value", 0.95))
 
 
 def design_sql(src: str, value: str, design: str, conf: float, N: str) -> str:
@@ -189,12 +196,12 @@ CLUSTER_SRC = (
 @register("bounds_cluster", design_sql(CLUSTER_SRC, "value", "cluster", 0.95, N_EVENTS))
 def bounds_cluster(spark, d):
     ev = table(spark, d, "events")
-    return bounds.design_bounds(samplers.cluster(ev, 10, "user_id", 42), "value", "cluster", 0.95, population=ev.count())
+    return shown(bounds.design_bounds(samplers.cluster(ev, 10, "user_id", 42), "value", "cluster", 0.95, population=ev.count()))
 
 
 SYS_SRC = (
     "WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS rnk FROM orders), "
-    "n AS (SELECT count(*) AS N, ('0x' || substr(md5('42:start'), 1, 8))::BIGINT % count(*) AS r0 FROM orders), "
+    "n AS (SELECT count(*) AS N, ('0x' || substr(md5('42:start'), 1, 15))::BIGINT % count(*) AS r0 FROM orders), "
     "t AS (SELECT floor((r0 + j * N) / 600)::BIGINT AS rnk FROM n, range(600) AS g(j)) "
     "SELECT o_orderkey, o_totalprice FROM r JOIN t USING (rnk)"
 )
@@ -203,15 +210,15 @@ SYS_SRC = (
 @register("bounds_systematic", design_sql(SYS_SRC, "o_totalprice", "systematic", 0.95, "(SELECT count(*) FROM orders)"))
 def bounds_systematic(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    smp = samplers.systematic(orders, 600, "o_orderkey", 42, buckets=16)
-    return bounds.design_bounds(smp, "o_totalprice", "systematic", 0.95, population=orders.count())
+    smp = samplers.systematic(orders, 600, "o_orderkey", 42)
+    return shown(bounds.design_bounds(smp, "o_totalprice", "systematic", 0.95, population=orders.count()))
 
 
 @register("bounds_reservoir", design_sql(bottom_k_sql("SELECT * FROM events", "event_id", 1000, 11), "value", "reservoir", 0.99, N_EVENTS))
 def bounds_reservoir(spark, d):
     ev = table(spark, d, "events")
     smp = samplers.reservoir(ev, 1000, "event_id", 11)
-    return bounds.design_bounds(smp, "value", "reservoir", 0.99, population=ev.count())
+    return shown(bounds.design_bounds(smp, "value", "reservoir", 0.99, population=ev.count()))
 
 
 SPECIAL_X = (
@@ -229,7 +236,7 @@ def bounds_degenerate(spark, d):
     ev = table(spark, d, "events").select("event_id", "event_type", "value")
     one = samplers.reservoir(ev, 1, "event_id", 9, strata="event_type")
     raw = one.select("event_type", F.expr(SPECIAL_X.format(s="STRING")).alias("raw"))
-    return bounds.mean_bounds(raw, "raw", "student_t", 0.95, by="event_type")
+    return shown(bounds.mean_bounds(raw, "raw", "student_t", 0.95, by="event_type"))
 
 
 ZERO_SRC = f"SELECT event_type, CASE WHEN event_type = 'purchase' THEN 0.0 ELSE value END AS x0 FROM ({SRS})"
@@ -239,7 +246,7 @@ ZERO_SRC = f"SELECT event_type, CASE WHEN event_type = 'purchase' THEN 0.0 ELSE
 def bounds_derived(spark, d):
     # margin_of_error and relative_error (infinite when the estimate is 0)
     smp = _events_srs(spark, d).select("event_type", F.when(F.col("event_type") == "purchase", F.lit(0.0)).otherwise(F.col("value")).alias("x0"))
-    return bounds.mean_bounds(smp, "x0", "normal", 0.95, by="event_type")
+    return shown(bounds.mean_bounds(smp, "x0", "normal", 0.95, by="event_type"))
 
 
 EV_STRAT = stratified_sample_sql("SELECT * FROM events", "event_type", "event_id", 1000, 42)
@@ -249,7 +256,7 @@ EV_STRAT = stratified_sample_sql("SELECT * FROM events", "event_type", "event_id
 def bounds_by_group(spark, d):
     # one bounds row per group, each with its own population size
     smp = samplers.stratified(table(spark, d, "events"), 1000, "event_type", "event_id", 42)
-    return bounds.mean_bounds(smp, "value", "student_t", 0.95, population="pop_n", by=["event_type", "pop_n"])
+    return shown(bounds.mean_bounds(smp, "value", "student_t", 0.95, population="pop_n", by=["event_type", "pop_n"]))
 
 
 @register(
@@ -261,10 +268,9 @@ def bounds_by_group(spark, d):
 )
 def bounds_validate(spark, d):
     ev = table(spark, d, "events")
-    N = ev.count()
-    smp = samplers.simple_random(ev, 1000, "event_id", 42, total=N)
+    smp, _, N = samplers.sized_random(ev, lambda n: min(n, 1000), "event_id", 42)
     rows = bounds.order_statistic_bounds(smp, "value", 0.95).unionByName(bounds.mean_bounds(smp, "value", "normal", 0.95, population=N))
-    return bounds.validate_rows(rows)
+    return shown(bounds.validate_rows(rows))
 
 
 @register(
@@ -276,4 +282,54 @@ def sample_data_facade(spark, d):
     from ..api import sample_data
 
     _smp, b = sample_data(table(spark, d, "events"), 800, "simple", "value", "event_id", 0.99, "student_t", seed=5)
-    return b.select(F.lit("simple").alias("sampler"), "*")
+    return shown(b.select(F.lit("simple").alias("sampler"), "*"))
+
+
+def stratified_bootstrap_sql(sample_sql: str, value: str, strata: str, key: list[str], population: str, B: int, conf: float, seed: int) -> str:
+    alpha = (1 - conf) / 2
+    return (
+        f"WITH r AS (SELECT {strata}, x, row_number() OVER (ORDER BY {strata}, {', '.join(key)}) - 1 AS place FROM "
+        f"(SELECT *, try_cast({value} AS DOUBLE) AS x FROM ({sample_sql})) WHERE {FINITE}), "
+        f"sizes AS (SELECT {strata}, count(*)::DOUBLE AS Nh, sum(count(*)) OVER ()::DOUBLE AS Ntot FROM {population} GROUP BY {strata}), "
+        f"per AS (SELECT {strata}, count(*) AS nh, min(place) AS lo_at, avg(x) AS mean FROM r GROUP BY {strata}), "
+        f"h AS (SELECT *, Nh / Ntot AS w FROM per JOIN sizes USING ({strata})), "
+        f"draws AS (SELECT b, w, nh, lo_at + ('0x' || substr(md5('{seed}:' || CAST(b AS VARCHAR) || ':' || CAST(place AS VARCHAR)), 1, 8))::BIGINT % nh AS place "
+        f"FROM r JOIN h USING ({strata}), range({B}) AS g(b)), "
+        "reps AS (SELECT b, sum(w / nh * x) AS s FROM draws JOIN (SELECT place, x FROM r) USING (place) GROUP BY b), "
+        f"q AS (SELECT sum(nh)::BIGINT AS n, sum(w * mean) AS m, any_value(Ntot)::BIGINT AS NN, (SELECT quantile_cont(s, {alpha!r}) FROM reps) AS lo, "
+        f"(SELECT quantile_cont(s, {1 - alpha!r}) FROM reps) AS hi FROM h) "
+        + finish_sql("q", [], "m", "lo", "hi", conf, "stratified_bootstrap", "BOOTSTRAP", "NN", str(B))
+    )
+
+
+@register("bounds_stratified_bootstrap", stratified_bootstrap_sql(LI_STRAT, "l_extendedprice", "l_returnflag", LI_KEY, "lineitem", 100, 0.95, 7))
+def bounds_stratified_bootstrap(spark, d):
+    # F4 for strata: every replicate redraws within each stratum
+    li = table(spark, d, "lineitem")
+    hist = samplers.histogram(li, "l_returnflag", LI_KEY, 42)
+    sizes = samplers.sizes_of(hist, "l_returnflag")
+    smp = samplers.from_plan(li, allocate(sizes, 600, "l_returnflag"), "l_returnflag", LI_KEY, 42, hist)
+    return shown(bounds.stratified_bootstrap_bounds(smp, "l_extendedprice", "l_returnflag", sizes, LI_KEY, 100, 0.95, 7))
+
+
+WEIGHTED_SRC = (
+    "WITH w AS (SELECT o_orderkey, o_totalprice, count(*) OVER (PARTITION BY o_orderpriority)::DOUBLE AS wt FROM orders), "
+    f"e AS (SELECT *, ln({sql_uniform(sql_priority('o_orderkey', 42))}) / wt AS es_key FROM w) "
+    f"SELECT * FROM e ORDER BY es_key DESC, {sql_key('o_orderkey')} LIMIT 300"
+)
+
+
+@register(
+    "bounds_weighted",
+    f"WITH s AS ({WEIGHTED_SRC}), t AS (SELECT max(-es_key) AS t FROM s), "
+    "u AS (SELECT o_totalprice::DOUBLE AS x, 1 - exp(-wt * t) AS p FROM s, t WHERE -es_key < t), "
+    "g AS (SELECT sum(x / p) / sum(1 / p) AS m, sum(1 / p) AS h, count(*) AS n FROM u), "
+    f"b AS (SELECT any_value(g.n) AS n, any_value(m) AS m, {z_value(0.95)!r} * sqrt(sum((1 - p) / (p * p) * (x - m) * (x - m))) / any_value(h) AS margin FROM u, g) "
+    + finish_sql("b", [], "m", "m - margin", "m + margin", 0.95, "weighted", "NORMAL", "(SELECT count(*) FROM orders)"),
+)
+def bounds_weighted(spark, d):
+    # The mean of a weighted sample by inverse inclusion probability
+    orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    sizes = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).cast("double").alias("wt"))
+    smp = samplers.weighted(join_keys(orders, sizes, "o_orderpriority"), 300, "o_orderkey", "wt", 42)
+    return shown(bounds.weighted_bounds(smp, "o_totalprice", "wt", 0.95, population=orders.count()))

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from ..functions.stats import z_value
 from ..operators import approximate, bounds, evaluate, samplers
 from ..plans.allocation import strata_sizes
-from ..plans.sizing import size_for_accuracy
+from ..plans.sizing import ACCURACY_MAX_SAMPLE, ACCURACY_MIN_SAMPLE, size_for_accuracy
 from ..sources.tables import SALES_SQL, sales, table
-from .approximate_q import FLAGSHIP_AGGS, FLAGSHIP_AGGS_SQL, approx_group_sql
-from .bounds_q import SRS, bootstrap_sql, mean_bounds_sql, order_stat_sql, stratified_bounds_sql
+from .approximate_q import REFERENCE_LIMITS, FLAGSHIP_AGGS, FLAGSHIP_AGGS_SQL, approx_group_sql
+from .bounds_q import SRS, bootstrap_sql, mean_bounds_sql, order_stat_sql, shown, stratified_bounds_sql
 from .exact_q import stratified_sample_sql
 from .sampling_q import bottom_k_sql
 from . import register
@@ -22,7 +22,7 @@ SRS_SALES = bottom_k_sql(SALES_SRC, "id", 1000, 42)
 @register(
     "error_scalar",
     f"WITH e AS (SELECT sum(price) AS ex, count(*) AS n FROM {SALES_SQL}), a AS (SELECT sum(price) AS s FROM ({SRS_SALES})) "
-    "SELECT round(ex, 2) AS exact_sum, round(s, 4) * n / 1000 AS approx_sum, round(abs(ex - round(s, 4) * n / 1000) / ex * 100, 4) AS error_pct FROM e, a",
+    "SELECT round(ex, 2) AS exact_sum, round(s * n / 1000, 2) AS approx_sum, round(abs(ex - s * n / 1000) / ex * 100, 4) AS error_pct FROM e, a",
 )
 def error_scalar(spark, d):
     s = sales(spark, d)
@@ -30,7 +30,7 @@ def error_scalar(spark, d):
     ex = s.agg(F.sum("price").alias("ex"))
     # the sampled total is a scalar; the exact one is computed over the whole table
     return ex.select(
-        F.round("ex", 2).alias("exact_sum"), F.lit(approx).alias("approx_sum"),
+        F.round("ex", 2).alias("exact_sum"), F.round(F.lit(approx), 2).alias("approx_sum"),
         F.round(evaluate.error_pct(F.col("ex"), F.lit(approx)), 4).alias("error_pct"),
     )
 
@@ -52,7 +52,7 @@ ERR_COLS = ["count", "avg_price", "sum_price"]
 def error_by_group(spark, d):
     s = sales(spark, d)
     ex = s.groupBy("category").agg(F.count(F.lit(1)).alias("count"), F.avg("price").alias("avg_price"), F.sum("price").alias("sum_price"))
-    ap = approximate.approx_agg(s, FLAGSHIP_AGGS, by="category", key="id", seed=42)
+    ap = approximate.approx_agg(s, FLAGSHIP_AGGS, by="category", key="id", seed=42, **REFERENCE_LIMITS)
     return evaluate.error_by_group(ex, ap, "category", ERR_COLS)
 
 
@@ -82,7 +82,7 @@ def ci_coverage(spark, d):
     s = sales(spark, d).select("id", "price")
     N = s.count()
     truth = s.agg(F.avg("price")).first()[0]
-    smp = samplers.replicates(s, "id", COVERAGE_SEEDS, [(c, size_for_accuracy(c * 100, N)) for c in CONFS], total=N)
+    smp = samplers.replicates(s, "id", COVERAGE_SEEDS, [(c, size_for_accuracy(c * 100, N, ACCURACY_MIN_SAMPLE, ACCURACY_MAX_SAMPLE)) for c in CONFS], total=N)
     z = F.element_at(F.create_map(*[x for c in CONFS for x in (F.lit(c), F.lit(z_value(c)))]), F.col("size_label"))
     m = F.first(z) * F.stddev_samp("price") / F.sqrt(F.count(F.lit(1)))
     reps = smp.groupBy("size_label", "seed").agg(F.avg("price").alias("estimate"), m.alias("_m")).select(
@@ -161,7 +161,7 @@ CMP_COLS = "method, estimate, lower_bound, upper_bound, margin_of_error"
 def method_comparison(spark, d):
     # H6: estimate +- margin of each method over the same data
     ev = table(spark, d, "events")
-    srs = samplers.simple_random(ev, 1000, "event_id", 42).persist()
+    srs = samplers.simple_random(ev, 1000, "event_id", 42)
     strat = samplers.stratified(ev, 1000, "event_type", "event_id", 42)
     rows = [
         bounds.mean_bounds(srs, "value", "normal", 0.95),
@@ -172,6 +172,6 @@ def method_comparison(spark, d):
     ]
     out = None
     for r in rows:
-        r = r.select("method", "estimate", "lower_bound", "upper_bound", "margin_of_error")
+        r = shown(r).select("method", "estimate", "lower_bound", "upper_bound", "margin_of_error")
         out = r if out is None else out.unionByName(r)
     return out

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import exact, samplers
 from ..sources.tables import SALES_SQL, sales, table
 from ..functions.keys import sql_key, sql_priority
-from . import register
+from . import register, rounded
 
 SALES = SALES_SQL
 
@@ -100,7 +100,7 @@ def exact_sum(spark, d):
 
 @register("exact_avg", f"SELECT round(avg(price), 4) AS avg_price FROM {SALES}")
 def exact_avg(spark, d):
-    return exact.exact_agg(sales(spark, d), [("avg", "price", None)])
+    return rounded(exact.exact_agg(sales(spark, d), [("avg", "price", None)]), avg_price=4)
 
 
 @register("exact_min_max", f"SELECT min(price) AS min_price, max(price) AS max_price FROM {SALES}")
@@ -120,9 +120,8 @@ def group_by_count(spark, d):
 )
 def group_by_multi_key(spark, d):
     li = table(spark, d, "lineitem")
-    return exact.exact_agg(
-        li, [("count", None, None), ("sum", "l_quantity", None), ("avg", "l_extendedprice", None)], by=["l_returnflag", "l_linestatus"]
-    ).withColumn("sum_l_quantity", F.round("sum_l_quantity", 2))
+    aggs = [("count", None, None), ("sum", "l_quantity", None), ("avg", "l_extendedprice", None)]
+    return rounded(exact.exact_agg(li, aggs, by=["l_returnflag", "l_linestatus"]), sum_l_quantity=2, avg_l_extendedprice=4)
 
 
 @register(
@@ -134,7 +133,7 @@ def group_by_multi_key(spark, d):
 def group_by_complex(spark, d):
     aggs = [("count", None, None), ("avg", "price", None), ("sum", "price", None), ("count_distinct", "user_id", None),
             ("min", "price", None), ("max", "price", None)]
-    return exact.exact_agg(sales(spark, d), aggs, by="category").withColumn("sum_price", F.round("sum_price", 2))
+    return rounded(exact.exact_agg(sales(spark, d), aggs, by="category"), sum_price=2, avg_price=4)
 
 
 _PROFILE_COLS = ["event_id", "user_id", "value"]
@@ -152,7 +151,7 @@ def _profile_sql(cols):
 
 @register("numeric_profile", _profile_sql(_PROFILE_COLS))
 def numeric_profile(spark, d):
-    return exact.numeric_profile(table(spark, d, "events"), _PROFILE_COLS)
+    return rounded(exact.numeric_profile(table(spark, d, "events"), _PROFILE_COLS), mean=4, std=4, sum=4)
 
 
 @register("value_frequencies", "SELECT event_type, count(*)::BIGINT AS frequency FROM events GROUP BY event_type")
@@ -166,9 +165,8 @@ def value_frequencies(spark, d):
     f"FROM {SALES} GROUP BY category",
 )
 def category_stats(spark, d):
-    return exact.exact_agg(sales(spark, d), [("count", None, None), ("avg", "price", None), ("sum", "price", None)], by="category").withColumn(
-        "sum_price", F.round("sum_price", 2)
-    )
+    stats = exact.exact_agg(sales(spark, d), [("count", None, None), ("avg", "price", None), ("sum", "price", None)], by="category")
+    return rounded(stats, sum_price=2, avg_price=4)
 
 
 def stratified_sample_sql(src: str, by: str, key, k, seed: int, value: str | None = None, rule: str = "proportional") -> str:
@@ -202,7 +200,7 @@ def stratified_sample_sql(src: str, by: str, key, k, seed: int, value: str | Non
         f"plan0 AS (SELECT {by}, pop_n, base + ({extra}) AS take_n FROM based), "
         f"plan AS (SELECT {by}, pop_n, least(take_n, pop_n) AS take_n FROM plan0 WHERE least(take_n, pop_n) > 0), "
         f"cand AS (SELECT src.*, plan.pop_n, plan.take_n, row_number() OVER (PARTITION BY src.{by} ORDER BY {prio}, {sql_key(key)}) AS rn "
-        f"FROM src JOIN plan USING ({by})) "
+        f"FROM src JOIN plan ON src.{by} IS NOT DISTINCT FROM plan.{by}) "
         f"SELECT * EXCLUDE (rn), pop_n / take_n AS sampling_weight FROM cand WHERE rn <= take_n"
     )
 
@@ -218,7 +216,7 @@ def stratified_sample_sql(src: str, by: str, key, k, seed: int, value: str | Non
 def stratum_summary(spark, d):
     ev = table(spark, d, "events")
     smp = samplers.stratified(ev, 500, "event_type", "event_id", 42)
-    return exact.stratum_summary(ev, smp, "event_type", "value")
+    return rounded(exact.stratum_summary(ev, smp, "event_type", "value"), pop_mean=4, pop_std=4, sample_mean=4, sample_std=4)
 
 
 @register(

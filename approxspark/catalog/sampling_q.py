@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import sql_key, sql_priority, sql_uniform
 from ..functions.stats import z_value
 from ..operators import samplers
+from ..operators.joins import join_keys
 from ..plans.sizing import required_sample_size
 from ..sources.tables import table
 from .exact_q import stratified_sample_sql
@@ -36,9 +37,7 @@ def sample_simple_random(spark, d):
 )
 def sample_by_error_margin(spark, d):
     ev = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
-    N = ev.count()
-    k = min(N, required_sample_size(0.05, N))
-    return samplers.simple_random(ev, k, "event_id", 42, total=N).drop("sampling_weight")
+    return samplers.sized(ev, "event_id", error_margin=0.05, seed=42).drop("sampling_weight")
 
 
 @register(
@@ -134,9 +133,7 @@ def sample_weighted(spark, d):
     # a window over a hot group would put a third of the table in one task)
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     sizes = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).cast("double").alias("wt"))
-    from ..operators.joins import join_small
-
-    weighted = join_small(orders, sizes, "o_orderpriority")
+    weighted = join_keys(orders, sizes, "o_orderpriority")
     return samplers.weighted(weighted, 300, "o_orderkey", "wt", 42).select("o_orderkey")
 
 
@@ -152,13 +149,13 @@ def sample_cluster(spark, d):
 @register(
     "sample_systematic",
     "WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS rnk FROM orders), "
-    "n AS (SELECT count(*) AS N, ('0x' || substr(md5('42:start'), 1, 8))::BIGINT % count(*) AS r0 FROM orders), "
+    "n AS (SELECT count(*) AS N, ('0x' || substr(md5('42:start'), 1, 15))::BIGINT % count(*) AS r0 FROM orders), "
     "t AS (SELECT floor((r0 + j * N) / 600)::BIGINT AS rnk FROM n, range(600) AS g(j)) "
     "SELECT o_orderkey, o_totalprice FROM r JOIN t USING (rnk)",
 )
 def sample_systematic(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return samplers.systematic(orders, 600, "o_orderkey", 42, buckets=16).select("o_orderkey", "o_totalprice")
+    return samplers.systematic(orders, 600, "o_orderkey", 42).select("o_orderkey", "o_totalprice")
 
 
 @register("sample_reservoir", bottom_k_sql("SELECT * FROM events", "event_id", 1000, 11, "event_id, value"))
@@ -188,11 +185,10 @@ SEED_PAIRS = [(42, 42), (42, 43), (42, 7)]
 @register("sample_reproducible", " UNION ALL ".join(_overlap_sql(a, b, 1000) for a, b in SEED_PAIRS))
 def sample_reproducible(spark, d):
     ev = table(spark, d, "events").select("event_id")
-    N = ev.count()
     out = None
     for a, b in SEED_PAIRS:
-        sa = samplers.simple_random(ev, 1000, "event_id", a, total=N).select("event_id")
-        sb = samplers.simple_random(ev, 1000, "event_id", b, total=N).select("event_id")
+        sa = samplers.simple_random(ev, 1000, "event_id", a).select("event_id")
+        sb = samplers.simple_random(ev, 1000, "event_id", b).select("event_id")
         row = sa.join(sb, "event_id").agg(F.count(F.lit(1)).cast("long").alias("overlap")).select(
             F.lit(a).alias("seed_a"), F.lit(b).alias("seed_b"), "overlap"
         )
@@ -235,3 +231,69 @@ def union_samples(spark, d):
     second = samplers.reservoir(ev.where(F.col("ts") >= mid), 400, "event_id", 3)
     return samplers.reservoir(first.unionByName(second), 400, "event_id", 3).select("event_id")
 
+
+
+# samples by keys that repeat or are partly NULL: which of equal keys' rows are drawn isn't said, so the keys are compared
+DUP_KEY = ["l_orderkey"]
+
+
+@register("sample_repeated_key", bottom_k_sql("SELECT * FROM lineitem", DUP_KEY, 50, 42, "l_orderkey"))
+def sample_repeated_key(spark, d):
+    return samplers.simple_random(table(spark, d, "lineitem"), 50, DUP_KEY, 42).select("l_orderkey")
+
+
+NULL_EVENTS = "SELECT event_id, user_id, value, nullif(event_type, 'error') AS kind FROM events"
+
+
+def null_events(spark, d):
+    return table(spark, d, "events").select("event_id", "user_id", "value", F.expr("nullif(event_type, 'error')").alias("kind"))
+
+
+@register("sample_null_key_part", bottom_k_sql(NULL_EVENTS, ["kind", "user_id"], 100, 42, "kind, user_id"))
+def sample_null_key_part(spark, d):
+    return samplers.simple_random(null_events(spark, d), 100, ["kind", "user_id"], 42).select("kind", "user_id")
+
+
+@register(
+    "sample_null_stratum",
+    f"SELECT event_id, kind, pop_n::BIGINT AS pop_n, take_n::BIGINT AS take_n FROM ({stratified_sample_sql(NULL_EVENTS, 'kind', 'event_id', 1000, 42)})",
+)
+def sample_null_stratum(spark, d):
+    s = samplers.stratified(null_events(spark, d), 1000, "kind", "event_id", 42)
+    return s.select("event_id", "kind", F.col("pop_n").cast("long"), F.col("take_n").cast("long"))
+
+
+@register(
+    "sample_reservoir_null_stratum",
+    f"SELECT event_id, kind FROM (SELECT event_id, kind, row_number() OVER (PARTITION BY kind ORDER BY {sql_priority('event_id', 11)}, {sql_key('event_id')}) AS rn "
+    f"FROM ({NULL_EVENTS})) WHERE rn <= 50",
+)
+def sample_reservoir_null_stratum(spark, d):
+    return samplers.reservoir(null_events(spark, d), 50, "event_id", 11, strata="kind").select("event_id", "kind")
+
+
+def margin_size_sql(n: str, margin: float) -> str:
+    n0 = N0_95 / (margin * margin)
+    return f"least({n}, ceil({n0!r} * {n} / ({n0!r} + {n} - 1)))::BIGINT"
+
+
+@register(
+    "sample_cluster_by_margin",
+    f"WITH u AS (SELECT DISTINCT user_id FROM events), r AS (SELECT user_id, row_number() OVER (ORDER BY {sql_priority('user_id', 42)}, {sql_key('user_id')}) AS rn FROM u), "
+    f"k AS (SELECT {margin_size_sql('count(*)', 0.2)} AS k FROM u) "
+    "SELECT event_id, user_id FROM events WHERE user_id IN (SELECT user_id FROM r, k WHERE rn <= k)",
+)
+def sample_cluster_by_margin(spark, d):
+    return samplers.cluster(table(spark, d, "events").select("event_id", "user_id"), None, "user_id", 42, error_margin=0.2)
+
+
+@register(
+    "sample_systematic_by_margin",
+    "WITH r AS (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) - 1 AS rnk FROM orders), "
+    f"n AS (SELECT count(*) AS N, {margin_size_sql('count(*)', 0.05)} AS k, ('0x' || substr(md5('42:start'), 1, 15))::BIGINT % count(*) AS r0 FROM orders), "
+    "t AS (SELECT ((r0 + j * N) // k)::BIGINT AS rnk FROM n, range((SELECT k FROM n)) AS g(j)) "
+    "SELECT o_orderkey, o_totalprice FROM r JOIN t USING (rnk)",
+)
+def sample_systematic_by_margin(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return samplers.systematic(orders, None, "o_orderkey", 42, error_margin=0.05).select("o_orderkey", "o_totalprice")

@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import sketches, synopsis
+from ..operators.joins import join_keys
 from ..sources.tables import SALES_SQL, sales, table
-from . import register
+from .sampling_q import NULL_EVENTS, null_events
+from . import register, rounded
 
 TOL = 0.05
 
@@ -25,12 +27,10 @@ def _within(est, exact):
     f"SELECT count(DISTINCT user_id)::BIGINT AS exact_distinct, true AS within_tolerance FROM {SALES_SQL}",
 )
 def approx_distinct(spark, d):
+    # the sketch has an aggregate of its own: beside an exact distinct count it would be built per value
     s = sales(spark, d)
-    r = s.agg(
-        F.count_distinct("user_id").cast("long").alias("exact_distinct"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("user_id", sketches.HLL_LG_K)).alias("est"),
-    )
-    return r.select("exact_distinct", _within(F.col("est"), F.col("exact_distinct")))
+    est = sketches.hll_estimate(s, "user_id", alias="est").first()[0]
+    return s.agg(F.count_distinct("user_id").cast("long").alias("exact_distinct")).select("exact_distinct", _within(F.lit(est), F.col("exact_distinct")))
 
 
 @register(
@@ -39,10 +39,8 @@ def approx_distinct(spark, d):
 )
 def approx_distinct_by_group(spark, d):
     ev = table(spark, d, "events")
-    r = ev.groupBy("event_type").agg(
-        F.count_distinct("user_id").cast("long").alias("exact_distinct"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("user_id", sketches.HLL_LG_K)).alias("est"),
-    )
+    exact = ev.groupBy("event_type").agg(F.count_distinct("user_id").cast("long").alias("exact_distinct"))
+    r = join_keys(exact, sketches.hll_estimate(ev, "user_id", "event_type", alias="est"), "event_type")
     return r.select("event_type", "exact_distinct", _within(F.col("est"), F.col("exact_distinct")))
 
 
@@ -66,7 +64,7 @@ def hll_union_parts(spark, d):
 
 def cms_sql(src: str, key: str, width: int = sketches.CMS_WIDTH, depth: int = sketches.CMS_DEPTH) -> str:
     return (
-        f"SELECT r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % {width})::INTEGER AS bucket, "
+        f"SELECT r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || coalesce(CAST({key} AS VARCHAR), '\\N')), 1, 8))::BIGINT % {width})::INTEGER AS bucket, "
         f"count(*)::BIGINT AS cnt FROM ({src}), range({depth}) AS g(r) GROUP BY 1, 2"
     )
 
@@ -108,7 +106,7 @@ def cms_group_counts(spark, d):
     return sketches.cms_estimate(s, "category", cms, alias="count")
 
 
-PROFILE_NUMERIC = ["value", "user_id"]
+PROFILE_NUMERIC = ["event_id", "user_id", "value"]
 
 
 def _profile_oracle() -> str:
@@ -124,34 +122,55 @@ def _profile_oracle() -> str:
 
 @register("build_profile", _profile_oracle())
 def build_profile(spark, d):
-    ev = table(spark, d, "events").select("value", "user_id", "event_type")
-    path = synopsis.build_profile(ev, "profile_events")
-    return spark.read.parquet(path)
+    path = synopsis.build_profile(table(spark, d, "events"), ["event_type"], "profile_events")
+    return rounded(spark.read.parquet(path), mean=4, std=4, sum=4)
 
 
 @register("approx_count_from_profile", "SELECT count(*)::BIGINT AS count, true AS approx, 0.0::DOUBLE AS ci FROM events")
 def approx_count_from_profile(spark, d):
-    path = synopsis.build_profile(table(spark, d, "events").select("event_type"), "profile_rows")
+    path = synopsis.build_profile(table(spark, d, "events"), ["event_type"], "profile_rows")
     return synopsis.count_from_profile(spark, path)
 
 
-SKETCH_COLS = ["user_id", "event_type", "value"]
+SKETCH_COLS = ["event_id", "user_id", "event_type", "value"]
+SKETCH_K = 1000
 
 
 @register(
     "build_sketches",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count(DISTINCT CAST({c} AS VARCHAR))::BIGINT AS exact_distinct, true AS within_tolerance FROM events"
-        for c in SKETCH_COLS
-    ),
+        [f"SELECT 'hll' AS synopsis, '{c}' AS \"column\", count(DISTINCT CAST({c} AS VARCHAR))::BIGINT AS rows, true AS ok FROM events" for c in SKETCH_COLS]
+        + ["SELECT 'cms', 'event_type', 5 * count(*)::BIGINT, true FROM events",
+           f"SELECT 'sample', '*', least({SKETCH_K}, count(*))::BIGINT, true FROM events",
+           f"SELECT 'stratified', 'event_type', sum(n)::BIGINT, true FROM (SELECT least({SKETCH_K}, count(*)) AS n FROM events GROUP BY event_type)"]),
 )
 def build_sketches(spark, d):
-    # Synopses written once; the check reads the HLL table back and compares with exact counts
-    ev = table(spark, d, "events").select("event_id", *SKETCH_COLS)
-    paths = synopsis.build_sketches(ev, "event_id", SKETCH_COLS, sample_size=1000)
+    # All synopses written once and read back: HLL against exact counts, Count-Min cells against five
+    # times the rows, samples against the sizes that they say
+    ev = table(spark, d, "events")
+    paths = synopsis.build_sketches(ev, "event_id", SKETCH_COLS, ["event_type"], ["event_type"], sample_size=SKETCH_K)
     hll = spark.read.parquet(paths["hll"]).select("column", F.hll_sketch_estimate("sketch").alias("est"))
-    exact_row = ev.agg(*[F.count_distinct(F.col(c).cast("string")).cast("long").alias(c) for c in SKETCH_COLS])
-    exact = exact_row.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("exact_distinct")) for c in SKETCH_COLS])).alias("e")
-    ).select("e.column", "e.exact_distinct")
-    return exact.join(hll, "column").select("column", "exact_distinct", _within(F.col("est"), F.col("exact_distinct")))
+    exact = ev.agg(*[F.count_distinct(F.col(c).cast("string")).cast("long").alias(c) for c in SKETCH_COLS]).select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("rows")) for c in SKETCH_COLS])).alias("e")
+    ).select("e.*")
+    out = exact.join(hll, "column").select(F.lit("hll").alias("synopsis"), "column", "rows", _within(F.col("est"), F.col("rows")).alias("ok"))
+    cms = spark.read.parquet(paths["cms"]).groupBy("column").agg(F.sum("cnt").alias("rows"), (F.max("bucket") < sketches.CMS_WIDTH).alias("ok"))
+    sample = spark.read.parquet(paths["sample"]).agg(F.count(F.lit(1)).alias("rows"), (F.max("take_n") == F.count(F.lit(1))).alias("ok"))
+    per = spark.read.parquet(paths["stratified"]).groupBy(F.col("strata_column").alias("column"), "strata_value").agg(F.count(F.lit(1)).alias("rows"), (F.max("take_n") == F.count(F.lit(1))).alias("ok"))
+    per = per.groupBy("column").agg(F.sum("rows").alias("rows"), F.bool_and("ok").alias("ok"))
+    for name, part in (("cms", cms), ("sample", sample.select(F.lit("*").alias("column"), "*")), ("stratified", per)):
+        out = out.unionByName(part.select(F.lit(name).alias("synopsis"), "column", F.col("rows").cast("long").alias("rows"), "ok"))
+    return out
+
+
+@register(
+    "cms_null_key",
+    f"WITH cms AS ({cms_sql(NULL_EVENTS, 'kind')}), keys AS (SELECT kind, count(*)::BIGINT AS exact FROM ({NULL_EVENTS}) GROUP BY kind), "
+    "probe AS (SELECT kind, exact, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || coalesce(kind, '\\N')), 1, 8))::BIGINT % 2000)::INTEGER AS bucket FROM keys, range(5) AS g(r)) "
+    "SELECT kind, min(cnt)::BIGINT AS count, min(cnt) >= any_value(exact) AS never_below FROM probe JOIN cms USING (depth_row, bucket) GROUP BY kind",
+)
+def cms_null_key(spark, d):
+    # D6-D8 with a NULL key
+    ev = null_events(spark, d)
+    est = sketches.cms_estimate(ev, "kind", sketches.cms_build(ev, "kind"), alias="count")
+    return join_keys(est, ev.groupBy("kind").agg(F.count(F.lit(1)).alias("exact")), "kind").select("kind", "count", (F.col("count") >= F.col("exact")).alias("never_below"))

@@ -6,7 +6,7 @@ from ..operators import exact
 from ..session import scratch_path
 from ..sources import sinks
 from ..sources.tables import SALES_SQL, sales
-from . import register
+from . import register, rounded
 
 STATS_SQL = (
     f"SELECT category, count(*)::BIGINT AS count, round(avg(price), 4) AS avg_price, round(sum(price), 2) AS sum_price "
@@ -15,10 +15,8 @@ STATS_SQL = (
 
 
 def _stats(spark, d):
-    from pyspark.sql import functions as F
-
     res = exact.exact_agg(sales(spark, d), [("count", None, None), ("avg", "price", None), ("sum", "price", None)], by="category")
-    return res.withColumn("sum_price", F.round("sum_price", 2))
+    return rounded(res, sum_price=2, avg_price=4)
 
 
 @register("sink_csv_roundtrip", STATS_SQL)

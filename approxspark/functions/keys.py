@@ -13,6 +13,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TWO_POW_32 = 4294967296
+TWO_POW_60 = 1 << 60
+# text of a NULL key part: NULL is a key value of its own
+NULL_TEXT = "\\N"
 
 
 def as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -24,11 +27,12 @@ def as_list(cols: str | Sequence[str] | None) -> list[str]:
 
 
 def key_string(key: str | Sequence[str]) -> Column:
-    """The key as text; several columns are joined with '|'."""
-    cols = as_list(key)
-    if len(cols) == 1:
-        return F.col(cols[0]).cast("string")
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    """The key as text; several columns are joined with '|', a NULL part has a text of its own.
+
+    Different keys may share a text; that only ties their priorities, which samplers break by the row.
+    """
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)) for c in as_list(key)]
+    return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
 
 
 def priority(key: str | Sequence[str], seed: int, salt: str | None = None) -> Column:
@@ -37,11 +41,6 @@ def priority(key: str | Sequence[str], seed: int, salt: str | None = None) -> Co
     return F.md5(F.concat(F.lit(prefix), key_string(key)))
 
 
-def prefix_value(prio: Column) -> Column:
-    """First 32 bits of the md5 hex as a non-negative bigint in [0, 2^32)."""
-    return F.conv(F.substring(prio, 1, 8), 16, 10).cast("bigint")
-
-
 def hex_threshold(v: int) -> str:
     """Threshold on the 32-bit prefix as text: ``prio < hex_threshold(v)`` iff prefix(prio) < v.
 
@@ -54,22 +53,15 @@ def hex_threshold(v: int) -> str:
     return format(max(0, v), "08x")
 
 
-def hex_threshold_col(v: Column) -> Column:
-    """Column form of :func:`hex_threshold` for a per-stratum bigint threshold."""
-    return F.when(v >= F.lit(TWO_POW_32), F.lit("g")).otherwise(F.lpad(F.lower(F.hex(F.greatest(v, F.lit(0)).cast("bigint"))), 8, "0"))
-
-
 def uniform(prio: Column) -> Column:
-    """Uniform double in (0, 1) from the first 32 bits: (v + 0.5) / 2^32."""
-    return (prefix_value(prio) + F.lit(0.5)) / F.lit(float(TWO_POW_32))
+    """Uniform double in (0, 1) from the first 60 bits: (v + 0.5) / 2^60."""
+    return (F.conv(F.substring(prio, 1, 15), 16, 10).cast("bigint") + F.lit(0.5)) / F.lit(float(TWO_POW_60))
 
 
 # SQL text of the same expressions, used by the DuckDB oracles.
 def sql_key(key: str | Sequence[str]) -> str:
-    cols = as_list(key)
-    if len(cols) == 1:
-        return f"CAST({cols[0]} AS VARCHAR)"
-    return "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols) + ")"
+    parts = [f"coalesce(CAST({c} AS VARCHAR), '{NULL_TEXT}')" for c in as_list(key)]
+    return parts[0] if len(parts) == 1 else "concat_ws('|', " + ", ".join(parts) + ")"
 
 
 def sql_priority(key: str | Sequence[str], seed: int, salt: str | None = None) -> str:
@@ -78,4 +70,4 @@ def sql_priority(key: str | Sequence[str], seed: int, salt: str | None = None) -
 
 
 def sql_uniform(prio_sql: str) -> str:
-    return f"((('0x' || substr({prio_sql}, 1, 8))::BIGINT + 0.5) / {float(TWO_POW_32)})"
+    return f"((('0x' || substr({prio_sql}, 1, 15))::BIGINT + 0.5) / {float(TWO_POW_60)!r})"

@@ -3,7 +3,7 @@
 Each aggregate is a tuple ``(kind, column, alias)``, kind one of
 ``count`` (COUNT(*)), ``count_col``, ``count_distinct``, ``sum``, ``avg``, ``min``, ``max``.
 
-Estimators use the weight pop_n / take_n of each stratum (``sampling_weight``); the output groups
+NULL is a group like any other. Estimators use the weight pop_n / take_n of each stratum (``sampling_weight``); the output groups
 are the strata, so COUNT = pop_n, SUM = sum x * pop_n / take_n, AVG = the stratum's sample mean,
 MIN / MAX of the sample (see ``weighted_exprs``).
 DISTINCT counts never come from the sample (biased); they are HLL sketches over the whole
@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import as_list
-from ..plans.allocation import allocate, strata_sizes
+from ..plans.allocation import allocate
 from ..plans.sizing import ci_z, size_for_accuracy
 from . import samplers
-from .exact import exact_agg
+from .joins import join_keys
 
 KINDS = ("count", "count_col", "count_distinct", "sum", "avg", "min", "max")
 HLL_LG_K = 14
@@ -33,13 +33,11 @@ def _check(aggs):
             raise ValueError(f"unknown aggregate: {kind}")
 
 
-def weighted_exprs(aggs, pop: Column, take: Column, digits: int = 4) -> list[Column]:
+def weighted_exprs(aggs, pop: Column, take: Column) -> list[Column]:
     """Scaled aggregates over a sample whose weight pop / take is constant within each output group
     (the groups are the strata, or the whole table for a simple random sample).
 
-    COUNT = pop exactly; SUM = round(sum x, digits) x pop / take (the rounded sum removes
-    summation-order noise, the product is a single IEEE operation, so results are reproducible
-    across engines and runs); AVG = the sample mean; MIN / MAX of the sample.
+    COUNT = pop exactly; SUM = sum x * pop / take; AVG = the sample mean; MIN / MAX of the sample.
     """
     out = []
     for kind, col, alias in aggs:
@@ -48,9 +46,9 @@ def weighted_exprs(aggs, pop: Column, take: Column, digits: int = 4) -> list[Col
         elif kind == "count_col":
             e = F.floor(F.round(F.count(col) * pop / take, 6)).cast("long")
         elif kind == "sum":
-            e = F.round(F.sum(col), digits) * pop / take
+            e = F.sum(col) * pop / take
         elif kind == "avg":
-            e = F.round(F.avg(col), digits)
+            e = F.avg(col)
         elif kind == "min":
             e = F.min(col)
         elif kind == "max":
@@ -83,74 +81,61 @@ def approx_agg(
     key: str | Sequence[str] = "id",
     seed: int = 42,
     sample_size: int | None = None,
-    sizes: DataFrame | None = None,
+    min_sample: int | None = None,
+    max_sample: int | None = None,
 ) -> DataFrame:
     """Approximate aggregate query with the result envelope.
 
     WHERE is applied first (population N counts filtered rows). Sample size from the accuracy
-    target (D14) unless given; confidence picks z for the relative half-width ``ci`` = z/sqrt(n_g)
-    only. Grouped queries draw a stratified sample on the group keys with max(1, k N_g/N) rows per
-    group (E8). If N <= sample size the answer is exact (D18).
+    target (D14, within ``min_sample`` and ``max_sample`` if given) unless ``sample_size`` is given;
+    confidence picks z for the relative half-width ``ci`` = z/sqrt(n_g) only. Grouped queries draw a
+    stratified sample on the group keys with max(1, k N_g/N) rows per group (E8). A sample that holds
+    every row (of a group) answers exactly (D18: ``approx`` false, ``ci`` 0) by the same plan; DISTINCT
+    always comes from the sketch.
 
     Output columns: keys, aggregates, ``approx`` (bool), ``ci``, ``sample_size``, ``total_size``.
-
-    ``sizes`` (by..., pop_n), e.g. from the profile synopsis, replaces the stratum-size scan; it must
-    describe the same population, so it is refused together with ``where``.
     """
     _check(aggs)
     by = as_list(by)
     if where is not None:
         df = df.where(where)
-    if sizes is not None and (where is not None or not by):
-        raise ValueError("precomputed sizes need group keys and no predicate (they describe the whole table)")
-    if by:
-        sizes = (strata_sizes(df, by) if sizes is None else sizes.select(*by, F.col("pop_n").cast("long"))).persist()
-        N = sizes.agg(F.sum("pop_n")).first()[0] or 0
-    else:
-        sizes = None
-        N = df.count()
-    n = sample_size if sample_size is not None else size_for_accuracy(accuracy, max(N, 1))
-    z = ci_z(confidence)
-    if N <= n:
-        res = exact_agg(df, aggs, by).withColumns(
-            {
-                "approx": F.lit(False),
-                "ci": F.lit(0.0),
-                "sample_size": F.lit(N).cast("long"),
-                "total_size": F.lit(N).cast("long"),
-            }
-        )
-        return res
-    # only the aggregated columns ride along with the sample (pruned scans, no second pass)
-    needed = [c for kind, c, _a in aggs if c and kind != "count_distinct"]
-    if by:
-        plan = allocate(sizes, n, by, "min_one", total=N)
-        sample = samplers.from_plan(df, plan, by, key, seed, carry=needed)
-        sizes.unpersist()
-    else:
-        sample = samplers.simple_random(df, n, key, seed, total=N, carry=needed)
+
+    def size(n: int) -> int:
+        return min(n, sample_size) if sample_size is not None else size_for_accuracy(accuracy, n, min_sample, max_sample)
+
     if by:
-        pop, take = F.max("pop_n"), F.max("take_n")
+        hist = samplers.histogram(df, by, key, seed)
+        N = hist.agg(F.sum("_n")).first()[0] or 0
+        plan = allocate(samplers.sizes_of(hist, by), size(N), by, "min_one")
+        sample = samplers.from_plan(df, plan, by, key, seed, hist)
+        exprs = weighted_exprs(aggs, F.max("pop_n"), F.max("take_n")) + [F.count(F.lit(1)).alias("sample_size"), F.max("pop_n").alias("_pop")]
+        res = sample.groupBy(*by).agg(*exprs)
+        covered = F.col("sample_size") >= F.col("_pop")
     else:
-        pop, take = F.lit(N).cast("long"), F.lit(min(n, N)).cast("long")
-    exprs = weighted_exprs(aggs, pop, take) + [F.count(F.lit(1)).cast("long").alias("sample_size")]
-    res = sample.groupBy(*by).agg(*exprs) if by else sample.agg(*exprs)
-    res = res.withColumns(
-        {
-            "approx": F.lit(True),
-            "ci": F.round(F.lit(z) / F.sqrt(F.col("sample_size")), 6),
-            "total_size": F.lit(N).cast("long"),
-        }
-    )
+        sample, n, N = samplers.sized_random(df, size, key, seed)
+        pop, take = F.lit(N).cast("long"), F.lit(max(1, n)).cast("long")
+        res = sample.agg(*weighted_exprs(aggs, pop, take), F.count(F.lit(1)).alias("sample_size"))
+        covered = F.lit(n >= N)
+    res = _envelope(res, confidence, covered, F.lit(N).cast("long"))
     sketches = distinct_sketch(df, aggs, by)
     if sketches is not None and by:
-        res = res.join(sketches, by, "left")
+        res = join_keys(res, sketches, by, "left")
     elif sketches is not None:
         # ungrouped: the sketch estimates are scalars
         est = sketches.first().asDict()
         res = res.withColumns({name: F.lit(v).cast("long") for name, v in est.items()})
-    cols = by + [a for _k, _c, a in aggs] + ["approx", "ci", "sample_size", "total_size"]
-    return res.select(*cols)
+    return res.select(*by, *[a for _k, _c, a in aggs], *ENVELOPE)
+
+
+ENVELOPE = ["approx", "ci", "sample_size", "total_size"]
+
+
+def _envelope(res: DataFrame, confidence: int, covered: Column, total: Column) -> DataFrame:
+    return res.withColumns({
+        "approx": ~covered,
+        "ci": F.when(covered, F.lit(0.0)).otherwise(F.lit(ci_z(confidence)) / F.sqrt(F.col("sample_size"))),
+        "total_size": total,
+    })
 
 
 def sampled_scalar(df: DataFrame, aggs, k: int, key, seed: int = 42) -> DataFrame:
@@ -158,17 +143,16 @@ def sampled_scalar(df: DataFrame, aggs, k: int, key, seed: int = 42) -> DataFram
 
     COUNT is truncated to an integer as in the reference (int(n * N / n)).
     """
-    N = df.count()
-    sample = samplers.simple_random(df, k, key, seed, total=N, carry=[c for _k, c, _a in aggs if c])
-    n = min(k, N)
+    sample, n, N = samplers.sized_random(df, lambda total: min(k, total), key, seed)
+    n = max(1, n)
     out = []
     for kind, col, alias in aggs:
         if kind == "count":
             out.append(F.floor(F.count(F.lit(1)) * F.lit(N) / F.lit(n)).cast("long").alias(alias))
         elif kind == "sum":
-            out.append((F.round(F.sum(col), 4) * F.lit(N) / F.lit(n)).alias(alias))
+            out.append((F.sum(col) * F.lit(N) / F.lit(n)).alias(alias))
         elif kind == "avg":
-            out.append(F.round(F.avg(col), 4).alias(alias))
+            out.append(F.avg(col).alias(alias))
         elif kind in ("min", "max"):
             out.append(getattr(F, kind)(col).alias(alias))
         elif kind == "count_distinct":
@@ -184,26 +168,31 @@ def approx_select(df: DataFrame, columns: Sequence[str], k: int, key, seed: int
     return samplers.simple_random(df, k, key, seed).select(*columns)
 
 
-def approx_agg_from_sample(sample: DataFrame, aggs, by: str | Sequence[str], confidence: int = 95) -> DataFrame:
-    """Approximate GROUP BY answered from a stored stratified sample synopsis (rows carry the
-    stratum's ``pop_n`` and ``take_n``; ``by`` are the strata). Same estimators and envelope as
-    :func:`approx_agg`; total_size = sum of the strata populations. DISTINCT aggregates are not
-    available from a sample (use the HLL synopsis)."""
+def approx_agg_from_sample(sample: DataFrame, aggs, by: str | Sequence[str] | None = None, confidence: int = 95) -> DataFrame:
+    """Aggregates answered from a stored sample synopsis, without the base table.
+
+    Rows carry their stratum's ``pop_n`` and ``take_n`` (a simple sample is one stratum). With ``by``,
+    the strata, as :func:`approx_agg`; without, over everything by the rows' weights. total_size is the
+    sum of the strata's populations. DISTINCT isn't available from a sample (use the HLL synopsis).
+    """
     _check(aggs)
     if any(kind == "count_distinct" for kind, _c, _a in aggs):
         raise ValueError("distinct counts come from the HLL synopsis, not from a sample")
     by = as_list(by)
-    z = ci_z(confidence)
-    exprs = weighted_exprs(aggs, F.max("pop_n"), F.max("take_n")) + [
-        F.count(F.lit(1)).cast("long").alias("sample_size"), F.max("pop_n").alias("_pop")
-    ]
-    res = sample.groupBy(*by).agg(*exprs).persist()
-    total = res.agg(F.sum("_pop")).first()[0] or 0
-    res = res.withColumns(
-        {
-            "approx": F.lit(True),
-            "ci": F.round(F.lit(z) / F.sqrt(F.col("sample_size")), 6),
-            "total_size": F.lit(total).cast("long"),
-        }
-    )
-    return res.select(*by, *[a for _k, _c, a in aggs], "approx", "ci", "sample_size", "total_size")
+    weight = F.col("pop_n") / F.col("take_n")
+    total = F.round(F.sum(weight)).cast("long")
+    size = F.count(F.lit(1)).alias("sample_size")
+    if not by:
+        exprs = []
+        for kind, col, alias in aggs:
+            known = F.col(col).isNotNull() if col else None
+            e = {"count": lambda: total, "count_col": lambda: F.floor(F.round(F.sum(F.when(known, weight)), 6)).cast("long"),
+                 "sum": lambda: F.sum(F.col(col) * weight), "avg": lambda: F.sum(F.col(col) * weight) / F.sum(F.when(known, weight)),
+                 "min": lambda: F.min(col), "max": lambda: F.max(col)}[kind]()
+            exprs.append(e.alias(alias))
+        res = sample.agg(*exprs, size, total.alias("_total"))
+        return _envelope(res, confidence, F.col("sample_size") >= F.col("_total"), F.col("_total")).select(*[a for _k, _c, a in aggs], *ENVELOPE)
+    # one row a group: the total is summed over the groups' populations
+    res = sample.groupBy(*by).agg(*weighted_exprs(aggs, F.max("pop_n"), F.max("take_n")), size, F.max("pop_n").alias("_pop"))
+    whole = sample.select(*by, "pop_n").distinct().agg(F.sum("pop_n")).first()[0] or 0
+    return _envelope(res, confidence, F.col("sample_size") >= F.col("_pop"), F.lit(whole).cast("long")).select(*by, *[a for _k, _c, a in aggs], *ENVELOPE)

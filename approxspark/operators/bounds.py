@@ -8,20 +8,21 @@ Values are coerced to double and NULL/NaN/+-Inf are dropped first (B5). With no
 the bounds are 0, 0, 0 with n = 0; with one value they collapse onto it (F12). Every estimator
 is one aggregate over the sample (partial aggregation per partition, so it scales with the
 number of groups, not with the sample); the bootstrap generates its replicates with
-``spark.range`` and joins the ranked sample (bounded size, checked before broadcast).
+``spark.range`` and joins the ranked sample. Values keep full precision; callers round.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import as_list
 from ..functions.stats import t_quantile, z_value
 from .exact import finite_values
-from .joins import join_small
+from .joins import join_keys
+from .ranking import global_rank
 
 BOUNDS_COLUMNS = [
     "estimate",
@@ -43,7 +44,6 @@ DISTRIBUTION = {"normal": "NORMAL", "student_t": "STUDENT_T", "bootstrap": "BOOT
 # design effect applied to a cluster sample's variance when N is known; systematic variance factor
 CLUSTER_DESIGN_EFFECT = 1.5
 SYSTEMATIC_VARIANCE_FACTOR = 0.8
-DIGITS = 4
 
 
 def validate_config(confidence: float, method: str = "normal", n_bootstrap: int = 1000) -> None:
@@ -51,9 +51,9 @@ def validate_config(confidence: float, method: str = "normal", n_bootstrap: int
     if not 0 < confidence < 1:
         raise ValueError("Confidence level must be between 0 and 1")
     if method not in METHODS:
-        raise ValueError(f"Unknown error method: {method}")
+        raise ValueError(f"{method!r} is not one of {METHODS}")
     if n_bootstrap < 1:
-        raise ValueError("Number of bootstrap iterations must be positive")
+        raise ValueError("a bootstrap needs at least one replicate")
 
 
 def finite_or_null(value: str) -> Column:
@@ -85,23 +85,23 @@ def _fpc(n: Column, N: Column) -> Column:
 
 def finish(df: DataFrame, by: Sequence[str], est: Column, lo: Column, hi: Column, n: Column, N: Column, confidence: float,
            method: str, dist: str | None, iterations: int | None = None) -> DataFrame:
-    """Apply the degenerate rules, derived columns and rounding; select the bounds columns."""
+    """Apply the degenerate rules and derived columns; select the bounds columns."""
     est_f = F.when(n == 0, F.lit(0.0)).otherwise(est)
     lo_f = F.when(n == 0, F.lit(0.0)).when(n == 1, est).otherwise(lo)
     hi_f = F.when(n == 0, F.lit(0.0)).when(n == 1, est).otherwise(hi)
     out = df.select(
         *by,
-        F.round(est_f, DIGITS).alias("estimate"),
-        F.round(lo_f, DIGITS).alias("lower_bound"),
-        F.round(hi_f, DIGITS).alias("upper_bound"),
+        est_f.alias("estimate"),
+        lo_f.alias("lower_bound"),
+        hi_f.alias("upper_bound"),
         F.lit(float(confidence)).alias("confidence_level"),
         n.cast("long").alias("sample_size"),
         N.alias("population_size"),
         F.lit(method).alias("method"),
         F.lit(dist).cast("string").alias("distribution_type"),
         F.lit(iterations).cast("long").alias("n_iterations"),
-        F.round((hi_f - lo_f) / 2, DIGITS).alias("margin_of_error"),
-        F.when(est_f == 0, F.lit(float("inf"))).otherwise(F.round((hi_f - lo_f) / 2 / F.abs(est_f), 6)).alias("relative_error"),
+        ((hi_f - lo_f) / 2).alias("margin_of_error"),
+        F.when(est_f == 0, F.lit(float("inf"))).otherwise((hi_f - lo_f) / 2 / F.abs(est_f)).alias("relative_error"),
     )
     return out
 
@@ -171,14 +171,14 @@ def stratified_bounds(
     """
     validate_config(confidence, method)
     if method not in ("normal", "student_t"):
-        raise ValueError("stratified bounds are normal or student_t; for a bootstrap use bootstrap_bounds on the pooled sample")
+        raise ValueError("stratified_bounds handles normal and student_t; see bootstrap_bounds(strata=...) and order_statistic_bounds")
     strata = as_list(strata)
     per = _moments(sample, value, strata)
     n_total = strata_sizes.agg(F.sum("pop_n")).first()[0] or 0
     sizes = strata_sizes.select(*strata, F.col("pop_n").cast("double").alias("_Nh")).withColumn(
         "_Ntot", F.lit(float(n_total))
     )
-    j = join_small(per, sizes, strata, "inner")
+    j = join_keys(per, sizes, strata)
     W = F.col("_Nh") / F.col("_Ntot")
     agg = j.agg(
         F.sum(W * F.col("_mean")).alias("_est"),
@@ -199,10 +199,22 @@ def stratified_bounds(
 
 
 def ranked_values(sample: DataFrame, value: str, order_key: str | Sequence[str]) -> DataFrame:
-    """Finite values of a (bounded) sample with a dense 0-based index by ``order_key``."""
+    """Finite values of a sample with a dense 0-based index by ``order_key``."""
     keys = as_list(order_key)
     clean = finite_values(sample.select(*keys, value), value, "_x")
-    return clean.select("_x", (F.row_number().over(Window.orderBy(*keys)) - 1).alias("_idx"))
+    return global_rank(clean.select(*keys, "_x"), [F.col(c) for c in keys], "_idx").select("_x", "_idx")
+
+
+def _uniform_index(*parts, n) -> Column:
+    """hash(part:part:...) mod n."""
+    text = F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % n
+
+
+def _percentiles(reps: DataFrame, confidence: float) -> DataFrame:
+    alpha = (1 - confidence) / 2
+    q = reps.agg(F.percentile("_stat", F.array(F.lit(alpha * 1.0), F.lit(1 - alpha))).alias("_q"))
+    return q.select(F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
 
 
 def bootstrap_bounds(
@@ -217,37 +229,56 @@ def bootstrap_bounds(
 ) -> DataFrame:
     """percentile bootstrap. Replicate b draws n indices hash(seed:b:j) mod n with replacement.
 
-    The replicate table (B x n rows) is generated by ``spark.range`` across partitions; the ranked
-    sample (n rows, the only joined side) is broadcast after a size check. The statistic is any
-    aggregate Column function (mean by default, ``F.median`` for F5). No fpc (as the reference).
+    The replicate table (B x n rows) is generated by ``spark.range`` across partitions and joined with
+    the ranked sample. The statistic is any aggregate Column function (mean by default, ``F.median`` for
+    F5); the estimate is that statistic of the sample. No fpc (as the reference).
     """
     validate_config(confidence, "bootstrap", n_bootstrap)
     spark = sample.sparkSession
-    ranked = ranked_values(sample, value, order_key).persist()
-    stats = ranked.agg(F.count(F.lit(1)).alias("n"), F.avg("_x").alias("m")).first()
-    n = stats["n"]
-    alpha = (1 - confidence) / 2
-    N = _pop(population)
+    ranked = ranked_values(sample, value, order_key)
+    stats = ranked.agg(F.count(F.lit(1)).alias("n"), estimator(F.col("_x")).cast("double").alias("m")).first()
+    n, N = stats["n"], _pop(population)
     if n == 0:
         base = spark.range(1).select(F.lit(0).cast("long").alias("_n"))
         return finish(base, [], F.lit(0.0), F.lit(0.0), F.lit(0.0), F.col("_n"), N, confidence, "bootstrap", "BOOTSTRAP", n_bootstrap)
     total = n_bootstrap * n
-    parts = max(1, min(10_000, total // 2_000_000 + 1))
-    draws = spark.range(0, total, 1, parts).select(
-        (F.col("id") / F.lit(n)).cast("long").alias("_b"),
-        (F.col("id") % F.lit(n)).alias("_j"),
-    )
-    draws = draws.select(
-        "_b",
-        (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("_b").cast("string"), F.lit(":"), F.col("_j").cast("string"))), 1, 8), 16, 10)
-         .cast("bigint") % F.lit(n)).alias("_idx"),
-    )
-    reps = join_small(draws, ranked, "_idx", "inner", small_rows=n).groupBy("_b").agg(estimator(F.col("_x")).alias("_stat"))
-    q = reps.agg(F.percentile("_stat", F.array(F.lit(alpha * 1.0), F.lit(1 - alpha))).alias("_q"))
-    q = q.select(F.lit(n).cast("long").alias("_n"), F.lit(stats["m"]).alias("_m"), F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    draws = spark.range(0, total, 1, total // 2_000_000 + 1).select((F.col("id") / F.lit(n)).cast("long").alias("_b"), (F.col("id") % F.lit(n)).alias("_j"))
+    draws = draws.select("_b", _uniform_index(str(seed), F.col("_b"), F.col("_j"), n=F.lit(n)).alias("_idx"))
+    reps = draws.join(ranked, "_idx").groupBy("_b").agg(estimator(F.col("_x")).alias("_stat"))
+    q = _percentiles(reps, confidence).select("*", F.lit(n).cast("long").alias("_n"), F.lit(stats["m"]).alias("_m"))
     return finish(q, [], F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), N, confidence, "bootstrap", "BOOTSTRAP", n_bootstrap)
 
 
+def stratified_bootstrap_bounds(
+    sample: DataFrame,
+    value: str,
+    strata: str | Sequence[str],
+    strata_sizes: DataFrame,
+    order_key: str | Sequence[str],
+    n_bootstrap: int = 1000,
+    confidence: float = 0.95,
+    seed: int = 42,
+) -> DataFrame:
+    """F4 for a stratified sample: each replicate draws n_h of the n_h values of every stratum with
+    replacement; its statistic is the stratified mean sum W_h xbar_h. NULL is a stratum."""
+    validate_config(confidence, "bootstrap", n_bootstrap)
+    strata, keys = as_list(strata), as_list(order_key)
+    clean = finite_values(sample.select(*dict.fromkeys(strata + keys + [value])), value, "_x")
+    ranked = global_rank(clean.select(*dict.fromkeys(strata + keys), "_x"), [F.col(c) for c in strata + keys], "_place")
+    per = ranked.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_from"), F.avg("_x").alias("_mean"))
+    sizes = join_keys(per, strata_sizes.select(*strata, "pop_n"), strata)
+    total = sizes.agg(F.sum("pop_n")).first()[0] or 1
+    sizes = sizes.withColumn("_w", F.col("pop_n") / F.lit(total))
+    # strata lie one after another in the ranks, so that index and stratum are one number
+    drawn = join_keys(ranked, sizes.select(*strata, "_n", "_from", "_w"), strata)
+    draws = drawn.select("_n", "_w", "_from", F.col("_place").alias("_j"), F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))).alias("_b"))
+    draws = draws.select("_b", "_n", "_w", (F.col("_from") + _uniform_index(str(seed), F.col("_b"), F.col("_j"), n=F.col("_n"))).alias("_place"))
+    reps = draws.join(ranked.select("_place", "_x"), "_place").groupBy("_b").agg(F.sum(F.col("_w") / F.col("_n") * F.col("_x")).alias("_stat"))
+    whole = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_n"), F.sum(F.col("_w") * F.col("_mean")).alias("_m"), F.sum("pop_n").cast("long").alias("_N")).first()
+    q = _percentiles(reps, confidence).select("*", F.lit(whole["_n"]).cast("long").alias("_n"), F.lit(whole["_m"]).cast("double").alias("_m"))
+    return finish(q, [], F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), _pop(whole["_N"]), confidence, "stratified_bootstrap", "BOOTSTRAP", n_bootstrap)
+
+
 def order_statistic_bounds(sample: DataFrame, value: str, confidence: float = 0.95, population=None) -> DataFrame:
     """F8: order statistics at floor(n a) and min(ceil(n (1 - a)), n - 1), a = (1 - conf) / 2 (0-based).
 
@@ -255,22 +286,37 @@ def order_statistic_bounds(sample: DataFrame, value: str, confidence: float = 0.
     are flagged by ``bounds_validate`` rather than raised.
     """
     validate_config(confidence, "non_parametric")
-    clean = finite_values(sample.select(value), value, "_x")
+    clean = finite_values(sample.select(value), value, "_x").select("_x")
+    ranked = global_rank(clean, [F.col("_x")], "_i")
     alpha = (1 - confidence) / 2
-    w = Window.orderBy("_x")
-    everything = Window.partitionBy()
-    r = clean.select("_x", (F.row_number().over(w) - 1).alias("_i"), F.count(F.lit(1)).over(everything).alias("_cnt"),
-                     F.avg("_x").over(everything).alias("_m"))
-    lo_i = F.floor(F.col("_cnt") * F.lit(alpha))
-    hi_i = F.least(F.ceil(F.col("_cnt") * F.lit(1 - alpha)), F.col("_cnt") - 1)
-    agg = r.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.first("_m").alias("_m"),
-        F.max(F.when(F.col("_i") == lo_i, F.col("_x"))).alias("_lo"),
-        F.max(F.when(F.col("_i") == hi_i, F.col("_x"))).alias("_hi"),
-    )
-    N = _pop(population)
-    return finish(agg, [], F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), N, confidence, "non_parametric", "NON_PARAMETRIC")
+    whole = ranked.agg(F.count(F.lit(1)).alias("n"), F.avg("_x").alias("m")).first()
+    n = F.lit(whole["n"]).cast("long")
+    lo_i, hi_i = F.floor(n * F.lit(alpha)), F.least(F.ceil(n * F.lit(1 - alpha)), n - 1)
+    agg = ranked.agg(F.max(F.when(F.col("_i") == lo_i, F.col("_x"))).alias("_lo"), F.max(F.when(F.col("_i") == hi_i, F.col("_x"))).alias("_hi"))
+    agg = agg.select("*", n.alias("_n"), F.lit(whole["m"]).cast("double").alias("_m"))
+    return finish(agg, [], F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), _pop(population), confidence, "non_parametric", "NON_PARAMETRIC")
+
+
+def weighted_bounds(sample: DataFrame, value: str, weight: str, confidence: float = 0.95, population: int | None = None) -> DataFrame:
+    """Bounds for the mean from a weighted sample (``samplers.weighted``), by inverse inclusion probability.
+
+    Given the largest race drawn as the limit t, every other drawn row was included with probability
+    1 - exp(-w t); the row of the limit itself isn't used (bottom-k estimation). The estimate is the
+    ratio sum(x / p) / sum(1 / p), its variance the linearised one. A sample that holds all
+    ``population`` rows has probability 1 throughout.
+    """
+    validate_config(confidence)
+    t = sample.agg(F.max(-F.col("es_key")).alias("t"), F.count(F.lit(1)).alias("n")).first()
+    census = t["n"] == 0 or (population is not None and t["n"] >= population)
+    p = F.lit(1.0) if census else 1 - F.exp(-F.col(weight).cast("double") * F.lit(t["t"]))
+    used = sample if census else sample.where(-F.col("es_key") < F.lit(t["t"]))
+    rows = used.select(finite_or_null(value).alias("_x"), p.alias("_p")).where("_x IS NOT NULL")
+    g = rows.agg(F.sum(F.col("_x") / F.col("_p")).alias("s"), F.sum(1 / F.col("_p")).alias("h")).first()
+    mean, size = (g["s"] / g["h"], g["h"]) if g["h"] else (0.0, 1.0)
+    spread = (1 - F.col("_p")) / (F.col("_p") * F.col("_p")) * (F.col("_x") - F.lit(mean)) * (F.col("_x") - F.lit(mean))
+    v = rows.agg(F.count(F.lit(1)).alias("_n"), F.sqrt(F.coalesce(F.sum(spread), F.lit(0.0))).alias("_sd"))
+    margin = F.lit(z_value(confidence)) * F.col("_sd") / F.lit(size)
+    return finish(v, [], F.lit(mean), F.lit(mean) - margin, F.lit(mean) + margin, F.col("_n"), _pop(population), confidence, "weighted", "NORMAL")
 
 
 def validate_rows(bounds: DataFrame) -> DataFrame:

@@ -11,11 +11,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import as_list
+from .joins import join_keys
 
 
 def error_pct(exact: Column, approx: Column) -> Column:
-    """H1: abs(exact - approx) / exact * 100 (NULL when exact is 0)."""
-    return F.abs(exact - approx) / F.when(exact != 0, exact) * 100
+    """H1: abs(exact - approx) / abs(exact) * 100 (NULL when exact is 0)."""
+    return F.abs(exact - approx) / F.when(exact != 0, F.abs(exact)) * 100
 
 
 def error_by_group(exact: DataFrame, approx: DataFrame, keys: str | Sequence[str], columns: Sequence[str], digits: int = 4) -> DataFrame:
@@ -26,7 +27,7 @@ def error_by_group(exact: DataFrame, approx: DataFrame, keys: str | Sequence[str
     """
     keys = as_list(keys)
     a = approx.select(*keys, *[F.col(c).alias(f"_a_{c}") for c in columns])
-    j = exact.select(*keys, *[F.col(c).alias(f"_e_{c}") for c in columns]).join(a, keys, "full")
+    j = join_keys(exact.select(*keys, *[F.col(c).alias(f"_e_{c}") for c in columns]), a, keys, "full")
     per_col = []
     for c in columns:
         e, ap = F.col(f"_e_{c}").cast("double"), F.col(f"_a_{c}").cast("double")
@@ -56,6 +57,8 @@ def histogram_density(df: DataFrame, value: str, bins: int, label: str, digits:
     """
     st = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).alias("n")).first()
     lo, hi, n = st["lo"], st["hi"], st["n"]
+    if not n:  # no values, no bins
+        lo = hi = 0.0
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((F.col(value) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
     counts = df.where(F.col(value).isNotNull()).groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("cnt"))
@@ -63,7 +66,7 @@ def histogram_density(df: DataFrame, value: str, bins: int, label: str, digits:
         F.lit(label).alias("source"),
         "bin",
         F.round(F.lit(lo) + F.col("bin") * F.lit(width), 6).alias("bin_start"),
-        F.round(F.col("cnt") / (F.lit(n) * F.lit(width)), digits).alias("density"),
+        F.round(F.col("cnt") / (F.lit(max(1, n)) * F.lit(width)), digits).alias("density"),
     )
 
 

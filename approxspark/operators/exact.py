@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..functions.keys import as_list
+from .joins import join_keys
 
 
-def agg_expr(kind: str, col: str | None, alias: str, digits: int = 4) -> Column:
+def agg_expr(kind: str, col: str | None, alias: str) -> Column:
     if kind == "count":
         e = F.count(F.lit(1))
     elif kind == "count_col":
@@ -20,9 +21,9 @@ def agg_expr(kind: str, col: str | None, alias: str, digits: int = 4) -> Column:
     elif kind == "count_distinct":
         e = F.count_distinct(col)
     elif kind == "sum":
-        e = F.round(F.sum(col), digits)
+        e = F.sum(col)
     elif kind == "avg":
-        e = F.round(F.avg(col), digits)
+        e = F.avg(col)
     elif kind == "min":
         e = F.min(col)
     elif kind == "max":
@@ -68,7 +69,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
+def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, std, min, max, sum per numeric column in ONE pass, one row per column."""
     cols = list(columns) if columns else numeric_columns(df)
     exprs = []
@@ -78,11 +79,11 @@ def numeric_profile(df: DataFrame, columns: Sequence[str] | None = None, digits:
             F.struct(
                 F.lit(c).alias("column"),
                 F.count(x).cast("long").alias("count"),
-                F.round(F.avg(x), digits).alias("mean"),
-                F.round(F.stddev_samp(x), digits).alias("std"),
+                F.avg(x).alias("mean"),
+                F.stddev_samp(x).alias("std"),
                 F.min(x).alias("min"),
                 F.max(x).alias("max"),
-                F.round(F.sum(x), digits).alias("sum"),
+                F.sum(x).alias("sum"),
             ).alias(c)
         )
     wide = df.agg(*exprs)
@@ -98,15 +99,15 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def stratum_summary(population: DataFrame, sample: DataFrame, by, value: str, digits: int = 4) -> DataFrame:
+def stratum_summary(population: DataFrame, sample: DataFrame, by, value: str) -> DataFrame:
     """Per stratum count/mean/std of the population beside the sample (inner join on keys)."""
     by = as_list(by)
 
     def stats(d, p):
         return d.groupBy(*by).agg(
             F.count(F.lit(1)).cast("long").alias(f"{p}_count"),
-            F.round(F.avg(value), digits).alias(f"{p}_mean"),
-            F.round(F.stddev_samp(value), digits).alias(f"{p}_std"),
+            F.avg(value).alias(f"{p}_mean"),
+            F.stddev_samp(value).alias(f"{p}_std"),
         )
 
-    return stats(population, "pop").join(stats(sample, "sample"), by, "inner")
+    return join_keys(stats(population, "pop"), stats(sample, "sample"), by)

@@ -1,52 +1,22 @@
-"""Joins against small derived tables (allocations, strata, plans) with a checked broadcast."""
+"""Joins on strata and row keys in which NULL is a value like any other."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest derived table we broadcast. Allocation / strata / plan tables have one row per stratum
-# or per sampled row (bounded by the sample size); beyond this they are shuffle-joined.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", small_rows: int | None = None) -> DataFrame:
-    """Join ``big`` with a derived table whose row count is checked before it is broadcast."""
-    rows = small.count() if small_rows is None else small_rows
-    side = F.broadcast(small) if rows <= BROADCAST_MAX_ROWS else small
-    return big.join(side, on, how)
-
+from ..functions.keys import as_list
 
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores before a CPU-heavy per-row stage (hashing), but only
-    when the input is too small to give every core a split (fewer files than cores and fewer
-    bytes than cores x maxPartitionBytes, e.g. a single-row-group file). Large inputs already have
-    many splits and are left untouched, so no shuffle is added at scale. Decided from file
-    metadata only (no Spark job)."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= cores:
-        return df
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in files:
-        path = jvm.org.apache.hadoop.fs.Path(f)
-        total += path.getFileSystem(conf).getFileStatus(path).getLen()
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if total < cores * split:
-        return df.repartition(cores)
-    return df
 
+def join_keys(left: DataFrame, right: DataFrame, on: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, NULL matching NULL; the keys appear once, from the left side.
 
-def _bytes(text: str, default: int = 128 * 1024 * 1024) -> int:
-    """Parse a Spark byte-size setting ('134217728b', '128m', '1g', '4096')."""
-    t = str(text).strip().lower().rstrip("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    try:
-        if t and t[-1] in units:
-            return int(float(t[:-1]) * units[t[-1]])
-        return int(t)
-    except ValueError:
-        return default
+    No side is forced: Spark broadcasts one whose size it knows to be small and sorts otherwise.
+    """
+    keys = as_list(on)
+    right = right.withColumnsRenamed({c: f"_right_{c}" for c in keys})
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in keys])
+    return left.join(right, cond, how).drop(*[f"_right_{c}" for c in keys])

@@ -2,15 +2,16 @@
 
 Every sampler keeps the rows with the smallest priority ``md5(seed:key)`` (see functions.keys):
 a bottom-k sample is a uniform sample without replacement, mergeable across batches and
-independent of partitioning, so a replayed task or a lost executor yields the same rows.
-
-Scale design. A naive ``orderBy(priority).limit(k)`` keeps k rows per map partition and merges
-them in one task (k x partitions rows); a window over a stratum sorts the whole stratum in one
-task, and a hot stratum may hold a third of the table. Instead each sampler first keeps only the
-rows whose 32-bit priority prefix is below a threshold chosen so that about
-``n + 8 sqrt(n) + 16`` rows survive per stratum; the final rank runs over that small candidate
-set. The threshold is only a filter: when fewer than the needed rows survive (probability
-far below 1e-12), it is raised and the step repeats, so the result is always the exact bottom-k.
+independent of partitioning, so a replayed task or a lost executor yields the same rows. Rows with
+equal keys have equal priorities; ties are broken by the key's text and a hash of the whole row.
+
+Two passes, whatever the size. The first counts rows per stratum and priority bucket (the
+priority's leading zeros and its next two hex digits: a few hundred to two thousand buckets per
+stratum, pre-aggregated within tasks). From the counts follow the strata's sizes and, for a quota of
+n rows, the bucket in which the n-th smallest priority lies. The second pass keeps every row below
+that bucket and ranks only within it (at most a sixteenth of the quota). No stratum, however
+hot, and no sample, however large, is sorted in one task, and no row is joined back by its key, so
+repeated and NULL keys are safe. Columns that the caller doesn't use aren't read.
 """
 
 from __future__ import annotations
@@ -19,136 +20,114 @@ import hashlib
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import TWO_POW_32, as_list, hex_threshold, hex_threshold_col, key_string, priority, uniform
-from ..plans.allocation import allocate, strata_sizes
-from .joins import join_small, spread_for_cpu
+from ..functions.keys import TWO_POW_32, as_list, hex_threshold, key_string, priority, uniform
+from ..plans.allocation import allocate
+from ..plans.sizing import required_sample_size
+from ..session import store
+from .joins import join_keys
+from .ranking import global_rank
 
 PRIO = "_prio"
-# Above this many rows a bottom-k is selected without a single-task top-k merge (see _large_k).
-LARGE_K = 500_000
+BUCKET = "_bucket"
+#: Hex digits of a bucket after the priority's leading zeros.
+DIGITS = 2
 
 
-def _threshold(n: float, N: float, factor: float = 1.0) -> int:
-    if N <= 0:
-        return TWO_POW_32
-    frac = (n + 8.0 * math.sqrt(n) + 16.0) / N * factor
-    return min(TWO_POW_32, int(math.ceil(frac * TWO_POW_32)))
+def bucket_of(prio: Column) -> Column:
+    """A prefix of the priority: its leading zeros and the next digits. Buckets sort as their priorities do."""
+    return F.substring(prio, F.lit(1), 32 - F.length(F.ltrim(prio, F.lit("0"))) + DIGITS)
 
 
-def _threshold_col(n_col, N_col, factor: float):
-    frac = (n_col + F.lit(8.0) * F.sqrt(n_col) + F.lit(16.0)) / N_col * F.lit(factor)
-    return F.least(F.lit(TWO_POW_32).cast("double"), F.ceil(frac * F.lit(float(TWO_POW_32))).cast("double"))
+def _tie(df: DataFrame) -> Column:
+    return F.xxhash64(*[F.col(c) for c in df.columns])
 
 
-def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, total: int | None = None,
-                  carry: Sequence[str] | None = None) -> DataFrame:
-    """K rows without replacement (all rows when k >= N). Adds ``sampling_weight`` = N / n.
+def histogram(df: DataFrame, by: str | Sequence[str], key: str | Sequence[str], seed: int, value_col: str | None = None) -> DataFrame:
+    """Rows per stratum and priority bucket, written once: (by..., _bucket, _n), with ``value_col`` also
+    the bucket's count, mean and squared deviations of its values."""
+    x = F.col(value_col).cast("double") if value_col else None
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    if value_col:
+        aggs += [F.count(x).alias("_nv"), F.avg(x).alias("_mean"), (F.var_pop(x) * F.count(x)).alias("_dev")]
+    return store(df.groupBy(*as_list(by), bucket_of(priority(key, seed)).alias(BUCKET)).agg(*aggs), "buckets")[0]
 
-    By default the chosen keys are joined back to the lazy input (later projections prune the
-    scan). With ``carry`` (the columns the caller will use) those columns ride along with the
-    candidates and the persisted sample is returned directly: same pruning, no second scan.
-    """
-    if k < 0:
-        raise ValueError("sample size must be non-negative")
-    N = df.count() if total is None else total
-    if k >= N:
-        return df.withColumn("sampling_weight", F.lit(1.0))
-    keys = as_list(key)
-    pr = priority(key, seed)
-    # rank on the key columns only; the chosen keys are joined back to the lazy input at the end,
-    # so later projections still prune the scan
-    carried = list(dict.fromkeys(keys + [c for c in (carry or []) if c not in keys]))
-    src = spread_for_cpu(df.select(*carried))
-    factor = 1.0
-    while True:
-        thr = _threshold(k, N, factor)
-        cand = src.withColumn(PRIO, pr)
-        if thr < TWO_POW_32:
-            cand = cand.where(F.col(PRIO) < F.lit(hex_threshold(thr)))
-        if k > LARGE_K:
-            out = _large_k(cand, k, key)
-            if out is None:
-                if thr >= TWO_POW_32:  # every row is a candidate and still fewer than k: impossible for k < N
-                    raise RuntimeError("bottom-k selection found fewer rows than the table holds")
-                factor *= 4.0
-                continue
-            break
-        out = cand.orderBy(F.col(PRIO), key_string(key)).limit(k).persist()
-        if thr >= TWO_POW_32 or out.count() >= k:
-            break
-        out.unpersist()
-        factor *= 4.0
-    weight = F.lit(N / k if k else 0.0)
-    if carry is not None:
-        return out.select(*carried).withColumn("sampling_weight", weight)
-    chosen = out.select(*keys)
-    return join_small(df, chosen, keys, "inner", small_rows=k).withColumn("sampling_weight", weight)
+
+def sizes_of(hist: DataFrame, by: str | Sequence[str], deviations: bool = False) -> DataFrame:
+    """(by..., pop_n) of a histogram; with ``deviations`` also pop_sd, the sample standard deviation."""
+    by = as_list(by)
+    sizes = hist.groupBy(*by).agg(F.sum("_n").alias("pop_n"))
+    if not deviations:
+        return sizes
+    mean = hist.groupBy(*by).agg((F.sum(F.col("_mean") * F.col("_nv")) / F.sum("_nv")).alias("_all"))
+    apart = F.col("_mean") - F.col("_all")
+    spread = join_keys(hist, mean, by).groupBy(*by).agg(F.sum("_nv").alias("_v"), F.sum(F.col("_dev") + F.col("_nv") * apart * apart).alias("_d"))
+    sd = F.when(F.col("_v") > 1, F.sqrt(F.col("_d") / (F.col("_v") - 1)))
+    return join_keys(sizes, spread.withColumn("pop_sd", sd).drop("_v", "_d"), by)
+
+
+def _cut(counts: list[tuple[str, int]], k: int) -> tuple[str, int]:
+    """The bucket that holds the k-th smallest of sorted (bucket, rows), and how many of its rows are wanted."""
+    seen = 0
+    for bucket, n in counts:
+        if seen + n >= k:
+            return bucket, k - seen
+        seen += n
+    return "g", 0  # above every hex digit: all rows
 
 
-def _large_k(cand: DataFrame, k: int, key) -> DataFrame | None:
-    """Exact bottom-k of a candidate set without merging k rows in one task.
+def _below(rows: DataFrame, cut: Column, rest: Column, order: Sequence[Column], by: Sequence[str] = ()) -> DataFrame:
+    """Rows below bucket ``cut`` and the first ``rest`` rows of it (``_prio`` and ``_bucket`` present)."""
+    rows = rows.withColumn("_cut", cut).withColumn("_rest", rest).where(F.col(BUCKET) <= F.col("_cut"))
+    place = F.row_number().over(Window.partitionBy(*by, BUCKET).orderBy(*order))
+    return rows.withColumn("_place", place).where((F.col(BUCKET) < F.col("_cut")) | (F.col("_place") <= F.col("_rest"))).drop("_cut", "_rest", "_place")
 
-    Candidates are bucketed by the first 16 bits of their priority (uniform), bucket counts
-    (at most 65536 rows) locate the bucket holding the k-th row; every row below it is kept and
-    only that boundary bucket (about candidates / 65536 rows) is ranked. None if fewer than k.
+
+def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
+    """K rows without replacement (all rows when k >= N). Adds ``sampling_weight`` = N / n."""
+    return sized_random(df, lambda _n: k, key, seed)[0]
+
+
+def sized_random(df: DataFrame, size, key: str | Sequence[str], seed: int = 42) -> tuple[DataFrame, int, int]:
+    """E1 when the size follows from the number of rows: (sample, n, N) for n = size(N), at most N.
+
+    The histogram (at most 32 x 255 buckets) comes to the driver, and with it N: no pass counts rows alone.
     """
-    bucket = F.conv(F.substring(F.col(PRIO), 1, 4), 16, 10).cast("int")
-    tagged = cand.withColumn("_b", bucket).persist()
-    counts = sorted((r["_b"], r["c"]) for r in tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("c")).collect())
-    seen = 0
-    for b, c in counts:
-        if seen + c >= k:
-            below = tagged.where(F.col("_b") < F.lit(b))
-            edge = tagged.where(F.col("_b") == F.lit(b)).orderBy(F.col(PRIO), key_string(key)).limit(k - seen)
-            return below.unionByName(edge).drop("_b").persist()
-        seen += c
-    tagged.unpersist()
-    return None
+    prio = priority(key, seed)
+    counts = sorted((r[0], r[1]) for r in df.groupBy(bucket_of(prio).alias(BUCKET)).agg(F.count(F.lit(1)).alias("_n")).collect())
+    total = sum(n for _, n in counts)
+    k = size(total)
+    if k < 0:
+        raise ValueError("sample size must be non-negative")
+    if k >= total:
+        return df.withColumn("sampling_weight", F.lit(1.0)), total, total
+    if k == 0:
+        return df.withColumn("sampling_weight", F.lit(0.0)).limit(0), 0, total
+    cut, rest = _cut(counts, k)
+    rows = df.withColumn(PRIO, prio).withColumn(BUCKET, bucket_of(F.col(PRIO)))
+    out = _below(rows, F.lit(cut), F.lit(rest), [F.col(PRIO), key_string(key), _tie(df)])
+    return out.drop(PRIO, BUCKET).withColumn("sampling_weight", F.lit(total / k)), k, total
 
 
 def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str | Sequence[str], seed: int = 42,
-              carry: Sequence[str] | None = None) -> DataFrame:
-    """Draw ``take_n`` bottom-priority rows per stratum for a plan (by, pop_n, take_n).
+              hist: DataFrame | None = None) -> DataFrame:
+    """Draw ``take_n`` bottom-priority rows per stratum for a plan (by, pop_n, take_n); NULL is a stratum.
 
     Output: the input columns plus ``pop_n``, ``take_n`` and ``sampling_weight`` = pop_n / take_n.
-    Only the key and stratum columns are ranked and persisted; the chosen keys (at most the
-    sample size, checked) are joined back to the lazy input, so later projections prune the scan.
-    With ``carry`` those columns ride along and the persisted sample is returned (no second scan).
+    ``hist`` is the :func:`histogram` of the same rows, key and seed, when the plan was made from it;
+    otherwise it is counted here.
     """
     by = as_list(by)
-    keys = as_list(key)
-    plan = plan.select(*by, "pop_n", "take_n").where(F.col("take_n") > 0).persist()
-    stats = plan.agg(F.count(F.lit(1)).alias("h"), F.sum("take_n").alias("n"), F.max("take_n").alias("m")).first()
-    strata, expected, max_n = stats["h"], stats["n"] or 0, stats["m"] or 0
-    pr = priority(key, seed)
-    w = Window.partitionBy(*by).orderBy(F.col(PRIO), key_string(key))
-    carried = list(dict.fromkeys(by + keys + list(carry or [])))
-    src = spread_for_cpu(df.select(*carried))
-    factor = 1.0
-    while True:
-        thr_plan = plan.withColumn("_thr", hex_threshold_col(_threshold_col(F.col("take_n"), F.col("pop_n"), factor).cast("bigint")))
-        cand = join_small(src, thr_plan, by, "inner", small_rows=strata).withColumn(PRIO, pr)
-        cand = cand.where(F.col(PRIO) < F.col("_thr"))
-        # the literal bound lets Spark plan a WindowGroupLimit that trims before the shuffle
-        out = (
-            cand.withColumn("_rn", F.row_number().over(w))
-            .where((F.col("_rn") <= F.lit(max_n)) & (F.col("_rn") <= F.col("take_n")))
-            .persist()
-        )
-        if out.count() >= expected or factor > 2.0**40:
-            break
-        out.unpersist()
-        factor *= 4.0
-    plan.unpersist()
-    weight = F.col("pop_n") / F.col("take_n")
-    if carry is not None:
-        # the caller named every column it needs: return the persisted sample (no second scan)
-        return out.select(*carried, "pop_n", "take_n").withColumn("sampling_weight", weight)
-    chosen = out.select(*keys, "pop_n", "take_n")
-    return join_small(df, chosen, keys, "inner", small_rows=expected).withColumn("sampling_weight", weight)
+    hist = histogram(df, by, key, seed) if hist is None else hist
+    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0))
+    plan = plan.select(*by, "pop_n", "take_n").where(F.col("take_n") > 0)
+    cuts = join_keys(hist.select(*by, BUCKET, "_n", upto.alias("_to")), plan, by).where((F.col("_to") >= F.col("take_n")) & (F.col("_to") - F.col("_n") < F.col("take_n")))
+    cuts = cuts.select(*by, "pop_n", "take_n", F.col(BUCKET).alias("_cut"), (F.col("take_n") - F.col("_to") + F.col("_n")).alias("_rest"))
+    rows = join_keys(df.withColumn("_tie", _tie(df)), cuts, by).withColumn(PRIO, priority(key, seed)).withColumn(BUCKET, bucket_of(F.col(PRIO)))
+    out = _below(rows, F.col("_cut"), F.col("_rest"), [F.col(PRIO), key_string(key), F.col("_tie")], by)
+    return out.drop(PRIO, BUCKET, "_tie").withColumn("sampling_weight", F.col("pop_n") / F.col("take_n"))
 
 
 def stratified(
@@ -160,112 +139,93 @@ def stratified(
     rule: str = "proportional",
     value_col: str | None = None,
 ) -> DataFrame:
-    """Stratified sample of total size about k under an allocation rule."""
+    """Stratified sample of total size k (or every row, if fewer) under an allocation rule."""
     if rule == "neyman" and value_col is None:
         raise ValueError("Neyman allocation needs value_col (the stratum standard deviations)")
-    sizes = strata_sizes(df, by, value_col if rule == "neyman" else None)
-    plan = allocate(sizes, k, by, rule)
-    return from_plan(df, plan, by, key, seed)
+    hist = histogram(df, by, key, seed, value_col if rule == "neyman" else None)
+    plan = allocate(sizes_of(hist, by, deviations=rule == "neyman"), k, by, rule)
+    return from_plan(df, plan, by, key, seed, hist)
 
 
 def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed: int = 42) -> DataFrame:
     """Weighted sample without replacement (Efraimidis-Spirakis).
 
     Row key r = ln(u) / w, the k largest win; equivalently the k smallest exponential races
-    E = -ln(u) / w. Rows with w <= 0 or NULL/NaN weight are never drawn. The candidate cut-off t
-    is picked from one pass that evaluates the expected number of races below 64 candidates of t
-    (powers of two; sum of 1 - exp(-w t)); the result is verified and t is raised if short.
+    E = -ln(u) / w. Rows with w <= 0 or NULL/NaN weight are never drawn. Races are counted in buckets of
+    an eighth of a power of two (some hundreds, collected); the second pass keeps those below the bucket
+    of the k-th and ranks within it. Adds ``es_key``.
     """
-    keys = as_list(key)
     u = uniform(priority(key, seed))
-    wcol = F.col(weight)
-    ok = wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0)
-    # computed on (key, weight) only; chosen keys are joined back to the lazy input
-    valid = spread_for_cpu(df.select(*dict.fromkeys(keys + [weight]))).where(ok)
-    race = -F.log(u) / wcol
-    grid = [2.0 ** e for e in range(-45, 19)]
-    n_valid = valid.count()
-    if n_valid <= k:
-        return df.where(ok).withColumn("es_key", F.log(u) / wcol)
-    # the expected candidate counts only pick a starting cut-off (the result is verified), so
-    # they are estimated on a ~1M-row subsample chosen by an independent hash, then scaled up
-    frac = min(1.0, 1_000_000 / n_valid)
-    sub = valid if frac >= 1.0 else valid.where(uniform(priority(key, seed, salt="grid")) < F.lit(frac))
-    sums = sub.agg(*[F.sum(1 - F.exp(-wcol * F.lit(t))).alias(f"g{i}") for i, t in enumerate(grid)]).first()
-    need = k + 8 * math.sqrt(k) + 16
-    idx = next((i for i, _ in enumerate(grid) if (sums[f"g{i}"] or 0.0) / frac >= need), len(grid) - 1)
-    while True:
-        t = grid[idx] if idx < len(grid) else None
-        cand = valid.withColumn("es_key", F.log(u) / wcol)
-        if t is not None:
-            cand = cand.where(race <= F.lit(t))
-        out = cand.orderBy(F.col("es_key").desc(), key_string(key)).limit(k).persist()
-        if t is None or out.count() >= k:
-            return join_small(df, out.select(*keys, "es_key"), keys, "inner", small_rows=k)
-        out.unpersist()
-        idx += 2
-
-
-def cluster(df: DataFrame, k: int, cluster_col: str, seed: int = 42) -> DataFrame:
-    """Choose k clusters by priority, keep all of their rows (left-semi join)."""
-    clusters = df.select(cluster_col).distinct()
-    chosen = simple_random(clusters, k, cluster_col, seed).select(cluster_col)
-    return join_small(df, chosen, cluster_col, "left_semi")
-
-
-def systematic(df: DataFrame, k: int, order_by: str, seed: int = 42, buckets: int | None = None) -> DataFrame:
+    wcol = F.col(weight).cast("double")
+    valid = df.where(wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0)).withColumn("es_key", F.log(u) / wcol)
+    race = -F.col("es_key")
+    step = F.when(race > 0, F.floor(F.log2(race) * 8)).otherwise(F.lit(-100_000)).cast("int")
+    counts = sorted((r[0], r[1]) for r in valid.groupBy(step.alias(BUCKET)).agg(F.count(F.lit(1)).alias("n")).collect())
+    if sum(n for _, n in counts) <= k:
+        return valid
+    cut, rest = _cut(counts, k)
+    order = [F.col("es_key").desc(), key_string(key), F.col("_tie")]
+    return _below(valid.withColumn("_tie", _tie(df)).withColumn(BUCKET, step), F.lit(cut), F.lit(rest), order).drop("_tie", BUCKET)
+
+
+def cluster(df: DataFrame, k: int | None, cluster_col: str, seed: int = 42, error_margin: float | None = None, confidence: float = 0.95) -> DataFrame:
+    """Choose k clusters by priority, keep all of their rows. Without k, an error margin sizes the
+    number of clusters. NULL is a cluster."""
+    size = _size(k, error_margin, confidence)
+    chosen = sized_random(df.select(cluster_col).distinct(), size, cluster_col, seed)[0].select(cluster_col)
+    return join_keys(df, chosen, cluster_col, "left_semi")
+
+
+def _size(k: int | None, error_margin: float | None, confidence: float):
+    """Rows to draw of N: k, or what an error margin asks for."""
+    if k is None and error_margin is None:
+        raise ValueError("a sample needs a size or an error margin")
+    return lambda n: min(n, k if k is not None else required_sample_size(error_margin, n, confidence) if n else 0)
+
+
+def systematic(df: DataFrame, k: int | None, order_by: str, seed: int = 42, error_margin: float | None = None, confidence: float = 0.95) -> DataFrame:
     """Every (N/k)-th row in ``order_by`` order from a seeded start; exactly min(k, N) rows.
 
-    Target ranks are floor((r + j N) / k), j = 0..k-1, with integer start r = hash(seed) mod N.
-    Global ranks come without a single-task sort: range boundaries (approximate percentiles,
-    fixed as literals) split the order column into buckets of about a million rows; per-bucket
-    counts give offsets, and only the order column is ranked inside each bucket. The k chosen
-    order values (checked size) are then semi-joined back, so the wide rows are never shuffled.
-    ``order_by`` must be unique. Output: the input columns plus ``_rank`` (0-based).
+    Target ranks are floor((r + j N) / k), j = 0..k-1, with integer start r = hash(seed) mod N. Ranks come
+    from :func:`ranking.global_rank` over the order column and a hash of the row; whether a rank is a
+    target is decided by (exact) arithmetic on the rank itself. The chosen places are joined back, equal
+    rows being told apart by a running number, so ties in ``order_by`` are safe. Adds ``_rank`` (0-based).
     """
-    total = df.count()
-    if total == 0:
+    size = _size(k, error_margin, confidence)
+    tagged = df.withColumn("_tie", _tie(df))
+    ranked = global_rank(tagged.select(order_by, "_tie"), [F.col(order_by).asc_nulls_first(), F.col("_tie")])
+    total = ranked.count()
+    k = size(total)
+    if not k:
         return df.withColumn("_rank", F.lit(None).cast("long")).limit(0)
-    k = min(k, total)
-    nb = buckets or max(1, min(100_000, total // 1_000_000 + 1))
-    spark = df.sparkSession
-    if nb > 1:
-        probs = [i / nb for i in range(1, nb)]
-        bounds = sorted(set(df.agg(F.percentile_approx(order_by, probs, max(10_000, 10 * nb))).first()[0]))
-    else:
-        bounds = []
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else None
-    bucket = F.size(F.filter(arr, lambda b: b < F.col(order_by))) if arr is not None else F.lit(0)
-    keys = df.select(F.col(order_by), bucket.cast("int").alias("_bucket"))
-    counts = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = counts.withColumn(
-        "_off", F.sum("_cnt").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    ).select("_bucket", F.coalesce("_off", F.lit(0)).alias("_off"))
-    start = systematic_start(seed, total)
-    targets = spark.range(k).select(F.floor((F.lit(start) + F.col("id") * F.lit(total)) / F.lit(k)).cast("long").alias("_rank"))
-    ranked = join_small(keys, offsets, "_bucket", small_rows=len(bounds) + 1).withColumn(
-        "_rank", F.col("_off") + F.row_number().over(Window.partitionBy("_bucket").orderBy(order_by)) - 1
-    )
-    chosen = join_small(ranked, targets, "_rank", "inner", small_rows=k).select(order_by, "_rank")
-    return join_small(df, chosen, order_by, "inner", small_rows=k)
+    whole = lambda x: F.lit(x).cast("decimal(19,0)")  # noqa: E731  products need more than 64 bits
+    start, rank = systematic_start(seed, total), F.col("_rank").cast("decimal(19,0)")
+    # the first step j that reaches the rank; it hits if it doesn't pass beyond
+    ranked = ranked.withColumn("_reach", F.greatest(rank * whole(k) - whole(start), F.lit(0).cast("decimal(38,0)")))
+    ranked = ranked.withColumn("_j", F.expr(f"(_reach + {total - 1}BD) div {total}BD"))
+    hit = whole(start) + F.col("_j").cast("decimal(19,0)") * whole(total) < (rank + 1) * whole(k)
+    number = F.row_number().over(Window.partitionBy(order_by, "_tie").orderBy(F.lit(0)))
+    chosen = ranked.where(hit).drop("_reach", "_j").withColumn("_no", number)
+    candidates = join_keys(tagged, chosen.select(order_by, "_tie").distinct(), [order_by, "_tie"], "left_semi").withColumn("_no", number)
+    return join_keys(candidates, chosen, [order_by, "_tie", "_no"]).drop("_tie", "_no")
 
 
 def systematic_start(seed: int, total: int) -> int:
-    """Seeded integer start in [0, N): first 32 bits of md5('seed:start') mod N."""
-    return int(hashlib.md5(f"{seed}:start".encode()).hexdigest()[:8], 16) % total
+    """Seeded integer start in [0, N): first 60 bits of md5('seed:start') mod N."""
+    return int(hashlib.md5(f"{seed}:start".encode()).hexdigest()[:15], 16) % total
 
 
 def reservoir(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, strata: str | Sequence[str] | None = None) -> DataFrame:
-    """Bottom-k reservoir (per stratum when ``strata`` is given).
+    """Bottom-k reservoir (per stratum when ``strata`` is given; NULL is a stratum).
 
     Same distribution as Algorithm R, but order-independent and mergeable: the reservoir of a
     union is the bottom-k of the two reservoirs.
     """
     if strata is None:
         return simple_random(df, k, key, seed).drop("sampling_weight")
-    sizes = strata_sizes(df, strata)
-    plan = sizes.withColumn("take_n", F.least(F.col("pop_n"), F.lit(k)).cast("long"))
-    return from_plan(df, plan, strata, key, seed).drop("sampling_weight", "pop_n", "take_n")
+    hist = histogram(df, strata, key, seed)
+    plan = sizes_of(hist, strata).withColumn("take_n", F.least(F.col("pop_n"), F.lit(k)).cast("long"))
+    return from_plan(df, plan, strata, key, seed, hist).drop("sampling_weight", "pop_n", "take_n")
 
 
 def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[int], total: int | None = None) -> DataFrame:
@@ -276,64 +236,58 @@ def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[
     return replicates(df, key, seeds, [(None, k)], total).drop("size_label")
 
 
+def _threshold(n: float, N: float, factor: float = 1.0) -> int:
+    if N <= 0:
+        return TWO_POW_32
+    frac = (n + 8.0 * math.sqrt(n) + 16.0) / N * factor
+    return min(TWO_POW_32, int(math.ceil(frac * TWO_POW_32)))
+
+
 def replicates(df: DataFrame, key: str | Sequence[str], seeds: Sequence[int], sizes, total: int | None = None) -> DataFrame:
     """Bottom-k samples for every (size label, seed) pair in ONE job.
 
     ``sizes`` = [(label, k), ...]. Each row is paired with every seed inside the scan stage (one
     md5 per row and seed, shared by all sizes) and immediately cut by the per-size threshold, so
     only about k + 8 sqrt(k) + 16 rows per replicate reach the window; nothing is materialized per
-    replicate. Output: the input columns plus ``seed`` and ``size_label``. Exact (verified,
-    widened if short).
+    replicate. Output: the input columns plus ``seed`` and ``size_label``. Exact: the cut is checked,
+    and widened until every replicate is full.
     """
     N = df.count() if total is None else total
     sizes = [(label, min(int(k), N)) for label, k in sizes]
     seeds_col = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
-    tagged = spread_for_cpu(df).select("*", seeds_col)
+    tagged = df.withColumn("_tie", _tie(df)).select("*", seeds_col)
     tagged = tagged.withColumn(PRIO, F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), key_string(key))))
-    w = Window.partitionBy("size_label", "seed").orderBy(F.col(PRIO), key_string(key))
+    w = Window.partitionBy("size_label", "seed").orderBy(F.col(PRIO), key_string(key), F.col("_tie"))
     expected = sum(k for _l, k in sizes) * len(seeds)
     max_k = max(k for _l, k in sizes)
     label_type = "double" if all(isinstance(lbl, (int, float)) for lbl, _k in sizes) else "string"
     factor = 1.0
     while True:
+        cuts = [_threshold(k, N, factor) for _l, k in sizes]
         opts = F.array(*[
-            F.struct(F.lit(lbl).cast(label_type).alias("size_label"), F.lit(k).alias("_k"),
-                     F.lit(hex_threshold(_threshold(k, N, factor))).alias("_thr"))
-            for lbl, k in sizes
+            F.struct(F.lit(lbl).cast(label_type).alias("size_label"), F.lit(k).alias("_k"), F.lit(hex_threshold(cut)).alias("_thr"))
+            for (lbl, k), cut in zip(sizes, cuts)
         ])
         cand = tagged.select("*", F.explode(opts).alias("_o")).select("*", "_o.size_label", "_o._k", "_o._thr").drop("_o")
         cand = cand.where(F.col(PRIO) < F.col("_thr"))
-        out = (
-            cand.withColumn("_rn", F.row_number().over(w))
-            .where((F.col("_rn") <= F.lit(max_k)) & (F.col("_rn") <= F.col("_k")))
-            .persist()
-        )
-        if out.count() >= expected or factor > 2.0**40:
-            break
-        out.unpersist()
+        out = cand.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") <= F.lit(max_k)) & (F.col("_rn") <= F.col("_k")))
+        if out.count() >= expected:
+            return out.drop(PRIO, "_rn", "_k", "_thr", "_tie")
+        if min(cuts) >= TWO_POW_32:
+            raise RuntimeError(f"the table holds fewer than the {N} rows it was said to hold")
         factor *= 4.0
-    return out.drop(PRIO, "_rn", "_k", "_thr")
 
 
 def sized(df: DataFrame, key: str | Sequence[str], size: int | None = None, error_margin: float | None = None,
           confidence: float = 0.95, seed: int = 42) -> DataFrame:
-    """Simple random sample of ``size`` rows, or sized from an error margin (capped at N).
+    """Simple random sample of ``size`` rows, or sized from an error margin (at most N).
 
     Raises when neither is given.
     """
-    from ..plans.sizing import required_sample_size
-
-    N = df.count()
-    if size is None:
-        if error_margin is None:
-            raise ValueError("Either size or error_margin must be specified")
-        size = required_sample_size(error_margin, N, confidence)
-    return simple_random(df, min(size, N), key, seed, total=N)
+    return sized_random(df, _size(size, error_margin, confidence), key, seed)[0]
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> int:
-    """Number of key values that occur more than once. Every sampler assumes a unique key (the
-    chosen keys are joined back to the input); this optional check costs one aggregation over the
-    key columns (partial counts map-side)."""
+    """Number of key values that occur more than once (samplers allow them: equal keys tie)."""
     keys = as_list(key)
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") > 1).count()

@@ -3,9 +3,9 @@
 HLL: Spark's built-in mergeable sketch (``hll_sketch_agg`` / ``hll_union_agg`` /
 ``hll_sketch_estimate``), lgConfigK 14 as the reference's p = 14.
 
-Count-Min: kept *relational* - a table (depth_row, bucket, cnt) - so it can be built by a plain
-``groupBy`` (map-side partial aggregation keeps at most depth x width rows per task whatever the
-key skew), merged by ``union`` + ``groupBy``, maintained by a streaming aggregate and probed by a
+Count-Min: kept *relational* - a table (depth_row, bucket, cnt) - so it can be built by one plain
+``groupBy`` (map-side partial aggregation leaves at most depth x width rows per task to shuffle,
+whatever the keys), NULL being a key of its own, merged by ``union`` + ``groupBy``, maintained by a streaming aggregate and probed by a
 join. Buckets use an md5 hash so DuckDB reproduces the same table.
 """
 
@@ -16,8 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.keys import as_list
-from .joins import join_small
+from ..functions.keys import NULL_TEXT, as_list
 
 # Fixed values that must equal the reference's behaviour:
 # HLL precision p = 14; Count-Min width 2000 x depth 5
@@ -47,27 +46,17 @@ def hll_merge(sketches: DataFrame, by: str | Sequence[str] | None = None, alias:
 
 def cms_bucket(row: Column, key: Column, width: int = CMS_WIDTH) -> Column:
     """Bucket of a key in a depth row: first 32 bits of md5('row:key') mod width."""
-    h = F.md5(F.concat(row.cast("string"), F.lit(":"), key.cast("string")))
+    h = F.md5(F.concat(row.cast("string"), F.lit(":"), F.coalesce(key.cast("string"), F.lit(NULL_TEXT))))
     return (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % F.lit(width)).cast("int")
 
 
 def cms_build(df: DataFrame, key: str, count: str | None = None, width: int = CMS_WIDTH, depth: int = CMS_DEPTH,
-              by: str | Sequence[str] | None = None, pre_aggregate: bool = True) -> DataFrame:
+              by: str | Sequence[str] | None = None) -> DataFrame:
     """Count-Min table (depth_row, bucket, cnt); ``count`` adds a weight column instead of 1;
-    ``by`` builds one table per value of those columns (e.g. one per profiled column) in one pass.
-
-    With ``pre_aggregate`` the rows are first counted per key (map-side partial aggregation, so a
-    hot key collapses to one row per task), and only distinct keys are hashed depth times. Streams
-    use the single-level form (Spark allows one streaming aggregation per query).
-    """
+    ``by`` builds one table per value of those columns (e.g. one per profiled column) in one pass."""
     by = as_list(by)
     c = F.col(count).cast("long") if count else F.lit(1).cast("long")
-    base = df.select(*by, F.col(key).alias("_key"), c.alias("_c"))
-    if pre_aggregate:
-        base = base.groupBy(*by, "_key").agg(F.sum("_c").alias("_c"))
-    rows = base.select(
-        *by, "_key", "_c", F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row")
-    )
+    rows = df.select(*by, F.col(key).alias("_key"), c.alias("_c"), F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row"))
     return rows.groupBy(*by, "depth_row", cms_bucket(F.col("depth_row"), F.col("_key"), width).alias("bucket")).agg(
         F.sum("_c").cast("long").alias("cnt")
     )
@@ -85,10 +74,10 @@ def cms_estimate(keys: DataFrame, key: str, table: DataFrame, width: int = CMS_W
                  alias: str = "estimate") -> DataFrame:
     """Point estimate per key = min over depth rows of its bucket's count (never below the truth).
 
-    The CMS table has depth x width rows (fixed size), so it is broadcast.
+    The CMS table has depth x width rows, so Spark may broadcast it; NULL keys are probed like others.
     """
     probes = keys.select(F.col(key)).distinct().select(
         F.col(key), F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row")
     ).withColumn("bucket", cms_bucket(F.col("depth_row"), F.col(key), width))
-    j = join_small(probes, table, ["depth_row", "bucket"], "left", small_rows=width * depth)
+    j = probes.join(table.select("depth_row", "bucket", "cnt"), ["depth_row", "bucket"], "left")
     return j.groupBy(key).agg(F.coalesce(F.min("cnt"), F.lit(0)).cast("long").alias(alias))

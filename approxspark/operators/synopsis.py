@@ -14,40 +14,33 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType, StringType
 
+from ..plans.allocation import allocate
+from ..plans.sizing import size_for_accuracy
 from ..session import scratch_path
 from . import samplers
-from .sketches import HLL_LG_K, cms_build
+from .exact import numeric_columns
+from .sketches import HLL_LG_K, cms_build, cms_estimate
 
-DIGITS = 4
-
-
-def _split(df: DataFrame, columns: Sequence[str] | None):
-    fields = [f for f in df.schema.fields if columns is None or f.name in columns]
-    numeric = [f.name for f in fields if isinstance(f.dataType, NumericType)]
-    categorical = [f.name for f in fields if isinstance(f.dataType, StringType)]
-    return numeric, categorical
-
-
-def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def profile(df: DataFrame, frequencies: Sequence[str]) -> DataFrame:
     """D19 as a DataFrame: rows (column, kind, value, count, mean, std, min, max, sum).
 
     kind = 'rows' (total row count), 'numeric' (one row per numeric column) or 'frequency'
-    (one row per value of each categorical column). The numeric part is a single aggregate;
-    each frequency table is a ``groupBy`` with map-side partial counts.
+    (one row per value of each column of ``frequencies``: the caller names them, as a near-unique
+    column's table is as large as the data). The numeric part is a single aggregate; the frequency
+    tables are a ``groupBy`` with map-side partial counts.
     """
-    numeric, categorical = _split(df, columns)
+    numeric, categorical = numeric_columns(df), list(frequencies)
     exprs = [F.count(F.lit(1)).cast("long").alias("__rows")]
     for c in numeric:
         x = F.col(c).cast("double")
         exprs += [
             F.count(x).cast("long").alias(f"{c}__count"),
-            F.round(F.avg(x), DIGITS).alias(f"{c}__mean"),
-            F.round(F.stddev_samp(x), DIGITS).alias(f"{c}__std"),
+            F.avg(x).alias(f"{c}__mean"),
+            F.stddev_samp(x).alias(f"{c}__std"),
             F.min(x).alias(f"{c}__min"),
             F.max(x).alias(f"{c}__max"),
-            F.round(F.sum(x), DIGITS).alias(f"{c}__sum"),
+            F.sum(x).alias(f"{c}__sum"),
         ]
     wide = df.agg(*exprs)
     null_d = F.lit(None).cast("double")
@@ -81,10 +74,10 @@ def profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     return out
 
 
-def build_profile(df: DataFrame, name: str = "profile", columns: Sequence[str] | None = None, path: str | None = None) -> str:
+def build_profile(df: DataFrame, frequencies: Sequence[str], name: str = "profile", path: str | None = None) -> str:
     """Write the profile table (parquet) and return its path."""
     path = path or scratch_path(df.sparkSession, name)
-    profile(df, columns).write.mode("overwrite").parquet(path)
+    profile(df, frequencies).write.mode("overwrite").parquet(path)
     return path
 
 
@@ -101,52 +94,71 @@ def hll_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.select(F.explode(F.array(*structs)).alias("s")).select("s.column", "s.sketch")
 
 
-def build_sketches(df: DataFrame, key: str | Sequence[str], columns: Sequence[str] | None = None, name: str = "sketches",
-                   sample_size: int = 10000, seed: int = 42) -> dict[str, str]:
-    """Write HLL (all columns), Count-Min (categorical) and sample synopses; return their paths.
+def build_sketches(df: DataFrame, key: str | Sequence[str], distinct: Sequence[str] = (), counts: Sequence[str] = (), strata: Sequence[str] = (),
+                   name: str = "sketches", sample_size: int = 10000, seed: int = 42) -> dict[str, str]:
+    """Write synopses of ``df`` and return their paths.
 
-    Samples: a bottom-k reservoir of ``sample_size`` rows and, per categorical column, a bottom-k
-    per value of that column (the stratified reservoir used for GROUP BY).
+    hll         an HLL sketch per column of ``distinct``
+    cms         a Count-Min table per column of ``counts``
+    sample      a bottom-k sample of ``sample_size`` rows with its pop_n and take_n
+    stratified  per column of ``strata`` and value of it a bottom-k of ``sample_size`` rows, with the
+                stratum's pop_n and take_n: (strata_column, strata_value, the columns of df...). A near-unique column
+                has as many rows as the table, so the caller names the columns.
+    Each kind is one or two passes for all its columns.
     """
     spark = df.sparkSession
-    numeric, categorical = _split(df, columns)
-    cols = numeric + categorical
     base = scratch_path(spark, name)
-    paths = {"hll": f"{base}/hll", "cms": f"{base}/cms", "sample": f"{base}/sample"}
-    hll_columns(df, cols).write.mode("overwrite").parquet(paths["hll"])
-    if categorical:
-        # all categorical columns' Count-Min tables in one scan
-        pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("_k"))
-                                              for c in categorical])).alias("p")).select("p.column", "p._k")
-        cms_build(pairs, "_k", by="column").write.mode("overwrite").parquet(paths["cms"])
-    samplers.reservoir(df, sample_size, key, seed).write.mode("overwrite").parquet(paths["sample"])
-    for c in categorical:
-        p = f"{base}/stratified_{c}"
-        samplers.reservoir(df, sample_size, key, seed, strata=c).write.mode("overwrite").parquet(p)
-        paths[f"stratified_{c}"] = p
+    paths = {"sample": f"{base}/sample"}
+    sample, n, N = samplers.sized_random(df, lambda total: min(total, sample_size), key, seed)
+    sample.drop("sampling_weight").withColumns({"pop_n": F.lit(N).cast("long"), "take_n": F.lit(n).cast("long")}).write.parquet(paths["sample"])
+    if distinct:
+        paths["hll"] = f"{base}/hll"
+        hll_columns(df, distinct).write.parquet(paths["hll"])
+    if counts:
+        paths["cms"] = f"{base}/cms"
+        pairs = _pairs(df, counts).select(F.col("strata_column").alias("column"), "strata_value")
+        cms_build(pairs, "strata_value", by="column").write.parquet(paths["cms"])
+    if strata:
+        paths["stratified"] = f"{base}/stratified"
+        pairs, by = _pairs(df, strata), ["strata_column", "strata_value"]
+        hist = samplers.histogram(pairs, by, key, seed)
+        plan = samplers.sizes_of(hist, by).withColumn("take_n", F.least("pop_n", F.lit(sample_size)).cast("long"))
+        samplers.from_plan(pairs, plan, by, key, seed, hist).drop("sampling_weight").write.partitionBy("strata_column").parquet(paths["stratified"])
     return paths
 
 
-def build_stratified_sample(df: DataFrame, by: str | Sequence[str], key: str | Sequence[str], accuracy: float = 95,
-                            seed: int = 42, name: str = "stratified_sample", path: str | None = None) -> str:
+def _pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each row once per column, with the column's name and value (as text)."""
+    pair = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in columns]))
+    return df.select("*", pair.alias("_pair")).select("*", F.col("_pair.c").alias("strata_column"), F.col("_pair.v").alias("strata_value")).drop("_pair")
+
+
+def distinct_from_sketch(spark, path: str, column: str, alias: str = "approx_distinct") -> DataFrame:
+    """COUNT(DISTINCT column) from the stored HLL synopsis."""
+    return spark.read.parquet(path).where(F.col("column") == column).select(F.hll_sketch_estimate("sketch").alias(alias))
+
+
+def counts_from_sketch(spark, path: str, column: str, keys: DataFrame, alias: str = "count") -> DataFrame:
+    """COUNT(*) per key (a one-column frame of keys) from the stored Count-Min synopsis."""
+    return cms_estimate(keys, keys.columns[0], spark.read.parquet(path).where(F.col("column") == column), alias=alias)
+
+
+def build_stratified_sample(df: DataFrame, by: str | Sequence[str], key: str | Sequence[str], accuracy: float = 95, seed: int = 42,
+                            name: str = "stratified_sample", path: str | None = None, min_sample: int | None = None, max_sample: int | None = None) -> str:
     """Stratified sample synopsis for approximate GROUP BY on ``by``: the accuracy-sized sample
     (max(1, k N_h / N) rows per stratum) with its ``pop_n`` / ``take_n`` columns, written once;
     ``approximate.approx_agg_from_sample`` answers later queries from it without touching ``df``."""
-    from ..plans.allocation import allocate, strata_sizes
-    from ..plans.sizing import size_for_accuracy
-
-    sizes = strata_sizes(df, by).persist()
-    N = sizes.agg(F.sum("pop_n")).first()[0] or 0
-    plan = allocate(sizes, size_for_accuracy(accuracy, max(N, 1)), by, "min_one", total=N)
+    hist = samplers.histogram(df, by, key, seed)
+    N = hist.agg(F.sum("_n")).first()[0] or 0
+    plan = allocate(samplers.sizes_of(hist, by), size_for_accuracy(accuracy, N, min_sample, max_sample), by, "min_one")
     path = path or scratch_path(df.sparkSession, name)
-    samplers.from_plan(df, plan, by, key, seed).write.mode("overwrite").parquet(path)
-    sizes.unpersist()
+    samplers.from_plan(df, plan, by, key, seed, hist).write.mode("overwrite").parquet(path)
     return path
 
 
 def strata_sizes_from_profile(spark, path: str, column: str, dtype: str = "string") -> DataFrame:
-    """Stratum sizes (column, pop_n) read from a profile synopsis' frequency rows, so an approximate
-    GROUP BY on ``column`` skips its sizing scan (see ``approximate.approx_agg(sizes=...)``)."""
+    """Stratum sizes (column, pop_n) from a profile synopsis' frequency rows, without a pass over the table:
+    for ``plans.allocation.allocate`` and ``bounds.stratified_bounds``."""
     p = spark.read.parquet(path)
     return p.where((F.col("kind") == "frequency") & (F.col("column") == column)).select(
         F.col("value").cast(dtype).alias(column), F.col("count").alias("pop_n")

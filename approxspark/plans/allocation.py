@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import as_list
+from ..operators.joins import join_keys
+from ..session import store
 
 RULES = ("proportional", "proportional_spread", "neyman", "equal", "min_one")
 
@@ -27,8 +29,8 @@ def strata_sizes(df: DataFrame, by: str | Sequence[str], value_col: str | None =
     return df.groupBy(*by).agg(*aggs)
 
 
-def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "proportional", total: int | None = None) -> DataFrame:
-    """Add ``take_n`` to a strata-sizes table.
+def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "proportional") -> DataFrame:
+    """Add ``take_n`` to a strata-sizes table; NULL is a stratum.
 
     proportional         floor(k pop_n / N); the whole remainder goes to the largest stratum
     proportional_spread  floor(k pop_n / N); the remainder one each to the largest strata
@@ -36,55 +38,58 @@ def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "pro
                          NULL pop_sd counts as 0; all-zero s falls back to proportional
     equal                k // H each; the remainder one each to the first strata by key
     min_one              max(1, floor(k pop_n / N))
-    Every take_n is capped at pop_n. Ties for "largest" are broken by the greater key.
+    No stratum gives more than it has: what it can't give is shared by the same rule among those that
+    can give more, until k rows are placed or none is left (min_one, whose total is not k, only caps).
+    Ties for "largest" are broken by the greater key.
 
     Global quantities (N, H, sum of weights, sum of the floors) are scalar aggregates and the
     strata that receive a remainder come from a top-r selection (r < H), so no step puts the
-    whole strata table into one task. ``total`` (N, when the caller already knows it) saves the
-    scalar pass for the proportional and min-one rules.
+    whole strata table into one task.
     """
     if rule not in RULES:
         raise ValueError(f"unknown allocation rule: {rule}")
     if k < 0:
         raise ValueError("sample size must be non-negative")
     by = as_list(by)
-    sizes = sizes.persist()
+    plan, _ = store(sizes.withColumn("pop_n", F.col("pop_n").cast("long")), "strata")
+    plan = plan.withColumn("take_n", F.lit(0).cast("long"))
+    while True:
+        # the rule over strata that can still give, for the rows still to place
+        room = F.col("pop_n") - F.col("take_n")
+        g = plan.agg(F.sum("pop_n").alias("N"), F.sum("take_n").alias("placed")).first()
+        left = min(k, g["N"] or 0) - (g["placed"] or 0)
+        if left <= 0:
+            return plan
+        shared = _share(plan.where(room > 0).drop("take_n"), left, by, rule)
+        more = join_keys(plan, shared.select(*by, "_share"), by, "left")
+        plan = more.withColumn("take_n", F.least("pop_n", F.col("take_n") + F.coalesce("_share", F.lit(0)))).drop("_share")
+        if rule == "min_one":
+            return plan
+        plan, _ = store(plan, "plan")
+
+
+def _share(strata: DataFrame, k: int, by: Sequence[str], rule: str) -> DataFrame:
+    """``_share`` of k rows for each stratum, by the rule and without regard to what it has."""
     w = F.col("pop_n") * F.coalesce(F.col("pop_sd"), F.lit(0.0)) if rule == "neyman" else F.lit(0.0)
-    if total is not None and rule in ("proportional", "proportional_spread", "min_one"):
-        N, H, W = total, None, 0.0
-    else:
-        g = sizes.agg(F.sum("pop_n").alias("N"), F.count(F.lit(1)).alias("H"), F.sum(w).alias("W")).first()
-        N, H, W = g["N"] or 0, g["H"], g["W"] or 0.0
+    g = strata.agg(F.sum("pop_n").alias("N"), F.count(F.lit(1)).alias("H"), F.sum(w).alias("W")).first()
     kk = F.lit(k).cast("long")
-    if N == 0:
-        return sizes.withColumn("take_n", F.lit(0).cast("long"))
-    if rule == "neyman" and W > 0:
-        base = F.floor(kk * w / F.lit(W))
+    if rule == "neyman" and g["W"] > 0:
+        base = F.floor(kk * w / F.lit(g["W"]))
     elif rule == "equal":
-        base = F.lit(k // H)
+        base = F.lit(k // g["H"])
     else:
-        base = F.floor(kk * F.col("pop_n") / F.lit(N))
+        base = F.floor(kk * F.col("pop_n") / F.lit(g["N"]))
     if rule == "min_one":
         base = F.greatest(F.lit(1).cast("long"), base)
-    plan = sizes.withColumn("_base", base.cast("long"))
-    if rule == "min_one":
-        plan = plan.withColumn("take_n", F.col("_base"))
+    strata = strata.withColumn("_share", base.cast("long"))
+    rest = 0 if rule == "min_one" else k - strata.agg(F.sum("_share")).first()[0]
+    if rest <= 0:
+        return strata
+    by_size = [F.col("pop_n").desc(), *[F.col(c).desc() for c in by]]
+    by_key = [F.col(c).asc() for c in by]
+    if rule in ("proportional", "neyman"):
+        top, extra = strata.orderBy(*by_size).limit(1), rest
     else:
-        rem = k - (plan.agg(F.sum("_base")).first()[0] or 0)
-        by_size = [F.col("pop_n").desc(), *[F.col(c).desc() for c in by]]
-        by_key = [F.col(c).asc() for c in by]
-        if rem <= 0:
-            plan = plan.withColumn("take_n", F.col("_base"))
-        elif rule in ("proportional", "neyman"):
-            top = sizes.orderBy(*by_size).limit(1).select(*by, F.lit(rem).cast("long").alias("_extra"))
-            plan = plan.join(F.broadcast(top), by, "left")
-            plan = plan.withColumn("take_n", F.col("_base") + F.coalesce(F.col("_extra"), F.lit(0)))
-        else:
-            order = by_size if rule == "proportional_spread" else by_key
-            top = sizes.orderBy(*order).limit(int(rem)).select(*by, F.lit(1).cast("long").alias("_extra"))
-            from ..operators.joins import join_small
-
-            plan = join_small(plan, top, by, "left", small_rows=int(rem if H is None else min(rem, H)))
-            plan = plan.withColumn("take_n", F.col("_base") + F.coalesce(F.col("_extra"), F.lit(0)))
-    plan = plan.withColumn("take_n", F.least(F.col("take_n"), F.col("pop_n")).cast("long"))
-    return plan.drop("_base", "_extra")
+        top, extra = strata.orderBy(*(by_size if rule == "proportional_spread" else by_key)).limit(int(rest)), 1
+    top = top.select(*by, F.lit(extra).cast("long").alias("_extra"))
+    return join_keys(strata, top, by, "left").withColumn("_share", F.col("_share") + F.coalesce("_extra", F.lit(0))).drop("_extra")

@@ -69,6 +69,13 @@ def drop_scratch(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def list_scratch(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder of any filesystem; none if it doesn't exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` once to the shared folder and read it back: a lineage cut that survives lost executors."""
     spark = df.sparkSession

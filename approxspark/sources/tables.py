@@ -10,26 +10,11 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
-# Unique row keys of the tables the samplers use.
-ROW_KEYS = {
-    "orders": ["o_orderkey"],
-    "events": ["event_id"],
-    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"],
-    "customer": ["c_custkey"],
-    "sales": ["id"],
-}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
-    for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
-    sales(spark, sf_dir).createOrReplaceTempView("sales")
-
-
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The reference's sales table (id, category, price, user_id) over orders x customer.
 

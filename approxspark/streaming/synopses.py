@@ -17,12 +17,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.keys import as_list, key_string, priority
-from ..operators.joins import join_small
+from ..functions.keys import as_list, priority
+from ..operators import samplers
+from ..operators.joins import join_keys
 from ..operators.sketches import HLL_LG_K, cms_build
-from ..session import scratch_path
-
-STREAM_TIMEOUT_S = 600
+from ..session import list_scratch, scratch_path
 
 
 def require_streaming(df: DataFrame) -> None:
@@ -31,12 +30,13 @@ def require_streaming(df: DataFrame) -> None:
         raise ValueError("Cannot add streaming data to a batch source")
 
 
-def stage_batches(df: DataFrame, name: str, parts: int = 4, order_by: str | None = None) -> str:
-    """Write a copy of ``df`` as ``parts`` files (one per range of ``order_by``) to replay as a stream."""
+def stage_batches(df: DataFrame, name: str, order_by: str, rows_per_file: int = 1_000_000, least: int = 4) -> tuple[str, int]:
+    """Write a copy of ``df`` in files of about ``rows_per_file`` rows (``least`` files at least), one per
+    range of ``order_by``, to replay as a stream; its path and the number of files."""
     path = scratch_path(df.sparkSession, name)
-    staged = df.repartitionByRange(parts, order_by) if order_by else df.repartition(parts)
-    staged.write.mode("overwrite").parquet(path)
-    return path
+    parts = max(least, -(-df.count() // rows_per_file))
+    df.repartitionByRange(parts, order_by).write.parquet(path)
+    return path, parts
 
 
 def stream_source(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
@@ -44,10 +44,9 @@ def stream_source(spark: SparkSession, path: str, schema, files_per_trigger: int
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def _run(stream: DataFrame, mode: str, handler: Callable[[DataFrame, int], None], name: str,
-         ckpt: str | None = None) -> int:
-    spark = stream.sparkSession
-    ckpt = ckpt or scratch_path(spark, f"{name}-ckpt")
+def _run(stream: DataFrame, mode: str, handler: Callable[[DataFrame, int], None], name: str, ckpt: str, timeout: float | None) -> None:
+    """Run to the end of what is there; ``timeout`` seconds are the caller's limit (none by default)."""
+    require_streaming(stream)
     q = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(handler)
@@ -55,19 +54,27 @@ def _run(stream: DataFrame, mode: str, handler: Callable[[DataFrame, int], None]
         .trigger(availableNow=True)
         .start()
     )
-    finished = q.awaitTermination(STREAM_TIMEOUT_S)
-    if not finished:
+    finished = q.awaitTermination() if timeout is None else q.awaitTermination(timeout)
+    if finished is False:
         q.stop()
-        raise TimeoutError(f"stream {name} did not finish within {STREAM_TIMEOUT_S}s")
+        raise TimeoutError(f"stream {name} did not finish within {timeout}s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0])
 
 
-def run_versioned(stream: DataFrame, mode: str, name: str, path: str | None = None) -> tuple[DataFrame, list[str]]:
+def _last_version(spark: SparkSession, folder: str, name: str) -> int:
+    """The last version that a run has written, this one or an earlier one of the same folder."""
+    found = [int(n.removeprefix("batch=")) for n in list_scratch(spark, folder) if n.startswith("batch=")]
+    if not found:
+        raise RuntimeError(f"stream {name} has not seen any data yet")
+    return max(found)
+
+
+def run_versioned(stream: DataFrame, mode: str, name: str, path: str | None = None, timeout: float | None = None) -> tuple[DataFrame, list[str]]:
     """Run a streaming aggregate to completion; each micro-batch's output is written as version
     ``batch=<id>``. Returns (final version, paths of this run's versions in order). With ``path``
-    the versions and the checkpoint (state store) live in a named folder, so a later run resumes."""
+    the versions and the checkpoint (state store) live in a named folder, so a later run resumes;
+    if nothing new has arrived, the final version is the last one committed."""
     spark = stream.sparkSession
     out = path or scratch_path(spark, name)
     written: list[int] = []
@@ -77,11 +84,8 @@ def run_versioned(stream: DataFrame, mode: str, name: str, path: str | None = No
         if batch_id not in written:
             written.append(batch_id)
 
-    _run(stream, mode, handler, name, ckpt=f"{out}/_checkpoint")
-    if not written:
-        raise RuntimeError(f"stream {name} produced no batch")
-    paths = [f"{out}/batch={b}" for b in sorted(written)]
-    return spark.read.parquet(paths[-1]), paths
+    _run(stream, mode, handler, name, f"{out}/_checkpoint", timeout)
+    return spark.read.parquet(f"{out}/batch={_last_version(spark, out, name)}"), [f"{out}/batch={b}" for b in sorted(written)]
 
 
 def running_aggregates(events: DataFrame, aggs, by: str | Sequence[str] | None = None) -> DataFrame:
@@ -99,75 +103,63 @@ def running_hll(events: DataFrame, column: str) -> DataFrame:
 
 def running_cms(events: DataFrame, key: str) -> DataFrame:
     """Incremental Count-Min table (streaming groupBy on depth_row, bucket)."""
-    return cms_build(events, key, pre_aggregate=False)
+    return cms_build(events, key)
 
 
 def reservoir_stream(stream: DataFrame, k: int, key: str | Sequence[str], seed: int, name: str,
                      strata: str | Sequence[str] | None = None, counts: bool = False,
-                     path: str | None = None) -> dict[str, str]:
-    """Bottom-k reservoir (per stratum) maintained by foreachBatch; with ``counts`` also the
-    exact running row count per stratum (merged the same way). Returns the final state paths.
+                     path: str | None = None, timeout: float | None = None) -> dict[str, str]:
+    """Bottom-k reservoir (per stratum, NULL being one) maintained by foreachBatch; with ``counts``
+    also the exact running row count per stratum (merged the same way). Returns the final state paths.
 
-    Per micro-batch: rows that cannot enter a full reservoir (priority above its current maximum)
-    are dropped first; the batch's own bottom-k is drawn with the thresholded samplers (so a hot
-    stratum in a large batch never lands whole in one task); then that bounded part is merged with
-    the previous version (both at most k rows per stratum).
+    Per micro-batch, read once: rows that cannot enter a full reservoir (priority above its current
+    maximum) are dropped, the rest and the previous version are sampled together by the samplers, which
+    sort no stratum in one task.
 
     ``path`` keeps state and checkpoint in a named folder, so a later run (e.g. after a driver
-    restart, or when new files arrive) resumes from the last committed batch.
+    restart, or when new files arrive) resumes from the last committed batch, whose state is returned
+    if nothing new has arrived.
     """
-    from pyspark.sql import Window
-
-    from ..operators import samplers
-
     spark = stream.sparkSession
     out = path or scratch_path(spark, name)
     strata = as_list(strata)
-    order = [F.col("_prio"), key_string(key)]
     versions: list[int] = []
 
-    def keep(df: DataFrame) -> DataFrame:
-        if strata:
-            w = Window.partitionBy(*strata).orderBy(*order)
-            return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
-        return df.orderBy(*order).limit(k)
-
     def handler(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            _advance(batch, batch_id)
+        finally:
+            batch.unpersist()
+        if batch_id not in versions:
+            versions.append(batch_id)
+
+    def _advance(batch: DataFrame, batch_id: int) -> None:
         # every batch writes a version, so the previous state is always batch_id - 1 (also after
         # a driver restart that resumes from the checkpoint)
-        prev_id = batch_id - 1 if batch_id > 0 else None
-        cur = batch
-        prev = None
-        if prev_id is not None:
-            prev = spark.read.parquet(f"{out}/reservoir/batch={prev_id}")
+        cur = batch.withColumn("_prio", priority(key, seed))
+        if batch_id > 0:
+            prev = spark.read.parquet(f"{out}/reservoir/batch={batch_id - 1}")
             # exact cut: once a (stratum's) reservoir is full, only rows below its largest
             # priority can enter
+            full = F.when(F.count(F.lit(1)) >= k, F.max("_prio")).alias("_limit")
             if strata:
-                top = prev.groupBy(*strata).agg(F.max("_prio").alias("_maxp"), F.count(F.lit(1)).alias("_cnt"))
-                cur = join_small(cur, top, strata, "left").where(
-                    F.col("_maxp").isNull() | (F.col("_cnt") < k) | (priority(key, seed) <= F.col("_maxp"))
-                ).drop("_maxp", "_cnt")
+                cur = join_keys(cur, prev.groupBy(*strata).agg(full), strata, "left").where("_limit IS NULL OR _prio <= _limit").drop("_limit")
             else:
-                top = prev.agg(F.max("_prio").alias("m"), F.count(F.lit(1)).alias("c")).first()
-                if top["c"] >= k:
-                    cur = cur.where(priority(key, seed) <= F.lit(top["m"]))
-        part = samplers.reservoir(cur, k, key, seed, strata=strata or None).withColumn("_prio", priority(key, seed))
-        merged = part if prev is None else keep(part.unionByName(prev))
-        merged.write.mode("overwrite").parquet(f"{out}/reservoir/batch={batch_id}")
+                limit = prev.agg(full).first()[0]
+                cur = cur if limit is None else cur.where(F.col("_prio") <= F.lit(limit))
+            cur = cur.unionByName(prev)
+        samplers.reservoir(cur.drop("_prio"), k, key, seed, strata=strata or None).withColumn("_prio", priority(key, seed)).write.mode("overwrite").parquet(f"{out}/reservoir/batch={batch_id}")
         if counts:
             c = batch.groupBy(*strata).agg(F.count(F.lit(1)).cast("long").alias("rows"))
-            if prev_id is not None:
-                c = c.unionByName(spark.read.parquet(f"{out}/counts/batch={prev_id}"))
+            if batch_id > 0:
+                c = c.unionByName(spark.read.parquet(f"{out}/counts/batch={batch_id - 1}"))
             c.groupBy(*strata).agg(F.sum("rows").cast("long").alias("rows")).write.mode("overwrite").parquet(
                 f"{out}/counts/batch={batch_id}"
             )
-        if batch_id not in versions:
-            versions.append(batch_id)
 
-    _run(stream, "append", handler, name, ckpt=f"{out}/_checkpoint")
-    if not versions:
-        raise RuntimeError(f"stream {name} had no new data")
-    last = max(versions)
+    _run(stream, "append", handler, name, f"{out}/_checkpoint", timeout)
+    last = _last_version(spark, f"{out}/reservoir", name)
     paths = {"reservoir": f"{out}/reservoir/batch={last}", "batches": str(len(versions))}
     if counts:
         paths["counts"] = f"{out}/counts/batch={last}"

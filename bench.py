@@ -22,7 +22,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from approxspark.catalog import QUERIES, load_all  # noqa: E402
-from approxspark.catalog.approximate_q import FLAGSHIP_AGGS  # noqa: E402
+from approxspark.catalog.approximate_q import FLAGSHIP_AGGS, REFERENCE_LIMITS  # noqa: E402
 from approxspark.operators import approximate, sketches, synopsis  # noqa: E402
 from approxspark.session import build_session  # noqa: E402
 from approxspark.sources.tables import sales  # noqa: E402
@@ -47,14 +47,20 @@ def main() -> None:
     sample_path: dict[str, str] = {}
 
     def build_sample():
-        sample_path["p"] = synopsis.build_stratified_sample(s(), "category", "id", 95, 42, "bench-sample")
+        sample_path["p"] = synopsis.build_stratified_sample(s(), "category", "id", 95, 42, "bench-sample", **REFERENCE_LIMITS)
         return spark.read.parquet(sample_path["p"]).limit(1)
 
     def from_sample(aggs):
         return approximate.approx_agg_from_sample(spark.read.parquet(sample_path["p"]), aggs, "category")
 
+    sketch_paths: dict[str, str] = {}
+
+    def build_sketches():
+        sketch_paths.update(synopsis.build_sketches(s(), "id", ["user_id"], ["category"], sample_size=1000, name="bench-sketches"))
+        return spark.read.parquet(sketch_paths["hll"]).limit(1)
+
     def build_profile():
-        profile_path["p"] = synopsis.build_profile(s().select("price", "user_id", "category"), "bench-profile")
+        profile_path["p"] = synopsis.build_profile(s(), ["category"], "bench-profile")
         return spark.read.parquet(profile_path["p"])
 
     cases = {
@@ -69,13 +75,15 @@ def main() -> None:
         "synopsis_build": build_profile,
         "count_approx": lambda: synopsis.count_from_profile(spark, profile_path["p"]),
         "distinct_approx": lambda: sketches.hll_estimate(s(), "user_id"),
-        "sum_approx": lambda: approximate.approx_agg(s(), [("sum", "price", "sum_price")], key="id"),
-        "avg_approx": lambda: approximate.approx_agg(s(), [("avg", "price", "avg_price")], key="id"),
+        "sum_approx": lambda: approximate.approx_agg(s(), [("sum", "price", "sum_price")], key="id", **REFERENCE_LIMITS),
+        "avg_approx": lambda: approximate.approx_agg(s(), [("avg", "price", "avg_price")], key="id", **REFERENCE_LIMITS),
         "group_by_approx": lambda: QUERIES["approx_group_by"](spark, d),
         "complex_approx": lambda: QUERIES["flagship_approx_agg"](spark, d),
-        # same query with stratum sizes read from the profile synopsis (one candidate pass)
-        "complex_approx_profile_sizes": lambda: approximate.approx_agg(
-            s(), FLAGSHIP_AGGS, by="category", key="id", sizes=synopsis.strata_sizes_from_profile(spark, profile_path["p"], "category")),
+        # the same aggregates answered from stored synopses (built once, as the reference's cache)
+        "sketch_synopsis_build": build_sketches,
+        "distinct_from_synopsis": lambda: synopsis.distinct_from_sketch(spark, sketch_paths["hll"], "user_id"),
+        "sum_from_synopsis": lambda: approximate.approx_agg_from_sample(spark.read.parquet(sketch_paths["sample"]), [("sum", "price", "sum_price")]),
+        "avg_from_synopsis": lambda: approximate.approx_agg_from_sample(spark.read.parquet(sketch_paths["sample"]), [("avg", "price", "avg_price")]),
         # GROUP BY answered from the stratified-sample synopsis (built once, as the reference's cache)
         "sample_synopsis_build": build_sample,
         "group_by_from_synopsis": lambda: from_sample([("count", None, "count")]),

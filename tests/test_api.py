@@ -36,6 +36,19 @@ def test_error_methods(events, error_method):
     assert row["method"] == error_method and "+-" in row["summary"]
 
 
+@pytest.mark.parametrize("method,kwargs", [("stratified", {"strata": "event_type"}), ("cluster", {"cluster": "user_id"}), ("systematic", {"order_by": "event_id"}), ("reservoir", {})])
+@pytest.mark.parametrize("error_method", ["student_t", "bootstrap", "non_parametric"])
+def test_every_sampler_honours_the_error_method(events, method, kwargs, error_method):
+    _smp, b = sample_data(events, 15 if method == "cluster" else 200, method, "value", "event_id", 0.95, error_method, seed=3, n_bootstrap=40, **kwargs)
+    row = b.first()
+    assert error_method in row["method"] and row["lower_bound"] <= row["estimate"] <= row["upper_bound"]
+
+
+def test_weighted_sample_refuses_other_error_methods(events):
+    with pytest.raises(ValueError):
+        sample_data(events, 50, "weighted", "value", "event_id", error_method="bootstrap", weight="value")
+
+
 def test_bad_arguments(events):
     with pytest.raises(ValueError):
         sample_data(events, 10, "nonsense", "value", "event_id")

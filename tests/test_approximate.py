@@ -29,10 +29,11 @@ def test_multi_key_where_matches_brute_force(spark):
     smp = f.join(alloc, BY).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= F.col("take_n"))
     want = smp.groupBy(*BY).agg(
         F.max("pop_n").cast("long").alias("n"),
-        (F.round(F.sum("l_quantity"), 4) * F.max("pop_n") / F.max("take_n")).alias("qty"),
+        F.round(F.sum("l_quantity") * F.max("pop_n") / F.max("take_n"), 4).alias("qty"),
         F.round(F.avg("l_extendedprice"), 4).alias("price"),
         F.count(F.lit(1)).cast("long").alias("sample_size"),
     )
+    got = got.withColumns({"qty": F.round("qty", 4), "price": F.round("price", 4)})
     cols = BY + ["n", "qty", "price", "sample_size"]
     assert got.select(*cols).subtract(want.select(*cols)).count() == 0
     assert want.select(*cols).subtract(got.select(*cols)).count() == 0
@@ -58,6 +59,22 @@ def test_ungrouped_distinct_and_select_rows(spark):
     s = sales(spark, SF_CHECK)
     r = approximate.approx_agg(s, [("sum", "price", "total"), ("count_distinct", "user_id", "users")], key="id").first()
     exact_users = s.select("user_id").distinct().count()
-    assert abs(r["users"] - exact_users) <= 0.05 * exact_users and r["approx"] and r["sample_size"] == 1000
+    assert abs(r["users"] - exact_users) <= 0.05 * exact_users and r["approx"] and r["sample_size"] == 384
     rows = approximate.approx_select(s, ["id", "price"], 300, "id", 3, where=F.col("category") == "BUILDING")
     assert rows.count() == 300 and rows.columns == ["id", "price"]
+
+
+def test_null_group_is_answered(events):
+    rows = events.withColumn("kind", F.expr("nullif(event_type, 'error')"))
+    got = {r["kind"]: r for r in approximate.approx_agg(rows, [("count", None, "n"), ("avg", "value", "v")], by="kind", key="event_id").collect()}
+    want = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert {k: r["n"] for k, r in got.items()} == want and None in want
+    assert sum(r["n"] for r in got.values()) == got[None]["total_size"] == rows.count()
+
+
+def test_accuracy_gets_the_rows_that_it_asks_for(spark):
+    from approxspark.plans.sizing import delivered_accuracy
+
+    assert size_for_accuracy(99.9, 6 * 10**8) == 960399 or size_for_accuracy(99.9, 6 * 10**8) == 960400
+    assert size_for_accuracy(99.9, 600_000) == 600_000 and size_for_accuracy(99.9, 600_000, maximum=100_000) == 100_000
+    assert delivered_accuracy(600_000, 600_000) == 100.0 and abs(delivered_accuracy(9604, 10**9) - 99.0) < 1e-6

@@ -38,7 +38,8 @@ def test_bootstrap_reproducible_and_brackets_mean(events):
 def test_custom_estimator_median(events):
     s = samplers.simple_random(events, 150, "event_id", 1)
     r = _row(bounds.bootstrap_bounds(s, "value", "event_id", 50, 0.9, 7, estimator=F.median))
-    assert r["lower_bound"] <= r["upper_bound"]
+    assert r["estimate"] == s.agg(F.median("value")).first()[0]
+    assert r["lower_bound"] <= r["estimate"] <= r["upper_bound"]
 
 
 def test_degenerate_inputs(spark):
@@ -62,6 +63,66 @@ def test_extreme_magnitudes_stay_finite(spark):
     assert all(abs(r[c]) < float("inf") for c in ("estimate", "lower_bound", "upper_bound"))
 
 
+def test_tiny_values_keep_their_precision(spark):
+    # mean of 1e-15, 1e-14, 1e-13 is 3.7e-14; their sample deviation, twenty times over, is 4.4988e-14
+    df = spark.createDataFrame([(1e-15,), (1e-14,), (1e-13,)] * 20, "value double")
+    r = _row(bounds.mean_bounds(df, "value"))
+    assert abs(r["estimate"] / 3.7e-14 - 1) < 1e-12
+    sd = (20 * ((3.6e-14) ** 2 + (2.7e-14) ** 2 + (6.3e-14) ** 2) / 59) ** 0.5
+    assert abs(r["margin_of_error"] / (1.959963984540054 * sd / 60**0.5) - 1) < 1e-9 and r["lower_bound"] < r["estimate"] < r["upper_bound"]
+    from approxspark.operators import approximate, exact
+
+    e = exact.exact_agg(df, [("sum", "value", "s"), ("avg", "value", "m")]).first()
+    assert abs(e["s"] / 2.22e-12 - 1) < 1e-12 and abs(e["m"] / 3.7e-14 - 1) < 1e-12
+    a = approximate.approx_agg(df.withColumn("id", F.monotonically_increasing_id()), [("sum", "value", "s"), ("avg", "value", "m")], sample_size=60).first()
+    assert abs(a["s"] / 2.22e-12 - 1) < 1e-12 and not a["approx"] and a["ci"] == 0.0
+
+
+def test_published_t_table():
+    # two-sided 95% and 99% critical values as printed in textbooks
+    from approxspark.functions.stats import t_value
+
+    for df, t95, t99 in ((1, 12.706, 63.657), (2, 4.303, 9.925), (5, 2.571, 4.032), (10, 2.228, 3.169), (30, 2.042, 2.750), (60, 2.000, 2.660), (120, 1.980, 2.617)):
+        assert abs(t_value(0.95, df) - t95) < 6e-4 and abs(t_value(0.99, df) - t99) < 6e-4
+
+
+def test_t_quantile_column_joins_table_and_series(spark):
+    from approxspark.functions.stats import EXACT_T_MAX_DF, t_quantile, t_value
+
+    dfs = [1, 2, 31, EXACT_T_MAX_DF, EXACT_T_MAX_DF + 1, 5000]
+    for conf in (0.9, 0.99, 0.9999):
+        got = spark.createDataFrame([(d,) for d in dfs], "d long").select("d", t_quantile(conf, "d").alias("t")).collect()
+        assert all(abs(r["t"] / t_value(conf, r["d"]) - 1) < 1e-11 for r in got)
+
+
+def test_stratified_variance_and_fpc_by_hand(spark):
+    # strata of 60 and 40; samples 1, 3 and 10, 14: mean 0.6 x 2 + 0.4 x 12 = 6, variance
+    # (0.36 x 2 / 2 + 0.16 x 8 / 2) x 96 / 99, the finite correction of 4 out of 100
+    s = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 10.0), (None, 14.0)], "h string, value double")
+    sizes = spark.createDataFrame([("a", 60), (None, 40)], "h string, pop_n long")
+    r = _row(bounds.stratified_bounds(s, "value", "h", sizes))
+    assert abs(r["estimate"] - 6) < 1e-12
+    assert abs(r["margin_of_error"] - 1.959963984540054 * ((0.36 + 0.64) * 96 / 99) ** 0.5) < 1e-9
+
+
+def test_weighted_bounds_undo_the_weights(events):
+    w = events.withColumn("w", F.when(F.col("value") > 60, 20.0).otherwise(1.0))
+    truth = events.agg(F.avg("value")).first()[0]
+    s = samplers.weighted(w, 1500, "event_id", "w", 3)
+    r = _row(bounds.weighted_bounds(s, "value", "w", 0.99, population=events.count()))
+    assert r["lower_bound"] <= truth <= r["upper_bound"] and s.agg(F.avg("value")).first()[0] > r["upper_bound"]
+
+
+def test_stratified_bootstrap_brackets_its_mean(events):
+    from approxspark.plans.allocation import strata_sizes
+
+    s = samplers.stratified(events, 200, "event_type", "event_id", 1)
+    sizes = strata_sizes(events, "event_type")
+    r = _row(bounds.stratified_bootstrap_bounds(s, "value", "event_type", sizes, "event_id", 60))
+    plain = _row(bounds.stratified_bounds(s, "value", "event_type", sizes))
+    assert r["lower_bound"] < r["estimate"] < r["upper_bound"] and abs(r["estimate"] - plain["estimate"]) < 1e-9
+
+
 def test_stratified_bounds_and_validate(events):
     from approxspark.plans.allocation import strata_sizes
 

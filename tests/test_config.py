@@ -36,9 +36,10 @@ def test_required_sample_size():
 
 
 def test_accuracy_and_shape_sizes():
-    assert size_for_accuracy(95, 15000) == 1000
+    assert size_for_accuracy(95, 15000) == 384
+    assert size_for_accuracy(95, 15000, minimum=1000, maximum=100000) == 1000
     assert size_for_accuracy(99, 15000) == 9603
-    assert size_for_accuracy(95, 500) == 500  # capped at N
+    assert size_for_accuracy(95, 500, minimum=1000) == 500  # capped at N
     with pytest.raises(ValueError):
         size_for_accuracy(100, 10)
     assert size_for_shape(False, 1) == 10000

@@ -1,25 +1,19 @@
-"""Paths that only trigger at scale, forced on small data: derived tables above the broadcast
-bound (shuffle joins), sketch merging across parts."""
+"""Paths that only trigger at scale, forced on small data: joins without broadcast, sketch merging across parts."""
 
 from pyspark.sql import functions as F
 
-from approxspark.functions.keys import key_string, priority
-from approxspark.operators import joins, samplers, sketches
+from approxspark.operators import samplers, sketches
 
 
-def test_stratified_without_broadcast_is_exact(events, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 1)
-    got = samplers.stratified(events, 600, "user_id", "event_id", 8, "min_one").select("event_id")
-    monkeypatch.undo()
+def test_stratified_without_broadcast_is_exact(spark, events):
     want = samplers.stratified(events, 600, "user_id", "event_id", 8, "min_one").select("event_id")
-    assert got.count() == want.count() and got.subtract(want).count() == 0
-
-
-def test_simple_random_without_broadcast(events, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 1)
-    got = samplers.simple_random(events, 250, "event_id", 4).select("event_id")
-    want = events.orderBy(priority("event_id", 4), key_string("event_id")).limit(250).select("event_id")
-    assert got.count() == 250 and got.subtract(want).count() == 0
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = samplers.stratified(events, 600, "user_id", "event_id", 8, "min_one").select("event_id")
+        assert got.count() == want.count() and got.subtract(want).count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_cms_parts_merge_to_whole(events):

@@ -19,13 +19,29 @@ def test_filter_and_projection_reach_the_scan(spark):
     assert "ReadSchema: struct<event_type:string,value:double>" in p
 
 
-def test_simple_random_is_topk_over_candidates(spark):
+def test_samples_are_not_sorted_in_one_task(spark):
+    li = table(spark, SF_CHECK, "lineitem")
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
+    for smp in (samplers.simple_random(li, 20000, key, 1), samplers.weighted(li, 20000, key, "l_quantity", 1), samplers.stratified(li, 20000, "l_returnflag", key, 1)):
+        p = _plan(smp)
+        assert "SinglePartition" not in p and "TakeOrdered" not in p and "CartesianProduct" not in p and "NestedLoop" not in p
+
+
+def test_order_statistics_and_bootstrap_have_no_single_task_window(spark):
+    from approxspark.operators import bounds
+
     ev = table(spark, SF_CHECK, "events")
-    from approxspark.functions.keys import hex_threshold, priority
+    p = _plan(bounds.ranked_values(ev, "value", "event_id"))
+    # the only single-task window is over the sizes of ranges: its input is an aggregate, not the rows
+    assert p.count("SinglePartition") <= 1 and "HashAggregate" in p.split("SinglePartition")[1]
+
+
+def test_sketch_is_not_built_per_value(spark):
+    from approxspark.operators import sketches
 
-    cand = ev.withColumn("_prio", priority("event_id", 1)).where(F.col("_prio") < F.lit(hex_threshold(10**8)))
-    p = _plan(cand.orderBy("_prio").limit(10))
-    assert "TakeOrderedAndProject" in p
+    p = _plan(sketches.hll_estimate(table(spark, SF_CHECK, "events"), "user_id"))
+    assert "keys=[user_id" not in p
+    assert _plan(sketches.cms_build(table(spark, SF_CHECK, "events"), "user_id")).count("Exchange hashpartitioning") == 1
 
 
 def test_sales_view_prunes_columns(spark):

@@ -11,7 +11,8 @@ def test_batch_source_refuses_appends(events):
 
 
 def test_stream_source_is_streaming(spark, events):
-    path = synopses.stage_batches(events.select("event_id", "value"), "t-stream", 3, "event_id")
+    path, files = synopses.stage_batches(events.select("event_id", "value"), "t-stream", "event_id", least=3)
+    assert files == 3
     s = synopses.stream_source(spark, path, events.select("event_id", "value").schema)
     synopses.require_streaming(s)
 
@@ -20,7 +21,7 @@ def test_stream_reservoir_equals_batch(spark, events):
     from approxspark.operators import samplers
 
     cols = events.select("event_id", "event_type")
-    path = synopses.stage_batches(cols, "t-res", 3, "event_id")
+    path, _ = synopses.stage_batches(cols, "t-res", "event_id", least=3)
     stream = synopses.stream_source(spark, path, cols.schema)
     paths = synopses.reservoir_stream(stream, 25, "event_id", 4, "t-res-out", strata="event_type")
     got = spark.read.parquet(paths["reservoir"]).select("event_id")
@@ -32,8 +33,6 @@ def test_stream_reservoir_equals_batch(spark, events):
 def test_reservoir_resumes_after_restart(spark, events):
     # first run sees half of the files; new files arrive; a second run (fresh query object, same
     # state folder and checkpoint) resumes from the last committed version
-    import tempfile
-
     from pyspark.sql import functions as F
 
     from approxspark.operators import samplers
@@ -41,7 +40,7 @@ def test_reservoir_resumes_after_restart(spark, events):
 
     cols = events.select("event_id", "event_type")
     src = scratch_path(spark, "t-restart-src")
-    state = tempfile.mkdtemp(prefix="t-restart-state-", dir=scratch_path(spark, "t-restart"))
+    state = scratch_path(spark, "t-restart")
     cols.where(F.col("event_id") < 5000).repartitionByRange(2, "event_id").write.mode("append").parquet(src)
     first = synopses.reservoir_stream(synopses.stream_source(spark, src, cols.schema), 30, "event_id", 6, "t-restart",
                                       strata="event_type", path=state)
@@ -52,18 +51,20 @@ def test_reservoir_resumes_after_restart(spark, events):
     got = spark.read.parquet(second["reservoir"]).select("event_id")
     want = samplers.reservoir(cols, 30, "event_id", 6, strata="event_type").select("event_id")
     assert got.count() == want.count() == 150 and got.subtract(want).count() == 0
+    # nothing new: the last committed version is returned
+    third = synopses.reservoir_stream(synopses.stream_source(spark, src, cols.schema), 30, "event_id", 6, "t-restart",
+                                      strata="event_type", path=state)
+    assert third["reservoir"] == second["reservoir"] and third["batches"] == "0"
 
 
 def test_running_aggregate_resumes(spark, events):
-    import tempfile
-
     from pyspark.sql import functions as F
 
     from approxspark.session import scratch_path
 
     cols = events.select("event_id", "event_type", "value")
     src = scratch_path(spark, "t-agg-src")
-    state = tempfile.mkdtemp(prefix="t-agg-state-", dir=scratch_path(spark, "t-agg"))
+    state = scratch_path(spark, "t-agg")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum("value").alias("s")]
     cols.where(F.col("event_id") < 4000).write.mode("append").parquet(src)
     synopses.run_versioned(synopses.running_aggregates(synopses.stream_source(spark, src, cols.schema), aggs, "event_type"),
@@ -75,3 +76,15 @@ def test_running_aggregate_resumes(spark, events):
     got = {r["event_type"]: (r["n"], round(r["s"], 4)) for r in final.collect()}
     exp = {r["event_type"]: (r["n"], round(r["s"], 4)) for r in want.collect()}
     assert got == exp
+
+
+def test_append_is_refused_and_nothing_stays_cached(spark, events):
+    with pytest.raises(ValueError, match="batch source"):
+        synopses.reservoir_stream(events, 5, "event_id", 1, "t-guard")
+    cols = events.selectExpr("event_id", "nullif(event_type, 'error') AS kind")
+    path, _ = synopses.stage_batches(cols, "t-leak", "event_id")
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    paths = synopses.reservoir_stream(synopses.stream_source(spark, path, cols.schema), 20, "event_id", 4, "t-leak-out", strata="kind", counts=True)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+    state = {r["kind"]: r["n"] for r in spark.read.parquet(paths["reservoir"]).groupBy("kind").count().withColumnRenamed("count", "n").collect()}
+    assert state == {k: 20 for k in state} and None in state and len(state) == 5

@@ -26,17 +26,38 @@ def test_replicates_equal_single_seed_samples(events):
 
 
 def test_profile_counts(spark, events):
-    p = synopsis.profile(events.select("value", "event_type"))
+    p = synopsis.profile(events.select("value", "event_type"), ["event_type"])
     rows = p.where(F.col("kind") == "frequency").agg(F.sum("count")).first()[0]
     assert rows == events.count()
-    assert synopsis.count_from_profile(spark, synopsis.build_profile(events.select("event_type"), "t-prof")).first()["count"] == events.count()
+    assert synopsis.count_from_profile(spark, synopsis.build_profile(events, ["event_type"], "t-prof")).first()["count"] == events.count()
 
 
 def test_profile_sizes_for_numeric_strata(spark, events):
     # the profile stores values as text; sizes are cast back to the stratum column's type
     ev = events.select("event_id", "user_id", F.col("user_id").cast("string").alias("uid"), "value")
-    path = synopsis.build_profile(ev.select("uid"), "t-prof-num")
+    path = synopsis.build_profile(ev, ["uid"], "t-prof-num")
     sizes = synopsis.strata_sizes_from_profile(spark, path, "uid").select(F.col("uid").cast("long").alias("user_id"), "pop_n")
-    direct = approximate.approx_agg(events, [("avg", "value", "v")], by="user_id", key="event_id", seed=3)
-    via = approximate.approx_agg(events, [("avg", "value", "v")], by="user_id", key="event_id", seed=3, sizes=sizes)
-    assert direct.subtract(via).count() == 0 and via.subtract(direct).count() == 0
+    direct = events.groupBy("user_id").agg(F.count(F.lit(1)).alias("pop_n"))
+    assert direct.subtract(sizes).count() == 0 and sizes.subtract(direct).count() == 0
+
+
+def test_stored_sample_answers_whole_table_aggregates(spark, events):
+    # per-value samples weigh their rows: with every row stored, the answers are exact
+    paths = synopsis.build_sketches(events, "event_id", ["user_id"], ["event_type"], ["event_type"], sample_size=10**6, name="t-all")
+    stored = spark.read.parquet(paths["stratified"])
+    aggs = [("count", None, "n"), ("sum", "value", "s"), ("avg", "value", "m"), ("max", "value", "hi")]
+    got = approximate.approx_agg_from_sample(stored, aggs).first()
+    want = events.agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("s"), F.avg("value").alias("m"), F.max("value").alias("hi")).first()
+    assert got["n"] == want["n"] and abs(got["s"] / want["s"] - 1) < 1e-9 and abs(got["m"] / want["m"] - 1) < 1e-9 and got["hi"] == want["hi"]
+    assert not got["approx"] and got["ci"] == 0.0
+
+
+def test_no_query_leaves_a_cached_frame(spark):
+    from approxspark.catalog import QUERIES, load_all
+    from conftest import SF_SMALL
+
+    load_all()
+    spark.catalog.clearCache()
+    for name in ("flagship_approx_agg", "sample_stratified_neyman", "sample_weighted", "bounds_bootstrap", "method_comparison", "ci_coverage", "sample_systematic", "build_sketches"):
+        QUERIES[name](spark, SF_SMALL).collect()
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0, name

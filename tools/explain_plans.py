@@ -1,8 +1,7 @@
 """Print the physical plans behind PLANS.md (one per operator family) for a scale-factor folder.
 
 Usage: python tools/explain_plans.py [sf_dir]
-Eager operators (samplers verify their size with an action) are shown through the lazy stage
-they run, built here the same way the operator builds it.
+Samplers count a histogram first; what is shown is their second pass.
 """
 
 from __future__ import annotations
@@ -12,12 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from pyspark.sql import Window  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from approxspark.functions.keys import hex_threshold, hex_threshold_col, key_string, priority  # noqa: E402
 from approxspark.operators import exact, samplers, sketches, synopsis  # noqa: E402
-from approxspark.plans.allocation import allocate, strata_sizes  # noqa: E402
 from approxspark.session import build_session  # noqa: E402
 from approxspark.sources.tables import sales, table  # noqa: E402
 
@@ -38,20 +32,11 @@ def main() -> None:
     show("exact GROUP BY with COUNT DISTINCT",
          exact.exact_agg(s, [("count", None, None), ("sum", "price", None), ("count_distinct", "user_id", None)], by="category"))
 
-    plan = allocate(strata_sizes(s, "category"), 1000, "category", "min_one")
-    thr = plan.withColumn("_thr", hex_threshold_col(samplers._threshold_col(F.col("take_n"), F.col("pop_n"), 1.0).cast("bigint")))
-    cand = s.select("id", "category").join(F.broadcast(thr), "category").withColumn("_prio", priority("id", 42))
-    cand = cand.where(F.col("_prio") < F.col("_thr"))
-    w = Window.partitionBy("category").orderBy(F.col("_prio"), key_string("id"))
-    show("stratified candidates (from_plan)",
-         cand.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") <= F.lit(400)) & (F.col("_rn") <= F.col("take_n"))))
-
-    c = li.select(*key).withColumn("_prio", priority(key, 42)).where(F.col("_prio") < F.lit(hex_threshold(10_000_000)))
-    show("simple random candidates + top-k", c.orderBy("_prio", key_string(key)).limit(1000))
-
-    show("Count-Min build (key pre-aggregation)", sketches.cms_build(ev, "user_id"))
+    show("stratified sample, second pass", samplers.stratified(s, 1000, "category", "id", 42, "min_one").select("id", "category"))
+    show("simple random, second pass", samplers.simple_random(li, 1000, key, 42).select(*key))
+    show("Count-Min build", sketches.cms_build(ev, "user_id"))
     show("HLL per group", sketches.hll_estimate(ev, "user_id", "event_type"))
-    show("profile synopsis (one scan)", synopsis.profile(ev.select("value", "user_id", "event_type")))
+    show("profile synopsis (one scan)", synopsis.profile(ev, ["event_type"]))
     spark.stop()
 
 
