@@ -290,9 +290,9 @@ def stratified_bootstrap_sql(sample_sql: str, value: str, strata: str, key: list
     return (
         f"WITH r AS (SELECT {strata}, x, row_number() OVER (ORDER BY {strata}, {', '.join(key)}) - 1 AS place FROM "
         f"(SELECT *, try_cast({value} AS DOUBLE) AS x FROM ({sample_sql})) WHERE {FINITE}), "
-        f"sizes AS (SELECT {strata}, count(*)::DOUBLE AS Nh, sum(count(*)) OVER ()::DOUBLE AS Ntot FROM {population} GROUP BY {strata}), "
+        f"sizes AS (SELECT {strata}, count(*)::DOUBLE AS pop, sum(count(*)) OVER ()::DOUBLE AS Ntot FROM {population} GROUP BY {strata}), "
         f"per AS (SELECT {strata}, count(*) AS nh, min(place) AS lo_at, avg(x) AS mean FROM r GROUP BY {strata}), "
-        f"h AS (SELECT *, Nh / Ntot AS w FROM per JOIN sizes USING ({strata})), "
+        f"h AS (SELECT *, pop / Ntot AS w FROM per JOIN sizes USING ({strata})), "
         f"draws AS (SELECT b, w, nh, lo_at + ('0x' || substr(md5('{seed}:' || CAST(b AS VARCHAR) || ':' || CAST(place AS VARCHAR)), 1, 8))::BIGINT % nh AS place "
         f"FROM r JOIN h USING ({strata}), range({B}) AS g(b)), "
         "reps AS (SELECT b, sum(w / nh * x) AS s FROM draws JOIN (SELECT place, x FROM r) USING (place) GROUP BY b), "
