@@ -6,12 +6,13 @@ tables of 2 * r minhashes each, where plain banding would need m * m * 2 * r. Tw
 meet in some table with probability (1 - (1 - J^r)^m)^2: 0.997 at 0.75 and above 0.9995 at 0.8 for
 r = 3, m = 12.
 
-Right halves are only looked at below left halves that at least two sets share, so the m * m keys of
-a set without any left partner are never made. Candidates are verified on full sets. A table key's
-members aren't paired off: each is compared with the key's first member, groups so found are
-merged, and members of different groups are compared further (with 4, 16, 64 ... members of the key,
-or all with all once that is little) until every pair of a key that could still join two groups has
-been verified. Equal sets are one node from the start.
+Candidates are verified on full sets, in two steps, and neither emits the pairs of a table key. First
+each member of the tables (i, i) is compared with its key's first member; groups so found are merged.
+Then, for every left half key whose members still lie in several groups (it holds the keys of m
+tables, so nothing that any table would pair is passed over), the members outside its largest group are
+compared with all its members. That is done in blocks of about ``BLOCK`` by ``BLOCK`` members, whose
+intersections are one matrix product; a hot key becomes many blocks, and only links are emitted. Equal
+sets are one node from the start.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import store
@@ -29,8 +30,8 @@ from .shingles import mixed, set_id, shingle_set
 
 #: Shingles hashed at a time.
 TOGETHER = 500_000
-#: Remaining pairs, in members of keys, that are compared all at once.
-FEW = 4
+#: Members on either side of a block; shingles of a block multiplied at a time.
+BLOCK, SLICE = 192, 8192
 
 
 def _functions(m: int, r: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -98,6 +99,61 @@ def _verify(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set."""
+    if len(left) * len(right) <= 32:
+        return np.array([[len(np.intersect1d(x, y, assume_unique=True)) for y in right] for x in left])
+    shared = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), np.float32)
+    rows = [[(i, np.searchsorted(shared, x[np.isin(x, shared, assume_unique=True)])) for i, x in enumerate(side)] for side in (left, right)]
+    for at in range(0, len(shared), SLICE):
+        a, b = (np.zeros((len(side), min(SLICE, len(shared) - at)), np.float32) for side in (left, right))
+        for m, side in ((a, rows[0]), (b, rows[1])):
+            for i, where in side:
+                lo, hi = np.searchsorted(where, [at, at + SLICE])
+                m[i, where[lo:hi] - at] = 1
+        out += a @ b.T
+    return np.rint(out).astype(np.int64)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between the two sides of each block; a partition's rows are sorted by block (l, bo, bm)."""
+    known: dict[int, np.ndarray] = {}
+
+    def members(node: int, text: str) -> np.ndarray:
+        if node not in known:
+            if len(known) > 4 * BLOCK:
+                known.clear()
+            s = shingle_set(text, width)
+            known[node] = s if set_id(s) == node else s[:0]
+        return known[node]
+
+    def links(block: list) -> list[tuple[int, int]]:
+        sides = [[(n, g, members(n, t)) for o, n, g, t in block if o is side] for side in (True, False)]
+        if not sides[0] or not sides[1]:
+            return []
+        both = _common([s for _, _, s in sides[0]], [s for _, _, s in sides[1]])
+        size = [np.array([len(s) for _, _, s in side]) for side in sides]
+        group = [np.array([g for _, g, _ in side]) for side in sides]
+        hit = (both > 0) & (100 * both >= percent * (size[0][:, None] + size[1][None, :] - both)) & (group[0][:, None] != group[1][None, :])
+        return [(min(p), max(p)) for i, j in zip(*np.nonzero(hit)) for p in [(sides[0][i][0], sides[1][j][0])]]
+
+    def batch(found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * 2, ["a", "b"])
+
+    key, block = None, []
+    for b in batches:
+        found = []
+        for k, row in zip(zip(*(b.column(i).to_pylist() for i in range(3))), zip(*(b.column(i).to_pylist() for i in range(3, 7)))):
+            if k != key:
+                found += links(block)
+                key, block = k, []
+            block.append(row)
+        if found:
+            yield batch(found)
+    yield batch(links(block))
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int = 12, r: int = 3, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -114,56 +170,38 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int =
         sketches.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
         .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("left").alias("left"), F.first("right").alias("right")), "nodes")
 
-    # tables: right halves below shared left halves, then keys that at least two nodes share
-    left = nodes.select("node", F.explode("left").alias("l"))
-    shared = left.join(left.groupBy("l").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("l"), "l", "left_semi")
-    keys = shared.join(nodes.select("node", "n", "right"), "node").select("node", "n", "l", F.explode("right").alias("r")).select(F.xxhash64("l", "r").alias("key"), "node", "n")
-    first = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", F.col("p.node").alias("p"), F.col("p.n").alias("pn"))
-    members, _ = store(keys.join(first, "key").where("node <> p"), "tables")
-
-    wanted = members.select("node").unionByName(members.select(F.col("p").alias("node"))).distinct()
-    texts = nodes.select("node", "rep").join(wanted, "node", "left_semi")
-    texts, _ = store(docs.join(texts, docs.doc_id == texts.rep).select("node", "text"), "texts")
-
     def near(n, pn):
         return 100 * F.least(n, pn) >= percent * F.greatest(n, pn)
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ta, tb = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-        return pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(lambda it: _verify(it, width, percent), "a long, b long")
-
-    ordered = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    tried, _ = store(members.where(near(F.col("n"), F.col("pn"))).select(*ordered(F.col("node"), F.col("p"))).distinct(), "pairs")
-    links, _ = store(verified(tried), "links")
-    labels = components(links)
-    rest, s = members.select("key", "node", "n"), 4
-    while True:
-        # members of keys whose members lie in two or more groups: only pairs across groups matter
-        tagged = rest.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("g"))
-        sums = (tagged.groupBy("key", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("key")
-                .agg(F.count(F.lit(1)).alias("groups"), F.sum("c").alias("all"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "g")).alias("most"))
-                .where("groups > 1").select("key", F.col("most.g").alias("most"), ((F.col("all") * F.col("all") - F.col("squares")) / 2).alias("pairs")))
-        rest, _ = store(tagged.join(sums, "key"), "rest")
-        todo = rest.groupBy("key").agg(F.first("pairs").alias("p"), F.count(F.lit(1)).alias("c")).agg(F.sum("p").alias("p"), F.sum("c").alias("c")).first()
-        if not todo["c"]:
-            break
-        last = todo["p"] <= FEW * todo["c"]
-        if last:  # all pairs across groups; the key's largest group only on one side
-            some = rest.where("g <> most").select("key", F.col("node").alias("o"), F.col("n").alias("on"), F.col("g").alias("og"))
-        else:
-            rank = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-            some, _ = store(rest.withColumn("_k", rank).where(F.col("_k") <= s).select("key", F.col("node").alias("o"), F.col("n").alias("on"), F.col("g").alias("og")), "some")
-        pairs = rest.join(some, "key").where((F.col("g") != F.col("og")) & near(F.col("n"), F.col("on"))).select(*ordered(F.col("node"), F.col("o"))).distinct()
-        pairs, _ = store(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            found, _ = store(verified(pairs), "links")
-            tried, links = tried.unionByName(pairs), links.unionByName(found)
-            if not found.isEmpty():
-                labels = components(links)
-        if last:
-            break
-        rest = rest.select("key", "node", "n").join(some.select("key", F.col("o").alias("node")), ["key", "node"], "left_anti")
-        s *= 4
+    # first step: members of the tables (i, i) against their key's first member
+    zipped = F.explode(F.arrays_zip(F.col("left").alias("l"), F.col("right").alias("r"))).alias("z")
+    keys = nodes.select("node", "n", zipped).select(F.xxhash64("z.l", "z.r").alias("key"), "node", "n")
+    first = keys.groupBy("key").agg(F.min(F.struct("node", "n")).alias("p"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", F.col("p.node").alias("p"), F.col("p.n").alias("pn"))
+    pairs = keys.join(first, "key").where((F.col("node") != F.col("p")) & near(F.col("n"), F.col("pn"))).select(F.col("p").alias("a"), F.col("node").alias("b")).distinct()
+    pairs, _ = store(pairs, "pairs")
+
+    # texts of all nodes that a left half key brings together: what either step compares
+    left = nodes.select("node", F.explode("left").alias("l"))
+    shared, _ = store(left.join(left.groupBy("l").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("l"), "l", "left_semi"), "left-halves")
+    texts = nodes.select("node", "rep").join(shared.select("node").distinct(), "node", "left_semi")
+    texts, _ = store(docs.join(texts, docs.doc_id == texts.rep).select("node", "text"), "texts")
+    ta, tb = texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    verified = pairs.join(tb, "b").join(ta, "a").select("a", "b", "ta", "tb").mapInArrow(lambda it: _verify(it, width, percent), "a long, b long")
+    links, _ = store(verified, "links")
+
+    # second step: left half keys whose members lie in several groups; members outside the largest against all
+    tagged = shared.join(components(links), "node", "left").select("l", "node", F.coalesce("label", "node").alias("g"))
+    groups = tagged.groupBy("l", "g").agg(F.count(F.lit(1)).alias("c")).groupBy("l").agg(F.count(F.lit(1)).alias("groups"), F.sum("c").alias("m"), F.max(F.struct("c", "g")).alias("most"))
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    spans = groups.where("groups > 1").select("l", F.col("most.g").alias("most"), blocks(F.col("m")).alias("nm"), blocks(F.col("m") - F.col("most.c")).alias("no"))
+    rows, _ = store(tagged.join(spans, "l"), "spans")
+    deal = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    outside = rows.where("g <> most").select("l", deal(F.col("no")).alias("bo"), F.explode(F.sequence(F.lit(0), F.col("nm") - 1)).alias("bm"), F.lit(True).alias("o"), "node", "g")
+    every = rows.select("l", F.explode(F.sequence(F.lit(0), F.col("no") - 1)).alias("bo"), deal(F.col("nm")).alias("bm"), F.lit(False).alias("o"), "node", "g")
+    dealt = outside.unionByName(every).join(texts, "node").select("l", "bo", "bm", "o", "node", "g", "text")
+    dealt = dealt.repartition("l", "bo", "bm").sortWithinPartitions("l", "bo", "bm")
+    more = dealt.mapInArrow(lambda it: _blocks(it, width, percent), "a long, b long").distinct()
+    labels = components(links.unionByName(store(more, "links")[0]))
 
     least = labels.join(nodes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = nodes.select("node", "rep").join(labels, "node", "left").join(least, "label", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
