@@ -73,6 +73,22 @@ def _nearest(x: np.ndarray, c: np.ndarray, overlap: int) -> np.ndarray:
     return np.argpartition(-s, n - 1, axis=1)[:, :n] if n < len(c) else np.tile(np.arange(len(c)), (len(x), 1))
 
 
+def _learner(parts: float, seed: int):
+    """Centroids of a cell from its sampled rows: enough for ``parts`` times its size over SHARD."""
+
+    def learn(drawn: pd.DataFrame) -> pd.DataFrame:
+        drawn = drawn.sort_values("_k")
+        k = int(min(CENTROIDS, max(2, np.ceil(parts * drawn["n"].iloc[0] / SHARD))))
+        c = k_means(_matrix(list(drawn["unit"])), k, seed)
+        return pd.DataFrame({"cell": [drawn["cell"].iloc[0]], "n": [drawn["n"].iloc[0]], "cents": [c.astype("<f8").tobytes()]})
+
+    return learn
+
+
+def _splitter(overlap: int):
+    return lambda rows, cents: _split(rows, cents, overlap)
+
+
 def _split(rows: pd.DataFrame, cents: pd.DataFrame, overlap: int) -> pd.DataFrame:
     """Nodes of part of a cell to the nearest of the cell's centroids."""
     if rows.empty:
@@ -102,18 +118,11 @@ def shards(nodes: DataFrame, overlap: int, seed: int) -> DataFrame:
         pick = Window.partitionBy("cell").orderBy(F.xxhash64("node", F.lit(seed)))
         drawn = over.withColumn("_k", F.row_number().over(pick)).where(F.col("_k") <= SAMPLE)
 
-        def learn(g: pd.DataFrame, level=level) -> pd.DataFrame:
-            g = g.sort_values("_k")
-            k = int(min(CENTROIDS, max(2, np.ceil((2.0 * overlap if level == 0 else 3.0) * g["n"].iloc[0] / SHARD))))
-            c = k_means(_matrix(list(g["unit"])), k, seed)
-            return pd.DataFrame({"cell": [g["cell"].iloc[0]], "n": [g["n"].iloc[0]], "cents": [c.astype("<f8").tobytes()]})
-
-        cents, _ = store(drawn.select("cell", "n", "unit", "_k").groupBy("cell").applyInPandas(learn, "cell string, n long, cents binary"), "centroids")
+        cents, _ = store(drawn.select("cell", "n", "unit", "_k").groupBy("cell").applyInPandas(_learner(2.0 * overlap if level == 0 else 3.0, seed), "cell string, n long, cents binary"), "centroids")
         salts = F.ceil(F.col("n") / SHARD).cast("int")
         parts = over.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(level)), salts).cast("int")).select("cell", "salt", "node", "unit")
         cents = cents.select("cell", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"), "cents")
-        n = overlap if level == 0 else 2
-        split = parts.groupBy("cell", "salt").cogroup(cents.groupBy("cell", "salt")).applyInPandas(lambda r, c, n=n: _split(r, c, n), "cell string, node long, unit binary")
+        split = parts.groupBy("cell", "salt").cogroup(cents.groupBy("cell", "salt")).applyInPandas(_splitter(overlap if level == 0 else 2), "cell string, node long, unit binary")
         rows, _ = store(split.dropDuplicates(["cell", "node"]), "split")
         level += 1
 
