@@ -52,7 +52,7 @@ def ngram_counts(text: str | None) -> np.ndarray | None:
         two = c[:-1] * np.uint32(0x9E3779B1) + c[1:] * np.uint32(0x85EBCA77)
         three = two[:-1] * np.uint32(0xC2B2AE3D) + c[2:] * np.uint32(0x27D4EB2F) + np.uint32(1)
         three = three[c[1:-1] != 0]  # not across a boundary
-        for g in (two, three):
+        for g in (two[len(tail) - 1 :], three):  # the tail's own bigram was counted with its piece
             g = (g ^ (g >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
             total += np.bincount(g >> np.uint32(18), minlength=DIMS)
         tail = c[-2:]

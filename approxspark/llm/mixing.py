@@ -54,9 +54,10 @@ def route(capacity: dict[tuple, int], quota: dict[str, int], passes: int) -> dic
         for start in sorted(capacity, key=len):
             while (room := k * capacity[start] - used[start]) > 0:
                 # breadth first from this pattern over sources, and back over flow that can move elsewhere
-                back: dict = {start: None}
-                queue, end = deque([start]), None
-                while queue and end is None:
+                none = object()  # None is the null source
+                back: dict = {start: none}
+                queue, end = deque([start]), none
+                while queue and end is none:
                     p = queue.popleft()
                     for s in p:
                         if s in back:
@@ -69,10 +70,10 @@ def route(capacity: dict[tuple, int], quota: dict[str, int], passes: int) -> dic
                             if q not in back and flow.get((q, s), 0) > 0:
                                 back[q] = s
                                 queue.append(q)
-                if end is None:
+                if end is none:
                     break
                 path, at = [], end
-                while at is not None:
+                while at is not none:
                     path.append(at)
                     at = back[at]
                 path.reverse()  # pattern, source, pattern, source ...
