@@ -146,7 +146,31 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
-@register("op6_license_scan")
+_TEMPLATES = ", ".join(f"({i}, '{lic}', '{text}')" for i, (lic, text) in enumerate(license_scan.TEMPLATES))
+
+
+@register(
+    "op6_license_scan",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(source, 'unknown') AS s, coalesce(lang, 'unknown') AS l, coalesce(text, '') AS t FROM documents),
+    n AS (SELECT count(*) AS n FROM d),
+    tw AS (SELECT i, license, w, count(*) AS c FROM (SELECT i, license, unnest(regexp_split_to_array(lower(txt), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM (VALUES {_TEMPLATES}) AS v(i, license, txt)) WHERE w <> '' GROUP BY ALL),
+    df AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, w FROM (SELECT doc_id, unnest(regexp_split_to_array(lower(t), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM d) WHERE w IN (SELECT w FROM tw)) GROUP BY w),
+    idf AS (SELECT DISTINCT w, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS idf FROM tw LEFT JOIN df USING (w), n),
+    tv AS (SELECT i, license, w, x / sqrt(sum(x * x) OVER (PARTITION BY i)) AS x FROM (SELECT i, license, w, (1 + ln(c)) * idf AS x FROM tw JOIN idf USING (w))),
+    seg AS (SELECT doc_id, 0 AS k, t FROM d UNION ALL
+            SELECT doc_id, 1, unnest(string_split(regexp_replace(t, '([.!?;])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))) FROM d),
+    num AS (SELECT row_number() OVER () AS g, doc_id, k, regexp_split_to_array(lower(t), '[^\\p{{L}}\\p{{N}}]+') AS w FROM (SELECT DISTINCT * FROM seg)),
+    sw AS (SELECT g, doc_id, k, w, (1 + ln(count(*))) * coalesce(any_value(idf), ln(1 + any_value(n)) + 1) AS y FROM (SELECT g, doc_id, k, unnest(w) AS w FROM num) LEFT JOIN idf USING (w), n WHERE w <> '' GROUP BY g, doc_id, k, w),
+    nm AS (SELECT g, sqrt(sum(y * y)) AS norm FROM sw GROUP BY g),
+    hit AS (SELECT doc_id, k, license, round(sum(x * y) / any_value(norm), 6) AS score FROM sw JOIN tv USING (w) JOIN nm USING (g) GROUP BY g, doc_id, k, i, license HAVING round(sum(x * y) / any_value(norm), 6) >= 0.7),
+    own AS (SELECT doc_id, license, score, CASE WHEN k = 0 THEN 'file' ELSE 'header' END AS origin FROM hit QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, k, license DESC) = 1),
+    dir AS (SELECT s || '/' || l AS dir, license, score FROM own JOIN d USING (doc_id) WHERE origin = 'file' QUALIFY row_number() OVER (PARTITION BY s, l ORDER BY score DESC, license DESC) = 1)
+    SELECT doc_id, s || '/' || l || '/' || doc_id AS path, coalesce(own.license, dir.license) AS license, coalesce(own.score, dir.score) AS score,
+           coalesce(own.origin, CASE WHEN dir.dir IS NOT NULL THEN 'inherited' END) AS origin, CASE WHEN own.doc_id IS NULL THEN dir.dir END AS from_dir
+    FROM d LEFT JOIN own USING (doc_id) LEFT JOIN dir ON dir.dir = s || '/' || l
+    """,
+)
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the table has no paths: a document is the file source/lang/doc_id
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.coalesce(F.col("doc_id").cast("string"), F.lit("unknown")))
