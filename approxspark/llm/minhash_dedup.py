@@ -11,8 +11,8 @@ each member of the tables (i, i) is compared with its key's first member; groups
 Then, for every left half key whose members still lie in several groups (it holds the keys of m
 tables, so nothing that any table would pair is passed over), the members outside its largest group are
 compared with all its members. That is done in blocks of about ``BLOCK`` by ``BLOCK`` members, whose
-intersections are one matrix product; a hot key becomes many blocks, and only links are emitted. Equal
-sets are one node from the start.
+intersections are one matrix product; a hot key becomes many blocks, and a block emits only the links that
+join its groups. Equal sets are one node from the start.
 """
 
 from __future__ import annotations
@@ -117,7 +117,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """Links between the two sides of each block; a partition's rows are sorted by block (l, bo, bm)."""
+    """Links that join the groups of each block's two sides; a partition's rows are sorted by block (l, bo, bm)."""
     known: dict[int, np.ndarray] = {}
 
     def members(node: int, text: str) -> np.ndarray:
@@ -136,7 +136,22 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
         size = [np.array([len(s) for _, _, s in side]) for side in sides]
         group = [np.array([g for _, g, _ in side]) for side in sides]
         hit = (both > 0) & (100 * both >= percent * (size[0][:, None] + size[1][None, :] - both)) & (group[0][:, None] != group[1][None, :])
-        return [(min(p), max(p)) for i, j in zip(*np.nonzero(hit)) for p in [(sides[0][i][0], sides[1][j][0])]]
+        # of a block's links those that join groups not yet joined within it: the others link nothing more
+        root: dict[int, int] = {}
+
+        def find(g: int) -> int:
+            while root.get(g, g) != g:
+                g = root[g]
+            return g
+
+        found = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(hit))):
+            (a, ga, _), (b, gb, _) = sides[0][i], sides[1][j]
+            ga, gb = find(ga), find(gb)
+            if ga != gb:
+                root[max(ga, gb)] = min(ga, gb)
+                found.append((min(a, b), max(a, b)))
+        return found
 
     def batch(found: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)] if found else [pa.array([], pa.int64())] * 2, ["a", "b"])
