@@ -81,10 +81,12 @@ def _verify(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
 
     def members(node: int, text: str) -> np.ndarray:
         if node not in known:
+            s = shingle_set(text, width)
+            if set_id(s) != node:  # another row's text under the same id
+                return s[:0]
             if len(known) > 500:
                 known.clear()
-            s = shingle_set(text, width)
-            known[node] = s if set_id(s) == node else s[:0]  # another row's text under the same id
+            known[node] = s
         return known[node]
 
     for batch in batches:
@@ -122,10 +124,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
 
     def members(node: int, text: str) -> np.ndarray:
         if node not in known:
+            s = shingle_set(text, width)
+            if set_id(s) != node:  # another row's text under the same id
+                return s[:0]
             if len(known) > 4 * BLOCK:
                 known.clear()
-            s = shingle_set(text, width)
-            known[node] = s if set_id(s) == node else s[:0]
+            known[node] = s
         return known[node]
 
     def links(block: list) -> list[tuple[int, int]]:

@@ -42,6 +42,13 @@ def test_minhash_edges(edge_docs, no_docs):
     assert minhash_dedup.near_duplicates(edge_docs).count() == edge_docs.count() and minhash_dedup.near_duplicates(no_docs).count() == 0
 
 
+def test_minhash_of_a_repeated_id_with_different_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (4, "else"), (1, a)]
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in minhash_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, 1, True)] * 3 + [(2, 1, False), (3, 1, False), (4, 4, True)]
+
+
 def test_minhash_against_brute_force(spark):
     docs = [(r["doc_id"], shingles(r["text"])) for r in small(spark).collect()]
     part = {d: d for d, _ in docs}
