@@ -34,7 +34,7 @@ CLASSES, SINGLE, CODES = 64, 31, 4096
 #: Hash of the end of a text; words have no white space, so none is this text.
 END = xxhash.xxh3_64_intdigest(b"\n")
 #: Rows of a block of the weights.
-BLOCK = 2048
+BLOCK = 1024
 ROWS = 4 * CODES
 
 
@@ -241,7 +241,8 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         part = corpus.where(F.pmod(F.xxhash64("chunk"), F.lit(rounds)) == k)
         copies = part.mapInArrow(lambda it, s=shared: _gradients(it, s, rate), "block int, part long, weights binary, seen binary")
         kind = "block int, part long, weights binary, seen binary"
-        mean = copies.groupBy("block", F.pmod("part", F.lit(16)).alias("_g")).applyInPandas(_added, kind).groupBy("block").applyInPandas(_added, kind).collect()
+        some = max(2, int(corpus.rdd.getNumPartitions() ** 0.5))  # copies are added in two steps of about as many each
+        mean = copies.groupBy("block", F.pmod("part", F.lit(some)).alias("_g")).applyInPandas(_added, kind).groupBy("block").applyInPandas(_added, kind).collect()
         weights = weights.copy()
         for r in mean:
             s = np.frombuffer(r["seen"], "<f4")
