@@ -75,7 +75,7 @@ def lengths_of(rules: np.ndarray, first: int) -> np.ndarray:
     return np.array(out, "<u4")
 
 
-def write_block(docs: list[int | None], ids: list[bytes], rounds: int = 8, pairs: int = 512, least: int = 16) -> bytes:
+def write_block(docs: list[int | None], ids: list[bytes], rounds: int = 4, pairs: int = 2048, least: int = 16) -> bytes:
     seq, rules, first = compress(np.frombuffer(b"".join(ids), "<u4"), rounds, pairs, least)
     width = 2 if first + len(rules) <= 1 << 16 else 4
     lengths = np.array([len(x) // 4 for x in ids], "<u4")
@@ -164,14 +164,13 @@ def write(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, id_col
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for part, block, data in zip(*(b.column(i) for i in range(3))):
+        for start, data in zip(b.column(0), b.column(1)):
             x = Block(data.as_py())
-            all_ids, ends = x.ids(), np.cumsum(x.lengths, dtype=np.int64)
-            starts = ends - x.lengths
-            n = len(x.docs)
+            ids, ends = x.ids().tobytes(), np.cumsum(x.lengths, dtype=np.int64)
+            at = ends - x.lengths
             yield pa.RecordBatch.from_arrays(
-                [pa.array([part.as_py()] * n, pa.int32()), pa.array([block.as_py()] * n, pa.int32()), pa.array(x.docs, pa.int64()), pa.array(starts, pa.int64()), pa.array([all_ids[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary())],
-                ["part", "block", "doc_id", "at", "ids"])
+                [pa.array(x.docs, pa.int64()), pa.array(at + start.as_py(), pa.int64()), pa.array([ids[4 * i : 4 * j] for i, j in zip(at.tolist(), ends.tolist())], pa.binary())],
+                ["doc_id", "start", "ids"])
 
 
 def read(blocks: DataFrame) -> DataFrame:
@@ -181,5 +180,6 @@ def read(blocks: DataFrame) -> DataFrame:
     parts = sizes.groupBy("part").agg(F.sum("n").alias("n"))  # one row a file part
     parts = parts.select("part", before(Window.orderBy("part")).alias("_p"))
     starts = sizes.select("part", "block", before(Window.partitionBy("part").orderBy("block")).alias("_b")).join(parts, "part").select("part", "block", (F.col("_p") + F.col("_b")).alias("_start"))
-    docs = blocks.select("part", "block", "data").mapInArrow(_read, "part int, block int, doc_id long, at long, ids binary")
-    return docs.join(starts, ["part", "block"]).select("doc_id", (F.col("_start") + F.col("at")).alias("start"), "ids")
+    starts, _ = store(starts, "starts")  # its size is known when the join with the blocks is planned
+    placed = blocks.select("part", "block", "data").join(starts, ["part", "block"])
+    return placed.select("_start", "data").mapInArrow(_read, "doc_id long, start long, ids binary")

@@ -10,6 +10,8 @@ encoded whole by the library. Either way the ids equal ``Tokenizer.encode(text,
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,6 +22,9 @@ TABLE = 1_500_000
 #: Pieces encoded in one string.
 TOGETHER = 128
 
+#: A word, perhaps on a new line, and ASCII marks after it (an apostrophe may bind to letters).
+ENDING = re.compile(r"(\n?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+
 _coders: dict[str, "Coder"] = {}
 
 
@@ -38,16 +43,16 @@ class Coder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.t = Tokenizer.from_file(path)
         self.table: dict[str, bytes] = {}
-        self.stops = {c: self.whole(c) for c in ".,"}
+        self.tails: dict[str, bytes] = {}
         # does white space make ids (byte-level), or is it dropped?
         self.spaces = bool(self.t.encode("a b", add_special_tokens=False).ids != self.t.encode("a\nb", add_special_tokens=False).ids)
-        if self.spaces:
-            first = {i: s[:1] for s, i in self.t.get_vocab().items()}
-            starts = {"Ġ", "Ċ"}  # the byte-level alphabet's space and line feed
-            self.starts = np.array([first.get(i, "") in starts for i in range(max(first) + 1)])
-        else:
-            mark = self.t.encode("\x01", add_special_tokens=False).ids
-            self.mark = mark[0] if len(mark) == 1 else None
+        vocab = self.t.get_vocab()
+        edge = np.zeros(max(vocab.values()) + 1, bool)
+        if self.spaces:  # a piece begins with the byte-level alphabet's space or line feed
+            edge[[i for s, i in vocab.items() if s[0] in "ĠĊ"]] = True
+        else:  # a word ends with the mark
+            edge[[i for s, i in vocab.items() if s.endswith("</w>")]] = True
+        self.edge = edge
 
     def whole(self, text: str) -> bytes:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -73,38 +78,48 @@ class Coder:
         if self.spaces and any(not p or p[-1].isspace() for p in new):
             return False
         table, stems = self.table, {}
-        for p in new:  # a full stop or comma after a letter is a pre-token of its own
-            if p[-1:] in self.stops and p[-2:-1].isalpha():
-                stems[p] = p[:-1]
-        table.update(self.encode(new.difference(stems).union(stems.values()).difference(table)))
-        table.update((p, table[q] + self.stops[p[-1]]) for p, q in stems.items())
+        for p in new:
+            if (m := ENDING.fullmatch(p)) and unicodedata.normalize("NFC", m[1].strip("\n")).lower().isalpha():  # letters, then marks: two pre-tokens
+                stems[p] = m
+            elif not self.spaces and p.isascii() and p.isalpha() and not p.islower():
+                stems[p] = None  # case is dropped
+        bases = {p: m[1] if m else p.lower() for p, m in stems.items()}
+        table.update(self.encode(new.difference(stems).union(bases.values()).difference(table)))
+        for p, m in stems.items():
+            table[p] = table[bases[p]] + (self.tail(m[2]) if m else b"")
         return True
 
+    def tail(self, marks: str) -> bytes:
+        if marks not in self.tails:
+            if len(self.tails) > 10_000:
+                self.tails.clear()
+            self.tails[marks] = self.whole(marks)
+        return self.tails[marks]
+
     def encode(self, new: Iterable[str]) -> Iterator[tuple[str, bytes]]:
-        plain, odd = [], []
+        """Ids of each piece: pieces whose ids tell where they begin or end are encoded many in one string."""
+        many, few = [], []
         for p in new:
             inner = p[1:] if p[:1] == "\n" else p
-            simple = inner.isprintable() and not any(map(str.isspace, inner)) and inner and "<|" not in p
-            (plain if simple and (self.spaces or self.mark is not None) else odd).append(p)
-        for p in odd:
-            yield p, self.whole(p if p[:1] == "\n" or not self.spaces else " " + p)
-        groups = [plain[i : i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-        if self.spaces:
-            texts = ["".join(p if p[0] == "\n" else " " + p for p in g) for g in groups]
-        else:
-            texts = ["".join(p + " \x01 " for p in g) for g in groups]
-        for g, e in zip(groups, self.t.encode_batch_fast(texts, add_special_tokens=False)):
-            ids = np.array(e.ids, dtype="<u4")
             if self.spaces:
-                cuts = np.flatnonzero(self.starts[ids])
-                parts = np.split(ids, cuts[1:])
+                ok = inner.isprintable() and not any(map(str.isspace, inner)) and inner
             else:
-                cuts = np.flatnonzero(ids == self.mark)
-                parts = [x[:-1] for x in np.split(ids, cuts + 1)[:-1]]
-            if len(parts) == len(g):
-                yield from zip(g, (x.tobytes() for x in parts))
-            else:  # a piece that holds a mark of its own
-                yield from ((p, self.whole(p if p[:1] == "\n" or not self.spaces else " " + p)) for p in g)
+                ok = inner.isalpha()  # one pre-token
+            (many if ok else few).append(p)
+        spaced = (lambda p: p if p[:1] == "\n" else " " + p) if self.spaces else (lambda p: p)
+        groups = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
+        texts = [("" if self.spaces else " ").join(map(spaced, g)) for g in groups]
+        for g, e in zip(groups, self.t.encode_batch_fast(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            at = np.flatnonzero(self.edge[ids]) * 4
+            if len(at) != len(g):  # a piece of several: each on its own
+                few += g
+                continue
+            raw = ids.tobytes()
+            cuts = [*at.tolist(), len(raw)] if self.spaces else [0, *(at + 4).tolist()]
+            yield from ((p, raw[i:j]) for p, i, j in zip(g, cuts, cuts[1:]))
+        for p, e in zip(few, self.t.encode_batch_fast(list(map(spaced, few)), add_special_tokens=False)):
+            yield p, np.array(e.ids, dtype="<u4").tobytes()
 
 
 def coder(path: str) -> Coder:
