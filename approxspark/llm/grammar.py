@@ -47,13 +47,16 @@ def compress(ids: np.ndarray, rounds: int, pairs: int, least: int) -> tuple[np.n
             break
         often = often[np.lexsort((ordered[starts[often]], -counts[often]))[:pairs]]
         chosen = np.sort(ordered[starts[often]])
-        # few symbols begin a chosen pair: only there is the pair looked up
-        begins = np.zeros(int(seq.max()) + 1, bool)
-        begins[chosen >> 32] = True
-        at = np.flatnonzero(begins[seq[:-1]])
-        k = np.minimum(np.searchsorted(chosen, code[at]), len(chosen) - 1)
-        hit = chosen[k] == code[at]
-        at, k = at[hit], k[hit]
+        # a table of the chosen pairs by the few symbols that come first and second in them
+        left, right = (np.unique(x, return_inverse=True) for x in (chosen >> 32, chosen & 0xFFFFFFFF))
+        table = np.full((len(left[0]), len(right[0])), -1, np.int32)
+        table[left[1], right[1]] = np.arange(len(chosen))
+        row, col = (np.full(int(seq.max()) + 1, -1, np.int32) for _ in range(2))
+        row[left[0]], col[right[0]] = np.arange(len(left[0])), np.arange(len(right[0]))
+        r, c = row[seq[:-1]], col[seq[1:]]
+        at = np.flatnonzero((r >= 0) & (c >= 0))
+        k = table[r[at], c[at]]
+        at, k = at[k >= 0], k[k >= 0]
         # overlapping hits: of a run of neighbours every other one, from its first
         run = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
         take = (np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0
