@@ -128,11 +128,12 @@ def _cluster(x: np.ndarray, k: int, turns: int = 8) -> np.ndarray:
     return c
 
 
-def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = 300, clusters: int = 4, margin: float = 0.5) -> Model:
+def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = 300, clusters: int = 4, margin: float = 0.1) -> Model:
     """Learn from labelled rows: idf over all of them, centroids from at most ``sample`` rows a language.
 
     The rejection limit is ``margin`` times the least cosine that any sampled row has to its language's
-    nearest centroid: what lies farther from all centroids than the learning rows do is rejected.
+    nearest centroid: what lies much farther from all centroids than any learning row is rejected. Short
+    texts share few n-grams with any centroid, so the margin leaves them room.
     """
     rows = rows.where(F.col(lang_col).isNotNull())
     df = rows.select(text_col).mapInArrow(_frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()  # DIMS + 1 rows at most
