@@ -56,21 +56,11 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: whole passes as whole copies; the one document of a source at
-    which its quota ends adds its first words. A document that the mix doesn't take goes."""
-    mixed = mixing.mix(docs, keep=[c for c in docs.columns if c != "doc_id"])
-    size, taken = F.col("size"), F.col("taken")
-    whole = F.when(size > 0, F.floor(taken / F.greatest(size, F.lit(1)))).otherwise(0).cast("int")
+    """Documents as often as the mix takes them, always whole. A document that the mix doesn't take goes."""
+    mixed = mixing.mix(docs, keep=[c for c in docs.columns if c != "doc_id"], whole=True)
     # documents without words weigh nothing: they stay once
-    copies = F.when(size == 0, F.array(F.lit(-1))).otherwise(
-        F.concat(F.array_repeat(F.lit(-1), whole), F.when(taken % F.greatest(size, F.lit(1)) > 0, F.array((taken % F.greatest(size, F.lit(1))).cast("int"))).otherwise(F.array().cast("array<int>"))))
-    rows = mixed.withColumn("_words", F.explode(copies))
-    ended = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({mixing.WORD})")), 1, F.greatest(F.col("_words"), F.lit(0))), " ")
-    text = F.when(F.col("_words") < 0, F.col("text")).otherwise(ended)
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_words") < 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
+    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
 
 
 @_stage

@@ -5,7 +5,7 @@ import math
 import numpy as np
 from pyspark.sql import functions as F
 
-from approxspark.llm import chat, embedding_dedup, license_scan
+from approxspark.llm import chat, embedding_dedup, license_scan, mixing
 from approxspark.sources.tables import table
 from conftest import SF_SMALL
 from llm_edges import edge_docs  # noqa: F401
@@ -154,3 +154,18 @@ def test_pipeline_keeps_clean_documents_and_mixes(spark):
     size = lambda d: d.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0]
     assert abs(size(p.mix(spark, near, SF_SMALL)) - 1.5 * size(near)) <= 40
     assert language_id.held_out() is not None
+
+
+def test_mixing_stage_emits_whole_documents(spark):
+    import corpus_pipeline as p
+
+    # sources whose quota ends within a document, for some of them their only one; lines and a very long text
+    rows = [(i, "\n".join(f"w{i} x{j}\ty" for j in range(1 + 37 * i % 400)), "en", f"s{i % 17}", i) for i in range(60)] + [(60, "long\nline " * 20_000, "en", "t", 60), (61, " \n", "en", "t", 61)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = [tuple(r) for r in p.mix(spark, docs, SF_SMALL).collect()]
+    assert set(got) <= set(rows) and max(map(got.count, set(got))) == 2 and rows[-1] in got
+    mixed = mixing.mix(docs, whole=True).collect()
+    assert all(r["taken"] % max(1, r["size"]) == 0 for r in mixed)
+    for s in {r["sources"][0] for r in mixed}:
+        part = [r for r in mixed if r["sources"][0] == s]
+        assert abs(sum(r["taken"] for r in part) - int(part[0]["target"])) <= max(r["size"] for r in part) / 2
