@@ -59,32 +59,37 @@ def repeated_fingerprints(prints: DataFrame, rows: int) -> DataFrame:
     return blocks.groupBy("slot").applyInPandas(_merge, "fingerprint long, copies long")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256 (and row, if ``row_col`` is given).
 
     Texts are equal when identical after deleting every character of [\\x20\\x09-\\x0D]; of equal texts
     the one with the most code points, then the smallest id, stays (a null id is the last resort).
-    Null texts count as empty. Rows repeated with their id count as copies and, if theirs is the id
-    that stays, are all marked kept. An empty table gives no rows; other columns are not read.
+    Null texts count as empty. Exactly one row of each group is kept, whether ids repeat or are null:
+    rows are told apart by a key of their own, stored with them. ``row_col`` names such a key (a long,
+    unique and stored) where the caller filters by it. An empty table gives no rows; other columns are
+    not read.
     """
     norm = normalised(F.col(text_col))
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
     rows, _ = store(
-        docs.select(F.col(id_col).alias("doc_id"), norm.alias("_t"), F.length(F.coalesce(text_col, F.lit(""))).alias("n"))
-        .select("doc_id", "n", F.xxhash64("_t").alias("fp"), F.sha2("_t", 256).alias("text_sha256")), "copies")
+        docs.select(F.col(id_col).alias("doc_id"), norm.alias("_t"), F.length(F.coalesce(text_col, F.lit(""))).alias("n"), row.alias("row"))
+        .select("doc_id", "n", "row", F.xxhash64("_t").alias("fp"), F.sha2("_t", 256).alias("text_sha256")), "copies")
     again, _ = store(repeated_fingerprints(rows.select("fp"), rows.count()).select(F.col("fingerprint").alias("fp")), "repeated")
     # byte verification: the texts behind repeated fingerprints are grouped by their bytes, copies meeting within
     # each task first; the join's key isn't one of the grouping's, so that a hot fingerprint can be split
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.length(F.coalesce(text_col, F.lit(""))).alias("n"), norm.alias("_t"))
-    best = F.max(F.struct("n", (-F.col("doc_id")).alias("minus"))).alias("best")
     classes = (
-        texts.withColumn("fp", F.xxhash64("_t")).join(again, "fp", "left_semi")
-        .groupBy("_t").agg(best, F.count(F.lit(1)).alias("group_size"))
-        .where("group_size > 1").select(F.sha2("_t", 256).alias("text_sha256"), (-F.col("best.minus")).alias("keep_id"), "group_size")
+        docs.select(norm.alias("_t")).withColumn("fp", F.xxhash64("_t")).join(again, "fp", "left_semi")
+        .groupBy("_t").agg(F.count(F.lit(1)).alias("group_size"))
+        .where("group_size > 1").select(F.sha2("_t", 256).alias("text_sha256"), "group_size")
     )
     # one class a digest: were two texts to share one, say so rather than merge them
-    classes = classes.groupBy("text_sha256").agg(F.first("keep_id").alias("keep_id"), F.first("group_size").alias("group_size"), F.count(F.lit(1)).alias("_texts"))
+    classes = classes.groupBy("text_sha256").agg(F.first("group_size").alias("group_size"), F.count(F.lit(1)).alias("_texts"))
     classes = classes.withColumn("group_size", F.when(F.col("_texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest")).cast("long")))
-    keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
+    # the row that stays, by the stored keys: a null is the least of a struct's field, so a null id comes last
+    best = F.max(F.struct("n", (-F.col("doc_id")).alias("minus"), (-F.col("row")).alias("minus_row"))).alias("best")
+    stays = rows.join(again, "fp", "left_semi").groupBy("text_sha256").agg(best).select("text_sha256", (-F.col("best.minus")).alias("_id"), (-F.col("best.minus_row")).alias("_row"))
+    classes = classes.select("text_sha256", "group_size").join(stays, "text_sha256")
+    alone = F.col("group_size").isNull()
     return rows.join(classes, "text_sha256", "left").select(
-        "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"),
-        F.coalesce(F.col("doc_id") == keep, F.col("group_size").isNull()).alias("kept"), "text_sha256")
+        "doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        (alone | (F.col("row") == F.col("_row"))).alias("kept"), "text_sha256", *(["row"] if row_col else []))

@@ -43,9 +43,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays. Rows that repeat a kept id with an equal text stay once."""
-    kept = _only(docs, exact_dedup.exact_dedup(docs), F.col("kept"))
-    return kept.dropDuplicates(kept.columns)
+    """One row of each group of equal texts stays. Rows go by a stored key of their own: ids may repeat or be null."""
+    keyed, _ = store(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    kept = exact_dedup.exact_dedup(keyed, row_col="_row").where("kept").select(F.col("row").alias("_row"))
+    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 @_stage

@@ -169,3 +169,19 @@ def test_mixing_stage_emits_whole_documents(spark):
     for s in {r["sources"][0] for r in mixed}:
         part = [r for r in mixed if r["sources"][0] == s]
         assert abs(sum(r["taken"] for r in part) - int(part[0]["target"])) <= max(r["size"] for r in part) / 2
+
+
+def test_exact_stage_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as p
+    from approxspark.llm import exact_dedup
+
+    rows = [(None, "null ids only", "a"), (None, "null  ids only", "b"), (None, "null ids\nonly", "c"), (7, "x y", "a"), (7, "x y", "b"), (7, "another text", "a"),
+            (3, "another text ", "a"), (None, "x y", "a"), (None, "alone", "a"), (8, "more", "a"), (9, "more", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = exact_dedup.exact_dedup(docs).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["text_sha256"], []).append((r["kept"], r["keep_id"], r["group_size"]))
+    assert len(found) == len(rows) and all(sum(k for k, _, _ in g) == 1 and all(n == len(g) for _, _, n in g) for g in by.values())
+    got = sorted((r["text"], str(r["doc_id"])) for r in p.exact(spark, docs, SF_SMALL).collect())
+    assert got == [("alone", "None"), ("another text ", "3"), ("more", "8"), ("null  ids only", "None"), ("x y", "7")]
