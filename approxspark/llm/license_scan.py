@@ -4,19 +4,30 @@ Only DataFrame operations. Every line or sentence of a text (a header) and the t
 licence file) is compared with templates; words weigh (1 + log tf) * idf, document frequencies being
 counted over all texts, and words that no template has weigh as if no text had them. A template can
 only reach the threshold where one of its weightiest words occurs (else Cauchy-Schwarz bounds the
-cosine below it), so texts and segments without any such word are passed over. A file without a
+cosine below it), so texts and segments without any such word are passed over.
+
+Statements that span lines are compared likewise with full licence texts (``licenses/``) and standard
+notices: the text as a whole (a licence file, which comes before any header within it) and windows of
+as many words as the template has, from the beginnings of lines. Line ends and comment marks part words and
+are no words, so that wrapped notices read as one. A text or window is passed over where it has
+fewer of a template's words than the least number that can reach the threshold (the same bound). SPDX
+lines name their licence by its exact identifier, as near identifiers are other licences.
+
+A file without a
 licence of its own takes that of the nearest ancestor directory that holds a licence file: found for
 each directory by joining its ancestors' paths, then joined to the files by their directory.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from collections import Counter
 from collections.abc import Sequence
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import store
@@ -32,15 +43,49 @@ TEMPLATES = (
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+_GNU = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public License as published by the Free Software Foundation, "
+        "either version {1} of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; "
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public License for more details. "
+        "You should have received a copy of the GNU {0}General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.")
+#: Standard notices that wrap over lines (fixed values). GPL-2.0, LGPL and BSD-2-Clause are here and among the
+#: full texts lest their near likes be taken for the licences of TEMPLATES.
+NOTICES = (
+    ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at "
+                   "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, "
+                   "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
+    ("GPL-3.0", _GNU.format("", 3)), ("GPL-2.0", _GNU.format("", 2)), ("LGPL-3.0", _GNU.format("Lesser ", 3)), ("LGPL-2.1", _GNU.format("Lesser ", "2.1")),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("CC-BY-NC-4.0", "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License. To view a copy of this license, visit http://creativecommons.org/licenses/by-nc/4.0/ "
+                     "or send a letter to Creative Commons, PO Box 1866, Mountain View, CA 94042, USA."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+)
+#: SPDX identifiers by licence.
+SPDX = {i: lic for lic, ids in (
+    ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0", "GPL-3.0 GPL-3.0+ GPL-3.0-only GPL-3.0-or-later"), ("GPL-2.0", "GPL-2.0 GPL-2.0+ GPL-2.0-only GPL-2.0-or-later"),
+    ("LGPL-3.0", "LGPL-3.0 LGPL-3.0+ LGPL-3.0-only LGPL-3.0-or-later"), ("LGPL-2.1", "LGPL-2.1 LGPL-2.1+ LGPL-2.1-only LGPL-2.1-or-later"),
+    ("CC-BY-NC-4.0", "CC-BY-NC-4.0"), ("BSD-3-Clause", "BSD-3-Clause"), ("BSD-2-Clause", "BSD-2-Clause"), ("MPL-2.0", "MPL-2.0 MPL-2.0-no-copyleft-exception")) for i in ids.lower().split()}
+#: Windows begin at lines; one in so many parts of a template's words.
+STEPS = 16
 WORDS = r"[^\p{L}\p{N}]+"
 #: Ends of lines and of sentences.
 SEGMENTS = r"\n|(?<=[.!?;])[ \t]+"
 
 
+@functools.cache
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """Licences and their whole texts, as their files under ``licenses/`` have them."""
+    return tuple((p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "licenses").glob("*.txt")))
+
+
 def words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), WORDS), lambda w: w != "")
 
 
+def word_list(some: Sequence[str]) -> Column:
+    """An array of words as one folded literal (thousands of literals make plans slow)."""
+    return F.split(F.lit(" ".join(some)), " ")
+
+
 def template_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
@@ -69,10 +114,71 @@ def _anchors(vectors: list[dict[str, float]], threshold: float) -> list[str]:
     return sorted(found)
 
 
-def scan(files: DataFrame, path: Column | str = "path", id_col: str = "doc_id", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = 0.7) -> DataFrame:
+def _least_words(vector: dict[str, float], threshold: float) -> int:
+    """How many of a template's words a text must have at least to reach the threshold."""
+    have, n = 0.0, 0
+    for x in sorted(vector.values(), reverse=True):
+        if math.sqrt(have) >= threshold * 0.999:
+            break
+        have += x * x
+        n += 1
+    return n
+
+
+def _long(rows: DataFrame, templates: Sequence[tuple[str, str]], vectors: list[dict[str, float]], idf: dict[str, float], n: int, threshold: float) -> DataFrame:
+    """Hits of the long templates: doc_id, path, t, k (0: the whole text), license, score."""
+    spark = rows.sparkSession
+    least = [_least_words(v, threshold) for v in vectors]
+    known = spark.createDataFrame(sorted(idf.items()), "w string, idf double")
+    weigh = spark.createDataFrame([(i, w, x) for i, v in enumerate(vectors) for w, x in v.items()], "template int, w string, x double")
+    # the templates whose words in a text weigh enough, by the text's hash (texts that share one are only compared more)
+    present = F.array_intersect(words(F.col("text")), word_list(sorted(idf)))
+    have = rows.select(F.xxhash64("text").alias("t"), present.alias("_p")).where(F.size("_p") >= min(least)).select("t", F.explode("_p").alias("w"))
+    have = have.distinct().join(F.broadcast(weigh), "w").groupBy("t", "template").agg(F.sum(F.col("x") * F.col("x")).alias("s")).where(F.col("s") >= (threshold * 0.999) ** 2)
+    of = have.groupBy("t").agg(F.collect_list("template").alias("of"))  # at most one of each template
+    some, _ = store(rows.withColumn("t", F.xxhash64("text")).join(of, "t").select("doc_id", "path", "text", "t", "of").distinct().withColumn("row", F.monotonically_increasing_id()), "long")
+    lengths = [len(template_words(t)) for _, t in templates]
+    # beginnings of windows: lines, counted in words, at most one in each STEPS-th part of the template
+    lines = some.select("row", F.posexplode(F.split("text", "\n")).alias("j", "line")).select("row", "j", F.size(words(F.col("line"))).alias("c")).where("c > 0")
+    lines = lines.withColumn("at", F.sum("c").over(Window.partitionBy("row").orderBy("j")) - F.col("c"))
+    before = F.coalesce(F.lag("at").over(Window.partitionBy("row").orderBy("j")), F.lit(-1))
+    lines = lines.withColumn("last", before)
+    sized = spark.createDataFrame([(i, length, max(1, length // STEPS), least[i], sorted(vectors[i])) for i, length in enumerate(lengths)], "template int, length int, step int, least int, has array<string>")
+    pairs = some.select("row", F.explode("of").alias("template"))
+    starts = pairs.join(F.broadcast(sized.select("template", "step")), "template").join(lines, "row")
+    starts = starts.where((F.col("last") < 0) | (F.floor(F.col("at") / F.col("step")) != F.floor(F.col("last") / F.col("step"))))
+    starts = starts.groupBy("row", "template").agg(F.collect_list(F.col("at").cast("int")).alias("starts"))  # fewer than a text's lines
+    # a text's windows are cut where its words are, and only those with enough of the template's words leave it
+    texts, _ = store(some.select("row", words(F.col("text")).alias("w")), "long-words")
+    whole = F.struct(F.lit(0).alias("k"), F.lit(0).alias("at"), F.col("w").alias("w"))
+    cuts = F.transform("starts", lambda at: F.struct(F.lit(1).alias("k"), at.alias("at"), F.slice("w", at + 1, F.col("length")).alias("w")))
+    fits = F.filter(F.concat(F.array(whole), cuts), lambda z: F.size(F.array_intersect(z["w"], F.col("has"))) >= F.col("least"))
+    windows = starts.join(texts, "row").join(F.broadcast(sized), "template").select("row", "template", F.explode(fits).alias("z")).select("row", "template", "z.*")
+    found = windows.select("row", "template", "k", "at", F.explode("w").alias("w")).groupBy("row", "template", "k", "at", "w").agg(F.count(F.lit(1)).alias("c"))
+    found = found.join(F.broadcast(known), "w", "left").join(F.broadcast(weigh), ["template", "w"], "left")  # parameters, not data
+    y = (F.lit(1.0) + F.log(F.col("c").cast("double"))) * F.coalesce("idf", F.lit(math.log(1 + n) + 1))
+    scores = found.withColumn("y", y).groupBy("row", "template", "k", "at").agg((F.sum(F.col("x") * F.col("y")) / F.sqrt(F.sum(F.col("y") * F.col("y")))).alias("s"))
+    named = spark.createDataFrame([(i, lic) for i, (lic, _) in enumerate(templates)], "template int, license string")
+    hits = scores.select("row", "template", "k", F.round("s", 6).alias("score")).where(F.col("score") >= threshold).join(F.broadcast(named), "template")
+    return hits.join(some.select("row", "doc_id", "path", "t"), "row").select("doc_id", "path", "t", "k", "license", "score")
+
+
+def _spdx(rows: DataFrame) -> DataFrame:
+    """Hits of SPDX lines, by the identifiers they name."""
+    line = F.explode(F.regexp_extract_all("text", F.lit(r"(?i)SPDX-License-Identifier:[ \t]*([^\r\n]*)"), F.lit(1)))
+    ids = rows.where(F.lower("text").contains("spdx-license-identifier")).select("doc_id", "path", F.xxhash64("text").alias("t"), line.alias("l"))
+    ids = ids.select("doc_id", "path", "t", F.explode(F.split(F.lower("l"), r"[^a-z0-9.+-]+")).alias("spdx"))
+    known = rows.sparkSession.createDataFrame(sorted(SPDX.items()), "spdx string, license string")
+    return ids.join(F.broadcast(known), "spdx").select("doc_id", "path", "t", F.lit(1).alias("k"), "license", F.lit(1.0).alias("score")).distinct()
+
+
+def scan(files: DataFrame, path: Column | str = "path", id_col: str = "doc_id", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = 0.7, long: Sequence[tuple[str, str]] | None = None) -> DataFrame:
     """One row per file: doc_id, path, license, score, origin, from_dir.
 
-    origin is ``header`` (a line or sentence of the file), ``file`` (the whole text is a licence; it also
+    ``templates`` are compared with lines, sentences and whole texts, ``long`` (by default NOTICES and
+    full_texts()) with windows of words and whole texts. A text that is a licence of ``long`` as a whole
+    goes before headers within it.
+    origin is ``header`` (a line, sentence or window of the file), ``file`` (the whole text is a licence; it also
     licenses its directory), ``inherited`` (from_dir is the directory) or null. The best score wins, then
     the licence's name; a directory with several licence files takes the best score, then name. Null and
     empty texts have no licence of their own but may inherit; a null path has no directory; rows that
@@ -81,12 +187,14 @@ def scan(files: DataFrame, path: Column | str = "path", id_col: str = "doc_id",
     spark = files.sparkSession
     where = F.col(path) if isinstance(path, str) else path
     rows = files.select(F.col(id_col).alias("doc_id"), where.cast("string").alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    vocabulary = sorted({w for _, t in templates for w in template_words(t)})
-    counted = (rows.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(words(F.col("text")), F.lit(vocabulary)))).alias("w"))
+    long = (*NOTICES, *full_texts()) if long is None else long
+    vocabulary = sorted({w for _, t in (*templates, *long) for w in template_words(t)})
+    counted = (rows.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(words(F.col("text")), word_list(vocabulary)))).alias("w"))
                .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect())  # a row a template word; '' counts the texts
     df = {r["w"]: r["n"] for r in counted}
     n = df.pop("", 0)
     vectors, idf = _vectors(templates, df, n)
+    far, far_idf = _vectors(long, df, n)
     pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, _anchors(vectors, threshold))) + r")(?![\p{L}\p{N}])"
 
     # files get a row number of their own only where a segment is compared
@@ -106,7 +214,11 @@ def scan(files: DataFrame, path: Column | str = "path", id_col: str = "doc_id",
     norms = named(found).groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     dots = named(found).withColumnRenamed("x", "y").join(F.broadcast(weigh.select("template", "license", "w", "x")), "w").groupBy("id", *segment, "template", "license").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
     hits = dots.join(norms, "id").select(*segment, "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
-    best = F.max_by(F.struct("license", "score", F.when(F.col("k") == 0, "file").otherwise("header").alias("origin")), F.struct("score", F.col("k") == 0, "license"))
+    hits = hits.select("doc_id", "path", "t", "k", "license", "score", F.lit(False).alias("all"))
+    hits = hits.unionByName(_spdx(rows).withColumn("all", F.lit(False)))
+    if long:
+        hits = hits.unionByName(_long(rows, long, far, far_idf, n, threshold).withColumn("all", F.col("k") == 0))
+    best = F.max_by(F.struct("license", "score", F.when(F.col("k") == 0, "file").otherwise("header").alias("origin")), F.struct("all", "score", F.col("k") == 0, "license"))
     own, _ = store(hits.groupBy("doc_id", "path", "t").agg(best.alias("own")), "licences")
 
     # licence files by directory, then each directory's nearest ancestor that has one

@@ -185,3 +185,23 @@ def test_exact_stage_keeps_one_row_of_each_group(spark):
     assert len(found) == len(rows) and all(sum(k for k, _, _ in g) == 1 and all(n == len(g) for _, _, n in g) for g in by.values())
     got = sorted((r["text"], str(r["doc_id"])) for r in p.exact(spark, docs, SF_SMALL).collect())
     assert got == [("alone", "None"), ("another text ", "3"), ("more", "8"), ("null  ids only", "None"), ("x y", "7")]
+
+
+def test_wrapped_notices_and_licence_files(spark):
+    import textwrap
+
+    full, notice = dict(license_scan.full_texts()), {lic: t for lic, t in reversed(license_scan.NOTICES)}
+    mit = full["MIT"].replace("MIT License\n", "MIT License\n\nCopyright (c) 2021 Jane Roe and contributors\n")
+    wrapped = lambda lic, mark: mark + " Copyright 2020 Some One\n" + textwrap.indent(textwrap.fill(notice[lic], 70), mark + " ") + "\n\nimport os\nprint(os.getcwd())\n" + "x = compute(y, z)\n" * 50
+    body = "def main(argument):\n    return argument * value\n" * 40
+    rows = [
+        ("m/LICENSE", mit, "MIT", "file"), ("m/src/a.py", "print(1)", "MIT", "inherited"), ("g/COPYING", full["GPL-3.0"], "GPL-3.0", "file"), ("g/a.c", "int x;", "GPL-3.0", "inherited"),
+        ("o/COPYING", full["GPL-2.0"], "GPL-2.0", "file"), ("a/LICENSE", full["Apache-2.0"], "Apache-2.0", "file"), ("b/LICENSE", "Copyright 2019 A. B.\n" + full["BSD-3-Clause"], "BSD-3-Clause", "file"),
+        ("p/LICENSE", full["MPL-2.0"], "MPL-2.0", "file"), ("h/a.py", wrapped("Apache-2.0", "#"), "Apache-2.0", "header"), ("h/b.c", wrapped("GPL-3.0", " *"), "GPL-3.0", "header"),
+        ("h/c.js", wrapped("MPL-2.0", "//"), "MPL-2.0", "header"), ("h/d.sql", wrapped("CC-BY-NC-4.0", "--"), "CC-BY-NC-4.0", "header"), ("h/o.c", wrapped("GPL-2.0", " *"), "GPL-2.0", "header"),
+        ("h/e.py", textwrap.indent(mit, "# ") + body, "MIT", "header"), ("h/f.py", "# SPDX-License-Identifier: Apache-2.0\n" + body, "Apache-2.0", "header"),
+        ("h/g.py", "# SPDX-License-Identifier: GPL-3.0-or-later\n" + body, "GPL-3.0", "header"), ("h/h.py", "# SPDX-License-Identifier: BSL-1.0\n" + body, None, None), ("h/i.py", body, None, None),
+    ]
+    files = spark.createDataFrame([(i, p, t) for i, (p, t, _, _) in enumerate(rows)], "doc_id long, path string, text string")
+    got = {r["path"]: (r["license"], r["origin"]) for r in license_scan.scan(files).collect()}
+    assert got == {p: (lic, origin) for p, _, lic, origin in rows}
