@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, ship_package
 from ..sources.tables import table
-from . import chat, embedding_dedup, exact_dedup, grammar, language_id, license_scan, lm_scoring, minhash_dedup, mixing, packing
+from . import chat, embedding_dedup, exact_dedup, grammar, language_id, lexical_search, license_scan, lm_scoring, merkle, minhash_dedup, mixing, packing, secret_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -175,3 +175,88 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the table has no paths: a document is the file source/lang/doc_id
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.coalesce(F.col("doc_id").cast("string"), F.lit("unknown")))
     return license_scan.scan(table(spark, sf_dir, "documents"), path=path)
+
+
+_TAMPERED = "CASE WHEN list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))) & 1 = 1 THEN replace(text, chr(10), '') ELSE text END"
+
+
+def _leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+@register(
+    "op11_merkle_manifest",
+    f"""
+    WITH RECURSIVE d AS (SELECT doc_id, source, {_leaf_sql("text")} AS leaf, {_leaf_sql("t")} AS changed FROM (SELECT *, {_TAMPERED} AS t FROM documents)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d),
+    t AS (SELECT source, 0 AS lvl, pos, n, leaf AS h FROM k
+          UNION ALL SELECT source, lvl + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM t WHERE n > 1 GROUP BY source, lvl, pos // 3),
+    s AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t WHERE n = 1),
+    u AS (SELECT 0 AS lvl, pos, n, subroot AS h FROM s
+          UNION ALL SELECT lvl + 1, pos // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM u WHERE n > 1 GROUP BY lvl, pos // 3),
+    tn AS (SELECT source, lvl, pos, coalesce(string_agg(h, '') OVER (PARTITION BY source, lvl, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                  coalesce(string_agg(h, '') OVER (PARTITION BY source, lvl, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM t WHERE n > 1),
+    un AS (SELECT lvl, pos, coalesce(string_agg(h, '') OVER (PARTITION BY lvl, pos // 3 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+                  coalesce(string_agg(h, '') OVER (PARTITION BY lvl, pos // 3 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM u WHERE n > 1),
+    st AS (SELECT k.doc_id, tn.lvl AS step, l, r FROM k JOIN tn ON k.source IS NOT DISTINCT FROM tn.source AND tn.pos = k.pos // CAST(pow(3, tn.lvl) AS BIGINT)
+           UNION ALL SELECT k.doc_id, 1000 + un.lvl, l, r FROM k JOIN s ON k.source IS NOT DISTINCT FROM s.source JOIN un ON un.pos = s.pos // CAST(pow(3, un.lvl) AS BIGINT)),
+    w AS (SELECT doc_id, sha256(string_agg(l || r, '' ORDER BY step)) AS proof_sha256, list({{'l': l, 'r': r}} ORDER BY step) AS p FROM st GROUP BY doc_id)
+    SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+    FROM (SELECT k.doc_id, leaf, subroot, (SELECT h FROM u WHERE n = 1) AS root, proof_sha256,
+                 list_reduce(list_prepend({{'l': changed, 'r': ''}}, coalesce(p, [])), lambda a, b: {{'l': sha256(b.l || a.l || b.r), 'r': ''}}).l AS folded_root
+          FROM k JOIN s ON k.source IS NOT DISTINCT FROM s.source LEFT JOIN w USING (doc_id))
+    """,
+)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.audit(table(spark, sf_dir, "documents"), {"text": merkle.without("text", "\n", even)})
+
+
+_TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@register(
+    "op12_lexical_search",
+    f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, {_LOWER}), '{_TERM}') AS w FROM documents),
+    n AS (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+    c AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS total FROM n),
+    q AS (SELECT DISTINCT i, item_id, t FROM (SELECT i, item_id, unnest(regexp_extract_all(translate(text, {_LOWER}), '{_TERM}')) AS t FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark))),
+    p AS (SELECT r, t, CAST(count(*) AS BIGINT) AS tf FROM (SELECT r, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+    f AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM (SELECT t, count(*) AS df FROM p GROUP BY t), c),
+    g AS (SELECT r, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // total))) AS x FROM p JOIN f USING (t) JOIN n USING (r), c),
+    s AS (SELECT i, item_id, r, doc_id, CAST(sum(x) AS BIGINT) AS score FROM q JOIN g USING (t) JOIN n USING (r) GROUP BY i, item_id, r, doc_id HAVING sum(x) > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s) WHERE rank <= 50
+    """,
+)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _spans_sql(place: int, rule: secret_scan.Rule) -> str:
+    p = rule.pattern.replace("'", "''")
+    part = f"regexp_extract_all(t, '{p}', {rule.group})"
+    return f"""SELECT doc_id, {place} AS place, '{rule.name}' AS kind, stop - len(m) AS start, stop FROM (
+        SELECT doc_id, unnest(m) AS m, unnest(v) AS v, unnest(list_transform(m, lambda x, i: list_sum(list_transform(g[:i], lambda y: len(y))) + list_sum(list_transform(m[:i], lambda y: len(y))))) AS stop
+        FROM (SELECT doc_id, regexp_extract_all(t, '{p}') AS m, regexp_split_to_array(t, '{p}') AS g, {part} AS v FROM d)) WHERE len(v) >= {rule.least}"""
+
+
+@register(
+    "op13_secret_scan",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    s AS ({" UNION ALL ".join(_spans_sql(i, r) for i, r in enumerate(secret_scan.RULES))}),
+    k AS (SELECT doc_id, kind, place, CAST(start AS BIGINT) AS start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM s),
+    a AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                 string_agg(span, ',' ORDER BY start, place) FILTER (place < {len(secret_scan.BASE)}) AS base, string_agg(span, ',' ORDER BY start, place) AS spans FROM k GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN a USING (doc_id)
+    """,
+)
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    number = lambda rule: F.size(F.filter("spans", lambda s: s["rule"] == rule)).cast("long").alias(f"n_{rule}")
+    base = F.filter("spans", lambda s: s["rule"].isin([r.name for r in secret_scan.BASE]))
+    return found.select("doc_id", *[number(r.name) for r in secret_scan.BASE], F.sha2(secret_scan.digest(base), 256).alias("base_sha256"), secret_scan.digest(F.col("spans")).alias("spans"))
