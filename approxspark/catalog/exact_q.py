@@ -170,35 +170,28 @@ def category_stats(spark, d):
 
 
 def stratified_sample_sql(src: str, by: str, key, k, seed: int, value: str | None = None, rule: str = "proportional") -> str:
-    """DuckDB text of a stratified bottom-k sample with allocation ``rule`` (mirrors plans.allocation)."""
+    """DuckDB text of a stratified bottom-k sample with allocation ``rule`` (as plans.allocation defines it)."""
     prio = sql_priority(key, seed)
-    if rule in ("proportional", "proportional_spread", "min_one"):
-        base = f"floor({k} * pop_n / N)::BIGINT"
-        if rule == "min_one":
-            base = f"greatest(1, {base})"
-    elif rule == "neyman":
-        w = "(pop_n * coalesce(pop_sd, 0))"
-        base = f"(CASE WHEN sum({w}) OVER () > 0 THEN floor({k} * {w} / sum({w}) OVER ()) ELSE floor({k} * pop_n / N) END)::BIGINT"
-    elif rule == "equal":
-        base = f"({k} // H)::BIGINT"
-    else:
-        raise ValueError(rule)
-    rem = f"({k} - sum(base) OVER ())"
-    extra = {
-        "proportional": f"CASE WHEN size_rank = 1 THEN {rem} ELSE 0 END",
-        "neyman": f"CASE WHEN size_rank = 1 THEN {rem} ELSE 0 END",
-        "proportional_spread": f"CASE WHEN size_rank <= {rem} THEN 1 ELSE 0 END",
-        "equal": f"CASE WHEN key_rank <= {rem} THEN 1 ELSE 0 END",
-        "min_one": "0",
-    }[rule]
     pop_sd = f", stddev_samp({value}) AS pop_sd" if value else ""
+    weight = {"equal": "1.0", "neyman": "pop_n * coalesce(pop_sd, 0)"}.get(rule, "pop_n")
+    if rule == "min_one":
+        plan = f"SELECT {by}, pop_n, least(pop_n, greatest(1, floor({k} * pop_n / sum(pop_n) OVER ()))::BIGINT) AS take_n FROM sizes"
+    else:
+        order = f"{by}" if rule == "equal" else f"pop_n DESC, {by} DESC"
+        # the largest takes what it has room for, the next ones one each; or one each from the start
+        most = "least(more, max(CASE WHEN i = 1 THEN pop_n - share END) OVER ())" if rule in ("proportional", "neyman") else "1"
+        plan = (
+            f"SELECT {by}, pop_n, (share + CASE WHEN is_full OR more <= 0 THEN 0 WHEN i = 1 THEN most WHEN i <= 1 + more - most THEN 1 ELSE 0 END)::BIGINT AS take_n FROM ("
+            f"SELECT *, {most} AS most FROM (SELECT *, k - sum(share) OVER () AS more, CASE WHEN NOT is_full THEN row_number() OVER (PARTITION BY is_full ORDER BY {order}) END AS i "
+            f"FROM (SELECT *, CASE WHEN is_full THEN pop_n WHEN open_w > 0 THEN floor(rest * w / open_w) ELSE floor(rest * pop_n / open_n) END AS share "
+            f"FROM (SELECT *, k - coalesce(sum(pop_n) FILTER (is_full) OVER (), 0) AS rest, sum(w) FILTER (NOT is_full) OVER () AS open_w, sum(pop_n) FILTER (NOT is_full) OVER () AS open_n "
+            f"FROM (SELECT *, w > 0 AND coalesce(sum(pop_n) OVER before, 0) + pop_n / w * (sum(w) OVER () - coalesce(sum(w) OVER before, 0)) <= k AS is_full "
+            f"FROM (SELECT *, CASE WHEN sum(w0) OVER () > 0 THEN w0 ELSE pop_n END AS w FROM (SELECT *, ({weight})::DOUBLE AS w0, least({k}, sum(pop_n) OVER ()) AS k FROM sizes)) "
+            f"WINDOW before AS (ORDER BY CASE WHEN w > 0 THEN pop_n / w END NULLS LAST, {by} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))))))"
+        )
     return (
         f"WITH src AS ({src}), sizes AS (SELECT {by}, count(*) AS pop_n{pop_sd} FROM src GROUP BY {by}), "
-        f"ranked_sizes AS (SELECT *, sum(pop_n) OVER () AS N, count(*) OVER () AS H, "
-        f"row_number() OVER (ORDER BY pop_n DESC, {by} DESC) AS size_rank, row_number() OVER (ORDER BY {by}) AS key_rank FROM sizes), "
-        f"based AS (SELECT *, {base} AS base FROM ranked_sizes), "
-        f"plan0 AS (SELECT {by}, pop_n, base + ({extra}) AS take_n FROM based), "
-        f"plan AS (SELECT {by}, pop_n, least(take_n, pop_n) AS take_n FROM plan0 WHERE least(take_n, pop_n) > 0), "
+        f"plan AS (SELECT * FROM ({plan}) WHERE take_n > 0), "
         f"cand AS (SELECT src.*, plan.pop_n, plan.take_n, row_number() OVER (PARTITION BY src.{by} ORDER BY {prio}, {sql_key(key)}) AS rn "
         f"FROM src JOIN plan ON src.{by} IS NOT DISTINCT FROM plan.{by}) "
         f"SELECT * EXCLUDE (rn), pop_n / take_n AS sampling_weight FROM cand WHERE rn <= take_n"

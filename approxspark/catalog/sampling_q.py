@@ -111,6 +111,32 @@ def sample_stratified_equal(spark, d):
     return _strat_spark(s, ["event_id", "event_type"])
 
 
+# a thousandth of the events is a stratum that can't give its share, at every scale; its values vary a thousandfold
+RARE_EVENTS = (
+    "SELECT event_id, CASE WHEN event_id % 1000 = 0 THEN 'rare' ELSE event_type END AS kind, "
+    "CASE WHEN event_id % 1000 = 0 THEN value * 1000 ELSE value END AS value FROM events"
+)
+
+
+def rare_events(spark, d):
+    rare = F.col("event_id") % 1000 == 0
+    return table(spark, d, "events").select(
+        "event_id", F.when(rare, F.lit("rare")).otherwise(F.col("event_type")).alias("kind"), F.when(rare, F.col("value") * 1000).otherwise(F.col("value")).alias("value"))
+
+
+RARE_OUT = "event_id, kind, pop_n::BIGINT AS pop_n, take_n::BIGINT AS take_n, round(sampling_weight, 6) AS sampling_weight"
+
+
+@register("sample_stratified_equal_capped", _strat_cols(stratified_sample_sql(RARE_EVENTS, "kind", "event_id", 905, 42, rule="equal"), RARE_OUT))
+def sample_stratified_equal_capped(spark, d):
+    return _strat_spark(samplers.stratified(rare_events(spark, d), 905, "kind", "event_id", 42, "equal"), ["event_id", "kind"])
+
+
+@register("sample_stratified_neyman_capped", _strat_cols(stratified_sample_sql(RARE_EVENTS, "kind", "event_id", 705, 42, value="value", rule="neyman"), RARE_OUT))
+def sample_stratified_neyman_capped(spark, d):
+    return _strat_spark(samplers.stratified(rare_events(spark, d), 705, "kind", "event_id", 42, "neyman", "value"), ["event_id", "kind"])
+
+
 @register(
     "sample_group_min_one",
     _strat_cols(
