@@ -57,7 +57,7 @@ def sample_data(
     elif method == "cluster":
         smp = samplers.cluster(df, size, cluster, seed)
     elif method == "systematic":
-        smp = samplers.systematic(df, size, order_by, seed)
+        smp = samplers.systematic(df, size, order_by, seed, key=key)
     elif method == "reservoir":
         smp = samplers.reservoir(df, size, key, seed)
     else:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.stats import z_value
 from ..operators import approximate, samplers
 from ..plans.sizing import ACCURACY_MAX_SAMPLE, ACCURACY_MIN_SAMPLE, ACCURACY_Z, ci_z
 from ..sources.tables import SALES_SQL, sales, table
@@ -91,19 +92,18 @@ SRS_1000 = bottom_k_sql(SALES_SRC, "id", 1000, 42)
 N_SALES = f"(SELECT count(*) FROM {SALES_SQL})"
 
 
-@register("sampled_sum", f"SELECT round(sum(price) * {N_SALES} / 1000, 2) AS sum_price FROM ({SRS_1000})")
+@register("sampled_sum", f"SELECT round(sum(price) * {N_SALES} / count(*), 2) AS sum_price FROM ({SRS_1000})")
 def sampled_sum(spark, d):
     return rounded(approximate.sampled_scalar(sales(spark, d), [("sum", "price", "sum_price")], 1000, "id", 42), sum_price=2)
 
 
 @register(
     "sampled_count",
-    f"SELECT category, floor(count(*) * {N_SALES} / 1000)::BIGINT AS count FROM ({SRS_1000}) GROUP BY category",
+    f"WITH smp AS ({SRS_1000}) SELECT category, floor(count(*) * {N_SALES} / (SELECT count(*) FROM smp))::BIGINT AS count FROM smp GROUP BY category",
 )
 def sampled_count(spark, d):
     # D10 grouped: n_g x N / n from a simple random sample, truncated to an integer
-    smp, _, N = samplers.sized_random(sales(spark, d), lambda n: min(n, 1000), "id", 42)
-    return smp.groupBy("category").agg(F.floor(F.count(F.lit(1)) * F.lit(N) / F.lit(1000)).cast("long").alias("count"))
+    return approximate.sampled_scalar(sales(spark, d), [("count", None, "count")], 1000, "id", 42, by="category")
 
 
 @register(
@@ -122,7 +122,7 @@ def sampled_min_max(spark, d):
 
 @register(
     "distinct_by_sample_ratio",
-    f"SELECT floor(count(DISTINCT user_id) / 1000 * {N_SALES})::BIGINT AS distinct_users FROM ({SRS_1000})",
+    f"SELECT floor(count(DISTINCT user_id) / count(*) * {N_SALES})::BIGINT AS distinct_users FROM ({SRS_1000})",
 )
 def distinct_by_sample_ratio(spark, d):
     return approximate.sampled_scalar(sales(spark, d), [("count_distinct", "user_id", "distinct_users")], 1000, "id", 42)
@@ -236,7 +236,7 @@ def approx_agg_from_synopsis(spark, d):
     from ..operators import synopsis
 
     path = synopsis.build_stratified_sample(sales(spark, d), "category", "id", accuracy=95, seed=42, name="sales-by-category", **REFERENCE_LIMITS)
-    res = approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category", confidence=95)
+    res = approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category", confidence=95, strata="category")
     return rounded(res, avg_price=4, sum_price=2, ci=6)
 
 
@@ -261,7 +261,7 @@ SALES_SRS = bottom_k_sql(SALES_SRC, "id", SAMPLE_K, 42)
 def synopsis_scalars(spark, d):
     # D9-D11 from the stored sample
     sample = spark.read.parquet(sales_synopses(spark, d)["sample"])
-    res = approximate.approx_agg_from_sample(sample, [("count", None, "count"), ("sum", "price", "sum_price"), ("avg", "price", "avg_price")])
+    res = approximate.approx_agg_from_sample(sample, [("count", None, "count"), ("sum", "price", "sum_price"), ("avg", "price", "avg_price")], strata=[])
     return rounded(res, sum_price=0, avg_price=4, ci=6)
 
 
@@ -299,7 +299,7 @@ def synopsis_group_counts(spark, d):
 def synopsis_groups(spark, d):
     # D13 from the stored per-value samples
     stored = spark.read.parquet(sales_synopses(spark, d)["stratified"]).where(F.col("strata_column") == "category")
-    res = approximate.approx_agg_from_sample(stored, [("count", None, "count"), ("avg", "price", "avg_price")], "strata_value")
+    res = approximate.approx_agg_from_sample(stored, [("count", None, "count"), ("avg", "price", "avg_price")], "strata_value", strata="strata_value")
     return rounded(res, avg_price=4).select(F.col("strata_value").alias("category"), "count", "avg_price", "sample_size")
 
 
@@ -323,3 +323,58 @@ def allocation_from_profile(spark, d):
 
     prof = synopsis.build_profile(sales(spark, d), ["category"], "sales-profile")
     return allocate(synopsis.strata_sizes_from_profile(spark, prof, "category"), 1000, "category", "min_one").select("category", "pop_n", "take_n")
+
+
+# groups and predicates that have nothing to do with the strata
+EV_EQUAL = stratified_sample_sql("SELECT * FROM events", "event_type", "event_id", 900, 11, rule="equal")
+
+
+def domain_sql(smp: str, strata: str, value: str, groups: str | None, where: str, z: float) -> str:
+    """Totals, means and intervals of domains of a stratified sample, from each row's value or 0 (its own definition of the variance)."""
+    g, of = ("grp", f"({groups})") if groups else ("1", "1")
+    return (
+        f"WITH smp AS ({smp}), m AS (SELECT *, {of} AS own, coalesce({where}, false) AS ok FROM smp), g AS (SELECT DISTINCT own AS grp FROM m WHERE ok), "
+        f"d AS (SELECT grp, {strata} AS h, pop_n, take_n, CASE WHEN ok AND own IS NOT DISTINCT FROM grp THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS d, {value} AS x FROM m, g), "
+        "t AS (SELECT grp, sum(d * pop_n / take_n) AS c, sum(d * x * pop_n / take_n) AS s, sum(d)::BIGINT AS sample_size, min(x) FILTER (d = 1) AS lo, max(x) FILTER (d = 1) AS hi FROM d GROUP BY grp), "
+        "v AS (SELECT grp, h, any_value(pop_n) AS np, any_value(take_n) AS n, var_samp(d) AS vc, var_samp(d * x) AS vs, var_samp(d * (x - s / c)) AS vr FROM d JOIN t USING (grp) GROUP BY grp, h), "
+        "e AS (SELECT grp, sum(f * vc) AS vc, sum(f * vs) AS vs, sum(f * vr) AS vr FROM (SELECT *, np * (np - n) / n AS f FROM v) GROUP BY grp) "
+        f"SELECT {g} AS grp, floor(round(c, 6))::BIGINT AS count, round(c - {z!r} * sqrt(vc), 4) AS count_lower, round(c + {z!r} * sqrt(vc), 4) AS count_upper, "
+        f"round(s, 2) AS total, round(s - {z!r} * sqrt(vs), 2) AS total_lower, round(s + {z!r} * sqrt(vs), 2) AS total_upper, "
+        f"round(s / c, 4) AS mean, round(s / c - {z!r} * sqrt(vr) / c, 4) AS mean_lower, round(s / c + {z!r} * sqrt(vr) / c, 4) AS mean_upper, "
+        f"lo, hi, sample_size, (SELECT sum(np)::BIGINT FROM (SELECT any_value(pop_n) AS np FROM smp GROUP BY {strata})) AS total_size FROM t JOIN e USING (grp)"
+    )
+
+
+DOMAIN_AGGS = [("count", None, "count"), ("sum", "value", "total"), ("avg", "value", "mean"), ("min", "value", "lo"), ("max", "value", "hi")]
+
+
+def domain_estimates(sample, by, where, strata):
+    res = approximate.estimate(sample, DOMAIN_AGGS, by, strata, where, intervals=True)
+    ends = {f"{c}_{e}": n for c, n in (("count", 4), ("total", 2), ("mean", 4)) for e in ("lower", "upper")}
+    return rounded(res, total=2, mean=4, **ends).drop("approx", "ci")
+
+
+@register("sample_any_group", domain_sql(EV_EQUAL, "event_type", "value", "user_id % 7", "value > 20", z_value(0.95)))
+def sample_any_group(spark, d):
+    # Groups and a predicate other than the strata, each aggregate with its interval
+    smp = samplers.stratified(table(spark, d, "events"), 900, "event_type", "event_id", 11, "equal")
+    return domain_estimates(smp.withColumn("grp", F.col("user_id") % 7), "grp", "value > 20", "event_type")
+
+
+@register("sample_where_total", domain_sql(EV_EQUAL, "event_type", "value", None, "user_id < 40 AND event_type <> 'error'", z_value(0.95)))
+def sample_where_total(spark, d):
+    # B2 over a stored sample: WHERE without GROUP BY
+    smp, _ = store(samplers.stratified(table(spark, d, "events"), 900, "event_type", "event_id", 11, "equal"), "events-equal")
+    return domain_estimates(smp, None, "user_id < 40 AND event_type <> 'error'", "event_type").withColumn("grp", F.lit(1))
+
+
+SALES_MIN_ONE = stratified_sample_sql(SALES_SRC, "category", "id", f"(SELECT {accuracy_size_sql(95, 'count(*)')} FROM src)", 42, rule="min_one")
+
+
+@register("approx_agg_intervals", domain_sql(SALES_MIN_ONE, "category", "price", "category", "true", z_value(0.95)))
+def approx_agg_intervals(spark, d):
+    # The approximate GROUP BY with an interval beside each aggregate; COUNT of whole strata is exact
+    aggs = [("count", None, "count"), ("sum", "price", "total"), ("avg", "price", "mean"), ("min", "price", "lo"), ("max", "price", "hi")]
+    res = approximate.approx_agg(sales(spark, d), aggs, by="category", key="id", intervals=True, **REFERENCE_LIMITS)
+    ends = {f"{c}_{e}": n for c, n in (("count", 4), ("total", 2), ("mean", 4)) for e in ("lower", "upper")}
+    return rounded(res, total=2, mean=4, **ends).drop("approx", "ci").withColumnRenamed("category", "grp")

@@ -210,7 +210,7 @@ SYS_SRC = (
 @register("bounds_systematic", design_sql(SYS_SRC, "o_totalprice", "systematic", 0.95, "(SELECT count(*) FROM orders)"))
 def bounds_systematic(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    smp = samplers.systematic(orders, 600, "o_orderkey", 42)
+    smp = samplers.systematic(orders, 600, "o_orderkey", 42, key="o_orderkey")
     return shown(bounds.design_bounds(smp, "o_totalprice", "systematic", 0.95, population=orders.count()))
 
 

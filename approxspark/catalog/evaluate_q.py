@@ -21,8 +21,8 @@ SRS_SALES = bottom_k_sql(SALES_SRC, "id", 1000, 42)
 
 @register(
     "error_scalar",
-    f"WITH e AS (SELECT sum(price) AS ex, count(*) AS n FROM {SALES_SQL}), a AS (SELECT sum(price) AS s FROM ({SRS_SALES})) "
-    "SELECT round(ex, 2) AS exact_sum, round(s * n / 1000, 2) AS approx_sum, round(abs(ex - s * n / 1000) / ex * 100, 4) AS error_pct FROM e, a",
+    f"WITH e AS (SELECT sum(price) AS ex, count(*) AS n FROM {SALES_SQL}), a AS (SELECT sum(price) AS s, count(*) AS k FROM ({SRS_SALES})) "
+    "SELECT round(ex, 2) AS exact_sum, round(s * n / k, 2) AS approx_sum, round(abs(ex - s * n / k) / ex * 100, 4) AS error_pct FROM e, a",
 )
 def error_scalar(spark, d):
     s = sales(spark, d)
@@ -80,9 +80,8 @@ def _coverage_sql() -> str:
 def ci_coverage(spark, d):
     # H3: R seeds x {90, 95, 99}% with the accuracy-sized sample; normal interval for AVG(price)
     s = sales(spark, d).select("id", "price")
-    N = s.count()
     truth = s.agg(F.avg("price")).first()[0]
-    smp = samplers.replicates(s, "id", COVERAGE_SEEDS, [(c, size_for_accuracy(c * 100, N, ACCURACY_MIN_SAMPLE, ACCURACY_MAX_SAMPLE)) for c in CONFS], total=N)
+    smp = samplers.replicates(s, "id", COVERAGE_SEEDS, lambda n: [(c, size_for_accuracy(c * 100, n, ACCURACY_MIN_SAMPLE, ACCURACY_MAX_SAMPLE)) for c in CONFS])
     z = F.element_at(F.create_map(*[x for c in CONFS for x in (F.lit(c), F.lit(z_value(c)))]), F.col("size_label"))
     m = F.first(z) * F.stddev_samp("price") / F.sqrt(F.count(F.lit(1)))
     reps = smp.groupBy("size_label", "seed").agg(F.avg("price").alias("estimate"), m.alias("_m")).select(
@@ -110,7 +109,7 @@ def error_summary(spark, d):
     s = sales(spark, d).select("id", "price", "user_id")
     ex = s.agg(F.sum("price").alias("es"), F.avg("price").alias("ea"), F.count_distinct("user_id").alias("ed"), F.count(F.lit(1)).alias("n")).first()
     N = ex["n"]
-    smp = samplers.multi_seed(s, 1000, "id", SUMMARY_SEEDS, total=N)
+    smp = samplers.multi_seed(s, 1000, "id", SUMMARY_SEEDS)
     rep = smp.groupBy("seed").agg(F.sum("price").alias("ss"), F.avg("price").alias("sa"), F.count_distinct("user_id").alias("sd"))
     errs = rep.select(F.explode(F.array(
         F.struct(F.lit("sum").alias("query"), evaluate.error_pct(F.lit(ex["es"]), F.col("ss") * F.lit(N) / F.lit(1000)).alias("error_pct")),

@@ -181,7 +181,7 @@ def sample_cluster(spark, d):
 )
 def sample_systematic(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return samplers.systematic(orders, 600, "o_orderkey", 42).select("o_orderkey", "o_totalprice")
+    return samplers.systematic(orders, 600, "o_orderkey", 42, key="o_orderkey").select("o_orderkey", "o_totalprice")
 
 
 @register("sample_reservoir", bottom_k_sql("SELECT * FROM events", "event_id", 1000, 11, "event_id, value"))
@@ -322,4 +322,4 @@ def sample_cluster_by_margin(spark, d):
 )
 def sample_systematic_by_margin(spark, d):
     orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
-    return samplers.systematic(orders, None, "o_orderkey", 42, error_margin=0.05).select("o_orderkey", "o_totalprice")
+    return samplers.systematic(orders, None, "o_orderkey", 42, error_margin=0.05, key="o_orderkey").select("o_orderkey", "o_totalprice")

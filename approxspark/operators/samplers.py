@@ -3,7 +3,8 @@
 Every sampler keeps the rows with the smallest priority ``md5(seed:key)`` (see functions.keys):
 a bottom-k sample is a uniform sample without replacement, mergeable across batches and
 independent of partitioning, so a replayed task or a lost executor yields the same rows. Rows with
-equal keys have equal priorities; ties are broken by the key's text and a hash of the whole row.
+equal keys have equal priorities; they are told apart by their place in the scan, or, so that a sample
+of repeated keys is the same under any partitioning, by the values of the columns named as ``tie``.
 
 Two passes, whatever the size. The first counts rows per stratum and priority bucket (the
 priority's leading zeros and its next two hex digits: a few hundred to two thousand buckets per
@@ -11,19 +12,18 @@ stratum, pre-aggregated within tasks). From the counts follow the strata's sizes
 n rows, the bucket in which the n-th smallest priority lies. The second pass keeps every row below
 that bucket and ranks only within it (at most a sixteenth of the quota). No stratum, however
 hot, and no sample, however large, is sorted in one task, and no row is joined back by its key, so
-repeated and NULL keys are safe. Columns that the caller doesn't use aren't read.
+repeated and NULL keys are safe. Columns that neither the sampler nor the caller names aren't read.
 """
 
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.keys import TWO_POW_32, as_list, hex_threshold, key_string, priority, uniform
+from ..functions.keys import as_list, key_string, priority, uniform
 from ..plans.allocation import allocate
 from ..plans.sizing import required_sample_size
 from ..session import store
@@ -41,8 +41,9 @@ def bucket_of(prio: Column) -> Column:
     return F.substring(prio, F.lit(1), 32 - F.length(F.ltrim(prio, F.lit("0"))) + DIGITS)
 
 
-def _tie(df: DataFrame) -> Column:
-    return F.xxhash64(*[F.col(c) for c in df.columns])
+def _tie(tie: str | Sequence[str] | None) -> Column:
+    """What tells rows of one key apart: the named columns' values, or the place in the scan."""
+    return F.xxhash64(*as_list(tie)) if tie else F.monotonically_increasing_id()
 
 
 def histogram(df: DataFrame, by: str | Sequence[str], key: str | Sequence[str], seed: int, value_col: str | None = None) -> DataFrame:
@@ -85,12 +86,12 @@ def _below(rows: DataFrame, cut: Column, rest: Column, order: Sequence[Column],
     return rows.withColumn("_place", place).where((F.col(BUCKET) < F.col("_cut")) | (F.col("_place") <= F.col("_rest"))).drop("_cut", "_rest", "_place")
 
 
-def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
+def simple_random(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, tie: str | Sequence[str] | None = None) -> DataFrame:
     """K rows without replacement (all rows when k >= N). Adds ``sampling_weight`` = N / n."""
-    return sized_random(df, lambda _n: k, key, seed)[0]
+    return sized_random(df, lambda _n: k, key, seed, tie)[0]
 
 
-def sized_random(df: DataFrame, size, key: str | Sequence[str], seed: int = 42) -> tuple[DataFrame, int, int]:
+def sized_random(df: DataFrame, size, key: str | Sequence[str], seed: int = 42, tie: str | Sequence[str] | None = None) -> tuple[DataFrame, int, int]:
     """E1 when the size follows from the number of rows: (sample, n, N) for n = size(N), at most N.
 
     The histogram (at most 32 x 255 buckets) comes to the driver, and with it N: no pass counts rows alone.
@@ -106,13 +107,13 @@ def sized_random(df: DataFrame, size, key: str | Sequence[str], seed: int = 42)
     if k == 0:
         return df.withColumn("sampling_weight", F.lit(0.0)).limit(0), 0, total
     cut, rest = _cut(counts, k)
-    rows = df.withColumn(PRIO, prio).withColumn(BUCKET, bucket_of(F.col(PRIO)))
-    out = _below(rows, F.lit(cut), F.lit(rest), [F.col(PRIO), key_string(key), _tie(df)])
-    return out.drop(PRIO, BUCKET).withColumn("sampling_weight", F.lit(total / k)), k, total
+    rows = df.withColumn("_tie", _tie(tie)).withColumn(PRIO, prio).withColumn(BUCKET, bucket_of(F.col(PRIO)))
+    out = _below(rows, F.lit(cut), F.lit(rest), [F.col(PRIO), key_string(key), F.col("_tie")])
+    return out.drop(PRIO, BUCKET, "_tie").withColumn("sampling_weight", F.lit(total / k)), k, total
 
 
 def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str | Sequence[str], seed: int = 42,
-              hist: DataFrame | None = None) -> DataFrame:
+              hist: DataFrame | None = None, tie: str | Sequence[str] | None = None) -> DataFrame:
     """Draw ``take_n`` bottom-priority rows per stratum for a plan (by, pop_n, take_n); NULL is a stratum.
 
     Output: the input columns plus ``pop_n``, ``take_n`` and ``sampling_weight`` = pop_n / take_n.
@@ -125,7 +126,7 @@ def from_plan(df: DataFrame, plan: DataFrame, by: str | Sequence[str], key: str
     plan = plan.select(*by, "pop_n", "take_n").where(F.col("take_n") > 0)
     cuts = join_keys(hist.select(*by, BUCKET, "_n", upto.alias("_to")), plan, by).where((F.col("_to") >= F.col("take_n")) & (F.col("_to") - F.col("_n") < F.col("take_n")))
     cuts = cuts.select(*by, "pop_n", "take_n", F.col(BUCKET).alias("_cut"), (F.col("take_n") - F.col("_to") + F.col("_n")).alias("_rest"))
-    rows = join_keys(df.withColumn("_tie", _tie(df)), cuts, by).withColumn(PRIO, priority(key, seed)).withColumn(BUCKET, bucket_of(F.col(PRIO)))
+    rows = join_keys(df.withColumn("_tie", _tie(tie)), cuts, by).withColumn(PRIO, priority(key, seed)).withColumn(BUCKET, bucket_of(F.col(PRIO)))
     out = _below(rows, F.col("_cut"), F.col("_rest"), [F.col(PRIO), key_string(key), F.col("_tie")], by)
     return out.drop(PRIO, BUCKET, "_tie").withColumn("sampling_weight", F.col("pop_n") / F.col("take_n"))
 
@@ -138,16 +139,17 @@ def stratified(
     seed: int = 42,
     rule: str = "proportional",
     value_col: str | None = None,
+    tie: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Stratified sample of total size k (or every row, if fewer) under an allocation rule."""
     if rule == "neyman" and value_col is None:
         raise ValueError("Neyman allocation needs value_col (the stratum standard deviations)")
     hist = histogram(df, by, key, seed, value_col if rule == "neyman" else None)
     plan = allocate(sizes_of(hist, by, deviations=rule == "neyman"), k, by, rule)
-    return from_plan(df, plan, by, key, seed, hist)
+    return from_plan(df, plan, by, key, seed, hist, tie)
 
 
-def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed: int = 42) -> DataFrame:
+def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed: int = 42, tie: str | Sequence[str] | None = None) -> DataFrame:
     """Weighted sample without replacement (Efraimidis-Spirakis).
 
     Row key r = ln(u) / w, the k largest win; equivalently the k smallest exponential races
@@ -165,7 +167,7 @@ def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed:
         return valid
     cut, rest = _cut(counts, k)
     order = [F.col("es_key").desc(), key_string(key), F.col("_tie")]
-    return _below(valid.withColumn("_tie", _tie(df)).withColumn(BUCKET, step), F.lit(cut), F.lit(rest), order).drop("_tie", BUCKET)
+    return _below(valid.withColumn("_tie", _tie(tie)).withColumn(BUCKET, step), F.lit(cut), F.lit(rest), order).drop("_tie", BUCKET)
 
 
 def cluster(df: DataFrame, k: int | None, cluster_col: str, seed: int = 42, error_margin: float | None = None, confidence: float = 0.95) -> DataFrame:
@@ -183,16 +185,20 @@ def _size(k: int | None, error_margin: float | None, confidence: float):
     return lambda n: min(n, k if k is not None else required_sample_size(error_margin, n, confidence) if n else 0)
 
 
-def systematic(df: DataFrame, k: int | None, order_by: str, seed: int = 42, error_margin: float | None = None, confidence: float = 0.95) -> DataFrame:
+def systematic(df: DataFrame, k: int | None, order_by: str, seed: int = 42, error_margin: float | None = None, confidence: float = 0.95,
+               key: str | Sequence[str] | None = None) -> DataFrame:
     """Every (N/k)-th row in ``order_by`` order from a seeded start; exactly min(k, N) rows.
 
     Target ranks are floor((r + j N) / k), j = 0..k-1, with integer start r = hash(seed) mod N. Ranks come
-    from :func:`ranking.global_rank` over the order column and a hash of the row; whether a rank is a
-    target is decided by (exact) arithmetic on the rank itself. The chosen places are joined back, equal
-    rows being told apart by a running number, so ties in ``order_by`` are safe. Adds ``_rank`` (0-based).
+    from :func:`ranking.global_rank` over the order column and ``key``; whether a rank is a
+    target is decided by (exact) arithmetic on the rank itself. The chosen places are joined back by both:
+    equal ones count as many targets as they hold and the first of them in the scan are taken, so ties
+    are safe and a hot order value is not gathered unless its key repeats as well. Without ``key`` (columns that tell
+    rows of one order value apart) a hash of the whole row stands for it, for which every column is read.
+    Adds ``_rank`` (0-based).
     """
     size = _size(k, error_margin, confidence)
-    tagged = df.withColumn("_tie", _tie(df))
+    tagged = df.withColumn("_tie", _tie(as_list(key) or df.columns))
     ranked = global_rank(tagged.select(order_by, "_tie"), [F.col(order_by).asc_nulls_first(), F.col("_tie")])
     total = ranked.count()
     k = size(total)
@@ -215,76 +221,65 @@ def systematic_start(seed: int, total: int) -> int:
     return int(hashlib.md5(f"{seed}:start".encode()).hexdigest()[:15], 16) % total
 
 
-def reservoir(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, strata: str | Sequence[str] | None = None) -> DataFrame:
+def reservoir(df: DataFrame, k: int, key: str | Sequence[str], seed: int = 42, strata: str | Sequence[str] | None = None,
+              tie: str | Sequence[str] | None = None) -> DataFrame:
     """Bottom-k reservoir (per stratum when ``strata`` is given; NULL is a stratum).
 
     Same distribution as Algorithm R, but order-independent and mergeable: the reservoir of a
     union is the bottom-k of the two reservoirs.
     """
     if strata is None:
-        return simple_random(df, k, key, seed).drop("sampling_weight")
+        return simple_random(df, k, key, seed, tie).drop("sampling_weight")
     hist = histogram(df, strata, key, seed)
     plan = sizes_of(hist, strata).withColumn("take_n", F.least(F.col("pop_n"), F.lit(k)).cast("long"))
-    return from_plan(df, plan, strata, key, seed, hist).drop("sampling_weight", "pop_n", "take_n")
+    return from_plan(df, plan, strata, key, seed, hist, tie).drop("sampling_weight", "pop_n", "take_n")
 
 
-def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[int], total: int | None = None) -> DataFrame:
+def multi_seed(df: DataFrame, k: int, key: str | Sequence[str], seeds: Sequence[int], tie: str | Sequence[str] | None = None) -> DataFrame:
     """Bottom-k samples for many seeds in ONE job (replicates for coverage / error studies).
 
     Output: the input columns plus ``seed``. See :func:`replicates`.
     """
-    return replicates(df, key, seeds, [(None, k)], total).drop("size_label")
+    return replicates(df, key, seeds, [(None, k)], tie).drop("size_label")
 
 
-def _threshold(n: float, N: float, factor: float = 1.0) -> int:
-    if N <= 0:
-        return TWO_POW_32
-    frac = (n + 8.0 * math.sqrt(n) + 16.0) / N * factor
-    return min(TWO_POW_32, int(math.ceil(frac * TWO_POW_32)))
+def replicates(df: DataFrame, key: str | Sequence[str], seeds: Sequence[int], sizes, tie: str | Sequence[str] | None = None) -> DataFrame:
+    """Bottom-k samples for every (size label, seed) pair in two passes over the rows.
 
-
-def replicates(df: DataFrame, key: str | Sequence[str], seeds: Sequence[int], sizes, total: int | None = None) -> DataFrame:
-    """Bottom-k samples for every (size label, seed) pair in ONE job.
-
-    ``sizes`` = [(label, k), ...]. Each row is paired with every seed inside the scan stage (one
-    md5 per row and seed, shared by all sizes) and immediately cut by the per-size threshold, so
-    only about k + 8 sqrt(k) + 16 rows per replicate reach the window; nothing is materialized per
-    replicate. Output: the input columns plus ``seed`` and ``size_label``. Exact: the cut is checked,
-    and widened until every replicate is full.
+    ``sizes`` = [(label, k), ...] or a function of the number of rows that gives it. As for one seed, the first
+    pass counts rows per seed and bucket; from the counts follow the bucket that holds a replicate's k-th row and
+    how many of its rows are wanted. The second pass pairs each row with the seeds inside the scan stage, keeps
+    what lies below the cuts and ranks within the last bucket of each replicate; nothing is counted again or
+    retried. A size of more rows than there are takes all. Output: the input columns plus ``seed`` and ``size_label``.
     """
-    N = df.count() if total is None else total
-    sizes = [(label, min(int(k), N)) for label, k in sizes]
-    seeds_col = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
-    tagged = df.withColumn("_tie", _tie(df)).select("*", seeds_col)
-    tagged = tagged.withColumn(PRIO, F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), key_string(key))))
-    w = Window.partitionBy("size_label", "seed").orderBy(F.col(PRIO), key_string(key), F.col("_tie"))
-    expected = sum(k for _l, k in sizes) * len(seeds)
-    max_k = max(k for _l, k in sizes)
+    paired = F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed")
+    prio = F.md5(F.concat(F.col("seed").cast("string"), F.lit(":"), key_string(key)))
+    hist, _ = store(df.select(*as_list(key), paired).groupBy("seed", bucket_of(prio).alias(BUCKET)).agg(F.count(F.lit(1)).alias("_n")), "replicates")
+    if callable(sizes):
+        sizes = sizes(hist.where(F.col("seed") == int(seeds[0])).agg(F.sum("_n")).first()[0] or 0)
     label_type = "double" if all(isinstance(lbl, (int, float)) for lbl, _k in sizes) else "string"
-    factor = 1.0
-    while True:
-        cuts = [_threshold(k, N, factor) for _l, k in sizes]
-        opts = F.array(*[
-            F.struct(F.lit(lbl).cast(label_type).alias("size_label"), F.lit(k).alias("_k"), F.lit(hex_threshold(cut)).alias("_thr"))
-            for (lbl, k), cut in zip(sizes, cuts)
-        ])
-        cand = tagged.select("*", F.explode(opts).alias("_o")).select("*", "_o.size_label", "_o._k", "_o._thr").drop("_o")
-        cand = cand.where(F.col(PRIO) < F.col("_thr"))
-        out = cand.withColumn("_rn", F.row_number().over(w)).where((F.col("_rn") <= F.lit(max_k)) & (F.col("_rn") <= F.col("_k")))
-        if out.count() >= expected:
-            return out.drop(PRIO, "_rn", "_k", "_thr", "_tie")
-        if min(cuts) >= TWO_POW_32:
-            raise RuntimeError(f"the table holds fewer than the {N} rows it was said to hold")
-        factor *= 4.0
+    wanted = F.explode(F.array(*[F.struct(F.lit(lbl).cast(label_type).alias("size_label"), F.lit(int(k)).cast("long").alias("_k")) for lbl, k in sizes])).alias("_o")
+    upto = F.sum("_n").over(Window.partitionBy("seed").orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, 0))
+    of_seed = Window.partitionBy("seed")
+    hist = hist.select("seed", BUCKET, "_n", upto.alias("_to"), F.sum("_n").over(of_seed).alias("_rows")).select("*", wanted).select("*", "_o.*")
+    k = F.least("_k", "_rows")
+    cuts = hist.where((F.col("_to") >= k) & (F.col("_to") - F.col("_n") < k)).groupBy("seed").agg(
+        F.max(BUCKET).alias("_last"), F.collect_list(F.struct("size_label", F.col(BUCKET).alias("_cut"), (k - F.col("_to") + F.col("_n")).alias("_rest"))).alias("_cuts"))
+    rows = df.withColumn("_tie", _tie(tie)).select("*", paired).withColumn(PRIO, prio).withColumn(BUCKET, bucket_of(F.col(PRIO)))
+    rows = rows.join(cuts, "seed").where(F.col(BUCKET) <= F.col("_last"))
+    rows = rows.select("*", F.explode("_cuts").alias("_o")).drop("_cuts", "_last").select("*", "_o.*").drop("_o").where(F.col(BUCKET) <= F.col("_cut"))
+    place = F.row_number().over(Window.partitionBy("size_label", "seed", BUCKET).orderBy(F.col(PRIO), key_string(key), F.col("_tie")))
+    rows = rows.withColumn("_place", place).where((F.col(BUCKET) < F.col("_cut")) | (F.col("_place") <= F.col("_rest")))
+    return rows.select(*df.columns, "seed", "size_label")
 
 
 def sized(df: DataFrame, key: str | Sequence[str], size: int | None = None, error_margin: float | None = None,
-          confidence: float = 0.95, seed: int = 42) -> DataFrame:
+          confidence: float = 0.95, seed: int = 42, tie: str | Sequence[str] | None = None) -> DataFrame:
     """Simple random sample of ``size`` rows, or sized from an error margin (at most N).
 
     Raises when neither is given.
     """
-    return sized_random(df, _size(size, error_margin, confidence), key, seed)[0]
+    return sized_random(df, _size(size, error_margin, confidence), key, seed, tie)[0]
 
 
 def duplicate_keys(df: DataFrame, key: str | Sequence[str]) -> int:

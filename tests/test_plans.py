@@ -51,12 +51,45 @@ def test_sales_view_prunes_columns(spark):
     assert any("c_mktsegment" in sch for sch in schemas)
 
 
-def test_sample_then_projection_prunes_the_scan(spark):
-    # samplers rank key columns only and join the chosen keys back lazily: a projection of the
-    # sample must not read unrelated columns
+def _read(df):
+    """Columns that the plan's scans read, taken from the scans themselves (their text is shortened)."""
+    found = []
+
+    def visit(node):
+        if node.nodeName().startswith("Scan parquet"):
+            found.append({f.name() for f in node.requiredSchema().fields()})
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            visit(node.inputPlan())
+        for i in range(node.children().size()):
+            visit(node.children().apply(i))
+
+    visit(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_samplers_read_the_columns_in_use_only(spark):
     li = table(spark, SF_CHECK, "lineitem")
     key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
-    smp = samplers.stratified(li, 300, "l_returnflag", key, 3).select("l_orderkey", "l_quantity")
-    p = _plan(smp)
-    schemas = [part.split("]")[0] for part in p.split("ReadSchema: ")[1:]]
-    assert schemas and all("l_linestatus" not in sch and "l_discount" not in sch and "l_tax" not in sch for sch in schemas)
+    # (sampler, what it reads by itself)
+    cases = [
+        (samplers.simple_random(li, 300, key, 3), set(key)),
+        (samplers.sized(li, key, error_margin=0.05), set(key)),
+        (samplers.stratified(li, 300, "l_returnflag", key, 3), {*key, "l_returnflag"}),
+        (samplers.stratified(li, 300, "l_returnflag", key, 3, "neyman", "l_extendedprice"), {*key, "l_returnflag"}),
+        (samplers.weighted(li, 300, key, "l_tax", 3), {*key, "l_tax"}),
+        (samplers.reservoir(li, 300, key, 3), set(key)),
+        (samplers.reservoir(li, 300, key, 3, strata="l_returnflag"), {*key, "l_returnflag"}),
+        (samplers.systematic(li, 300, "l_orderkey", 3, key=key), set(key)),
+        (samplers.cluster(li, 30, "l_suppkey", 3), {"l_suppkey"}),
+    ]
+    for smp, own in cases:
+        scans = _read(smp.select("l_orderkey", "l_quantity"))
+        assert any(s & {"l_quantity"} for s in scans)
+        assert set().union(*scans) <= own | {"l_orderkey", "l_quantity"} | {"_at", "_rank", "_tie", "_part", "_bucket", "_n", "pop_n", "take_n", "pop_sd", "_before", "_full"}, smp.columns
+
+
+def test_named_ties_make_repeated_keys_independent_of_the_partitioning(spark):
+    rows = spark.range(3000).select((F.col("id") % 40).alias("k"), F.col("id").alias("v"))
+    for draw in (lambda d: samplers.simple_random(d, 500, "k", 1, tie=["k", "v"]), lambda d: samplers.stratified(d.withColumn("h", F.col("v") % 3), 500, "h", "k", 1, tie="v")):
+        a, b = (sorted(r["v"] for r in draw(rows.repartition(n, F.rand(n))).collect()) for n in (2, 9))
+        assert a == b and len(a) == 500

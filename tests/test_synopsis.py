@@ -12,7 +12,7 @@ def test_group_by_from_sample_synopsis_equals_direct(spark):
     s = sales(spark, SF_CHECK)
     direct = approximate.approx_agg(s, FLAGSHIP_AGGS, by="category", key="id", seed=42)
     path = synopsis.build_stratified_sample(s, "category", "id", 95, 42, "t-synopsis")
-    stored = approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category")
+    stored = approximate.approx_agg_from_sample(spark.read.parquet(path), FLAGSHIP_AGGS, "category", strata="category")
     assert direct.subtract(stored).count() == 0 and stored.subtract(direct).count() == 0
 
 
