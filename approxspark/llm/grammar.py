@@ -30,14 +30,20 @@ HEAD = struct.Struct("<4sIIIIQQ")
 BLOCK = 1_000_000
 
 
-def compress(ids: np.ndarray, rounds: int, pairs: int, least: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(symbols, rules, first nonterminal): per round the ``pairs`` most frequent pairs seen ``least`` times."""
+#: Slots in which pairs are looked up (a power of two).
+SLOTS = 1 << 18
+
+
+def _slot(codes: np.ndarray) -> np.ndarray:
+    return (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)
+
+
+def compress(ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(symbols, rules, first nonterminal): all pairs seen ``least`` times (2 at least) are replaced, until there is none."""
     seq = ids.astype(np.int64)
     first = int(seq.max()) + 1 if len(seq) else 0
     rules = np.empty((0, 2), np.int64)
-    for _ in range(rounds):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         code = (seq[:-1] << 32) | seq[1:]
         ordered = np.sort(code)
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
@@ -45,18 +51,13 @@ def compress(ids: np.ndarray, rounds: int, pairs: int, least: int) -> tuple[np.n
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
-        often = often[np.lexsort((ordered[starts[often]], -counts[often]))[:pairs]]
-        chosen = np.sort(ordered[starts[often]])
-        # a table of the chosen pairs by the few symbols that come first and second in them
-        left, right = (np.unique(x, return_inverse=True) for x in (chosen >> 32, chosen & 0xFFFFFFFF))
-        table = np.full((len(left[0]), len(right[0])), -1, np.int32)
-        table[left[1], right[1]] = np.arange(len(chosen))
-        row, col = (np.full(int(seq.max()) + 1, -1, np.int32) for _ in range(2))
-        row[left[0]], col[right[0]] = np.arange(len(left[0])), np.arange(len(right[0]))
-        r, c = row[seq[:-1]], col[seq[1:]]
-        at = np.flatnonzero((r >= 0) & (c >= 0))
-        k = table[r[at], c[at]]
-        at, k = at[k >= 0], k[k >= 0]
+        chosen = ordered[starts[often]]
+        # looked up by hash; of two pairs in one slot the other's turn comes in the next round
+        slots = np.zeros(SLOTS, np.int32)
+        slots[_slot(chosen)] = np.arange(len(chosen))
+        k = slots[_slot(code)]
+        at = np.flatnonzero(chosen[k] == code)
+        k = k[at]
         # overlapping hits: of a run of neighbours every other one, from its first
         run = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
         take = (np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0
@@ -78,8 +79,8 @@ def lengths_of(rules: np.ndarray, first: int) -> np.ndarray:
     return np.array(out, "<u4")
 
 
-def write_block(docs: list[int | None], ids: list[bytes], rounds: int = 4, pairs: int = 2048, least: int = 16) -> bytes:
-    seq, rules, first = compress(np.frombuffer(b"".join(ids), "<u4"), rounds, pairs, least)
+def write_block(docs: list[int | None], ids: list[bytes], least: int = 16) -> bytes:
+    seq, rules, first = compress(np.frombuffer(b"".join(ids), "<u4"), least)
     width = 2 if first + len(rules) <= 1 << 16 else 4
     lengths = np.array([len(x) // 4 for x in ids], "<u4")
     return b"".join([

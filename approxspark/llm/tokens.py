@@ -12,18 +12,21 @@ from __future__ import annotations
 import os
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-#: Pieces that a worker remembers; beyond that the table is emptied (a bound on memory, not on results).
-TABLE = 1_500_000
+#: Pieces that a worker remembers, at about 200 bytes each; beyond that the table is emptied (a bound on memory, not on results).
+TABLE = 600_000
+#: Characters of texts whose unknown pieces are encoded together.
+BATCH = 1_000_000
 #: Pieces encoded in one string.
 TOGETHER = 128
 
 #: A word, perhaps on a new line, and ASCII marks after it (an apostrophe may bind to letters).
 ENDING = re.compile(r"(\n?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+MARKS = frozenset(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 
 _coders: dict[str, "Coder"] = {}
 
@@ -58,36 +61,43 @@ class Coder:
         return np.array(self.t.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
+        return next(self.batch([text]))
+
+    def pieces(self, text: str) -> tuple[str, list[str]] | None:
+        """What comes before the first space, and the pieces; None if the text has to be encoded whole."""
         if "<|" in text:  # may hold a special token's name, which binds to what is around it
-            return self.whole(text)
-        if self.spaces:
-            head, *pieces = text.replace("\n", " \n").split(" ")
-            if not head or head[-1].isspace():
-                return self.whole(text)
-        else:
-            head, pieces = "", text.replace("\n", " ").split(" ")
-        new = set(pieces).difference(self.table)
-        if new and not self.learn(new):
-            return self.whole(text)
-        return (self.whole(head) if head else b"") + b"".join(map(self.table.__getitem__, pieces))
-
-    def learn(self, new: set[str]) -> bool:
-        """Put pieces into the table; False if one ends in white space, which then binds to what follows."""
-        if self.spaces and any(not p or p[-1].isspace() for p in new):
-            return False
+            return None
+        if not self.spaces:
+            return "", text.replace("\n", " ").split(" ")
+        head, *pieces = text.replace("\n", " \n").split(" ")
+        return None if not head or head[-1].isspace() else (head, pieces)
+
+    def batch(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text; unknown pieces of all texts are encoded together."""
+        cut = [self.pieces(t) if t else ("", []) for t in texts]
+        bad = self.learn(set().union(*[c[1] for c in cut if c]).difference(self.table))
+        for text, c in zip(texts, cut):
+            if c is None or (bad and not bad.isdisjoint(c[1])):
+                yield self.whole(text)
+            else:
+                yield (self.whole(c[0]) if c[0] else b"") + b"".join(map(self.table.__getitem__, c[1]))
+
+    def learn(self, new: set[str]) -> set[str]:
+        """Put pieces into the table, but those that end in white space, which binds to what follows; these are returned."""
+        bad = {p for p in new if not p or p[-1].isspace()} if self.spaces else set()
+        new -= bad
         table, stems = self.table, {}
         for p in new:
-            if (m := ENDING.fullmatch(p)) and unicodedata.normalize("NFC", m[1].strip("\n")).lower().isalpha():  # letters, then marks: two pre-tokens
-                stems[p] = m
+            if p[-1:] in MARKS:
+                if (m := ENDING.fullmatch(p)) and unicodedata.normalize("NFC", m[1].strip("\n")).lower().isalpha():  # letters, then marks: two pre-tokens
+                    stems[p] = m
             elif not self.spaces and p.isascii() and p.isalpha() and not p.islower():
                 stems[p] = None  # case is dropped
         bases = {p: m[1] if m else p.lower() for p, m in stems.items()}
         table.update(self.encode(new.difference(stems).union(bases.values()).difference(table)))
         for p, m in stems.items():
             table[p] = table[bases[p]] + (self.tail(m[2]) if m else b"")
-        return True
+        return bad
 
     def tail(self, marks: str) -> bytes:
         if marks not in self.tails:
@@ -96,16 +106,13 @@ class Coder:
             self.tails[marks] = self.whole(marks)
         return self.tails[marks]
 
-    def encode(self, new: Iterable[str]) -> Iterator[tuple[str, bytes]]:
+    def encode(self, new: set[str]) -> Iterator[tuple[str, bytes]]:
         """Ids of each piece: pieces whose ids tell where they begin or end are encoded many in one string."""
-        many, few = [], []
-        for p in new:
-            inner = p[1:] if p[:1] == "\n" else p
-            if self.spaces:
-                ok = inner.isprintable() and not any(map(str.isspace, inner)) and inner
-            else:
-                ok = inner.isalpha()  # one pre-token
-            (many if ok else few).append(p)
+        if self.spaces:  # a printable piece has no white space: spaces part pieces
+            own = {p for p in new if (p[1:] if p[:1] == "\n" else p).isprintable() and p != "\n"}
+        else:
+            own = {p for p in new if p.isalpha()}  # one pre-token
+        many, few = list(own), [p for p in new if p not in own]
         spaced = (lambda p: p if p[:1] == "\n" else " " + p) if self.spaces else (lambda p: p)
         groups = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
         texts = [("" if self.spaces else " ").join(map(spaced, g)) for g in groups]
@@ -134,5 +141,12 @@ def coder(path: str) -> Coder:
 
 def encode_column(texts: pa.Array, path: str) -> Iterator[bytes]:
     """Ids of each text of an Arrow column, null counting as empty."""
+    held, size = [], 0
     for t in texts:
-        yield coder(path).ids(t.as_py() or "")
+        held.append(t.as_py() or "")
+        size += len(held[-1])
+        if size >= BATCH:
+            yield from coder(path).batch(held)
+            held, size = [], 0
+    if held:
+        yield from coder(path).batch(held)
