@@ -85,9 +85,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # one class a digest: were two texts to share one, say so rather than merge them
     classes = classes.groupBy("text_sha256").agg(F.first("group_size").alias("group_size"), F.count(F.lit(1)).alias("_texts"))
     classes = classes.withColumn("group_size", F.when(F.col("_texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest")).cast("long")))
-    # the row that stays, by the stored keys: a null is the least of a struct's field, so a null id comes last
-    best = F.max(F.struct("n", (-F.col("doc_id")).alias("minus"), (-F.col("row")).alias("minus_row"))).alias("best")
-    stays = rows.join(again, "fp", "left_semi").groupBy("text_sha256").agg(best).select("text_sha256", (-F.col("best.minus")).alias("_id"), (-F.col("best.minus_row")).alias("_row"))
+    # the row that stays, by the stored keys
+    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("best")
+    stays = rows.join(again, "fp", "left_semi").groupBy("text_sha256").agg(best).select("text_sha256", F.col("best.doc_id").alias("_id"), F.col("best.row").alias("_row"))
     classes = classes.select("text_sha256", "group_size").join(stays, "text_sha256")
     alone = F.col("group_size").isNull()
     return rows.join(classes, "text_sha256", "left").select(

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import store
 from .components import components
-from .shingles import mixed, set_id, shingle_set
+from .shingles import Sets, forget, mixed, set_id, shingle_set
 
 #: Shingles hashed at a time.
 TOGETHER = 500_000
@@ -52,43 +52,34 @@ def half_keys(sets: list[np.ndarray], m: int, r: int, seed: int) -> np.ndarray:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch], width: int, m: int, r: int, seed: int) -> Iterator[pa.RecordBatch]:
-    def made(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+    def made(ids: list, keys: list, sets: list[np.ndarray]) -> pa.RecordBatch:
         full = [i for i, s in enumerate(sets) if len(s)]
         halves: list = [None] * len(sets)
         if full:
             for i, k in zip(full, half_keys([sets[i] for i in full], m, r, seed).view(np.int64)):
                 halves[i] = k
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()),
+            [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()),
              pa.array([None if k is None else k[:m] for k in halves], pa.list_(pa.int64())), pa.array([None if k is None else k[m:] for k in halves], pa.list_(pa.int64()))],
-            ["doc_id", "n_shingles", "node", "left", "right"])
+            ["doc_id", "row", "n_shingles", "node", "left", "right"])
 
     for b in batches:
-        ids, sets, held = [], [], 0
-        for doc, text in zip(b.column(0), b.column(1)):
+        ids, keys, sets, held = [], [], [], 0
+        for doc, text, row in zip(b.column(0), b.column(1), b.column(2)):
             ids.append(doc.as_py())
+            keys.append(row.as_py())
             sets.append(shingle_set(text.as_py(), width))
             held += len(sets[-1])
             if held > TOGETHER:
-                yield made(ids, sets)
-                ids, sets, held = [], [], 0
+                yield made(ids, keys, sets)
+                ids, keys, sets, held = [], [], [], 0
         if ids:
-            yield made(ids, sets)
+            yield made(ids, keys, sets)
+    forget()
 
 
 def _verify(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
-    known: dict[int, np.ndarray] = {}
-
-    def members(node: int, text: str) -> np.ndarray:
-        if node not in known:
-            s = shingle_set(text, width)
-            if set_id(s) != node:  # another row's text under the same id
-                return s[:0]
-            if len(known) > 500:
-                known.clear()
-            known[node] = s
-        return known[node]
-
+    members = Sets(width).of
     for batch in batches:
         out = []
         for a, b, ta, tb in zip(*(batch.column(i) for i in range(4))):
@@ -99,6 +90,7 @@ def _verify(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
                 out.append((a, b))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], ["a", "b"])
+    forget()
 
 
 def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -120,17 +112,7 @@ def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
 
 def _blocks(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Links that join the groups of each block's two sides; a partition's rows are sorted by block (l, bo, bm)."""
-    known: dict[int, np.ndarray] = {}
-
-    def members(node: int, text: str) -> np.ndarray:
-        if node not in known:
-            s = shingle_set(text, width)
-            if set_id(s) != node:  # another row's text under the same id
-                return s[:0]
-            if len(known) > 4 * BLOCK:
-                known.clear()
-            known[node] = s
-        return known[node]
+    members = Sets(width).of
 
     def links(block: list) -> list[tuple[int, int]]:
         sides = [[(n, g, members(n, t)) for o, n, g, t in block if o is side] for side in (True, False)]
@@ -171,9 +153,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> Iter
         if found:
             yield batch(found)
     yield batch(links(block))
+    forget()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int = 12, r: int = 3, seed: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int = 12, r: int = 3, seed: int = 1, id_col: str = "doc_id", text_col: str = "text",
+                    row_col: str | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their sets of ``width``-word
@@ -181,9 +165,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int =
     without words, has the empty set and is linked with nothing. A document whose id is null is never
     linked: its component is null and it is kept. Rows that repeat an id are documents of their own
     (equal texts link them). An empty table gives no rows; other columns are not read.
+
+    kept is doc_id = component_id, so that near copies under one id are kept together. With ``row_col`` (a long, unique
+    and stored key of the rows, returned as row) exactly one row of each component is kept instead: of those with the
+    component's id the one of the least key.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id long, n_shingles long, node long, left array<long>, right array<long>"
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row"))
+    schema = "doc_id long, row long, n_shingles long, node long, left array<long>, right array<long>"
     sketches, _ = store(docs.mapInArrow(lambda it: _sketch(it, width, m, r, seed), schema), "sketches")
     nodes, _ = store(
         sketches.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
@@ -225,4 +213,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, m: int =
     least = labels.join(nodes.select("node", "rep"), "node").groupBy("label").agg(F.min("rep").alias("component_id"))
     of_node = nodes.select("node", "rep").join(labels, "node", "left").join(least, "label", "left").select("node", F.coalesce("component_id", "rep").alias("component_id"))
     component = F.when(F.col("doc_id").isNull(), F.lit(None).cast("long")).otherwise(F.coalesce("component_id", "doc_id"))
-    return sketches.select("doc_id", "n_shingles", "node").join(of_node, "node", "left").select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = sketches.select("doc_id", "row", "n_shingles", "node").join(of_node, "node", "left").select("doc_id", "row", "n_shingles", component.alias("component_id"))
+    kept = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    if not row_col:
+        return found.drop("row").withColumn("kept", kept)
+    first = found.where(kept & F.col("doc_id").isNotNull()).groupBy("component_id").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("_first"))
+    return found.join(first, "row", "left").withColumn("kept", F.col("doc_id").isNull() | F.coalesce("_first", F.lit(False))).drop("_first")

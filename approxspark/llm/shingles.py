@@ -7,8 +7,8 @@ import hashlib
 import numpy as np
 import xxhash
 
-#: Words whose hashes a worker remembers; beyond that the table is emptied.
-TABLE = 1_000_000
+#: Words whose hashes a task remembers, at about 130 bytes each; beyond that the table is emptied.
+TABLE = 500_000
 _M1, _M2, _P = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,6 +47,32 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(mixed(s))
 
 
+def forget() -> None:
+    """Empty the table of words: a task is done, and its worker may go on to another stage."""
+    _hashes.clear()
+
+
+class Sets:
+    """Shingle sets of nodes, a bounded number of shingles at a time."""
+
+    def __init__(self, width: int, bound: int = 1_000_000) -> None:
+        self.width, self.bound, self.held = width, bound, 0
+        self.known: dict[int, np.ndarray] = {}
+
+    def of(self, node: int, text: str) -> np.ndarray:
+        """The set of ``text``; an empty one if it isn't the node's (another row's text under the same id)."""
+        if node not in self.known:
+            s = shingle_set(text, self.width)
+            if set_id(s) != node:
+                return s[:0]
+            if self.held + len(s) > self.bound:
+                self.known.clear()
+                self.held = 0
+            self.known[node] = s
+            self.held += len(s)
+        return self.known[node]
+
+
 def set_id(s: np.ndarray) -> int | None:
     """64 bits of a cryptographic digest of the whole set, as a signed long; None for an empty set."""
     return int.from_bytes(hashlib.blake2b(s.astype("<u8").tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None

@@ -282,6 +282,16 @@ def test_grammar_round_trip_and_random_access():
     assert len(data) < 4 * 16000 / 8  # eight ids repeated become few symbols
 
 
+def test_grammar_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(9)
+    for ids in (rng.zipf(1.3, 60_000) % 500, np.tile(rng.integers(0, 9000, 700), 40), np.zeros(5000, int), rng.integers(0, 3, 20_000)):
+        for least in (2, 16):
+            seq, rules, first = grammar.compress(ids.astype("<u4"), least)
+            code = (seq[:-1] << 32) | seq[1:]
+            assert max(np.unique(code, return_counts=True)[1], default=0) < least or len(code) == 0
+            assert int(np.r_[np.ones(first, int), grammar.lengths_of(rules, first)][seq].sum()) == len(ids)
+
+
 def test_grammar_files(spark, edge_docs, no_docs):
     coder = tokens.Coder(tokens.tokenizer_path("word_bpe_49k.json"))
     docs = [(r["doc_id"], r["text"]) for r in edge_docs.collect() if r["doc_id"] is not None]

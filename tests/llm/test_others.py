@@ -205,3 +205,32 @@ def test_wrapped_notices_and_licence_files(spark):
     files = spark.createDataFrame([(i, p, t) for i, (p, t, _, _) in enumerate(rows)], "doc_id long, path string, text string")
     got = {r["path"]: (r["license"], r["origin"]) for r in license_scan.scan(files).collect()}
     assert got == {p: (lic, origin) for p, _, lic, origin in rows}
+
+
+def test_stages_go_by_rows_and_keep_clashing_columns(spark):
+    import corpus_pipeline as p
+
+    a, other = " ".join(f"a{i}" for i in range(60)), " ".join(f"o{i}" for i in range(60))
+    # a near copy under the id of another text, near copies under one id, null ids
+    rows = [(1, a), (2, a + " x"), (2, other), (5, a + " y"), (5, a + " z"), (None, a + " n"), (None, "short"), (7, other + " end"), (7, other + " stop")]
+    docs = spark.createDataFrame([(d, t, "en", "s", 9, i, "S", 0.5, i + 1, "row", ["x"], "p") for i, (d, t) in enumerate(rows)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, size int, `_Row` string, target double, taken int, row string, sources array<string>, _p string")
+    near = p.near(spark, docs, SF_SMALL)
+    assert near.columns == docs.columns
+    assert sorted(str((r["doc_id"], r["text"][:2], r["size"])) for r in near.collect()) == sorted(map(str, [(1, "a0", 0), (2, "o0", 2), (None, "a0", 5), (None, "sh", 6)]))
+    want = {tuple(map(str, r)) for r in docs.collect()}
+    for stage in (p.exact, p.near, p.mix):
+        got = stage(spark, docs, SF_SMALL)
+        assert got.columns == docs.columns and {tuple(map(str, r)) for r in got.collect()} <= want
+
+
+def test_exact_dedup_of_the_least_id(spark):
+    from approxspark.llm import exact_dedup
+
+    least = -(2**63)
+    rows = [(least, "a b"), (5, "ab"), (None, "a  b"), (5, "x"), (None, "x"), (None, "y")]
+    got = {(r["doc_id"], r["text_sha256"]): (r["keep_id"], r["kept"]) for r in exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sorted(map(str, got.values())) == sorted(map(str, [(None, False), (None, False), (None, True), (5, True), (5, False), (None, True)]))
+    assert sum(k for _, k in got.values()) == 3
+    tie = exact_dedup.exact_dedup(spark.createDataFrame([(5, "ab"), (least, "ba"[::-1]), (None, "ab")], "doc_id long, text string")).collect()
+    assert {r["keep_id"] for r in tie} == {least} and sum(r["kept"] for r in tie) == 1
