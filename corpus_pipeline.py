@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from approxspark.llm import exact_dedup, language_id, minhash_dedup, mixing, packing
@@ -27,10 +27,15 @@ def _stage(fn: Callable) -> Callable:
     return run
 
 
-def _only(docs: DataFrame, decisions: DataFrame, keep: Column) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among the decisions to keep; a null id stands for itself."""
-    ids = decisions.where(keep).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(ids, docs.doc_id.eqNullSafe(F.col("_kept")), "left_semi")
+def _kept_by(docs: DataFrame, decide: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Rows of ``docs`` that ``decide`` (rows with a stored key, the key's name) -> (row, kept) keeps. Ids may repeat
+    or be null, so rows go by a key of their own, under a name that no column has."""
+    key = "_row"
+    while key.lower() in map(str.lower, docs.columns):
+        key += "_"
+    keyed, _ = store(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    kept = decide(keyed, key).where("kept").select(F.col("row").alias(key))
+    return keyed.join(kept, key, "left_semi").select(*docs.columns)
 
 
 @_stage
@@ -43,25 +48,24 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays. Rows go by a stored key of their own: ids may repeat or be null."""
-    keyed, _ = store(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    kept = exact_dedup.exact_dedup(keyed, row_col="_row").where("kept").select(F.col("row").alias("_row"))
-    return keyed.join(kept, "_row", "left_semi").select(*docs.columns)
+    """One row of each group of equal texts stays."""
+    return _kept_by(docs, lambda rows, key: exact_dedup.exact_dedup(rows, row_col=key))
 
 
 @_stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
-    return _only(docs, minhash_dedup.near_duplicates(docs), F.col("kept"))
+    """One row of each near-duplicate group stays."""
+    return _kept_by(docs, lambda rows, key: minhash_dedup.near_duplicates(rows, row_col=key))
 
 
 @_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, always whole. A document that the mix doesn't take goes."""
-    mixed = mixing.mix(docs, keep=[c for c in docs.columns if c != "doc_id"], whole=True)
+    # a document's columns travel in one, so that none can clash with the mix's own
+    mixed = mixing.mix(docs.select("doc_id", "text", "source", F.struct("*").alias("_document")), keep=["_document"], whole=True)
     # documents without words weigh nothing: they stay once
     copies = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
-    return mixed.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*docs.columns)
+    return mixed.select(F.explode(F.array_repeat("_document", copies)).alias("_document")).select("_document.*")
 
 
 @_stage
