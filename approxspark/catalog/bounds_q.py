@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions.keys import sql_key, sql_priority, sql_uniform
@@ -94,17 +95,27 @@ def bounds_fpc(spark, d):
     return shown(a.unionByName(b))
 
 
-def bootstrap_sql(src: str, value: str, order_key: str, B: int, conf: float, seed: int, stat: str = "avg(x)") -> str:
-    alpha = (1 - conf) / 2
+def _drawn_sql(key, seed: int) -> str:
+    """How often replicate ``b`` draws a row."""
+    u = f"substr(md5('{seed}:' || CAST(b // {bounds.PER_DIGEST} AS VARCHAR) || ':' || {sql_key(key)}), CAST(8 * (b % {bounds.PER_DIGEST}) + 1 AS BIGINT), 8)"
+    limits = bounds.poisson_limits()
+    return "(" + " + ".join(f"CASE WHEN u >= '{x}' THEN 1 ELSE 0 END" for x in limits) + ")", u
+
+
+def bootstrap_sql(src: str, value: str, key, B: int, conf: float, seed: int, stat: str = "avg(x)", by: list[str] | None = None) -> str:
+    """The replicates' rows written out as often as they are drawn, and the statistic over them."""
+    alpha, by = (1 - conf) / 2, by or []
+    keys, (m, u) = "".join(f"{c}, " for c in by), _drawn_sql(key, seed)
+    grp = lambda *more: f" GROUP BY {', '.join([*by, *more])}" if by or more else ""
+    on = " AND ".join(["true", *[f"e.{c} IS NOT DISTINCT FROM q.{c}" for c in by]])
     return (
-        f"WITH r AS (SELECT x, row_number() OVER (ORDER BY {order_key}) - 1 AS idx FROM "
-        f"(SELECT {order_key}, try_cast({value} AS DOUBLE) AS x FROM ({src})) WHERE {FINITE}), "
-        f"nn AS (SELECT count(*) AS n, {stat} AS m FROM r), "
-        f"draws AS (SELECT id // n AS b, ('0x' || substr(md5('{seed}:' || CAST(id // n AS VARCHAR) || ':' || CAST(id % n AS VARCHAR)), 1, 8))::BIGINT % n AS idx "
-        f"FROM nn, range(0, {B} * (SELECT n FROM nn)) AS g(id)), "
-        f"reps AS (SELECT b, {stat} AS s FROM draws JOIN r USING (idx) GROUP BY b), "
-        f"q AS (SELECT n, m, (SELECT quantile_cont(s, {alpha!r}) FROM reps) AS lo, (SELECT quantile_cont(s, {1 - alpha!r}) FROM reps) AS hi FROM nn) "
-        + finish_sql("q", [], "m", "lo", "hi", conf, "bootstrap", "BOOTSTRAP", "NULL", str(B))
+        f"WITH r AS (SELECT * FROM (SELECT *, try_cast({value} AS DOUBLE) AS x FROM ({src})) WHERE {FINITE}), "
+        f"e AS (SELECT {keys}count(*) AS n, {stat} AS m FROM r{grp()}), "
+        f"draws AS (SELECT {keys}b, x, unnest(range({m})) FROM (SELECT *, {u} AS u FROM r, range({B}) AS g(b))), "
+        f"reps AS (SELECT {keys}b, {stat} AS s FROM draws{grp('b')}), "
+        f"q AS (SELECT {keys}quantile_cont(s, {alpha!r}) AS lo, quantile_cont(s, {1 - alpha!r}) AS hi FROM reps{grp()}), "
+        f"j AS (SELECT e.*, lo, hi FROM e LEFT JOIN q ON {on}) "
+        + finish_sql("j", by, "m", "coalesce(lo, m)", "coalesce(hi, m)", conf, "bootstrap", "BOOTSTRAP", "NULL", str(B))
     )
 
 
@@ -116,6 +127,27 @@ def bounds_bootstrap(spark, d):
     return shown(bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=200, confidence=0.95, seed=42))
 
 
+@register("bounds_bootstrap_by_group", bootstrap_sql(SRS, "value", "event_id", 200, 0.90, 8, by=["event_type"]))
+def bounds_bootstrap_by_group(spark, d):
+    # F4 + F15: a bootstrap interval for each group, in one pass over the sample
+    return shown(bounds.bootstrap_bounds(_events_srs(spark, d), "value", "event_id", n_bootstrap=200, confidence=0.90, seed=8, by="event_type"))
+
+
+TRIMMED_SQL = "list_avg(list_sort(list(x))[1 + (count(*) // 10)::BIGINT:(count(*) - count(*) // 10)::BIGINT])"
+
+
+@register("bounds_bootstrap_trimmed_mean", bootstrap_sql(BOOT_SRC, "value", "event_id", 100, 0.95, 9, stat=TRIMMED_SQL))
+def bounds_bootstrap_trimmed_mean(spark, d):
+    # The user's own statistic, a function of an array: the mean without the least and the greatest tenth
+    def trimmed(x):
+        x = np.sort(x)
+        k = len(x) // 10
+        return x[k : len(x) - k].mean()
+
+    stat = bounds.ArrayStatistic(trimmed)
+    return shown(bounds.bootstrap_bounds(_events_srs(spark, d, 200), "value", "event_id", n_bootstrap=100, confidence=0.95, seed=9, estimator=stat))
+
+
 @register("bounds_bootstrap_median", bootstrap_sql(BOOT_SRC, "value", "event_id", 200, 0.95, 43, stat="median(x)"))
 def bounds_bootstrap_median(spark, d):
     # A user estimator (any aggregate Column function)
@@ -286,18 +318,14 @@ def sample_data_facade(spark, d):
 
 
 def stratified_bootstrap_sql(sample_sql: str, value: str, strata: str, key: list[str], population: str, B: int, conf: float, seed: int) -> str:
-    alpha = (1 - conf) / 2
+    alpha, (m, u) = (1 - conf) / 2, _drawn_sql(key, seed)
     return (
-        f"WITH r AS (SELECT {strata}, x, row_number() OVER (ORDER BY {strata}, {', '.join(key)}) - 1 AS place FROM "
-        f"(SELECT *, try_cast({value} AS DOUBLE) AS x FROM ({sample_sql})) WHERE {FINITE}), "
-        f"sizes AS (SELECT {strata}, count(*)::DOUBLE AS pop, sum(count(*)) OVER ()::DOUBLE AS Ntot FROM {population} GROUP BY {strata}), "
-        f"per AS (SELECT {strata}, count(*) AS nh, min(place) AS lo_at, avg(x) AS mean FROM r GROUP BY {strata}), "
-        f"h AS (SELECT *, pop / Ntot AS w FROM per JOIN sizes USING ({strata})), "
-        f"draws AS (SELECT b, w, nh, lo_at + ('0x' || substr(md5('{seed}:' || CAST(b AS VARCHAR) || ':' || CAST(place AS VARCHAR)), 1, 8))::BIGINT % nh AS place "
-        f"FROM r JOIN h USING ({strata}), range({B}) AS g(b)), "
-        "reps AS (SELECT b, sum(w / nh * x) AS s FROM draws JOIN (SELECT place, x FROM r) USING (place) GROUP BY b), "
-        f"q AS (SELECT sum(nh)::BIGINT AS n, sum(w * mean) AS m, any_value(Ntot)::BIGINT AS NN, (SELECT quantile_cont(s, {alpha!r}) FROM reps) AS lo, "
-        f"(SELECT quantile_cont(s, {1 - alpha!r}) FROM reps) AS hi FROM h) "
+        f"WITH r AS (SELECT * FROM (SELECT *, try_cast({value} AS DOUBLE) AS x FROM ({sample_sql})) WHERE {FINITE}), "
+        f"sizes AS (SELECT {strata}, count(*)::DOUBLE AS w FROM {population} GROUP BY {strata}), "
+        f"draws AS (SELECT {strata}, b, x, unnest(range({m})) FROM (SELECT *, {u} AS u FROM r, range({B}) AS g(b))), "
+        f"reps AS (SELECT b, sum(w * a) / sum(w) AS s FROM (SELECT {strata}, b, avg(x) AS a FROM draws GROUP BY ALL) JOIN sizes USING ({strata}) GROUP BY b), "
+        f"q AS (SELECT sum(n)::BIGINT AS n, sum(w * a) / sum(w) AS m, sum(w)::BIGINT AS NN, (SELECT quantile_cont(s, {alpha!r}) FROM reps) AS lo, "
+        f"(SELECT quantile_cont(s, {1 - alpha!r}) FROM reps) AS hi FROM (SELECT {strata}, count(*) AS n, avg(x) AS a FROM r GROUP BY {strata}) JOIN sizes USING ({strata})) "
         + finish_sql("q", [], "m", "lo", "hi", conf, "stratified_bootstrap", "BOOTSTRAP", "NN", str(B))
     )
 

@@ -7,18 +7,22 @@ distribution_type, n_iterations, margin_of_error, relative_error.
 Values are coerced to double and NULL/NaN/+-Inf are dropped first (B5). With no finite value
 the bounds are 0, 0, 0 with n = 0; with one value they collapse onto it (F12). Every estimator
 is one aggregate over the sample (partial aggregation per partition, so it scales with the
-number of groups, not with the sample); the bootstrap generates its replicates with
-``spark.range`` and joins the ranked sample. Values keep full precision; callers round.
+number of groups, not with the sample); the bootstrap draws its replicates where the rows are.
+Values keep full precision; callers round.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.keys import as_list
+from ..functions.keys import as_list, key_string
 from ..functions.stats import t_quantile, z_value
 from .exact import finite_values
 from .joins import join_keys
@@ -198,55 +202,118 @@ def stratified_bounds(
     return res.select(*BOUNDS_COLUMNS, "strata_without_variance")
 
 
-def ranked_values(sample: DataFrame, value: str, order_key: str | Sequence[str]) -> DataFrame:
-    """Finite values of a sample with a dense 0-based index by ``order_key``."""
-    keys = as_list(order_key)
-    clean = finite_values(sample.select(*keys, value), value, "_x")
-    return global_rank(clean.select(*keys, "_x"), [F.col(c) for c in keys], "_idx").select("_x", "_idx")
+def poisson_limits() -> list[str]:
+    """Cumulative Poisson(1) probabilities as 32-bit hex text: a uniform below the k-th and not below the one before means k."""
+    limits, p, total = [], math.exp(-1.0), 0.0
+    for k in range(1, 16):
+        total += p
+        p /= k
+        if total * 2**32 >= 2**32 - 1:
+            break
+        limits.append(format(int(total * 2**32), "08x"))
+    return limits
 
 
-def _uniform_index(*parts, n) -> Column:
-    """hash(part:part:...) mod n."""
-    text = F.concat_ws(":", *[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
-    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % n
+def _multiplicity(u: Column) -> Column:
+    """How often a row is drawn, Poisson(1) by the hex text of its uniform."""
+    limits = poisson_limits()
+    m = F.when(u < limits[0], 0)
+    for k, limit in enumerate(limits[1:], 1):
+        m = m.when(u < limit, k)
+    return m.otherwise(len(limits))
 
 
-def _percentiles(reps: DataFrame, confidence: float) -> DataFrame:
+class ArrayStatistic:
+    """A statistic given as a function of an array: ``ArrayStatistic(lambda x: numpy.median(x))``.
+
+    A replicate's values (those of one group) are one array in a Python worker, so that the sample, not the
+    table, has to fit there.
+    """
+
+    def __init__(self, fn: Callable[[np.ndarray], float]) -> None:
+        self.fn = fn
+
+
+#: Replicates drawn from one digest (8 hex digits each).
+PER_DIGEST = 4
+
+
+def _digests(rows: DataFrame, key: Sequence[str], seed: int, n_bootstrap: int) -> DataFrame:
+    """Each row once per digest (_g, _d), which holds its uniforms for ``PER_DIGEST`` replicates."""
+    turns = F.explode(F.sequence(F.lit(0), F.lit((n_bootstrap - 1) // PER_DIGEST))).alias("_g")
+    rows = rows.select("*", turns)
+    return rows.withColumn("_d", F.md5(F.concat(F.lit(f"{seed}:"), F.col("_g").cast("string"), F.lit(":"), key_string(key))))
+
+
+def _drawn(i: int) -> Column:
+    return _multiplicity(F.substring("_d", 8 * i + 1, 8))
+
+
+def _mean_replicates(rows: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, n_bootstrap: int) -> DataFrame:
+    """(by, _b, _m, _s): rows drawn and the sum of their values in each replicate, summed within the scan's tasks;
+    _b = -1 is the sample itself."""
+    sums = [e for i in range(PER_DIGEST) for e in (F.sum(_drawn(i)).alias(f"_m{i}"), F.sum(_drawn(i) * F.col("_x")).alias(f"_s{i}"))]
+    wide = _digests(rows, key, seed, n_bootstrap).groupBy(*by, "_g").agg(*sums)
+    each = F.explode(F.array(*[F.struct((F.col("_g") * PER_DIGEST + i).alias("_b"), F.col(f"_m{i}").alias("_m"), F.col(f"_s{i}").alias("_s")) for i in range(PER_DIGEST)]))
+    reps = wide.select(*by, each.alias("_r")).select(*by, "_r.*").where(F.col("_b") < n_bootstrap)
+    own = rows.groupBy(*by).agg(F.count("_x").alias("_m"), F.sum("_x").alias("_s")).select(*by, F.lit(-1).alias("_b"), "_m", "_s")
+    return reps.unionByName(own)
+
+
+def _replicates(rows: DataFrame, by: Sequence[str], key: Sequence[str], seed: int, n_bootstrap: int, estimator) -> DataFrame:
+    """(by, _b, _stat, _n): the statistic of each replicate; _b = -1 is the sample itself, of _n rows."""
+    if estimator is F.avg:
+        return _mean_replicates(rows, by, key, seed, n_bootstrap).select(*by, "_b", (F.col("_s") / F.when(F.col("_m") > 0, F.col("_m"))).alias("_stat"), F.col("_m").alias("_n"))
+    slices = F.explode(F.array(*[F.struct((F.col("_g") * PER_DIGEST + i).alias("_b"), _drawn(i).alias("_m")) for i in range(PER_DIGEST)]))
+    drawn = _digests(rows, key, seed, n_bootstrap).select(*by, "_x", slices.alias("_r")).select(*by, "_x", "_r.*").where((F.col("_b") < n_bootstrap) & (F.col("_m") > 0))
+    drawn = drawn.unionByName(rows.select(*by, "_x", F.lit(-1).alias("_b"), F.lit(1).alias("_m")))
+    if isinstance(estimator, ArrayStatistic):
+        fn, keys = estimator.fn, [*by, "_b"]
+
+        def statistic(group: pd.DataFrame) -> pd.DataFrame:
+            x = np.repeat(group["_x"].to_numpy(), group["_m"].to_numpy())
+            return group[keys].head(1).assign(_stat=float(fn(x)), _n=len(x))
+
+        schema = T.StructType([*[drawn.schema[c] for c in keys], T.StructField("_stat", T.DoubleType()), T.StructField("_n", T.LongType())])
+        return drawn.groupBy(*keys).applyInPandas(statistic, schema)
+    repeated = drawn.select(*by, "_b", "_x", F.explode(F.array_repeat(F.lit(0), F.col("_m"))))
+    return repeated.groupBy(*by, "_b").agg(estimator(F.col("_x")).cast("double").alias("_stat"), F.count(F.lit(1)).alias("_n"))
+
+
+def _interval(reps: DataFrame, by: Sequence[str], confidence: float, *more: Column) -> DataFrame:
+    """Keys, estimate _m, _n, percentiles _lo and _hi of the replicates."""
     alpha = (1 - confidence) / 2
-    q = reps.agg(F.percentile("_stat", F.array(F.lit(alpha * 1.0), F.lit(1 - alpha))).alias("_q"))
-    return q.select(F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    own = F.col("_b") == -1
+    ends = F.percentile(F.when(~own, F.col("_stat")), F.array(F.lit(alpha * 1.0), F.lit(1 - alpha))).alias("_q")
+    q = reps.groupBy(*by).agg(ends, F.max(F.when(own, F.col("_stat"))).alias("_m"), F.coalesce(F.max(F.when(own, F.col("_n"))), F.lit(0)).cast("long").alias("_n"), *more)
+    return q.withColumns({"_lo": F.coalesce(F.col("_q")[0], F.col("_m")), "_hi": F.coalesce(F.col("_q")[1], F.col("_m"))})
 
 
 def bootstrap_bounds(
     sample: DataFrame,
     value: str,
-    order_key: str | Sequence[str],
+    key: str | Sequence[str],
     n_bootstrap: int = 1000,
     confidence: float = 0.95,
     seed: int = 42,
-    estimator: Callable[[Column], Column] = F.avg,
+    estimator: Callable[[Column], Column] | ArrayStatistic = F.avg,
     population=None,
+    by: str | Sequence[str] | None = None,
 ) -> DataFrame:
-    """percentile bootstrap. Replicate b draws n indices hash(seed:b:j) mod n with replacement.
-
-    The replicate table (B x n rows) is generated by ``spark.range`` across partitions and joined with
-    the ranked sample. The statistic is any aggregate Column function (mean by default, ``F.median`` for
-    F5); the estimate is that statistic of the sample. No fpc (as the reference).
+    """Percentile bootstrap, per group with ``by``.
+
+    Replicate b draws a row as often as a Poisson(1) variable that follows from hash(seed, b, key) says, so
+    that replicates are drawn where the rows are: the sample is read once, nothing is ranked or joined, and
+    the mean's replicates are summed within the tasks. ``key`` tells rows apart (rows of one key are drawn
+    together). The statistic is any aggregate Column function (mean by default, ``F.median`` for F5) or the user's own
+    function of an array (:class:`ArrayStatistic`); the estimate is that statistic of the sample. A replicate that draws
+    no row of a group has no statistic and is left out. No fpc (as the reference).
     """
     validate_config(confidence, "bootstrap", n_bootstrap)
-    spark = sample.sparkSession
-    ranked = ranked_values(sample, value, order_key)
-    stats = ranked.agg(F.count(F.lit(1)).alias("n"), estimator(F.col("_x")).cast("double").alias("m")).first()
-    n, N = stats["n"], _pop(population)
-    if n == 0:
-        base = spark.range(1).select(F.lit(0).cast("long").alias("_n"))
-        return finish(base, [], F.lit(0.0), F.lit(0.0), F.lit(0.0), F.col("_n"), N, confidence, "bootstrap", "BOOTSTRAP", n_bootstrap)
-    total = n_bootstrap * n
-    draws = spark.range(0, total, 1, total // 2_000_000 + 1).select((F.col("id") / F.lit(n)).cast("long").alias("_b"), (F.col("id") % F.lit(n)).alias("_j"))
-    draws = draws.select("_b", _uniform_index(str(seed), F.col("_b"), F.col("_j"), n=F.lit(n)).alias("_idx"))
-    reps = draws.join(ranked, "_idx").groupBy("_b").agg(estimator(F.col("_x")).alias("_stat"))
-    q = _percentiles(reps, confidence).select("*", F.lit(n).cast("long").alias("_n"), F.lit(stats["m"]).alias("_m"))
-    return finish(q, [], F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), N, confidence, "bootstrap", "BOOTSTRAP", n_bootstrap)
+    by, key = as_list(by), as_list(key)
+    clean = finite_values(sample.select(*dict.fromkeys(by + key + [value])), value, "_x")
+    reps = _replicates(clean.select(*dict.fromkeys(by + key), "_x"), by, key, seed, n_bootstrap, estimator)
+    return finish(_interval(reps, by, confidence), by, F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), _pop(population), confidence, "bootstrap", "BOOTSTRAP", n_bootstrap)
 
 
 def stratified_bootstrap_bounds(
@@ -254,29 +321,22 @@ def stratified_bootstrap_bounds(
     value: str,
     strata: str | Sequence[str],
     strata_sizes: DataFrame,
-    order_key: str | Sequence[str],
+    key: str | Sequence[str],
     n_bootstrap: int = 1000,
     confidence: float = 0.95,
     seed: int = 42,
 ) -> DataFrame:
-    """F4 for a stratified sample: each replicate draws n_h of the n_h values of every stratum with
-    replacement; its statistic is the stratified mean sum W_h xbar_h. NULL is a stratum."""
+    """F4 for a stratified sample: each replicate draws every stratum's rows as :func:`bootstrap_bounds` does; its
+    statistic is the stratified mean sum W_h xbar_h over the strata that it draws from, W_h = N_h over their sizes. NULL is a stratum."""
     validate_config(confidence, "bootstrap", n_bootstrap)
-    strata, keys = as_list(strata), as_list(order_key)
-    clean = finite_values(sample.select(*dict.fromkeys(strata + keys + [value])), value, "_x")
-    ranked = global_rank(clean.select(*dict.fromkeys(strata + keys), "_x"), [F.col(c) for c in strata + keys], "_place")
-    per = ranked.groupBy(*strata).agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_from"), F.avg("_x").alias("_mean"))
-    sizes = join_keys(per, strata_sizes.select(*strata, "pop_n"), strata)
-    total = sizes.agg(F.sum("pop_n")).first()[0] or 1
-    sizes = sizes.withColumn("_w", F.col("pop_n") / F.lit(total))
-    # strata lie one after another in the ranks, so that index and stratum are one number
-    drawn = join_keys(ranked, sizes.select(*strata, "_n", "_from", "_w"), strata)
-    draws = drawn.select("_n", "_w", "_from", F.col("_place").alias("_j"), F.explode(F.sequence(F.lit(0), F.lit(n_bootstrap - 1))).alias("_b"))
-    draws = draws.select("_b", "_n", "_w", (F.col("_from") + _uniform_index(str(seed), F.col("_b"), F.col("_j"), n=F.col("_n"))).alias("_place"))
-    reps = draws.join(ranked.select("_place", "_x"), "_place").groupBy("_b").agg(F.sum(F.col("_w") / F.col("_n") * F.col("_x")).alias("_stat"))
-    whole = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_n"), F.sum(F.col("_w") * F.col("_mean")).alias("_m"), F.sum("pop_n").cast("long").alias("_N")).first()
-    q = _percentiles(reps, confidence).select("*", F.lit(whole["_n"]).cast("long").alias("_n"), F.lit(whole["_m"]).cast("double").alias("_m"))
-    return finish(q, [], F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), _pop(whole["_N"]), confidence, "stratified_bootstrap", "BOOTSTRAP", n_bootstrap)
+    strata, key = as_list(strata), as_list(key)
+    clean = finite_values(sample.select(*dict.fromkeys(strata + key + [value])), value, "_x")
+    sums = _mean_replicates(clean.select(*dict.fromkeys(strata + key), "_x"), strata, key, seed, n_bootstrap).where("_m > 0")
+    weighed = join_keys(sums, strata_sizes.select(*strata, F.col("pop_n").cast("double").alias("_w")), strata)
+    stat = (F.sum(F.col("_w") * F.col("_s") / F.col("_m")) / F.sum("_w")).alias("_stat")
+    reps = weighed.groupBy("_b").agg(stat, F.sum("_m").alias("_n"), F.sum("_w").cast("long").alias("_all"))
+    q = _interval(reps, [], confidence, F.max(F.when(F.col("_b") == -1, F.col("_all"))).alias("_pop"))
+    return finish(q, [], F.col("_m"), F.col("_lo"), F.col("_hi"), F.col("_n"), F.col("_pop"), confidence, "stratified_bootstrap", "BOOTSTRAP", n_bootstrap)
 
 
 def order_statistic_bounds(sample: DataFrame, value: str, confidence: float = 0.95, population=None) -> DataFrame:

@@ -155,3 +155,33 @@ def test_stratified_bounds_refuses_other_methods(events):
     s = samplers.stratified(events, 200, "event_type", "event_id", 1)
     with pytest.raises(ValueError):
         bounds.stratified_bounds(s, "value", "event_type", strata_sizes(events, "event_type"), "bootstrap")
+
+
+def test_bootstrap_interval_is_near_the_normal_one(events):
+    s = samplers.simple_random(events, 600, "event_id", 3)
+    n = _row(bounds.mean_bounds(s, "value"))
+    b = _row(bounds.bootstrap_bounds(s, "value", "event_id", 400, 0.95, 5))
+    assert abs(b["estimate"] - n["estimate"]) < 1e-9 and abs(b["margin_of_error"] / n["margin_of_error"] - 1) < 0.15
+
+
+def test_bootstrap_per_group_and_of_an_array_function(spark, events):
+    import numpy as np
+
+    s = samplers.simple_random(events, 500, "event_id", 3).withColumn("kind", F.expr("nullif(event_type, 'error')"))
+    means = {r["kind"]: r for r in s.groupBy("kind").agg(F.avg("value").alias("m"), F.count("value").alias("n")).collect()}
+    by_fn = {r["kind"]: r for r in bounds.bootstrap_bounds(s, "value", "event_id", 60, by="kind", estimator=bounds.ArrayStatistic(np.mean)).collect()}
+    for r in bounds.bootstrap_bounds(s, "value", "event_id", 60, by="kind").collect():
+        m, f = means[r["kind"]], by_fn[r["kind"]]
+        assert abs(r["estimate"] - m["m"]) < 1e-9 and r["sample_size"] == m["n"] and r["lower_bound"] < m["m"] < r["upper_bound"]
+        assert all(abs(r[c] - f[c]) < 1e-9 for c in ("estimate", "lower_bound", "upper_bound")) and f["sample_size"] == r["sample_size"]
+    assert None in by_fn
+    none = _row(bounds.bootstrap_bounds(s.where("value < -1e9"), "value", "event_id", 20))
+    assert none["sample_size"] == 0 and none["estimate"] == 0.0
+    one = _row(bounds.bootstrap_bounds(s.limit(1), "value", "event_id", 20))
+    assert one["lower_bound"] == one["estimate"] == one["upper_bound"]
+
+
+def test_poisson_multiplicities_have_mean_and_variance_one(spark):
+    rows = bounds._digests(spark.range(20_000).select(F.col("id").alias("k")), ["k"], 1, 8)
+    m = rows.select(F.explode(F.array(*[bounds._drawn(i) for i in range(bounds.PER_DIGEST)])).alias("m")).agg(F.avg("m").alias("a"), F.variance("m").alias("v")).first()
+    assert abs(m["a"] - 1) < 0.02 and abs(m["v"] - 1) < 0.03

@@ -27,13 +27,13 @@ def test_samples_are_not_sorted_in_one_task(spark):
         assert "SinglePartition" not in p and "TakeOrdered" not in p and "CartesianProduct" not in p and "NestedLoop" not in p
 
 
-def test_order_statistics_and_bootstrap_have_no_single_task_window(spark):
+def test_bootstrap_reads_the_sample_once_and_joins_nothing(spark):
     from approxspark.operators import bounds
 
     ev = table(spark, SF_CHECK, "events")
-    p = _plan(bounds.ranked_values(ev, "value", "event_id"))
-    # the only single-task window is over the sizes of ranges: its input is an aggregate, not the rows
-    assert p.count("SinglePartition") <= 1 and "HashAggregate" in p.split("SinglePartition")[1]
+    for stat in (F.avg, F.median):
+        p = _plan(bounds.bootstrap_bounds(ev, "value", "event_id", 40, estimator=stat, by="event_type"))
+        assert "Join" not in p and "Window" not in p and "SinglePartition" not in p
 
 
 def test_sketch_is_not_built_per_value(spark):
