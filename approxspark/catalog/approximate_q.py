@@ -52,6 +52,7 @@ register("flagship_approx_agg", approx_group_sql(f"SELECT * FROM {SALES_SQL}", "
 
 from ..functions.keys import sql_key, sql_priority  # noqa: E402
 from .sampling_q import NULL_EVENTS, bottom_k_sql, null_events  # noqa: E402
+from ..operators.sketches import cms_bucket_sql  # noqa: E402
 from .sketches_q import cms_sql  # noqa: E402
 from ..plans.allocation import allocate, strata_sizes  # noqa: E402
 from ..plans.sizing import delivered_accuracy, size_for_accuracy, size_for_shape  # noqa: E402
@@ -278,16 +279,14 @@ def synopsis_distinct(spark, d):
 @register(
     "synopsis_group_counts",
     f"WITH cms AS ({cms_sql(f'SELECT category FROM {SALES_SQL}', 'category')}), keys AS (SELECT DISTINCT category FROM {SALES_SQL}), "
-    "probe AS (SELECT category, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || category), 1, 8))::BIGINT % 2000)::INTEGER AS bucket FROM keys, range(5) AS g(r)) "
+    f"probe AS (SELECT category, r AS depth_row, {cms_bucket_sql('r', 'category')} AS bucket FROM keys, range(5) AS g(r)) "
     "SELECT category, min(cnt)::BIGINT AS count FROM probe JOIN cms USING (depth_row, bucket) GROUP BY category",
 )
 def synopsis_group_counts(spark, d):
-    # D8 from the stored Count-Min table; the keys are the strata of the stored sample
+    # D8 from the stored Count-Min table; the keys are those of the stored frequent-items summary
     from ..operators import synopsis
 
-    paths = sales_synopses(spark, d)
-    keys = spark.read.parquet(paths["stratified"]).where(F.col("strata_column") == "category").select(F.col("strata_value").alias("category")).distinct()
-    return synopsis.counts_from_sketch(spark, paths["cms"], "category", keys)
+    return synopsis.heavy_counts(spark, sales_synopses(spark, d), "category").withColumnRenamed("key", "category")
 
 
 @register(

@@ -149,18 +149,31 @@ def sample_group_min_one(spark, d):
     return s.select("event_id", "user_id", F.col("pop_n").cast("long"), F.col("take_n").cast("long"))
 
 
-@register(
-    "sample_weighted",
+WEIGHTED_SQL = (
     "WITH w AS (SELECT o_orderkey, count(*) OVER (PARTITION BY o_orderpriority) AS wt FROM orders) "
-    f"SELECT o_orderkey FROM w ORDER BY ln({sql_uniform(sql_priority('o_orderkey', 42))}) / wt DESC, {sql_key('o_orderkey')} LIMIT 300",
+    f"SELECT o_orderkey FROM w ORDER BY ln({sql_uniform(sql_priority('o_orderkey', 42))}) / wt DESC, {sql_key('o_orderkey')} LIMIT 300"
 )
-def sample_weighted(spark, d):
-    # E9 with the reference's weight: each row weighs its own group's size (joined, not windowed:
+
+
+def _weighted_orders(spark, d):
+    # the reference's weight: each row weighs its own group's size (joined, not windowed:
     # a window over a hot group would put a third of the table in one task)
     orders = table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
     sizes = orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).cast("double").alias("wt"))
-    weighted = join_keys(orders, sizes, "o_orderpriority")
-    return samplers.weighted(weighted, 300, "o_orderkey", "wt", 42).select("o_orderkey")
+    return join_keys(orders, sizes, "o_orderpriority")
+
+
+@register("sample_weighted", WEIGHTED_SQL)
+def sample_weighted(spark, d):
+    return samplers.weighted(_weighted_orders(spark, d), 300, "o_orderkey", "wt", 42).select("o_orderkey")
+
+
+@register("sample_weighted_merged", WEIGHTED_SQL)
+def sample_weighted_merged(spark, d):
+    # The weighted samples of three parts merge into that of the whole
+    orders = _weighted_orders(spark, d)
+    parts = [samplers.weighted(orders.where(F.col("o_orderkey") % 3 == i), 300, "o_orderkey", "wt", 42) for i in range(3)]
+    return samplers.merge_weighted(300, "o_orderkey", *parts).select("o_orderkey")
 
 
 @register(

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.keys import sql_key, sql_priority
 from ..operators import sketches, synopsis
 from ..operators.joins import join_keys
 from ..sources.tables import SALES_SQL, sales, table
@@ -64,7 +65,7 @@ def hll_union_parts(spark, d):
 
 def cms_sql(src: str, key: str, width: int = sketches.CMS_WIDTH, depth: int = sketches.CMS_DEPTH) -> str:
     return (
-        f"SELECT r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || coalesce(CAST({key} AS VARCHAR), '\\N')), 1, 8))::BIGINT % {width})::INTEGER AS bucket, "
+        f"SELECT r AS depth_row, {sketches.cms_bucket_sql('r', key, width)} AS bucket, "
         f"count(*)::BIGINT AS cnt FROM ({src}), range({depth}) AS g(r) GROUP BY 1, 2"
     )
 
@@ -78,7 +79,7 @@ def cms_build(spark, d):
     "cms_point_estimate",
     f"WITH cms AS ({cms_sql('SELECT user_id FROM events', 'user_id')}), "
     "keys AS (SELECT user_id, count(*)::BIGINT AS exact FROM events GROUP BY user_id), "
-    "probe AS (SELECT user_id, exact, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || CAST(user_id AS VARCHAR)), 1, 8))::BIGINT % 2000)::INTEGER AS bucket "
+    f"probe AS (SELECT user_id, exact, r AS depth_row, {sketches.cms_bucket_sql('r', 'user_id')} AS bucket "
     "FROM keys, range(5) AS g(r)) "
     "SELECT user_id, min(cnt)::BIGINT AS estimate, any_value(exact) AS exact, min(cnt) >= any_value(exact) AS never_below "
     "FROM probe JOIN cms USING (depth_row, bucket) GROUP BY user_id",
@@ -95,7 +96,7 @@ def cms_point_estimate(spark, d):
     "cms_group_counts",
     f"WITH cms AS ({cms_sql(f'SELECT category FROM {SALES_SQL}', 'category')}), "
     f"keys AS (SELECT DISTINCT category FROM {SALES_SQL}), "
-    "probe AS (SELECT category, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || category), 1, 8))::BIGINT % 2000)::INTEGER AS bucket "
+    f"probe AS (SELECT category, r AS depth_row, {sketches.cms_bucket_sql('r', 'category')} AS bucket "
     "FROM keys, range(5) AS g(r)) "
     "SELECT category, min(cnt)::BIGINT AS count FROM probe JOIN cms USING (depth_row, bucket) GROUP BY category",
 )
@@ -106,6 +107,25 @@ def cms_group_counts(spark, d):
     return sketches.cms_estimate(s, "category", cms, alias="count")
 
 
+SHARE = 0.02
+
+
+@register(
+    "cms_heavy_groups",
+    f"WITH k AS (SELECT nullif(user_id % 20, 3) AS bucket_of FROM events), cms AS ({cms_sql('SELECT * FROM k', 'bucket_of')}), keys AS (SELECT bucket_of, count(*)::BIGINT AS exact FROM k GROUP BY 1), "
+    f"probe AS (SELECT bucket_of, exact, r AS depth_row, {sketches.cms_bucket_sql('r', 'bucket_of')} AS bucket FROM keys, range(5) AS g(r)), "
+    "est AS (SELECT CAST(bucket_of AS VARCHAR) AS key, min(cnt)::BIGINT AS count, any_value(exact) AS exact FROM probe JOIN cms USING (depth_row, bucket) GROUP BY bucket_of) "
+    f"SELECT key, count, count >= exact AS never_below FROM est WHERE exact > {SHARE} * (SELECT count(*) FROM events)",
+)
+def cms_heavy_groups(spark, d):
+    # D8 without the base: the keys come from the stored frequent-items summary, their counts from the stored cells
+    ev = table(spark, d, "events").select("event_id", F.nullif(F.col("user_id") % 20, F.lit(3)).alias("bucket_of"))
+    paths = synopsis.build_sketches(ev, "event_id", counts=["bucket_of"], sample_size=100, share=SHARE, name="heavy")
+    est = synopsis.heavy_counts(spark, paths, "bucket_of", SHARE)
+    exact = ev.groupBy(F.col("bucket_of").cast("string").alias("key")).agg(F.count(F.lit(1)).alias("exact"))
+    return join_keys(est, exact, "key").where(F.col("exact") > F.lit(SHARE) * F.lit(ev.count())).select("key", "count", (F.col("count") >= F.col("exact")).alias("never_below"))
+
+
 PROFILE_NUMERIC = ["event_id", "user_id", "value"]
 
 
@@ -166,7 +186,7 @@ def build_sketches(spark, d):
 @register(
     "cms_null_key",
     f"WITH cms AS ({cms_sql(NULL_EVENTS, 'kind')}), keys AS (SELECT kind, count(*)::BIGINT AS exact FROM ({NULL_EVENTS}) GROUP BY kind), "
-    "probe AS (SELECT kind, exact, r AS depth_row, (('0x' || substr(md5(CAST(r AS VARCHAR) || ':' || coalesce(kind, '\\N')), 1, 8))::BIGINT % 2000)::INTEGER AS bucket FROM keys, range(5) AS g(r)) "
+    f"probe AS (SELECT kind, exact, r AS depth_row, {sketches.cms_bucket_sql('r', 'kind')} AS bucket FROM keys, range(5) AS g(r)) "
     "SELECT kind, min(cnt)::BIGINT AS count, min(cnt) >= any_value(exact) AS never_below FROM probe JOIN cms USING (depth_row, bucket) GROUP BY kind",
 )
 def cms_null_key(spark, d):
@@ -174,3 +194,51 @@ def cms_null_key(spark, d):
     ev = null_events(spark, d)
     est = sketches.cms_estimate(ev, "kind", sketches.cms_build(ev, "kind"), alias="count")
     return join_keys(est, ev.groupBy("kind").agg(F.count(F.lit(1)).alias("exact")), "kind").select("kind", "count", (F.col("count") >= F.col("exact")).alias("never_below"))
+
+
+# synopses of two parts, merged: as if they had been built on both
+MERGED_K = 700
+
+
+def _merged(spark, d):
+    ev = table(spark, d, "events").select("event_id", "user_id", "event_type", "value")
+    parts = [ev.where(F.col("event_id") % 3 == 0), ev.where(F.col("event_id") % 3 > 0)]
+    built = [synopsis.build_sketches(p, "event_id", ["user_id"], ["event_type"], ["event_type"], sample_size=MERGED_K, name="part") for p in parts]
+    return synopsis.merge_sketches(spark, *built, key="event_id", sample_size=MERGED_K)
+
+
+@register("merged_profile", _profile_oracle())
+def merged_profile(spark, d):
+    # D19 refreshed by a part: moments merged pairwise
+    ev = table(spark, d, "events")
+    parts = [synopsis.build_profile(ev.where(p), ["event_type"], "part") for p in ("event_id % 3 = 0", "event_id % 3 > 0")]
+    return rounded(spark.read.parquet(synopsis.merge_profiles(spark, *parts)), mean=4, std=4, sum=4)
+
+
+@register(
+    "merged_samples",
+    f"WITH r AS (SELECT event_id, event_type, row_number() OVER (ORDER BY {sql_priority('event_id', 42)}, {sql_key('event_id')}) AS a, count(*) OVER () AS n, "
+    f"row_number() OVER (PARTITION BY event_type ORDER BY {sql_priority('event_id', 42)}, {sql_key('event_id')}) AS b, count(*) OVER (PARTITION BY event_type) AS m FROM events) "
+    f"SELECT 'sample' AS synopsis, event_id, n::BIGINT AS pop_n, least(n, {MERGED_K})::BIGINT AS take_n FROM r WHERE a <= {MERGED_K} "
+    f"UNION ALL SELECT event_type, event_id, m::BIGINT, least(m, {MERGED_K})::BIGINT FROM r WHERE b <= {MERGED_K}",
+)
+def merged_samples(spark, d):
+    # The samples of the parts merge into the sample of the whole, sizes and weights with them
+    paths = _merged(spark, d)
+    out = spark.read.parquet(paths["sample"]).select(F.lit("sample").alias("synopsis"), "event_id", "pop_n", "take_n")
+    return out.unionByName(spark.read.parquet(paths["stratified"]).select(F.col("strata_value").alias("synopsis"), "event_id", "pop_n", "take_n"))
+
+
+@register(
+    "merged_sketches",
+    f"WITH cms AS ({cms_sql('SELECT event_type FROM events', 'event_type')}) "
+    "SELECT 'cms' AS synopsis, depth_row::BIGINT AS a, bucket::BIGINT AS b, cnt AS c FROM cms UNION ALL SELECT 'hll', 1, 1, (SELECT count(DISTINCT user_id) FROM events)::BIGINT",
+)
+def merged_sketches(spark, d):
+    # Cells add up; the union of the parts' HLL sketches is near the exact count (shown where it is)
+    paths = _merged(spark, d)
+    cells = spark.read.parquet(paths["cms"]).select(F.lit("cms").alias("synopsis"), F.col("depth_row").cast("long").alias("a"), F.col("bucket").cast("long").alias("b"), F.col("cnt").alias("c"))
+    est = synopsis.distinct_from_sketch(spark, paths["hll"], "user_id").first()[0]
+    exact = table(spark, d, "events").agg(F.count_distinct("user_id").cast("long").alias("c"))
+    hll = exact.select(F.lit("hll").alias("synopsis"), (F.abs(F.lit(est) - F.col("c")) <= TOL * F.col("c")).cast("long").alias("a"), F.lit(1).cast("long").alias("b"), "c")
+    return cells.unionByName(hll)

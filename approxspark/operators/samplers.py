@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -160,6 +161,18 @@ def weighted(df: DataFrame, k: int, key: str | Sequence[str], weight: str, seed:
     u = uniform(priority(key, seed))
     wcol = F.col(weight).cast("double")
     valid = df.where(wcol.isNotNull() & ~F.isnan(wcol) & (wcol > 0)).withColumn("es_key", F.log(u) / wcol)
+    return _first_races(valid, k, key, tie)
+
+
+def merge_weighted(k: int, key: str | Sequence[str], *samples: DataFrame, tie: str | Sequence[str] | None = None) -> DataFrame:
+    """Weighted samples (of ``k`` rows each, with their es_key) of disjoint parts to that of their union.
+
+    A row's race doesn't depend on other rows, and the k first of all are among the k first of their parts.
+    """
+    return _first_races(reduce(DataFrame.unionByName, samples), k, key, tie)
+
+
+def _first_races(valid: DataFrame, k: int, key: str | Sequence[str], tie: str | Sequence[str] | None) -> DataFrame:
     race = -F.col("es_key")
     step = F.when(race > 0, F.floor(F.log2(race) * 8)).otherwise(F.lit(-100_000)).cast("int")
     counts = sorted((r[0], r[1]) for r in valid.groupBy(step.alias(BUCKET)).agg(F.count(F.lit(1)).alias("n")).collect())

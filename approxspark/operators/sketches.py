@@ -5,12 +5,13 @@ HLL: Spark's built-in mergeable sketch (``hll_sketch_agg`` / ``hll_union_agg`` /
 
 Count-Min: kept *relational* - a table (depth_row, bucket, cnt) - so it can be built by one plain
 ``groupBy`` (map-side partial aggregation leaves at most depth x width rows per task to shuffle,
-whatever the keys), NULL being a key of its own, merged by ``union`` + ``groupBy``, maintained by a streaming aggregate and probed by a
+whatever the keys; one digest a row serves all depth rows), NULL being a key of its own, merged by ``union`` + ``groupBy``, maintained by a streaming aggregate and probed by a
 join. Buckets use an md5 hash so DuckDB reproduces the same table.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -44,10 +45,24 @@ def hll_merge(sketches: DataFrame, by: str | Sequence[str] | None = None, alias:
     return sketches.groupBy(*by).agg(e) if by else sketches.agg(e)
 
 
-def cms_bucket(row: Column, key: Column, width: int = CMS_WIDTH) -> Column:
-    """Bucket of a key in a depth row: first 32 bits of md5('row:key') mod width."""
-    h = F.md5(F.concat(row.cast("string"), F.lit(":"), F.coalesce(key.cast("string"), F.lit(NULL_TEXT))))
-    return (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % F.lit(width)).cast("int")
+#: Depth rows that one digest serves, six hex digits each.
+PER_DIGEST = 5
+
+
+def _cells(df: DataFrame, by: Sequence[str], key: Column, width: int, depth: int, *more: Column) -> DataFrame:
+    """Each row once per depth row with its bucket: 24 bits of a digest of the key, which serves five rows, mod width."""
+    text = F.coalesce(key.cast("string"), F.lit(NULL_TEXT))
+    digests = [F.md5(F.concat(F.lit(f"{i}:"), text)).alias(f"_d{i}") for i in range(-(-depth // PER_DIGEST))]
+    df = df.select(*by, *more, *digests)
+    bits = lambda r: F.conv(F.substring(f"_d{r // PER_DIGEST}", 6 * (r % PER_DIGEST) + 1, 6), 16, 10).cast("bigint")
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("depth_row"), (bits(r) % F.lit(width)).cast("int").alias("bucket")) for r in range(depth)]))
+    return df.select(*by, *[c for c in df.columns if c not in by and not c.startswith("_d")], each.alias("_cell")).select("*", "_cell.*").drop("_cell")
+
+
+def cms_bucket_sql(row: str, key: str, width: int = CMS_WIDTH) -> str:
+    """The same bucket in DuckDB, for the oracles."""
+    digest = f"md5(CAST({row} // {PER_DIGEST} AS VARCHAR) || ':' || coalesce(CAST({key} AS VARCHAR), '{NULL_TEXT}'))"
+    return f"(('0x' || substr({digest}, CAST(6 * ({row} % {PER_DIGEST}) + 1 AS BIGINT), 6))::BIGINT % {width})::INTEGER"
 
 
 def cms_build(df: DataFrame, key: str, count: str | None = None, width: int = CMS_WIDTH, depth: int = CMS_DEPTH,
@@ -56,18 +71,41 @@ def cms_build(df: DataFrame, key: str, count: str | None = None, width: int = CM
     ``by`` builds one table per value of those columns (e.g. one per profiled column) in one pass."""
     by = as_list(by)
     c = F.col(count).cast("long") if count else F.lit(1).cast("long")
-    rows = df.select(*by, F.col(key).alias("_key"), c.alias("_c"), F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row"))
-    return rows.groupBy(*by, "depth_row", cms_bucket(F.col("depth_row"), F.col("_key"), width).alias("bucket")).agg(
-        F.sum("_c").cast("long").alias("cnt")
-    )
+    return _cells(df, by, F.col(key), width, depth, c.alias("_c")).groupBy(*by, "depth_row", "bucket").agg(F.sum("_c").cast("long").alias("cnt"))
 
 
-def cms_merge(*tables: DataFrame) -> DataFrame:
+def cms_merge(*tables: DataFrame, by: str | Sequence[str] | None = None) -> DataFrame:
     """Merge Count-Min tables of parts: cell-wise sum."""
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
-    return out.groupBy("depth_row", "bucket").agg(F.sum("cnt").cast("long").alias("cnt"))
+    return out.groupBy(*as_list(by), "depth_row", "bucket").agg(F.sum("cnt").cast("long").alias("cnt"))
+
+
+def tracked_for(share: float) -> int:
+    """Keys that a frequent-items summary has to track for every key of more than ``share`` of all rows to be in it.
+
+    Its counts are off by at most 3.5 / m of all rows for a table of m (a power of two, filled to three quarters), and it
+    names the keys whose count is above that for sure: those of more than 7 / m of all rows.
+    """
+    return int(0.75 * 2 ** math.ceil(math.log2(7.0 / share)))
+
+
+def heavy_sketch(column: str, share: float) -> Column:
+    """Aggregate: a mergeable frequent-items summary of a column's values as text (NULL being one), of bounded size."""
+    text = F.coalesce(F.col(column).cast("string"), F.lit(NULL_TEXT))
+    return F.call_function("approx_top_k_accumulate", text, F.lit(tracked_for(share)))
+
+
+def heavy_merge(sketch: str, share: float) -> Column:
+    """Aggregate: the summary of the union of the parts' summaries."""
+    return F.call_function("approx_top_k_combine", F.col(sketch), F.lit(tracked_for(share)))
+
+
+def heavy_keys(sketches: DataFrame, sketch: str, share: float, alias: str = "key") -> DataFrame:
+    """The keys that a table of one summary names, NULL as such; every key of more than ``share`` of the rows is among them."""
+    items = F.call_function("approx_top_k_estimate", F.col(sketch), F.lit(tracked_for(share)))
+    return sketches.select(F.explode(items).alias("_i")).select(F.nullif(F.col("_i.item"), F.lit(NULL_TEXT)).alias(alias))
 
 
 def cms_estimate(keys: DataFrame, key: str, table: DataFrame, width: int = CMS_WIDTH, depth: int = CMS_DEPTH,
@@ -76,8 +114,6 @@ def cms_estimate(keys: DataFrame, key: str, table: DataFrame, width: int = CMS_W
 
     The CMS table has depth x width rows, so Spark may broadcast it; NULL keys are probed like others.
     """
-    probes = keys.select(F.col(key)).distinct().select(
-        F.col(key), F.explode(F.sequence(F.lit(0), F.lit(depth - 1))).alias("depth_row")
-    ).withColumn("bucket", cms_bucket(F.col("depth_row"), F.col(key), width))
+    probes = _cells(keys.select(F.col(key)).distinct(), [key], F.col(key), width, depth)
     j = probes.join(table.select("depth_row", "bucket", "cnt"), ["depth_row", "bucket"], "left")
     return j.groupBy(key).agg(F.coalesce(F.min("cnt"), F.lit(0)).cast("long").alias(alias))

@@ -11,16 +11,17 @@ sketches  one aggregate pass with an HLL sketch per column (wide row, then unpiv
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.allocation import allocate
 from ..plans.sizing import size_for_accuracy
-from ..session import scratch_path
+from ..session import scratch_path, store
 from . import samplers
 from .exact import numeric_columns
-from .sketches import HLL_LG_K, cms_build, cms_estimate
+from .sketches import HLL_LG_K, cms_build, cms_estimate, cms_merge, heavy_keys, heavy_merge, heavy_sketch
 
 def profile(df: DataFrame, frequencies: Sequence[str]) -> DataFrame:
     """D19 as a DataFrame: rows (column, kind, value, count, mean, std, min, max, sum).
@@ -95,16 +96,18 @@ def hll_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def build_sketches(df: DataFrame, key: str | Sequence[str], distinct: Sequence[str] = (), counts: Sequence[str] = (), strata: Sequence[str] = (),
-                   name: str = "sketches", sample_size: int = 10000, seed: int = 42) -> dict[str, str]:
+                   name: str = "sketches", sample_size: int = 10000, seed: int = 42, share: float = 0.01) -> dict[str, str]:
     """Write synopses of ``df`` and return their paths.
 
     hll         an HLL sketch per column of ``distinct``
     cms         a Count-Min table per column of ``counts``
+    heavy       a frequent-items summary per column of ``counts``: every value of more than ``share`` of the rows is in it
     sample      a bottom-k sample of ``sample_size`` rows with its pop_n and take_n
     stratified  per column of ``strata`` and value of it a bottom-k of ``sample_size`` rows, with the
                 stratum's pop_n and take_n: (strata_column, strata_value, the columns of df...). A near-unique column
                 has as many rows as the table, so the caller names the columns.
-    Each kind is one or two passes for all its columns.
+    Each kind is one pass for all its columns (samples: two), over the columns that it needs (samples store the whole
+    rows). All merge with those of another part: see :func:`merge_sketches`.
     """
     spark = df.sparkSession
     base = scratch_path(spark, name)
@@ -116,8 +119,10 @@ def build_sketches(df: DataFrame, key: str | Sequence[str], distinct: Sequence[s
         hll_columns(df, distinct).write.parquet(paths["hll"])
     if counts:
         paths["cms"] = f"{base}/cms"
-        pairs = _pairs(df, counts).select(F.col("strata_column").alias("column"), "strata_value")
+        pairs = _pairs(df.select(*counts), counts).select(F.col("strata_column").alias("column"), "strata_value")
         cms_build(pairs, "strata_value", by="column").write.parquet(paths["cms"])
+        paths["heavy"] = f"{base}/heavy"
+        pairs.groupBy("column").agg(heavy_sketch("strata_value", share).alias("sketch")).write.parquet(paths["heavy"])
     if strata:
         paths["stratified"] = f"{base}/stratified"
         pairs, by = _pairs(df, strata), ["strata_column", "strata_value"]
@@ -143,6 +148,62 @@ def counts_from_sketch(spark, path: str, column: str, keys: DataFrame, alias: st
     return cms_estimate(keys, keys.columns[0], spark.read.parquet(path).where(F.col("column") == column), alias=alias)
 
 
+def heavy_counts(spark, paths: dict[str, str], column: str, share: float = 0.01) -> DataFrame:
+    """D8 without the base table: (key, count) of the values of ``column`` (as text) that the frequent-items summary names,
+    each counted by the Count-Min cells. Every value of more than ``share`` of the rows (as built) is among them."""
+    summary = spark.read.parquet(paths["heavy"]).where(F.col("column") == column)
+    return counts_from_sketch(spark, paths["cms"], column, heavy_keys(summary, "sketch", share))
+
+
+def merge_profiles(spark, *paths: str, name: str = "profile") -> str:
+    """D19 of the union of disjoint parts from the parts' profiles: counts and sums add up, deviations are merged by
+    their means, so that no base table is read. Parts must have been profiled alike."""
+    p = spark.read.parquet(*paths)
+    n = F.col("count").cast("double")
+    d = F.col("mean") - F.col("_all")
+    # the union's mean per column first: the deviations are taken about it
+    means = p.where(F.col("kind") == "numeric").groupBy("column").agg((F.sum(F.when(n > 0, F.col("mean") * n)) / F.sum(n)).alias("_all"))
+    dev = F.coalesce(F.col("std") * F.col("std") * (n - 1), F.lit(0.0)) + F.when(n > 0, n * d * d).otherwise(0.0)
+    total = F.sum("count").cast("long")
+    merged = p.join(means, "column", "left").groupBy("column", "kind", "value").agg(
+        total.alias("count"), F.max("_all").alias("_mean"), F.sum(dev).alias("_dev"), F.min("min").alias("min"), F.max("max").alias("max"), F.sum("sum").alias("sum"))
+    numeric = F.col("kind") == "numeric"
+    out = merged.select("column", "kind", "value", "count", F.when(numeric, F.col("_mean")).alias("mean"), F.when(numeric & (F.col("count") > 1), F.sqrt(F.col("_dev") / (F.col("count") - 1))).alias("std"), "min", "max", "sum")
+    path = scratch_path(spark, name)
+    out.write.parquet(path)
+    return path
+
+
+def merge_sketches(spark, *parts: dict[str, str], key: str | Sequence[str], sample_size: int = 10000, seed: int = 42, share: float = 0.01,
+                   name: str = "sketches") -> dict[str, str]:
+    """D20 of the union of disjoint parts from the parts' synopses, without their tables: what ``build_sketches`` would
+    have written over all (HLL and frequent-items summaries: the union's). ``key``, ``sample_size``, ``seed`` and
+    ``share`` are those that all parts were built with."""
+    base = scratch_path(spark, name)
+    kinds = [k for k in ("sample", "hll", "cms", "heavy", "stratified") if all(k in p for p in parts)]
+    paths = {k: f"{base}/{k}" for k in kinds}
+    read = lambda k: spark.read.parquet(*[p[k] for p in parts]) if k != "stratified" else reduce(DataFrame.unionByName, [spark.read.parquet(p[k]) for p in parts])
+    merged = {
+        "sample": lambda r: _merge_samples(r.withColumn("_all", F.lit(1)), ["_all"], key, sample_size, seed).drop("_all"),
+        "hll": lambda r: r.groupBy("column").agg(F.hll_union_agg("sketch").alias("sketch")),
+        "cms": lambda r: cms_merge(r, by="column"),
+        "heavy": lambda r: r.groupBy("column").agg(heavy_merge("sketch", share).alias("sketch")),
+        "stratified": lambda r: _merge_samples(r, ["strata_column", "strata_value"], key, sample_size, seed),
+    }
+    for k in kinds:
+        writer = merged[k](read(k)).write
+        (writer.partitionBy("strata_column") if k == "stratified" else writer).parquet(paths[k])
+    return paths
+
+
+def _merge_samples(rows: DataFrame, by: Sequence[str], key: str | Sequence[str], k: int, seed: int) -> DataFrame:
+    """Bottom-k samples of disjoint parts to that of their union, per stratum. A part's rows tell its stratum's size: pop_n
+    over take_n for each of take_n rows."""
+    sizes = rows.groupBy(*by).agg(F.round(F.sum(F.col("pop_n") / F.col("take_n"))).cast("long").alias("pop_n"))
+    plan, _ = store(sizes.withColumn("take_n", F.least("pop_n", F.lit(k)).cast("long")), "sizes")
+    return samplers.from_plan(rows.drop("pop_n", "take_n"), plan, by, key, seed).drop("sampling_weight")
+
+
 def build_stratified_sample(df: DataFrame, by: str | Sequence[str], key: str | Sequence[str], accuracy: float = 95, seed: int = 42,
                             name: str = "stratified_sample", path: str | None = None, min_sample: int | None = None, max_sample: int | None = None) -> str:
     """Stratified sample synopsis for approximate GROUP BY on ``by``: the accuracy-sized sample
