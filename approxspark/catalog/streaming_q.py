@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions.keys import sql_key, sql_priority, sql_uniform
+from ..session import scratch_path
 from ..sources.tables import table
 from ..streaming import synopses
 from .sampling_q import bottom_k_sql
@@ -31,7 +33,7 @@ def _events_stream(spark, d, name, columns=None):
 def stream_append_count(spark, d):
     stream, _ = _events_stream(spark, d, "stream-count", ["event_id", "value"])
     aggs = [F.count(F.lit(1)).cast("long").alias("count"), F.sum("value").alias("total"), F.avg("value").alias("mean")]
-    final, versions = synopses.run_versioned(synopses.running_aggregates(stream, aggs), "complete", "stream-count-out")
+    final, versions = synopses.run_versioned(synopses.running_aggregates(stream, aggs), "complete", "stream-count-out", retain=None)
     return final.select("count", F.round("total", 2).alias("total"), F.round("mean", 4).alias("mean"),
                         F.lit(len(versions) >= 3).alias("multi_batch"))
 
@@ -54,7 +56,7 @@ def stream_group_agg(spark, d):
 def stream_hll(spark, d):
     # The running estimate must track the exact count and grow with new users
     stream, ev = _events_stream(spark, d, "stream-hll", ["event_id", "user_id"])
-    final, versions = synopses.run_versioned(synopses.running_hll(stream, "user_id"), "complete", "stream-hll-out")
+    final, versions = synopses.run_versioned(synopses.running_hll(stream, "user_id"), "complete", "stream-hll-out", retain=None)
     # all versions in one job, one row each
     out = versions[0].rpartition("/")[0]
     history = spark.read.option("basePath", out).parquet(*versions).withColumn("before", F.lag("approx_distinct").over(Window.orderBy("batch")))
@@ -112,3 +114,31 @@ def stream_then_query(spark, d):
     )
     counts = spark.read.parquet(paths["counts"]).select("event_type", F.col("rows").alias("count"))
     return counts.join(res, "event_type")
+
+
+@register(
+    "stream_weighted_reservoir",
+    f"SELECT event_id FROM events WHERE value > 0 ORDER BY ln({sql_uniform(sql_priority('event_id', 11))}) / value DESC, {sql_key('event_id')} LIMIT 200",
+)
+def stream_weighted_reservoir(spark, d):
+    # E9 over a stream: each batch's weighted sample merges with the state
+    stream, _ = _events_stream(spark, d, "stream-wres", ["event_id", "value"])
+    paths = synopses.reservoir_stream(stream, 200, "event_id", 11, "stream-wres-out", weight="value")
+    return spark.read.parquet(paths["reservoir"]).select("event_id")
+
+
+@register(
+    "stream_state_domains",
+    f"WITH r AS ({STRAT_RES_SQL}), s AS (SELECT event_type, count(*) AS pop_n, least(count(*), 40) AS take_n FROM events GROUP BY event_type) "
+    "SELECT user_id % 3 AS third, floor(round(sum(pop_n / take_n), 6))::BIGINT AS count, round(sum(value * pop_n / take_n), 2) AS total, count(*)::BIGINT AS sample_size, "
+    "(SELECT count(*) FROM events)::BIGINT AS total_size FROM r JOIN events USING (event_id, event_type) JOIN s USING (event_type) GROUP BY 1",
+)
+def stream_state_domains(spark, d):
+    # G6 + D13: groups other than the strata, from the state of the stream
+    stream, _ = _events_stream(spark, d, "stream-dom", ["event_id", "event_type", "user_id", "value"])
+    path = scratch_path(spark, "stream-dom-out")
+    synopses.reservoir_stream(stream, 40, "event_id", 11, "stream-dom", strata="event_type", counts=True, path=path)
+    state = synopses.current_reservoir(spark, path, counts=True)
+    state["reservoir"] = state["reservoir"].withColumn("third", F.col("user_id") % 3)
+    res = synopses.answer(state, [("count", None, "count"), ("sum", "value", "total")], "third")
+    return res.select("third", "count", F.round("total", 2).alias("total"), "sample_size", "total_size")

@@ -88,3 +88,67 @@ def test_append_is_refused_and_nothing_stays_cached(spark, events):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
     state = {r["kind"]: r["n"] for r in spark.read.parquet(paths["reservoir"]).groupBy("kind").count().withColumnRenamed("count", "n").collect()}
     assert state == {k: 20 for k in state} and None in state and len(state) == 5
+
+
+def test_answers_while_the_stream_runs(spark, events):
+    # after each batch the state answers for exactly what has been committed, with a bounded number of versions
+    from pyspark.sql import functions as F
+
+    from approxspark.operators import samplers
+    from approxspark.session import list_scratch, scratch_path
+
+    cols = events.select("event_id", "event_type", "user_id", "value")
+    src, state, sums = (scratch_path(spark, n) for n in ("t-live-src", "t-live", "t-live-sums"))
+    parts = [cols.where(F.col("event_id") % 6 == i) for i in range(6)]
+    parts[0].coalesce(1).write.mode("append").parquet(src)
+    assert synopses.current_reservoir(spark, state) is None and synopses.current_aggregates(spark, sums) is None
+    read = lambda: synopses.stream_source(spark, src, cols.schema)
+    q = synopses.start_reservoir(read(), 30, "event_id", 6, state, strata="event_type", counts=True, processingTime="0 seconds")
+    a = synopses.start_aggregates(synopses.running_aggregates(read(), [F.count(F.lit(1)).alias("n")], "event_type"), "complete", sums, processingTime="0 seconds")
+    try:
+        for i in range(6):
+            if i:
+                parts[i].coalesce(1).write.mode("append").parquet(src)
+            q.processAllAvailable()
+            a.processAllAvailable()
+            seen = cols.where(F.col("event_id") % 6 <= i)
+            now = synopses.current_reservoir(spark, state, counts=True)
+            want = samplers.reservoir(seen, 30, "event_id", 6, strata="event_type").select("event_id")
+            assert now["reservoir"].count() == want.count() == 150 and now["reservoir"].select("event_id").subtract(want).count() == 0
+            exact = {r["event_type"]: r["n"] for r in seen.groupBy("event_type").agg(F.count(F.lit(1)).alias("n")).collect()}
+            assert {r["event_type"]: r["rows"] for r in now["counts"].collect()} == exact == {r["event_type"]: r["n"] for r in synopses.current_aggregates(spark, sums).collect()}
+            got = {r["event_type"]: r for r in synopses.answer(now, [("count", None, "n"), ("avg", "value", "m")], "event_type", intervals=True).collect()}
+            assert {t: r["n"] for t, r in got.items()} == exact and all(r["m_lower"] < r["m"] < r["m_upper"] for r in got.values())
+            assert len(synopses._versions(spark, f"{state}/reservoir")) <= synopses.RETAIN and len(synopses._versions(spark, sums)) <= synopses.RETAIN
+    finally:
+        q.stop()
+        a.stop()
+    assert set(list_scratch(spark, state)) == {"_checkpoint", "reservoir", "counts"}
+
+
+def test_a_half_written_version_is_not_read(spark, events):
+    from approxspark.session import drop_scratch, scratch_path
+
+    out = scratch_path(spark, "t-half")
+    for v in range(3):
+        events.select("event_id").limit(v + 1).write.parquet(f"{out}/batch={v}")
+    assert synopses.current(spark, out) == 2
+    drop_scratch(spark, f"{out}/batch=2/_SUCCESS")
+    assert synopses.current(spark, out) == 1 and synopses.current_aggregates(spark, out).count() == 2
+    synopses._retire(spark, 3, 1, out)  # never fewer than two: a replayed batch starts from the one before
+    assert synopses._versions(spark, out) == [2]
+
+
+def test_weighted_reservoir_resumes_and_refuses_strata(spark, events):
+    from approxspark.operators import samplers
+    from approxspark.session import scratch_path
+
+    cols = events.select("event_id", "event_type", "value")
+    src, state = scratch_path(spark, "t-wres-src"), scratch_path(spark, "t-wres")
+    for part in ("event_id < 3000", "event_id >= 3000"):
+        cols.where(part).repartition(2).write.mode("append").parquet(src)
+        paths = synopses.reservoir_stream(synopses.stream_source(spark, src, cols.schema), 50, "event_id", 6, "t-wres", path=state, weight="value")
+    got, want = spark.read.parquet(paths["reservoir"]), samplers.weighted(cols, 50, "event_id", "value", 6)
+    assert got.count() == 50 and got.select("event_id").subtract(want.select("event_id")).count() == 0
+    with pytest.raises(ValueError):
+        synopses.start_reservoir(synopses.stream_source(spark, src, cols.schema), 5, "event_id", 1, state, strata="event_type", weight="value", availableNow=True)
