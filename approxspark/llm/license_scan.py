@@ -8,10 +8,15 @@ cosine below it), so texts and segments without any such word are passed over.
 
 Statements that span lines are compared likewise with full licence texts (``licenses/``) and standard
 notices: the text as a whole (a licence file, which comes before any header within it) and windows of
-as many words as the template has, from the beginnings of lines. Line ends and comment marks part words and
-are no words, so that wrapped notices read as one. A text or window is passed over where it has
-fewer of a template's words than the least number that can reach the threshold (the same bound). SPDX
-lines name their licence by its exact identifier, as near identifiers are other licences.
+as many words as the template has, one in each ``STEPS``-th part of it, so that a statement is met wherever it
+begins. Line ends and comment marks part words and are no words, so that wrapped notices read as one. A text
+or window is passed over where it has fewer of a template's words than the least number that can
+reach the threshold (the same bound). SPDX lines name their licence by its exact identifier, as near
+identifiers are other licences.
+
+One pass over all texts writes which of the templates' words each has, with the text's SHA-256; from these
+follow the document frequencies and the texts that have to be compared, each once however many files
+share it. A second pass fetches these texts; nothing else carries texts or paths.
 
 A file without a
 licence of its own takes that of the nearest ancestor directory that holds a licence file: found for
@@ -30,7 +35,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import store
+from ..session import drop_scratch, store
+from .hot import left_join
 
 #: Licence statements as their projects word them (fixed values).
 TEMPLATES = (
@@ -64,8 +70,10 @@ SPDX = {i: lic for lic, ids in (
     ("Apache-2.0", "Apache-2.0"), ("MIT", "MIT"), ("GPL-3.0", "GPL-3.0 GPL-3.0+ GPL-3.0-only GPL-3.0-or-later"), ("GPL-2.0", "GPL-2.0 GPL-2.0+ GPL-2.0-only GPL-2.0-or-later"),
     ("LGPL-3.0", "LGPL-3.0 LGPL-3.0+ LGPL-3.0-only LGPL-3.0-or-later"), ("LGPL-2.1", "LGPL-2.1 LGPL-2.1+ LGPL-2.1-only LGPL-2.1-or-later"),
     ("CC-BY-NC-4.0", "CC-BY-NC-4.0"), ("BSD-3-Clause", "BSD-3-Clause"), ("BSD-2-Clause", "BSD-2-Clause"), ("MPL-2.0", "MPL-2.0 MPL-2.0-no-copyleft-exception")) for i in ids.lower().split()}
-#: Windows begin at lines; one in so many parts of a template's words.
+#: Windows begin at every so-manieth part of a template's words.
 STEPS = 16
+#: Texts to compare of which every task can have a list (32 bytes and a few numbers each); beyond that they are joined by shuffling.
+FEW = 200_000
 WORDS = r"[^\p{L}\p{N}]+"
 #: Ends of lines and of sentences.
 SEGMENTS = r"\n|(?<=[.!?;])[ \t]+"
@@ -86,6 +94,11 @@ def word_list(some: Sequence[str]) -> Column:
     return F.split(F.lit(" ".join(some)), " ")
 
 
+def array_words(text: Column, vocabulary: Sequence[str]) -> Column:
+    """The distinct words of a text that are in the vocabulary."""
+    return F.array_intersect(words(text), word_list(vocabulary))
+
+
 def template_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
@@ -125,51 +138,71 @@ def _least_words(vector: dict[str, float], threshold: float) -> int:
     return n
 
 
-def _long(rows: DataFrame, templates: Sequence[tuple[str, str]], vectors: list[dict[str, float]], idf: dict[str, float], n: int, threshold: float) -> DataFrame:
-    """Hits of the long templates: doc_id, path, t, k (0: the whole text), license, score."""
-    spark = rows.sparkSession
-    least = [_least_words(v, threshold) for v in vectors]
+def _candidates(base: DataFrame, vectors: list[dict[str, float]], threshold: float) -> DataFrame:
+    """(t, of): the long templates whose words in a text weigh enough, from the words present in each text."""
+    spark = base.sparkSession
+    weigh = spark.createDataFrame([(i, w, x * x) for i, v in enumerate(vectors) for w, x in v.items()], "template int, w string, xx double")
+    least = min(_least_words(v, threshold) for v in vectors)
+    have = base.where(F.size("present") >= least).select("t", "row", F.explode("present").alias("w")).join(F.broadcast(weigh), "w")  # parameters, not data
+    have = have.groupBy("row", "t", "template").agg(F.sum("xx").alias("s")).where(F.col("s") >= (threshold * 0.999) ** 2)
+    return have.groupBy("t").agg(F.array_sort(F.collect_set("template")).alias("of"))
+
+
+def _cosines(words_of: DataFrame, key: Sequence[str], templates: Sequence[tuple[str, str]], vectors: list[dict[str, float]], idf: dict[str, float], n: int, threshold: float) -> DataFrame:
+    """Hits (key, license, score) of word lists (key, w, a row a word), each compared with every template."""
+    spark = words_of.sparkSession
+    known = spark.createDataFrame([(w, idf[w], [v.get(w, 0.0) for v in vectors]) for w in sorted(idf)], "w string, idf double, x array<double>")
+    found = words_of.groupBy(*key, "w").agg(F.count(F.lit(1)).alias("c")).join(F.broadcast(known), "w", "left")  # parameters, not data
+    y = (F.lit(1.0) + F.log(F.col("c").cast("double"))) * F.coalesce("idf", F.lit(math.log(1 + n) + 1))
+    dots = [F.sum(F.coalesce(F.get("x", F.lit(i)), F.lit(0.0)) * F.col("y")).alias(f"_{i}") for i in range(len(templates))]
+    sums = found.withColumn("y", y).groupBy(*key).agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("norm"), *dots)
+    each = F.explode(F.array(*[F.struct(F.lit(lic).alias("license"), F.round(F.col(f"_{i}") / F.col("norm"), 6).alias("score")) for i, (lic, _) in enumerate(templates)]))
+    return sums.select(*key, each.alias("h")).select(*key, "h.*").where(F.col("score") >= threshold)
+
+
+def _segments(some: DataFrame, templates: Sequence[tuple[str, str]], vectors: list[dict[str, float]], idf: dict[str, float], n: int, threshold: float) -> DataFrame:
+    """Hits (t, k, license, score) of the templates: k = 0 is the whole text, 1 a line or sentence."""
+    pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, _anchors(vectors, threshold))) + r")(?![\p{L}\p{N}])"
+    parts = F.concat(F.array(F.col("text")), F.filter(F.split("text", SEGMENTS), lambda s: s.rlike(pattern)))
+    parts = some.where("anchored").select("t", F.posexplode(parts).alias("k", "s"))
+    # segments are numbered within their stored text's partition: the number only groups a segment's words
+    parts = parts.select("t", F.least("k", F.lit(1)).alias("k"), F.monotonically_increasing_id().alias("segment"), words(F.col("s")).alias("w"))
+    parts = parts.select("t", "k", "segment", F.explode("w").alias("w"))
+    return _cosines(parts, ["t", "k", "segment"], templates, vectors, idf, n, threshold).drop("segment")
+
+
+def _long(some: DataFrame, templates: Sequence[tuple[str, str]], vectors: list[dict[str, float]], idf: dict[str, float], n: int, threshold: float) -> DataFrame:
+    """Hits (t, k, license, score) of the long templates: k = 0 is the whole text, 1 a window of it."""
+    spark = some.sparkSession
+    lengths = [len(template_words(t)) for _, t in templates]
+    sized = spark.createDataFrame(
+        [(i, length, max(1, length // STEPS), _least_words(vectors[i], threshold), sorted(vectors[i])) for i, length in enumerate(lengths)],
+        "template int, length int, step int, least int, has array<string>")
+    texts = some.where(F.size("of") > 0).select("t", words(F.col("text")).alias("all"), F.explode("of").alias("template")).join(F.broadcast(sized), "template")
+    texts = texts.where(F.size("all") > 0)
+    enough = lambda w: F.size(F.array_intersect(w, F.col("has"))) >= F.col("least")
+    window = lambda at: F.slice("all", at + 1, F.col("length"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("all") - 1, F.col("step")), lambda at: enough(window(at)))
+    whole = F.filter(F.array(F.struct(F.lit(0).alias("k"), F.col("all").alias("w"))), lambda z: enough(z["w"]))
+    cuts = F.concat(whole, F.transform(starts, lambda at: F.struct(F.lit(1).alias("k"), window(at).alias("w"))))
+    windows = texts.select("t", "template", F.explode(cuts).alias("z")).select("t", "template", "z.*", F.monotonically_increasing_id().alias("window"))
+    windows = windows.select("t", "template", "k", "window", F.explode("w").alias("w"))
     known = spark.createDataFrame(sorted(idf.items()), "w string, idf double")
     weigh = spark.createDataFrame([(i, w, x) for i, v in enumerate(vectors) for w, x in v.items()], "template int, w string, x double")
-    # the templates whose words in a text weigh enough, by the text's hash (texts that share one are only compared more)
-    present = F.array_intersect(words(F.col("text")), word_list(sorted(idf)))
-    have = rows.select(F.xxhash64("text").alias("t"), present.alias("_p")).where(F.size("_p") >= min(least)).select("t", F.explode("_p").alias("w"))
-    have = have.distinct().join(F.broadcast(weigh), "w").groupBy("t", "template").agg(F.sum(F.col("x") * F.col("x")).alias("s")).where(F.col("s") >= (threshold * 0.999) ** 2)
-    of = have.groupBy("t").agg(F.collect_list("template").alias("of"))  # at most one of each template
-    some, _ = store(rows.withColumn("t", F.xxhash64("text")).join(of, "t").select("doc_id", "path", "text", "t", "of").distinct().withColumn("row", F.monotonically_increasing_id()), "long")
-    lengths = [len(template_words(t)) for _, t in templates]
-    # beginnings of windows: lines, counted in words, at most one in each STEPS-th part of the template
-    lines = some.select("row", F.posexplode(F.split("text", "\n")).alias("j", "line")).select("row", "j", F.size(words(F.col("line"))).alias("c")).where("c > 0")
-    lines = lines.withColumn("at", F.sum("c").over(Window.partitionBy("row").orderBy("j")) - F.col("c"))
-    before = F.coalesce(F.lag("at").over(Window.partitionBy("row").orderBy("j")), F.lit(-1))
-    lines = lines.withColumn("last", before)
-    sized = spark.createDataFrame([(i, length, max(1, length // STEPS), least[i], sorted(vectors[i])) for i, length in enumerate(lengths)], "template int, length int, step int, least int, has array<string>")
-    pairs = some.select("row", F.explode("of").alias("template"))
-    starts = pairs.join(F.broadcast(sized.select("template", "step")), "template").join(lines, "row")
-    starts = starts.where((F.col("last") < 0) | (F.floor(F.col("at") / F.col("step")) != F.floor(F.col("last") / F.col("step"))))
-    starts = starts.groupBy("row", "template").agg(F.collect_list(F.col("at").cast("int")).alias("starts"))  # fewer than a text's lines
-    # a text's windows are cut where its words are, and only those with enough of the template's words leave it
-    texts, _ = store(some.select("row", words(F.col("text")).alias("w")), "long-words")
-    whole = F.struct(F.lit(0).alias("k"), F.lit(0).alias("at"), F.col("w").alias("w"))
-    cuts = F.transform("starts", lambda at: F.struct(F.lit(1).alias("k"), at.alias("at"), F.slice("w", at + 1, F.col("length")).alias("w")))
-    fits = F.filter(F.concat(F.array(whole), cuts), lambda z: F.size(F.array_intersect(z["w"], F.col("has"))) >= F.col("least"))
-    windows = starts.join(texts, "row").join(F.broadcast(sized), "template").select("row", "template", F.explode(fits).alias("z")).select("row", "template", "z.*")
-    found = windows.select("row", "template", "k", "at", F.explode("w").alias("w")).groupBy("row", "template", "k", "at", "w").agg(F.count(F.lit(1)).alias("c"))
+    found = windows.groupBy("t", "template", "k", "window", "w").agg(F.count(F.lit(1)).alias("c"))
     found = found.join(F.broadcast(known), "w", "left").join(F.broadcast(weigh), ["template", "w"], "left")  # parameters, not data
     y = (F.lit(1.0) + F.log(F.col("c").cast("double"))) * F.coalesce("idf", F.lit(math.log(1 + n) + 1))
-    scores = found.withColumn("y", y).groupBy("row", "template", "k", "at").agg((F.sum(F.col("x") * F.col("y")) / F.sqrt(F.sum(F.col("y") * F.col("y")))).alias("s"))
+    scores = found.withColumn("y", y).groupBy("t", "template", "k", "window").agg((F.sum(F.col("x") * F.col("y")) / F.sqrt(F.sum(F.col("y") * F.col("y")))).alias("s"))
     named = spark.createDataFrame([(i, lic) for i, (lic, _) in enumerate(templates)], "template int, license string")
-    hits = scores.select("row", "template", "k", F.round("s", 6).alias("score")).where(F.col("score") >= threshold).join(F.broadcast(named), "template")
-    return hits.join(some.select("row", "doc_id", "path", "t"), "row").select("doc_id", "path", "t", "k", "license", "score")
+    return scores.select("t", "template", "k", F.round("s", 6).alias("score")).where(F.col("score") >= threshold).join(F.broadcast(named), "template").select("t", "k", "license", "score")
 
 
-def _spdx(rows: DataFrame) -> DataFrame:
+def _spdx(some: DataFrame) -> DataFrame:
     """Hits of SPDX lines, by the identifiers they name."""
     line = F.explode(F.regexp_extract_all("text", F.lit(r"(?i)SPDX-License-Identifier:[ \t]*([^\r\n]*)"), F.lit(1)))
-    ids = rows.where(F.lower("text").contains("spdx-license-identifier")).select("doc_id", "path", F.xxhash64("text").alias("t"), line.alias("l"))
-    ids = ids.select("doc_id", "path", "t", F.explode(F.split(F.lower("l"), r"[^a-z0-9.+-]+")).alias("spdx"))
-    known = rows.sparkSession.createDataFrame(sorted(SPDX.items()), "spdx string, license string")
-    return ids.join(F.broadcast(known), "spdx").select("doc_id", "path", "t", F.lit(1).alias("k"), "license", F.lit(1.0).alias("score")).distinct()
+    ids = some.where("spdx").select("t", line.alias("l")).select("t", F.explode(F.split(F.lower("l"), r"[^a-z0-9.+-]+")).alias("spdx"))
+    known = some.sparkSession.createDataFrame(sorted(SPDX.items()), "spdx string, license string")
+    return ids.join(F.broadcast(known), "spdx").select("t", F.lit(1).alias("k"), "license", F.lit(1.0).alias("score")).distinct()
 
 
 def scan(files: DataFrame, path: Column | str = "path", id_col: str = "doc_id", text_col: str = "text", templates: Sequence[tuple[str, str]] = TEMPLATES, threshold: float = 0.7, long: Sequence[tuple[str, str]] | None = None) -> DataFrame:
@@ -188,49 +221,42 @@ def scan(files: DataFrame, path: Column | str = "path", id_col: str = "doc_id",
     where = F.col(path) if isinstance(path, str) else path
     rows = files.select(F.col(id_col).alias("doc_id"), where.cast("string").alias("path"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     long = (*NOTICES, *full_texts()) if long is None else long
-    vocabulary = sorted({w for _, t in (*templates, *long) for w in template_words(t)})
-    counted = (rows.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect(words(F.col("text")), word_list(vocabulary)))).alias("w"))
-               .groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect())  # a row a template word; '' counts the texts
-    df = {r["w"]: r["n"] for r in counted}
+    vocabulary = sorted({"spdx", *(w for _, t in (*templates, *long) for w in template_words(t))})
+    name = F.unhex(F.sha2("text", 256)).alias("t")
+    base, base_path = store(rows.select("doc_id", "path", name, array_words(F.col("text"), vocabulary).alias("present"), F.monotonically_increasing_id().alias("row")), "license-words")
+    counted = base.select(F.explode(F.concat(F.array(F.lit("")), "present")).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    df = {r["w"]: r["n"] for r in counted.collect()}  # a row a template word; '' counts the texts
     n = df.pop("", 0)
     vectors, idf = _vectors(templates, df, n)
     far, far_idf = _vectors(long, df, n)
-    pattern = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, _anchors(vectors, threshold))) + r")(?![\p{L}\p{N}])"
 
-    # files get a row number of their own only where a segment is compared
-    some = rows.where(F.col("text").rlike(pattern))
-    parts = F.concat(F.array(F.col("text")), F.filter(F.split("text", SEGMENTS), lambda s: s.rlike(pattern)))
-    segments = some.select("doc_id", "path", F.xxhash64("text").alias("t"), F.posexplode(parts).alias("k", "s"))
-    segments = segments.select("doc_id", "path", "t", F.least("k", F.lit(1)).alias("k"), words(F.col("s")).alias("w")).distinct()
-    found = segments.select("doc_id", "path", "t", "k", F.xxhash64("w").alias("s"), F.explode("w").alias("w"))
-    found = found.groupBy("doc_id", "path", "t", "k", "s", "w").agg(F.count(F.lit(1)).alias("c"))
-    weigh = spark.createDataFrame([(i, lic, w, x, idf[w]) for i, ((lic, _), v) in enumerate(zip(templates, vectors)) for w, x in v.items()], "template int, license string, w string, x double, idf double")
-    known = weigh.select("w", "idf").distinct()
-    found = found.join(F.broadcast(known), "w", "left")  # templates and their words are parameters, not data
-    weight = (F.lit(1.0) + F.log(F.col("c").cast("double"))) * F.coalesce("idf", F.lit(math.log(1 + n) + 1))
-    found, _ = store(found.select("doc_id", "path", "t", "k", "s", "w", weight.alias("x")), "segments")
-    segment = ["doc_id", "path", "t", "k", "s"]
-    named = lambda d: d.withColumn("id", F.xxhash64(*[z for c in segment for z in (c, F.isnull(c))]))
-    norms = named(found).groupBy("id").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
-    dots = named(found).withColumnRenamed("x", "y").join(F.broadcast(weigh.select("template", "license", "w", "x")), "w").groupBy("id", *segment, "template", "license").agg(F.sum(F.col("x") * F.col("y")).alias("dot"))
-    hits = dots.join(norms, "id").select(*segment, "license", F.round(F.col("dot") / F.col("norm"), 6).alias("score")).where(F.col("score") >= threshold)
-    hits = hits.select("doc_id", "path", "t", "k", "license", "score", F.lit(False).alias("all"))
-    hits = hits.unionByName(_spdx(rows).withColumn("all", F.lit(False)))
+    # which texts have to be compared, and with what
+    anchored = F.arrays_overlap("present", word_list(_anchors(vectors, threshold)))
+    need = base.where(anchored | F.array_contains("present", "spdx")).select("t", anchored.alias("anchored"), F.array_contains("present", "spdx").alias("spdx"), F.array().cast("array<int>").alias("of"))
+    if long:
+        need = need.unionByName(_candidates(base, far, threshold).select("t", F.lit(False).alias("anchored"), F.lit(False).alias("spdx"), "of"))
+    need = need.groupBy("t").agg(F.max("anchored").alias("anchored"), F.max("spdx").alias("spdx"), F.max("of").alias("of"))
+    need, need_path = store(need, "license-need")
+    wanted = F.broadcast(need) if need.count() <= FEW else need
+    some, some_path = store(rows.select(name, "text").join(wanted, "t").groupBy("t").agg(*[F.first(c).alias(c) for c in ("text", "anchored", "spdx", "of")]), "license-texts")
+
+    hits = _segments(some, templates, vectors, idf, n, threshold).unionByName(_spdx(some)).withColumn("all", F.lit(False))
     if long:
-        hits = hits.unionByName(_long(rows, long, far, far_idf, n, threshold).withColumn("all", F.col("k") == 0))
+        hits = hits.unionByName(_long(some, long, far, far_idf, n, threshold).withColumn("all", F.col("k") == 0))
     best = F.max_by(F.struct("license", "score", F.when(F.col("k") == 0, "file").otherwise("header").alias("origin")), F.struct("all", "score", F.col("k") == 0, "license"))
-    own, _ = store(hits.groupBy("doc_id", "path", "t").agg(best.alias("own")), "licences")
+    own, _ = store(hits.groupBy("t").agg(best.alias("own")), "license-own")
+    files, _ = store(left_join(base.drop("present"), own, "t", n), "licences")
+    drop_scratch(spark, base_path, need_path, some_path)
 
     # licence files by directory, then each directory's nearest ancestor that has one
     directory = F.when(F.col("path").contains("/"), F.regexp_extract("path", r"^(.*)/[^/]*$", 1)).when(F.col("path").isNotNull(), F.lit(""))
-    held = own.where("own.origin = 'file'").withColumn("dir", directory).where("dir IS NOT NULL").groupBy("dir").agg(F.max(F.struct("own.score", "own.license")).alias("l"))
-    parents = rows.select(directory.alias("dir")).where("dir IS NOT NULL").distinct()
+    files = files.withColumn("dir", directory)
+    held = files.where("own.origin = 'file' AND dir IS NOT NULL").groupBy("dir").agg(F.max(F.struct("own.score", "own.license")).alias("l"))
+    parents = files.select("dir").where("dir IS NOT NULL").distinct()
     steps = F.split("dir", "/")
     above = parents.select("dir", F.posexplode(F.transform(F.sequence(F.lit(0), F.when(F.col("dir") == "", 0).otherwise(F.size(steps))), lambda i: F.array_join(F.slice(steps, 1, i), "/"))).alias("depth", "up"))
     nearest = above.join(held.withColumnRenamed("dir", "up"), "up").groupBy("dir").agg(F.max(F.struct("depth", "up", "l")).alias("near"))
-    keyed = rows.select("doc_id", "path", F.xxhash64("text").alias("t"), directory.alias("dir"))
-    same = (F.col("f.t") == F.col("o.t")) & F.col("f.doc_id").eqNullSafe(F.col("o.doc_id")) & F.col("f.path").eqNullSafe(F.col("o.path"))
-    joined = keyed.alias("f").join(own.alias("o"), same, "left").select("f.*", "o.own").join(nearest, "dir", "left")
+    joined = left_join(files, nearest, "dir", n)
     inherits = F.col("own").isNull() & F.col("near").isNotNull()
     return joined.select(
         "doc_id", "path", F.coalesce("own.license", "near.l.license").alias("license"), F.coalesce("own.score", "near.l.score").alias("score"),

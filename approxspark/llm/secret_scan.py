@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import list_scratch, scratch_path, store
+from .hot import left_join
 
 
 @dataclass(frozen=True)
@@ -55,8 +56,6 @@ MORE = (
 RULES = BASE + MORE
 
 SPAN = "struct<rule:string,start:bigint,end:bigint>"
-#: A blob of a thousandth of all versions or more is joined in parts of so many rows.
-HOT_PART = 2_000
 #: Unseen blobs of which every task can have a list; beyond that texts are grouped before the others are left out.
 FEW = 50_000
 
@@ -132,18 +131,6 @@ def find(texts: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
     return found.where("ok").select("blob", "key", (F.col("end") - F.col("n")).alias("start"), "end")
 
 
-def _to_all_paths(versions: DataFrame, found: DataFrame, total: int) -> DataFrame:
-    """Join findings to all versions of their blob. A blob that holds a thousandth of all rows is joined in parts."""
-    counts = versions.groupBy("blob").count()
-    # at most a thousand rows, so small that every task can have them
-    hot = counts.where((F.col("count") * 1000 >= total) & (F.col("count") > HOT_PART)).select("blob", F.ceil(F.col("count") / HOT_PART).cast("int").alias("_parts"))
-    hot, _ = store(hot, "hot-blobs")
-    parts = F.coalesce("_parts", F.lit(1))
-    versions = versions.join(F.broadcast(hot), "blob", "left").withColumn("_part", F.pmod(F.col("_row"), parts).cast("int")).drop("_parts")
-    found = found.join(F.broadcast(hot), "blob", "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
-    return versions.join(found, ["blob", "_part"], "left").drop("_part")
-
-
 def scan(
     versions: DataFrame,
     path_cols: Sequence[str] = ("doc_id",),
@@ -170,7 +157,7 @@ def scan(
     texts = texts.groupBy("blob").agg(F.first("text").alias("text")).join(unseen, "blob")
     found, _ = store(find(texts, rules), "found")
     ledger.add(unseen, found)
-    joined = _to_all_paths(rows, ledger.findings(rules), total)
+    joined = left_join(rows, ledger.findings(rules), "blob", total, "_row")
     return joined.select(*[F.col(f"_path.{c}").alias(c) for c in path_cols], "blob", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from approxspark.llm import lexical_search, merkle, secret_scan
+from approxspark.llm import hot, lexical_search, merkle, secret_scan
 from llm_edges import edge_docs, no_docs  # noqa: F401
 
 
@@ -192,7 +192,7 @@ def test_ledger_scans_unseen_pairs_only(spark, monkeypatch):
     assert looked.pop() == [("clean", ("assign@2",)), ("clean\npasswd: abcdefg", ("assign@2",)), ("token=abcdef", ("assign@2",))]
     assert sorted(len(r["spans"]) for r in rows) == [0, 0, 0, 0, 1]
     # a hot blob is joined in parts; nothing is scanned again
-    monkeypatch.setattr(secret_scan, "HOT_PART", 7)
+    monkeypatch.setattr(hot, "PART", 7)
     many = [("p%d" % i, 1, "token=abcdef" if i % 3 else "clean") for i in range(100)]
     rows = secret_scan.scan(frame(many), ["path"], ledger=ledger).collect()
     assert looked.pop() == [] and len(rows) == 100 and all(len(r["spans"]) == (int(r["path"][1:]) % 3 > 0) for r in rows)

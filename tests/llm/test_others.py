@@ -234,3 +234,45 @@ def test_exact_dedup_of_the_least_id(spark):
     assert sum(k for _, k in got.values()) == 3
     tie = exact_dedup.exact_dedup(spark.createDataFrame([(5, "ab"), (least, "ba"[::-1]), (None, "ab")], "doc_id long, text string")).collect()
     assert {r["keep_id"] for r in tie} == {least} and sum(r["kept"] for r in tie) == 1
+
+
+def test_long_templates_against_brute_force(spark):
+    # whole texts and windows at every step of a template's words, compared one by one
+    import re
+    from collections import Counter
+
+    full = dict(license_scan.full_texts())
+    mit, bsd = " ".join(full["MIT"].split()), " ".join(full["BSD-3-Clause"].split())
+    filler = "value of the work and other words in a file of code " * 30
+    cut = mit.split()
+    texts = [filler + mit + " " + filler, mit, filler, filler + " ".join(cut[: len(cut) // 2]) + " " + filler, "x " * 37 + bsd + " y" * 400, full["MPL-2.0"], "", None,
+             filler + license_scan.NOTICES[0][1] + filler, " ".join(w for i, w in enumerate(cut) if i % 3) + filler, filler + license_scan.NOTICES[-1][1]]
+    files = spark.createDataFrame([(i, f"d{i}/f", t, 1) for i, t in enumerate(texts)], "doc_id long, path string, text string, t int")
+    long = (*license_scan.NOTICES, *license_scan.full_texts())
+    tok = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    vocabulary = {w for _, t in long for w in tok(t)}
+    df, n = Counter(w for t in texts for w in vocabulary & set(tok(t))), len(texts)
+    vectors, idf = license_scan._vectors(long, df, n)
+
+    def score(words, v):
+        x = {w: (1 + math.log(c)) * idf.get(w, math.log(1 + n) + 1) for w, c in Counter(words).items()}
+        return round(sum(x.get(w, 0) * y for w, y in v.items()) / (math.sqrt(sum(z * z for z in x.values())) or 1), 6)
+
+    want = {}
+    for i, t in enumerate(texts):
+        hits = []
+        for (lic, template), v in zip(long, vectors):
+            size = len(tok(template))
+            w = tok(t)
+            hits += [(True, score(w, v), lic)] if w else []
+            hits += [(False, score(w[at : at + size], v), lic) for at in range(0, len(w), max(1, size // license_scan.STEPS))]
+        best = max([h for h in hits if h[1] >= 0.7], default=None)
+        want[i] = best and (best[2], best[1], "file" if best[0] else "header")
+    assert want[0][0] == want[1][0] == "MIT" and want[0][2] == "header" and want[1][2] == "file" and want[2] is None and want[4][0] == "BSD-3-Clause"
+    got = {r["doc_id"]: r for r in license_scan.scan(files, templates=license_scan.TEMPLATES[:1], long=long).collect()}
+    for i, w in want.items():
+        g = got[i]
+        if w is None:
+            assert g["origin"] in (None, "header") and (g["origin"] is None or g["license"] == "Apache-2.0"), (i, g)
+        elif w[0] != "Apache-2.0":  # which the one short template also finds
+            assert (g["license"], g["origin"]) == (w[0], w[2]) and abs(g["score"] - w[1]) < 1e-5, (i, w, g)
