@@ -1,9 +1,9 @@
 """Operator 4: exact deduplication by counting quotient filters and byte verification.
 
-A text's 64-bit fingerprint is split into a quotient (its slot) and a remainder. Each input
-partition packs its fingerprints into a counting quotient filter, stored as one block per slot range
-with sorted remainders and their counts; blocks of a slot range from all partitions merge without
-loss by merging sorted remainders and adding counts. Fingerprints with a merged count above one are
+A text's 64-bit fingerprint is split into a quotient (its slot, the first bits) and a remainder (the rest). Each input
+partition packs its fingerprints into a counting quotient filter, stored as one block per slot
+with sorted remainders and their counts; blocks of a slot from all partitions merge without
+loss, two sorted runs of remainders at a time, and counts of equal ones add up. Fingerprints with a merged count above one are
 routed to byte verification, which groups the texts themselves.
 """
 
@@ -34,29 +34,42 @@ def _build(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBa
     if not parts:
         return
     prints, counts = np.unique(np.concatenate(parts), return_counts=True)
-    quotient = (prints >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(prints), np.int64)
+    quotient, remainder = prints >> np.uint64(64 - bits), prints & np.uint64((1 << (64 - bits)) - 1)
     cuts = np.flatnonzero(np.diff(quotient)) + 1
-    blocks = [(int(q[0]), p.astype("<u8").tobytes(), c.astype("<u4").tobytes()) for q, p, c in zip(np.split(quotient, cuts), np.split(prints, cuts), np.split(counts, cuts))]
+    blocks = [(int(q[0]), r.astype("<u8").tobytes(), c.astype("<u4").tobytes()) for q, r, c in zip(np.split(quotient, cuts), np.split(remainder, cuts), np.split(counts, cuts))]
     yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*blocks), (pa.int64(), pa.binary(), pa.binary()))], ["slot", "remainders", "counts"])
 
 
-def _merge(blocks: pd.DataFrame) -> pd.DataFrame:
-    """Merge the blocks of one slot range; the fingerprints that occur more than once, with their counts."""
-    prints = np.frombuffer(b"".join(blocks["remainders"]), "<u8")
-    counts = np.frombuffer(b"".join(blocks["counts"]), "<u4").astype(np.int64)
-    order = np.argsort(prints, kind="stable")  # the parts are sorted runs
-    prints, counts = prints[order], counts[order]
-    starts = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]])
-    total = np.add.reduceat(counts, starts)
-    many = total > 1
-    return pd.DataFrame({"fingerprint": prints[starts][many].view(np.int64), "copies": total[many]})
+def merge_runs(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted runs of distinct remainders with their counts as one."""
+    if len(a[0]) < len(b[0]):
+        a, b = b, a
+    at = np.searchsorted(a[0], b[0])
+    same = a[0][np.minimum(at, len(a[0]) - 1)] == b[0] if len(a[0]) else np.zeros(len(b[0]), bool)
+    counts = a[1].copy()
+    counts[at[same]] += b[1][same]
+    return np.insert(a[0], at[~same], b[0][~same]), np.insert(counts, at[~same], b[1][~same])
+
+
+def _merger(bits: int):
+    def merge(blocks: pd.DataFrame) -> pd.DataFrame:
+        """Merge the blocks of one slot; the fingerprints that occur more than once, with their counts."""
+        runs = [(np.frombuffer(r, "<u8"), np.frombuffer(c, "<u4").astype(np.int64)) for r, c in zip(blocks["remainders"], blocks["counts"])]
+        while len(runs) > 1:
+            runs = [merge_runs(*runs[i : i + 2]) if i + 1 < len(runs) else runs[i] for i in range(0, len(runs), 2)]
+        remainders, counts = runs[0]
+        many = counts > 1
+        slot = np.uint64(int(blocks["slot"].iloc[0])) << np.uint64(64 - bits)
+        return pd.DataFrame({"fingerprint": (remainders[many] | slot).view(np.int64), "copies": counts[many]})
+
+    return merge
 
 
 def repeated_fingerprints(prints: DataFrame, rows: int) -> DataFrame:
     """Fingerprints (one long column) that occur more than once, through merged counting quotient filters."""
     bits = max(4, int(np.ceil(np.log2(max(1, rows / BLOCK)))) + 2)
     blocks = prints.mapInArrow(lambda it: _build(it, bits), "slot long, remainders binary, counts binary")
-    return blocks.groupBy("slot").applyInPandas(_merge, "fingerprint long, copies long")
+    return blocks.groupBy("slot").applyInPandas(_merger(bits), "fingerprint long, copies long")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:

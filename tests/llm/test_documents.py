@@ -208,6 +208,17 @@ def test_counting_filters_merge_without_loss(spark):
     assert got == want and len(want) == 20_000
 
 
+def test_runs_of_remainders_merge():
+    rng = np.random.default_rng(5)
+    for sizes in ((0, 0), (0, 5), (40, 7), (300, 300)):
+        runs = [np.unique(rng.integers(0, 400, n).astype(np.uint64), return_counts=True) for n in sizes]
+        got = exact_dedup.merge_runs(*runs)
+        want = collections.Counter()
+        for r, c in runs:
+            want.update(dict(zip(r.tolist(), c.tolist())))
+        assert got[0].tolist() == sorted(want) and got[1].tolist() == [want[r] for r in sorted(want)]
+
+
 def test_language_edges(spark, edge_docs, no_docs):
     model = language_id.fit(small(spark))
     got = {r["doc_id"]: r for r in language_id.identify(edge_docs.where("doc_id IS NOT NULL"), model).collect()}
@@ -224,6 +235,31 @@ def test_language_held_out_accuracy(spark):
     assert sum(r["rejected"] for r in rows) <= 2
 
 
+def test_junk_and_unlearnt_languages_are_rejected(spark):
+    import random
+
+    docs = table(spark, SF_SMALL.replace("0.001", "0.01"), "documents")
+    model = language_id.fit(docs)
+    rng = random.Random(4)
+    letters = lambda a: [" ".join("".join(rng.choice(a) for _ in range(rng.randint(2, 9))) for _ in range(n)) for n in (30, 60, 200, 1000)]
+    finnish = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+    hungarian = "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek."
+    japanese = "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。"
+    russian = "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью."
+    for text in [*letters("abcdefghijklmnopqrstuvwxyz"), *letters("bcdfghjklmnpqrstvwxz"), finnish, hungarian, japanese, russian]:
+        lang, score, rejected = model.predict(text)
+        assert rejected, (text[:60], lang, score)
+    # texts with letters that the table holds stay: none is lost for being short
+    kept = language_id.accepted(docs, model).count()
+    assert kept >= docs.where(F.col("text").rlike(r"\p{L}")).count() - 3
+
+
+def test_language_limits_follow_the_size():
+    floors = language_id._filled(np.array([[np.nan, 0.1, np.nan, 0.3, 0.2, np.nan]]))
+    assert floors.tolist() == [[0.0, 0.1, 0.1, 0.3, 0.3, 0.3]]
+    assert [language_id.size_class(n) for n in (0, 1, 2, 3, 4, language_id.DIMS)] == [0, 1, 2, 2, 3, language_id.SIZES - 1]
+
+
 def test_ngrams_of_pieces_equal_those_of_the_whole(monkeypatch):
     text = "Été là-bas, zwölf Boxkämpfer! " * 50
     whole = language_id.ngram_counts(text)
