@@ -99,6 +99,33 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert there > 100 and 0.97 * there <= found <= there and all(got[i][0] <= want[i][0] for i in want)
 
 
+def test_scaled_copies_and_tight_groups_end(spark, monkeypatch):
+    # scalings of one vector differ in their last bits; vectors too close together for k-means to split
+    rng = np.random.default_rng(8)
+    v = rng.normal(size=32)
+    scaled = [(i, [float(x) for x in v * s]) for i, s in enumerate(rng.uniform(0.1, 9, 10_000))]
+    report: dict = {}
+    got = embedding_dedup.near_vectors(spark.createDataFrame(scaled, "vec_id long, embedding array<double>"), report=report).groupBy("n_links", "component_id").count().collect()
+    assert [tuple(r) for r in got] == [(9999, 0, 10_000)] and report["drawings"] == 1
+    monkeypatch.setattr(embedding_dedup, "SHARD", 150)
+    tight = [(i, [float(x) for x in v + 1e-9 * rng.normal(size=32)]) for i in range(700)] + [(1000 + i, [float(x) for x in rng.normal(size=32)]) for i in range(200)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_vectors(spark.createDataFrame(tight, "vec_id long, embedding array<double>"), report=report).collect()}
+    assert all(got[i] == (699, 0) for i in range(700)) and all(got[1000 + i] == (0, 1000 + i) for i in range(200))
+    assert report["recall"]["many"] == 1.0
+
+
+def test_audit_looks_for_links_and_tells_few_from_many(spark):
+    rng = np.random.default_rng(9)
+    base = rng.normal(size=(900, 16))
+    x = np.r_[base, base[:60] + 0.01 * rng.normal(size=(60, 16)), np.repeat(base[-1:], 80, 0) + 0.01 * rng.normal(size=(80, 16))]
+    report: dict = {}
+    rows = [(i, [float(e) for e in v]) for i, v in enumerate(x)]
+    got = embedding_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), report=report).collect()
+    want = brute(rows, 0.95)
+    assert report["audited"] == 1024 and report["links"] >= embedding_dedup.AUDIT_LINKS and set(report["recall"]) == {"few", "many"} and min(report["recall"].values()) >= 0.99
+    assert {r["vec_id"]: r["component_id"] for r in got} == {i: c for i, (_, c) in want.items()}
+
+
 def test_vector_edges(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v), (2, [2.0, 4.0, 6.0]), (3, v), (3, v), (4, None), (5, []), (6, [0.0, 0.0, 0.0]), (7, [1.0, None, 2.0]), (8, [float("nan"), 1.0, 2.0]),
