@@ -3,9 +3,11 @@
 A text is the vector of its letter bigrams and trigrams (lower-cased, words padded by a boundary,
 hashed to ``DIMS`` bins), weighted log(1 + count) * idf and scaled to length 1. Document frequencies
 are counted over all learning rows. Each language gets ``clusters`` centroids by spherical k-means on
-a bounded, seeded sample of its labelled rows (``sample`` a language); a text takes the language of
-the centroid of greatest cosine. It is rejected when its distance to that centroid exceeds what the
-sample shows by a margin, or when it has no letter.
+a bounded, seeded sample of its labelled texts (``sample`` a language); a text takes the language of
+the centroid of greatest cosine. It is rejected when it has no letter, or when it is farther from that centroid than
+texts of the language with as many n-grams are. How far these are is learnt from a third of the sample that
+the centroids don't see, whole and in beginnings of 1, 2, 4 ... words, since a short text shares few n-grams with
+any centroid.
 """
 
 from __future__ import annotations
@@ -14,10 +16,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import store
+
 DIMS = 1 << 14
 #: Characters turned into n-grams at a time; a longer text is counted in such pieces.
 PIECE = 1 << 18
@@ -67,15 +72,24 @@ def vector(counts: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, (v / norm if norm else v).astype(np.float32)
 
 
+#: Classes of a text's size: powers of two of its distinct n-grams.
+SIZES = DIMS.bit_length() + 1
+
+
+def size_class(n: int) -> int:
+    return max(0, int(n)).bit_length()
+
+
 @dataclass
 class Model:
-    """Centroids (one column each, of length 1), their languages, idf, and the least cosine that isn't rejected."""
+    """Centroids (one column each, of length 1), their languages, idf, and for each language the least cosine that
+    isn't rejected by the size of the text (powers of two of its distinct n-grams)."""
 
     langs: list[str]
     owner: np.ndarray
     centroids: np.ndarray
     idf: np.ndarray
-    floor: float
+    floors: np.ndarray
 
     def predict(self, text: str | None) -> tuple[str | None, float, bool]:
         """(language, cosine, rejected); the language is None without letters or without a learned language."""
@@ -86,7 +100,7 @@ class Model:
         scores = v @ self.centroids[at]
         best = int(np.argmax(scores))
         score = float(min(1.0, max(0.0, scores[best])))
-        return self.langs[self.owner[best]], score, score < self.floor
+        return self.langs[self.owner[best]], score, score < self.floors[self.owner[best], size_class(len(at))]
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,14 +116,29 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, at], pa.int32()), pa.array(np.r_[n, df[at]], pa.int64())], ["bin", "n"])
 
 
+def _beginnings(text: str) -> Iterator[str]:
+    """The text and its beginnings of 1, 2, 4 ... words."""
+    words, n = text.split(), 1
+    while n < len(words):
+        yield " ".join(words[:n])
+        n *= 2
+    yield text
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of learning texts: language, hash, whether it sets limits, bins and counts; of those that do also their beginnings."""
     for b in batches:
-        found = [(lang.as_py(), c) for lang, c in zip(b.column(0), map(lambda t: ngram_counts(t.as_py()), b.column(1))) if c is not None]
-        if found:
-            at = [np.flatnonzero(c) for _, c in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for x, _ in found], pa.string()), pa.array([a.astype("<i4").tobytes() for a in at], pa.binary()), pa.array([c[a].astype("<i4").tobytes() for a, (_, c) in zip(at, found)], pa.binary())],
-                ["lang", "bins", "counts"])
+        out = []
+        for lang, h, text in zip(*(b.column(i).to_pylist() for i in range(3))):
+            limits = h % 3 == 0
+            for part in _beginnings(text) if limits else [text]:
+                c = ngram_counts(part)
+                if c is not None:
+                    at = np.flatnonzero(c)
+                    out.append((lang, h, limits, at.astype("<i4").tobytes(), c[at].astype("<i4").tobytes()))
+        if out:
+            kinds = (pa.string(), pa.int64(), pa.bool_(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], ["lang", "h", "limits", "bins", "counts"])
 
 
 def _cluster(x: np.ndarray, k: int, turns: int = 8) -> np.ndarray:
@@ -128,40 +157,65 @@ def _cluster(x: np.ndarray, k: int, turns: int = 8) -> np.ndarray:
     return c
 
 
-def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", sample: int = 300, clusters: int = 4, margin: float = 0.1) -> Model:
-    """Learn from labelled rows: idf over all of them, centroids from at most ``sample`` rows a language.
-
-    The rejection limit is ``margin`` times the least cosine that any sampled row has to its language's
-    nearest centroid: what lies much farther from all centroids than any learning row is rejected. Short
-    texts share few n-grams with any centroid, so the margin leaves them room.
+def _learn(rows: pd.DataFrame, idf: np.ndarray, clusters: int, quantile: float, margin: float) -> pd.DataFrame:
+    """Centroids of one language, and its limits by size: ``margin`` times a low quantile of the cosines that texts not
+    seen by the centroids have (NaN for sizes that none of them has)."""
+    rows = rows.sort_values(["h", "bins", "counts"])
+    parts = []
+    for bins, counts in zip(rows["bins"], rows["counts"]):
+        full = np.zeros(DIMS, np.int64)
+        full[np.frombuffer(bins, "<i4")] = np.frombuffer(counts, "<i4")
+        parts.append(vector(full, idf))
+    limits = rows["limits"].to_numpy(bool)
+    seen = np.flatnonzero(~limits) if (~limits).any() else np.arange(len(parts))  # a language of a few texts
+    x = np.zeros((len(seen), DIMS), np.float32)
+    for i, j in enumerate(seen):
+        x[i, parts[j][0]] = parts[j][1]
+    c = _cluster(x, clusters)
+    found: dict[int, list[float]] = {}
+    for j in np.flatnonzero(limits):
+        at, v = parts[j]
+        found.setdefault(size_class(len(at)), []).append(float((c[:, at] @ v).max()))
+    floors = np.full(SIZES, np.nan)
+    for size, cosines in found.items():
+        floors[size] = margin * max(0.0, float(np.quantile(cosines, quantile)))
+    return pd.DataFrame({"lang": [rows["lang"].iloc[0]], "cents": [c.astype("<f4").tobytes()], "floors": [floors.tolist()]})
+
+
+def _filled(floors: np.ndarray) -> np.ndarray:
+    """Limits of all sizes: one never seen takes that of the next smaller one, none before the first; larger texts never
+    get a lower limit than smaller ones."""
+    return np.maximum.accumulate(np.where(np.isnan(floors), 0.0, floors), axis=1) if len(floors) else floors
+
+
+def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", sample: int = 300, clusters: int = 4, quantile: float = 0.01, margin: float = 0.5) -> Model:
+    """Learn from labelled rows: idf over all of them, centroids and limits from at most ``sample`` texts a language.
+
+    A third of a language's texts sets its limits: ``margin`` times the ``quantile`` of their cosines to the
+    centroids of the others, by size. What lies much farther from all centroids than any such text is rejected. The sample
+    is drawn by the texts' hashes (equal texts count once), so ids may repeat or be null. Centroids are learnt in one
+    task a language; the driver sees a few centroids of each.
     """
-    rows = rows.where(F.col(lang_col).isNotNull())
-    df = rows.select(text_col).mapInArrow(_frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()  # DIMS + 1 rows at most
+    rows = rows.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
+    df = rows.select("text").mapInArrow(_frequencies, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()  # DIMS + 1 rows at most
     n = next((r["n"] for r in df if r["bin"] < 0), 0)
     idf = np.full(DIMS, np.log(1.0 + n))
     for r in df:
         if r["bin"] >= 0:
             idf[r["bin"]] = np.log((1.0 + n) / (1.0 + r["n"])) + 0.1
-    w = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string"), F.lit(1)), F.col(id_col))
-    chosen = rows.select(id_col, lang_col).withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= sample).select(id_col).distinct()
-    drawn = rows.join(F.broadcast(chosen), id_col).select(F.col(lang_col).cast("string"), text_col).mapInArrow(_vectors, "lang string, bins binary, counts binary").collect()
-    by_lang: dict[str, list] = {}
-    for lang, bins, counts in sorted(map(tuple, drawn), key=lambda x: (x[0], x[1], x[2])):
-        full = np.zeros(DIMS, np.int64)
-        full[np.frombuffer(bins, "<i4")] = np.frombuffer(counts, "<i4")
-        at, v = vector(full, idf)
-        x = np.zeros(DIMS, np.float32)
-        x[at] = v
-        by_lang.setdefault(lang, []).append(x)
-    langs, owner, cents, floor = sorted(by_lang), [], [], 1.0
-    for i, lang in enumerate(langs):
-        x = np.stack(by_lang.pop(lang))
-        c = _cluster(x, clusters)
-        floor = min(floor, margin * max(0.0, float(np.max(x @ c.T, axis=1).min())))
-        cents.append(c)
-        owner += [i] * len(c)
+    hashed = rows.withColumn("h", F.xxhash64("text"))
+    lettered = hashed.where(F.col("text").rlike(r"\p{L}")).select("lang", "h").distinct()
+    w = Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h")
+    chosen = lettered.withColumn("_k", F.row_number().over(w)).where(F.col("_k") <= sample).select("lang", "h")
+    chosen, _ = store(chosen, "learning-texts")  # a bounded number a language: Spark knows its size
+    drawn = hashed.join(chosen, ["lang", "h"]).dropDuplicates(["lang", "h"]).select("lang", "h", "text").mapInArrow(_vectors, "lang string, h long, limits boolean, bins binary, counts binary")
+    learnt = drawn.groupBy("lang").applyInPandas(lambda g: _learn(g, idf, clusters, quantile, margin), "lang string, cents binary, floors array<double>").collect()
+    learnt = sorted(learnt, key=lambda r: r["lang"])
+    cents = [np.frombuffer(r["cents"], "<f4").reshape(-1, DIMS) for r in learnt]
+    owner = np.repeat(np.arange(len(learnt)), [len(c) for c in cents])
     centroids = np.ascontiguousarray(np.concatenate(cents).T) if cents else np.zeros((DIMS, 0), np.float32)
-    return Model(langs, np.array(owner, np.int64), centroids, idf, floor)
+    floors = _filled(np.array([r["floors"] for r in learnt], np.float64).reshape(len(learnt), SIZES))
+    return Model([r["lang"] for r in learnt], owner.astype(np.int64), centroids, idf, floors)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
