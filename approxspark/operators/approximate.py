@@ -28,6 +28,7 @@ from .joins import join_keys
 
 KINDS = ("count", "count_col", "count_distinct", "sum", "avg", "min", "max")
 HLL_LG_K = 14
+NOT_THE_SAMPLE = "the sample doesn't hold take_n rows of each of these strata"
 
 
 def _check(aggs):
@@ -139,17 +140,23 @@ def estimate(sample: DataFrame, aggs, by: str | Sequence[str] | None = None, str
     pop, take = F.col("pop_n"), F.col("take_n")
     own = known and set(strata) <= set(by)  # a group lies within one stratum, and its rows weigh the same
     rows = sample if where is None else sample.where(where)
+    total_of_all = F.coalesce(F.round(F.sum(pop / take)).cast("long"), F.lit(0))
     if intervals:
         res = _with_intervals(rows, aggs, by, strata, confidence).withColumnRenamed("_n", "sample_size")
     else:
-        res = rows.groupBy(*by).agg(*_estimates(aggs, own), F.count(F.lit(1)).alias("sample_size"), F.max((pop > take).cast("int")).alias("_part"))
-    if known:
+        res = rows.groupBy(*by).agg(*_estimates(aggs, own), F.count(F.lit(1)).alias("sample_size"), F.max((pop > take).cast("int")).alias("_part"), total_of_all.alias("_total"), F.max(take).alias("_take"))
+    if not by and not strata and where is None and not intervals:
+        # the one row tells of the whole sample
+        told = F.when(F.lit(known) & (F.col("sample_size") != F.col("_take")), F.raise_error(F.lit(NOT_THE_SAMPLE))).otherwise(F.col("_total"))
+        res = res.withColumn("_whole", F.struct(told.alias("total"), F.coalesce("_part", F.lit(0)).alias("part")))
+    elif known:
         drawn = sample.groupBy(*strata, "pop_n", "take_n").agg(F.count(F.lit(1)).alias("_rows"))
-        ok = F.when(F.col("_rows") != take, F.raise_error(F.lit("the sample doesn't hold take_n rows of each of these strata"))).otherwise(pop)
+        ok = F.when(F.col("_rows") != take, F.raise_error(F.lit(NOT_THE_SAMPLE))).otherwise(pop)
         whole = drawn.agg(F.struct(F.coalesce(F.sum(ok), F.lit(0)).alias("total"), F.coalesce(F.max((pop > take).cast("int")), F.lit(0)).alias("part")))
+        res = res.withColumn("_whole", whole.scalar())
     else:
-        whole = sample.agg(F.struct(F.coalesce(F.round(F.sum(pop / take)).cast("long"), F.lit(0)).alias("total"), F.coalesce(F.max((pop > take).cast("int")), F.lit(0)).alias("part")))
-    res = res.withColumn("_whole", whole.scalar())
+        whole = sample.agg(F.struct(total_of_all.alias("total"), F.coalesce(F.max((pop > take).cast("int")), F.lit(0)).alias("part")))
+        res = res.withColumn("_whole", whole.scalar())
     complete = F.col("_part" if own else "_whole.part") == 0
     res = _envelope(res, confidence, F.coalesce(complete, F.lit(False)), F.col("_whole.total") if total is None else F.lit(total).cast("long"))
     kept = [c for _k, _c, alias in aggs for c in ([alias, f"{alias}_lower", f"{alias}_upper"] if intervals and _k not in ("min", "max") else [alias])]
@@ -205,7 +212,7 @@ def approx_agg(
     if by:
         hist = samplers.histogram(df, by, key, seed)
         N = hist.agg(F.sum("_n")).first()[0] or 0
-        plan = allocate(samplers.sizes_of(hist, by), size(N), by, "min_one")
+        plan = allocate(samplers.sizes_of(hist, by), size(N), by, "min_one", stored=True, total=N)
         sample = samplers.from_plan(df, plan, by, key, seed, hist)
     else:
         sample, n, N = samplers.sized_random(df, size, key, seed)

@@ -146,7 +146,7 @@ def stratified(
     if rule == "neyman" and value_col is None:
         raise ValueError("Neyman allocation needs value_col (the stratum standard deviations)")
     hist = histogram(df, by, key, seed, value_col if rule == "neyman" else None)
-    plan = allocate(sizes_of(hist, by, deviations=rule == "neyman"), k, by, rule)
+    plan = allocate(sizes_of(hist, by, deviations=rule == "neyman"), k, by, rule, stored=True)
     return from_plan(df, plan, by, key, seed, hist, tie)
 
 

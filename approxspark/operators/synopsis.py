@@ -211,7 +211,7 @@ def build_stratified_sample(df: DataFrame, by: str | Sequence[str], key: str | S
     ``approximate.approx_agg_from_sample`` answers later queries from it without touching ``df``."""
     hist = samplers.histogram(df, by, key, seed)
     N = hist.agg(F.sum("_n")).first()[0] or 0
-    plan = allocate(samplers.sizes_of(hist, by), size_for_accuracy(accuracy, N, min_sample, max_sample), by, "min_one")
+    plan = allocate(samplers.sizes_of(hist, by), size_for_accuracy(accuracy, N, min_sample, max_sample), by, "min_one", stored=True, total=N)
     path = path or scratch_path(df.sparkSession, name)
     samplers.from_plan(df, plan, by, key, seed, hist).write.mode("overwrite").parquet(path)
     return path

@@ -32,7 +32,7 @@ def strata_sizes(df: DataFrame, by: str | Sequence[str], value_col: str | None =
     return df.groupBy(*by).agg(*aggs)
 
 
-def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "proportional") -> DataFrame:
+def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "proportional", stored: bool = False, total: int | None = None) -> DataFrame:
     """Add ``take_n`` to a strata-sizes table; NULL is a stratum.
 
     proportional         floor(k pop_n / N); the whole remainder goes to the largest stratum
@@ -49,18 +49,22 @@ def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "pro
 
     Which strata are full follows from one pass in the order of pop_n / weight with prefix sums
     (``ranking.prefix_sums``); where no share can reach its stratum's size, not even that is needed.
-    The rest are scalar aggregates of the strata table; nothing puts the whole of it into one task.
+    The rest are scalar aggregates of the strata table; nothing puts the whole of it into one task. It is written
+    first, unless the caller says that it comes from a ``stored`` table (:func:`samplers.sizes_of`), from which it is cheap. ``total`` is the number of all rows, where it is known.
     """
     if rule not in RULES:
         raise ValueError(f"unknown allocation rule: {rule}")
     if k < 0:
         raise ValueError("sample size must be non-negative")
     by = as_list(by)
-    strata, _ = store(sizes.withColumn("pop_n", F.col("pop_n").cast("long")), "strata")
+    strata = sizes.withColumn("pop_n", F.col("pop_n").cast("long"))
+    if not stored:
+        strata, _ = store(strata, "strata")
     pop = F.col("pop_n")
     if rule == "min_one":
-        total = strata.agg(F.sum("pop_n")).first()[0] or 1
-        return strata.withColumn("take_n", F.least(pop, F.greatest(F.lit(1).cast("long"), F.floor(F.lit(k).cast("long") * pop / F.lit(total)))))
+        if total is None:
+            total = strata.agg(F.sum("pop_n")).first()[0]
+        return strata.withColumn("take_n", F.least(pop, F.greatest(F.lit(1).cast("long"), F.floor(F.lit(k).cast("long") * pop / F.lit(total or 1)))))
     spread = F.coalesce(F.col("pop_sd"), F.lit(0.0)) if rule == "neyman" else F.lit(1.0)
     strata = strata.withColumn("_w", F.lit(1.0) if rule == "equal" else pop * spread)
     g = strata.agg(F.sum("pop_n").alias("N"), F.sum("_w").alias("W"), F.max(F.col("_w") / pop).alias("steep")).first()
@@ -69,21 +73,22 @@ def allocate(sizes: DataFrame, k: int, by: str | Sequence[str], rule: str = "pro
         return strata.withColumn("take_n", F.lit(0).cast("long")).drop("_w")
     if not g["W"]:  # no stratum varies
         strata, g = strata.withColumn("_w", pop.cast("double")), {"N": g["N"], "W": float(g["N"]), "steep": 1.0}
-    full = F.lit(False)
     if k * g["steep"] > g["W"]:  # some share may pass its stratum's size
         strata = prefix_sums(strata, [F.when(F.col("_w") > 0, pop / F.col("_w")).asc_nulls_last(), *by], {"_pops": pop, "_ws": F.col("_w")})
         # at the level at which a stratum is just full: what the earlier ones have, and the share of all others
         full = (F.col("_w") > 0) & (F.col("_pops") + pop / F.col("_w") * (F.lit(g["W"]) - F.col("_ws")) <= k)
-    strata = strata.withColumn("_full", full)
-    open_ = ~F.col("_full")
-    left = strata.agg(F.coalesce(F.sum(F.when(F.col("_full"), pop)), F.lit(0)).alias("k"), F.sum(F.when(open_, F.col("_w"))).alias("W"), F.sum(F.when(open_, pop)).alias("N")).first()
+        strata = strata.withColumn("_full", full)
+        open_ = ~F.col("_full")
+        left = strata.agg(F.coalesce(F.sum(F.when(F.col("_full"), pop)), F.lit(0)).alias("k"), F.sum(F.when(open_, F.col("_w"))).alias("W"), F.sum(F.when(open_, pop)).alias("N")).first()
+    else:
+        strata, left = strata.withColumn("_full", F.lit(False)), {"k": 0, "W": g["W"], "N": g["N"]}
     rest = k - left["k"]
     if not rest:
         return strata.withColumn("take_n", F.when(F.col("_full"), pop).otherwise(F.lit(0)).cast("long")).select(*sizes.columns, "take_n")
     # strata that don't vary share what the full ones leave, if no others are open
     weight, total = (F.col("_w"), left["W"]) if left["W"] else (pop, left["N"])
     share = F.floor(F.lit(rest).cast("long") * weight / F.lit(total))
-    strata, _ = store(strata.withColumn("take_n", F.when(F.col("_full"), pop).otherwise(share).cast("long")).select(*sizes.columns, "_full", "take_n"), "shares")
+    strata = strata.withColumn("take_n", F.when(F.col("_full"), pop).otherwise(share).cast("long")).select(*sizes.columns, "_full", "take_n")
     more = k - strata.agg(F.sum("take_n")).first()[0]
     return _add_remainder(strata, more, by, rule).select(*sizes.columns, "take_n")
 

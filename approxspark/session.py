@@ -76,10 +76,26 @@ def list_scratch(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
 
 
+#: Folders that :func:`store` has written, in order.
+_stored: list[str] = []
+
+
+def stored_so_far() -> int:
+    """A mark: tables stored from here on can be dropped by :func:`drop_stored`."""
+    return len(_stored)
+
+
+def drop_stored(spark: SparkSession, since: int, *keep: str) -> None:
+    """Drop the tables stored since a mark, once nothing reads them any more, but those to ``keep``."""
+    drop_scratch(spark, *[p for p in _stored[since:] if p not in keep])
+    _stored[since:] = [p for p in _stored[since:] if p in keep]
+
+
 def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Write ``df`` once to the shared folder and read it back: a lineage cut that survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    _stored.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
