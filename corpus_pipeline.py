@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from approxspark.llm import exact_dedup, language_id, minhash_dedup, mixing, packing
-from approxspark.session import ensure_checkpoint_dir, ship_package, store
+from approxspark.session import drop_stored, ensure_checkpoint_dir, ship_package, store, stored_so_far
 from approxspark.sources.tables import table
 
 
@@ -85,5 +85,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs, _ = store(stage(spark, docs, sf_dir), name)
+        mark = stored_so_far()
+        docs, path = store(stage(spark, docs, sf_dir), name)
+        drop_stored(spark, mark, path)  # what the stage wrote on its way
     return STAGES[-1][1](spark, docs, sf_dir)
