@@ -35,16 +35,22 @@ SLOTS = 1 << 18
 
 
 def _slot(codes: np.ndarray) -> np.ndarray:
-    return (codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)
+    return ((codes.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOTS.bit_length() + 1)).view(np.int64)
 
 
 def compress(ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, int]:
     """(symbols, rules, first nonterminal): all pairs seen ``least`` times (2 at least) are replaced, until there is none."""
-    seq = ids.astype(np.int64)
+    seq = ids.astype(np.int32)
     first = int(seq.max()) + 1 if len(seq) else 0
     rules = np.empty((0, 2), np.int64)
     while len(seq) > 1:
-        code = (seq[:-1] << 32) | seq[1:]
+        code = (seq[:-1].astype(np.int64) << 32) | seq[1:]
+        slot = _slot(code)
+        # only pairs whose slot is met so often can be frequent
+        at = np.flatnonzero((np.bincount(slot, minlength=SLOTS) >= least)[slot])
+        if not len(at):
+            break
+        code, slot = code[at], slot[at]
         ordered = np.sort(code)
         starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         counts = np.diff(np.r_[starts, len(ordered)])
@@ -55,9 +61,9 @@ def compress(ids: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, int]:
         # looked up by hash; of two pairs in one slot the other's turn comes in the next round
         slots = np.zeros(SLOTS, np.int32)
         slots[_slot(chosen)] = np.arange(len(chosen))
-        k = slots[_slot(code)]
-        at = np.flatnonzero(chosen[k] == code)
-        k = k[at]
+        k = slots[slot]
+        hit = chosen[k] == code
+        at, k = at[hit], k[hit]
         # overlapping hits: of a run of neighbours every other one, from its first
         run = np.flatnonzero(np.r_[True, at[1:] != at[:-1] + 1])
         take = (np.arange(len(at)) - np.repeat(run, np.diff(np.r_[run, len(at)]))) % 2 == 0
@@ -111,12 +117,15 @@ class Block:
         self.symbols = take(f"<u{width}", n_symbols).astype(np.int64)
         # where each symbol's expansion ends in the block
         self.ends = np.cumsum(np.r_[np.ones(self.first, np.int64), self.sizes][self.symbols]) if n_symbols else np.zeros(0, np.int64)
-        # expansions of all rules one after another; each follows from earlier ones
-        flat: list[np.ndarray] = []
-        grow = lambda s: np.array([s], "<u4") if s < self.first else flat[s - self.first]
-        for a, b in self.rules.tolist():
-            flat.append(np.concatenate([grow(a), grow(b)]))
-        self.flat = np.concatenate([np.arange(self.first, dtype="<u4"), *flat])
+        # expansions of all rules one after another, all deepened together
+        flat = np.arange(self.first, self.first + n_rules)
+        while (deep := flat >= self.first).any():
+            size = 1 + deep
+            at = np.cumsum(size) - size
+            pairs = self.rules[flat[deep] - self.first]
+            flat = np.repeat(flat, size)
+            flat[at[deep]], flat[at[deep] + 1] = pairs[:, 0], pairs[:, 1]
+        self.flat = np.r_[np.arange(self.first), flat].astype("<u4")
         self.offsets = np.r_[np.arange(self.first), self.first + np.cumsum(np.r_[0, self.sizes[:-1]])] if n_rules else np.arange(self.first)
 
     def ids(self, start: int = 0, n: int | None = None) -> np.ndarray:

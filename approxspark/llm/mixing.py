@@ -101,7 +101,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1.
     element, or the whole, may be null: the null source). Sources in code point order, null last,
     weigh ``weights`` in turn and share ``share`` times all words; a target stops at ``most`` times
     its source's words. source_size and target are those of the document's first source. The number
-    of patterns, not that of documents, is what the driver sees. Null or empty texts have size 0
+    of patterns, not that of documents, is what the driver sees: the flow is meant for up to some thousands of
+    them (corpora, crawls, licences), not for sources such as hosts, which have to be grouped first. Null or empty texts have size 0
     and take 0; repeated rows are documents of their own; an empty table gives no rows; of further
     columns only ``keep`` is read and returned. The document at which a pattern's last pass ends is taken
     in part. With ``whole`` taken is a multiple of size: of the ``NEXT`` documents on each side of the pass's

@@ -20,9 +20,9 @@ import pyarrow as pa
 #: Pieces that a worker remembers, at about 200 bytes each; beyond that the table is emptied (a bound on memory, not on results).
 TABLE = 600_000
 #: Characters of texts whose unknown pieces are encoded together.
-BATCH = 1_000_000
+BATCH = 200_000
 #: Pieces encoded in one string.
-TOGETHER = 128
+TOGETHER = 512
 
 #: A word, perhaps on a new line, and ASCII marks after it (an apostrophe may bind to letters).
 ENDING = re.compile(r"(\n?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
@@ -86,17 +86,15 @@ class Coder:
         """Put pieces into the table, but those that end in white space, which binds to what follows; these are returned."""
         bad = {p for p in new if not p or p[-1].isspace()} if self.spaces else set()
         new -= bad
-        table, stems = self.table, {}
-        for p in new:
-            if p[-1:] in MARKS:
-                if (m := ENDING.fullmatch(p)) and unicodedata.normalize("NFC", m[1].strip("\n")).lower().isalpha():  # letters, then marks: two pre-tokens
-                    stems[p] = m
-            elif not self.spaces and p.isascii() and p.isalpha() and not p.islower():
-                stems[p] = None  # case is dropped
-        bases = {p: m[1] if m else p.lower() for p, m in stems.items()}
-        table.update(self.encode(new.difference(stems).union(bases.values()).difference(table)))
-        for p, m in stems.items():
-            table[p] = table[bases[p]] + (self.tail(m[2]) if m else b"")
+        # letters, then marks: two pre-tokens
+        stems = {p: m for p in new if p[-1:] in MARKS and (m := ENDING.fullmatch(p)) and unicodedata.normalize("NFC", m[1].strip("\n")).lower().isalpha()}
+        bases = {p: m[1] for p, m in stems.items()}
+        if not self.spaces:  # case is dropped
+            bases |= {p: p.lower() for p in new if p.isascii() and p.isalpha() and not p.islower()}
+        table = self.table
+        self.encode(new.difference(bases).union(bases.values()).difference(table))
+        for p, base in bases.items():
+            table[p] = table[base] + (self.tail(stems[p][2]) if p in stems else b"")
         return bad
 
     def tail(self, marks: str) -> bytes:
@@ -106,8 +104,8 @@ class Coder:
             self.tails[marks] = self.whole(marks)
         return self.tails[marks]
 
-    def encode(self, new: set[str]) -> Iterator[tuple[str, bytes]]:
-        """Ids of each piece: pieces whose ids tell where they begin or end are encoded many in one string."""
+    def encode(self, new: set[str]) -> None:
+        """Put the ids of each piece into the table: pieces whose ids tell where they begin or end are encoded many in one string."""
         if self.spaces:  # a printable piece has no white space: spaces part pieces
             own = {p for p in new if (p[1:] if p[:1] == "\n" else p).isprintable() and p != "\n"}
         else:
@@ -124,9 +122,9 @@ class Coder:
                 continue
             raw = ids.tobytes()
             cuts = [*at.tolist(), len(raw)] if self.spaces else [0, *(at + 4).tolist()]
-            yield from ((p, raw[i:j]) for p, i, j in zip(g, cuts, cuts[1:]))
+            self.table.update(zip(g, [raw[i:j] for i, j in zip(cuts, cuts[1:])]))
         for p, e in zip(few, self.t.encode_batch_fast(list(map(spaced, few)), add_special_tokens=False)):
-            yield p, np.array(e.ids, dtype="<u4").tobytes()
+            self.table[p] = np.array(e.ids, dtype="<u4").tobytes()
 
 
 def coder(path: str) -> Coder:

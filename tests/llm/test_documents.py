@@ -323,6 +323,7 @@ def test_grammar_goes_on_until_no_pair_is_frequent():
     for ids in (rng.zipf(1.3, 60_000) % 500, np.tile(rng.integers(0, 9000, 700), 40), np.zeros(5000, int), rng.integers(0, 3, 20_000)):
         for least in (2, 16):
             seq, rules, first = grammar.compress(ids.astype("<u4"), least)
+            seq = seq.astype(np.int64)
             code = (seq[:-1] << 32) | seq[1:]
             assert max(np.unique(code, return_counts=True)[1], default=0) < least or len(code) == 0
             assert int(np.r_[np.ones(first, int), grammar.lengths_of(rules, first)][seq].sum()) == len(ids)
