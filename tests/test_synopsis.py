@@ -1,9 +1,13 @@
 """Synopses answer like the direct operators."""
 
+import hashlib
+from collections import Counter
+
+import duckdb
 from pyspark.sql import functions as F
 
 from approxspark.catalog.approximate_q import FLAGSHIP_AGGS
-from approxspark.operators import approximate, samplers, synopsis
+from approxspark.operators import approximate, samplers, sketches, synopsis
 from approxspark.sources.tables import sales
 from conftest import SF_CHECK
 
@@ -52,6 +56,36 @@ def test_stored_sample_answers_whole_table_aggregates(spark, events):
     assert not got["approx"] and got["ci"] == 0.0
 
 
+def _seeded_cells(keys, width=2000, depth=5):
+    """Count-Min cells by hashlib: the key is hashed once per depth row, 32 bits of 'row:key'."""
+    return Counter((r, int(hashlib.md5(f"{r}:{'\\N' if k is None else k}".encode()).hexdigest()[:8], 16) % width) for k in keys for r in range(depth))
+
+
+def test_cms_build_hashes_each_key_once_per_depth_row(spark, tmp_path):
+    from approxspark.catalog import ORACLES, QUERIES, load_all
+
+    load_all()
+    keys = [i * i % 97 for i in range(400)] + [None] * 7 + [-5, 2**62]
+    spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "event_id long, user_id long").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    want = dict(_seeded_cells(keys))
+    got = {(r["depth_row"], r["bucket"]): r["cnt"] for r in QUERIES["cms_build"](spark, str(tmp_path)).collect()}
+    assert got == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    assert {(r, b): n for r, b, n in con.execute(ORACLES["cms_build"]).fetchall()} == want
+
+
+def test_cms_with_a_digest_per_depth_row_answers_its_keys(spark):
+    # narrow, so that cells are shared: the estimate is the least of a key's own cells
+    keys = [f"k{i % (i % 40 + 1)}" for i in range(900)] + [None] * 3
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    cells = _seeded_cells(keys, 16, 7)
+    built = sketches.cms_build(df, "k", width=16, depth=7, per_digest=1)
+    assert {(r["depth_row"], r["bucket"]): r["cnt"] for r in built.collect()} == dict(cells)
+    est = {r["k"]: r["estimate"] for r in sketches.cms_estimate(df, "k", built, 16, 7, per_digest=1).collect()}
+    assert est == {k: min(cells[c] for c in _seeded_cells([k], 16, 7)) for k in set(keys)}
+
+
 def test_no_query_leaves_a_cached_frame(spark):
     from approxspark.catalog import QUERIES, load_all
     from conftest import SF_SMALL
